@@ -35,17 +35,24 @@ def bucket_start(ts, minutes: int = 1) -> Column:
 
 def to_candles(ticks: DataFrame, *, ts: str = "ts", price: str = "price",
                size: str | None = "size", symbol: str | Column = "symbol",
-               order: Sequence[str] = ("ts",), minutes: int = 1) -> DataFrame:
+               order: Sequence[str] | str = "ts", minutes: int = 1) -> DataFrame:
     """Ticks to OHLCV candles: one row per (symbol, bucket).
 
     ``open``/``close`` are the first/last non-NULL price in ``order``;
     ``high``/``low`` ignore NULL prices; ``volume`` is the summed size
     (NULL when no size is given); ``trades`` counts every tick.
+
+    With a single ordering column every aggregate has a fixed-width buffer
+    and Spark plans a hash aggregation with map-side partial aggregation.
+    Several ordering columns (e.g. a tie-break id for equal timestamps)
+    need a struct ordering, which Spark can only aggregate by sorting.
     """
     sym = F.lit(symbol) if isinstance(symbol, str) and symbol not in ticks.columns \
         else col_of(symbol)
     p = F.col(price).cast("double")
-    ordering = F.when(p.isNotNull(), F.struct(*[F.col(c) for c in order]))
+    order = [order] if isinstance(order, str) else list(order)
+    okey = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+    ordering = F.when(p.isNotNull(), okey)
     vol = F.col(size).cast("double") if size else F.lit(None).cast("double")
     return (
         ticks

@@ -103,12 +103,17 @@ def prior_day_seed(ref: DataFrame, *, cols: Mapping[str, str], ts: str = "ts_min
     """Last row of each day of ``ref``, keyed to the following calendar day.
 
     One row per (by…, day) with struct ``_s``; NULL values stay NULL.
-    Partial aggregation makes this one row per map task and day.
+    Minutes are unique within a day, so per-column ``max_by(c, ts)`` reads
+    one row; each has a fixed-width buffer, so this is a hash aggregation
+    with map-side partial aggregation (one row per map task and day).
     """
     keys = [*by, day]
-    last = (ref.select(*by, _day(ref, day, ts).alias(day), ts, _side(ref, cols).alias("_v"))
-               .groupBy(*keys).agg(F.max_by("_v", ts).alias("_s")))
-    return last.select(*by, F.date_add(F.col(day), 1).alias(day), "_s")
+    last = (ref.select(*by, _day(ref, day, ts).alias(day), ts,
+                       *[(F.col(src) if src in ref.columns else F.lit(None).cast("double"))
+                         .alias(out) for out, src in cols.items()])
+               .groupBy(*keys).agg(*[F.max_by(out, ts).alias(out) for out in cols]))
+    return last.select(*by, F.date_add(F.col(day), 1).alias(day),
+                       F.struct(*cols).alias("_s"))
 
 
 def last_known_seed(base: DataFrame, ref: DataFrame, *, cols: Mapping[str, str],

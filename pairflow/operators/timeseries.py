@@ -64,7 +64,8 @@ def whole_history_shift(df: DataFrame, cols: Sequence[str], *, ts: str,
                         lag_fmt: str = "{c}_lag_1_calc",
                         lead_fmt: str = "{c}_lead_1_calc") -> DataFrame:
     """``lag(c,1)``/``lead(c,1) over (partition by by order by ts)`` over the
-    whole history without a single-partition window.
+    whole history without a single-partition window. ``ts`` must be
+    unique within ``by``.
 
     1. Inside each bucket (default: calendar day of ``ts``; any bucket
        monotone in ``ts`` works) a partitioned window gives the in-bucket
@@ -85,8 +86,13 @@ def whole_history_shift(df: DataFrame, cols: Sequence[str], *, ts: str,
     w_in = Window.partitionBy(*keys).orderBy(ts)
     x = x0.select("*", F.lag("_v", 1).over(w_in).alias("_prev_in"),
                   F.lead("_v", 1).over(w_in).alias("_next_in"))
-    edges = x0.groupBy(*keys).agg(F.min_by("_v", ts).alias("_first"),
-                                 F.max_by("_v", ts).alias("_last"))
+    # per-column min_by/max_by keep fixed-width buffers (hash aggregation);
+    # ``ts`` is unique within a bucket, so they all read the same edge row
+    edges = (x0.groupBy(*keys)
+               .agg(*[F.min_by(c, ts).alias(f"_f_{c}") for c in cols],
+                    *[F.max_by(c, ts).alias(f"_l_{c}") for c in cols])
+               .select(*keys, F.struct(*[F.col(f"_f_{c}").alias(c) for c in cols]).alias("_first"),
+                       F.struct(*[F.col(f"_l_{c}").alias(c) for c in cols]).alias("_last")))
     w_edge = Window.partitionBy(*by).orderBy(bcol)
     edges = edges.select(*keys, F.lag("_last", 1).over(w_edge).alias("_prev_edge"),
                          F.lead("_first", 1).over(w_edge).alias("_next_edge"))

@@ -54,7 +54,7 @@ def _with_ingest(c: DataFrame, minutes: int = 1) -> DataFrame:
 
 
 def base_candles(spark: SparkSession, sf_dir: str, metrics: bool = True) -> DataFrame:
-    c = to_candles(ticks(spark, sf_dir), symbol="ALL", order=("ts", "event_id"))
+    c = to_candles(ticks(spark, sf_dir), symbol="ALL", order="ts")
     c = _with_ingest(c)
     return candle_metrics(c, bullish=True) if metrics else c
 
@@ -66,7 +66,7 @@ def in_session(ts_col: str = "ts"):
 
 def ref_candles(spark: SparkSession, sf_dir: str, metrics: bool = True) -> DataFrame:
     t = ticks(spark, sf_dir).where((F.col("event_type") == "purchase") & in_session())
-    c = _with_ingest(to_candles(t, symbol="REF", order=("ts", "event_id")))
+    c = _with_ingest(to_candles(t, symbol="REF", order="ts"))
     return candle_metrics(c, bullish=False) if metrics else c
 
 
@@ -81,7 +81,7 @@ def scenario_ref(ref: DataFrame) -> DataFrame:
 
 
 def gappy_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = to_candles(gappy_ticks(spark, sf_dir), symbol="ALL", order=("ts", "event_id"))
+    c = to_candles(gappy_ticks(spark, sf_dir), symbol="ALL", order="ts")
     return _with_ingest(c)
 
 

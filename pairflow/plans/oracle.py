@@ -36,9 +36,9 @@ def candles_cte(name: str, src: str, symbol: str, where: str = "TRUE",
     raw = f"""{name}_c AS (
   SELECT '{symbol}' AS symbol, date_trunc('minute', ts) AS ts_minute_utc,
          CAST(date_trunc('minute', ts) AS DATE) AS execution_date,
-         first(price ORDER BY ts, event_id) FILTER (WHERE price IS NOT NULL) AS open,
+         arg_min(price, ts) AS open,
          max(price) AS high, min(price) AS low,
-         last(price ORDER BY ts, event_id) FILTER (WHERE price IS NOT NULL) AS close,
+         arg_max(price, ts) AS close,
          CAST(sum(size) AS DOUBLE) AS volume, count(*) AS trades,
          date_trunc('minute', ts) + INTERVAL 1 MINUTE AS ingested_at_utc
   FROM {src} WHERE {where}

@@ -138,3 +138,7 @@ GROUP BY execution_date
 ORDER BY execution_date DESC"""))
 def q_daily_correlation(spark, sf_dir):
     return models.daily_correlation(features(spark, sf_dir))
+
+
+# Themed query modules register themselves on import.
+from . import q_models  # noqa: E402,F401
