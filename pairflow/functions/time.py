@@ -61,3 +61,17 @@ def minutes_between(later, earlier) -> Column:
     return (F.extract(F.lit("DAY"), diff).cast("bigint") * 1440
             + F.extract(F.lit("HOUR"), diff).cast("bigint") * 60
             + F.extract(F.lit("MINUTE"), diff).cast("bigint"))
+
+
+def ts_to_epoch_ms(c) -> Column:
+    """NTZ (UTC wall clock) to epoch milliseconds, zone-free."""
+    diff = col_of(c) - F.expr(EPOCH_NTZ)
+    return (F.extract(F.lit("DAY"), diff).cast("bigint") * 86_400_000
+            + F.extract(F.lit("HOUR"), diff).cast("bigint") * 3_600_000
+            + F.extract(F.lit("MINUTE"), diff).cast("bigint") * 60_000
+            + (F.extract(F.lit("SECOND"), diff) * 1000).cast("bigint"))
+
+
+def iso_text(c, suffix: str = "Z") -> Column:
+    """NTZ as ISO-8601 text ``YYYY-MM-DDTHH:MM:SS[.ffffff]<suffix>``."""
+    return F.concat(F.regexp_replace(col_of(c).cast("string"), " ", "T"), F.lit(suffix))

@@ -80,12 +80,14 @@ def candle_metrics(df: DataFrame, *, bullish: bool = True) -> DataFrame:
 
 
 def format_base_series(raw: DataFrame, *, source: str = "binance",
-                       dedup_pulls: bool = True, audit: bool = False) -> DataFrame:
+                       dedup_pulls: bool = True, audit: bool = False,
+                       keep: Sequence[str] = ()) -> DataFrame:
     """Raw 24/7 candles (text numerics, epoch-ms times) to the formatted layer.
 
     Presence-driven like the landing data: absent columns are skipped.
     ``dedup_pulls`` keeps the latest ingest of a (symbol, minute) when pulls
-    overlap; False keeps every pulled row.
+    overlap; False keeps every pulled row. ``keep`` names extra columns
+    (e.g. the ``dt`` folder) carried after the formatted ones.
     """
     df = conform(raw, renames=schemas.BASE_RENAMES, casts=schemas.BASE_CASTS)
     derived = {}
@@ -103,7 +105,7 @@ def format_base_series(raw: DataFrame, *, source: str = "binance",
     if audit:
         df = df.withColumn("formatted_at_utc", F.current_timestamp())
     df = conform(df, defaults={"source": F.lit(source)},
-                 order=schemas.FORMATTED_BASE_ORDER)
+                 order=[*schemas.FORMATTED_BASE_ORDER, *keep])
     if dedup_pulls and {"ts_minute_utc", "symbol"} <= set(df.columns):
         order = ["ingested_at_utc"] if "ingested_at_utc" in df.columns else []
         df = dedup(df, ["symbol", "ts_minute_utc"], order, keep="last")

@@ -85,13 +85,93 @@ def gappy_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_ingest(c)
 
 
-def overlapping_pulls(candles: DataFrame) -> DataFrame:
-    """Every candle once, plus the last candle of each pull again, fetched
-    one pull later with a revised close."""
+def refetched(candles: DataFrame) -> DataFrame:
+    """The last candle of each pull, fetched again one pull later with a
+    revised close (it was still open at the first fetch)."""
     last_of_pull = F.minute("ts_minute_utc") % PULL_MINUTES == PULL_MINUTES - 1
-    again = (candles.where(last_of_pull)
-             .withColumn("close", F.col("close") + 0.5)
-             .withColumn("high", F.greatest(F.col("high"), F.col("close")))
-             .withColumn("ingested_at_utc",
-                         F.timestamp_add("MINUTE", F.lit(PULL_MINUTES), F.col("ingested_at_utc"))))
-    return candles.unionByName(again)
+    return (candles.where(last_of_pull)
+            .withColumn("close", F.col("close") + 0.5)
+            .withColumn("high", F.greatest(F.col("high"), F.col("close")))
+            .withColumn("ingested_at_utc",
+                        F.timestamp_add("MINUTE", F.lit(PULL_MINUTES), F.col("ingested_at_utc"))))
+
+
+def overlapping_pulls(candles: DataFrame) -> DataFrame:
+    """Every candle once, plus the re-fetched ones."""
+    return candles.unionByName(refetched(candles))
+
+
+def ref_from(t: DataFrame) -> DataFrame:
+    t = t.where((F.col("event_type") == "purchase") & in_session())
+    return _with_ingest(to_candles(t, symbol="REF", order="ts"))
+
+
+def raw_base_records(candles: DataFrame, extra=()) -> DataFrame:
+    """Candles in the landing shape of a 24/7 exchange pull: text numerics,
+    epoch-ms times, ISO text minute and ingest time, plus the ``dt`` folder
+    (and any ``extra`` columns passed through)."""
+    from ..functions.time import iso_text, ts_to_epoch_ms
+    ms = ts_to_epoch_ms("ts_minute_utc")
+    txt = lambda c: F.col(c).cast("string")
+    qv = F.col("close") * F.col("volume")
+    return candles.select(
+        ms.alias("open_time"), txt("open").alias("open"), txt("high").alias("high"),
+        txt("low").alias("low"), txt("close").alias("close"), txt("volume").alias("volume"),
+        (ms + 59_999).alias("close_time"), qv.cast("string").alias("quote_volume"),
+        F.col("trades"), (F.col("volume") / 2).cast("string").alias("taker_buy_base"),
+        (qv / 2).cast("string").alias("taker_buy_quote"), F.lit("0").alias("ignore"),
+        F.col("symbol"), F.lit("1m").alias("interval"),
+        iso_text("ingested_at_utc").alias("ingested_at_utc"),
+        iso_text("ts_minute_utc").alias("ts_minute_utc"),
+        F.col("execution_date").alias("dt"), *extra)
+
+
+def raw_ref_records(candles: DataFrame) -> DataFrame:
+    """Candles in the landing shape of a quote pull (CSV text)."""
+    from ..functions.time import iso_text
+    txt = lambda c: F.col(c).cast("string")
+    return candles.select(
+        iso_text("ts_minute_utc", "+00:00").alias("datetime"),
+        *[txt(c).alias(c) for c in ("open", "high", "low", "close", "volume")],
+        iso_text("ts_minute_utc").alias("ts_minute_utc"), F.col("symbol"),
+        F.lit("yfinance").alias("source"), iso_text("ingested_at_utc").alias("ingested_at_utc"),
+        F.lit("1m").alias("interval"), F.col("execution_date").alias("dt"))
+
+
+# Fixed values of the keyed-table scenarios (orders / customer).
+TARGET_BEFORE = "1998-01-01"     # target table: orders placed before this date
+BATCH_FROM = "1997-01-01"        # batch: orders re-sent from this date (overlap: 1997)
+SECOND_REVISION = "1-URGENT"     # these orders are revised twice in the batch
+NEW_SEGMENT = "BUILDING"         # customer rows re-sent with a changed balance
+NULLED_SEGMENT = "AUTOMOBILE"    # customer rows whose segment is NULL in the target
+
+
+def orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.where(F.col("o_orderdate") < F.lit(TARGET_BEFORE).cast("timestamp_ntz"))
+
+
+def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").where(
+        F.col("o_orderdate") >= F.lit(BATCH_FROM).cast("timestamp_ntz"))
+    v1 = o.select("o_orderkey", F.lit("U").alias("o_orderstatus"),
+                  (F.col("o_totalprice") + 1.0).alias("o_totalprice"), F.lit(1).alias("version"))
+    v2 = o.where(F.col("o_orderpriority") == SECOND_REVISION).select(
+        "o_orderkey", F.lit("R").alias("o_orderstatus"),
+        (F.col("o_totalprice") + 2.0).alias("o_totalprice"), F.lit(2).alias("version"))
+    return v1.unionByName(v2)
+
+
+def customer_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.withColumn("c_mktsegment", F.when(F.col("c_mktsegment") != NULLED_SEGMENT,
+                                               F.col("c_mktsegment")))
+
+
+def customer_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every target row again (already present, NULLs included) plus the
+    re-sent segment with a changed balance, twice (batch duplicates)."""
+    t = customer_target(spark, sf_dir)
+    changed = t.where(F.col("c_mktsegment") == NEW_SEGMENT).withColumn(
+        "c_acctbal", F.col("c_acctbal") + 1.0)
+    return t.unionByName(changed).unionByName(changed)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import epoch_ms_to_ts, floor_minute
+from ..functions.time import epoch_ms_to_ts, floor_minute, parse_ts
 
 # Field order of a positional kline array.
 KLINE_FIELDS = ("open_time", "open", "high", "low", "close", "volume", "close_time",
@@ -61,7 +61,7 @@ def explode_quotes(df: DataFrame, payload_col: str, symbol, source: str,
     parsed = df.select(*keep, sym.alias("_sym"),
                        F.from_json(F.col(payload_col), QUOTE_PAYLOAD).alias("_p"))
     x = parsed.select(*keep, "_sym", F.explode("_p.values").alias("_q"))
-    dt = F.col("_q.datetime").try_cast("timestamp_ntz")
+    dt = parse_ts(F.col("_q.datetime"))
     return x.select(*keep, dt.alias("datetime"),
                     *[F.col(f"_q.{c}").try_cast("double").alias(c)
                       for c in QUOTE_FIELDS if c != "datetime"],

@@ -56,13 +56,20 @@ def write_json_arrays(df: DataFrame, base: str, group_cols: Sequence[str],
              .select(partition_col, F.to_json(F.col("_a._v")).alias("value")))
     (arr.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col).text(base))
-    _rename_text_parts(df.sparkSession, base, ".json")
+    _rename_parts(df.sparkSession, base, ".txt", ".json")
 
 
-def _rename_text_parts(spark: SparkSession, base: str, ext: str) -> None:
-    """Text sink files carry a ``.txt`` suffix; landing files are expected
-    by extension, so rename in place (metadata-only on HDFS/object stores
-    with rename support)."""
+def write_json_lines(df: DataFrame, base: str, partition_col: str = "dt") -> None:
+    """Land records as JSON lines files named ``*.jsonl``."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(partition_col).json(base))
+    _rename_parts(df.sparkSession, base, ".json", ".jsonl")
+
+
+def _rename_parts(spark: SparkSession, base: str, old: str, new: str) -> None:
+    """Spark names part files by sink format; landing files are selected by
+    extension, so rename in place (a metadata operation on HDFS, a copy on
+    object stores)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(base)
@@ -71,10 +78,10 @@ def _rename_text_parts(spark: SparkSession, base: str, ext: str) -> None:
     todo = []
     while it.hasNext():
         p = it.next().getPath()
-        if p.getName().endswith(".txt"):
+        if p.getName().endswith(old):
             todo.append(p)
     for p in todo:
-        fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getName()[:-4] + ext))
+        fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getName()[:-len(old)] + new))
 
 
 # --- JDBC with fallback --------------------------------------------------------
