@@ -144,5 +144,6 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     merged = upsert(scoped, batch, keys, order, on_match)
     stage = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    write_layer(spark.read.parquet(stage).select(*target.columns), path, partition_col,
-                sort_col=None)
+    # explicit schema: an empty batch leaves a stage without data files
+    staged = spark.read.schema(merged.schema).parquet(stage).select(*target.columns)
+    write_layer(staged, path, partition_col, sort_col=None)

@@ -141,4 +141,4 @@ def q_daily_correlation(spark, sf_dir):
 
 
 # Themed query modules register themselves on import.
-from . import q_io, q_models  # noqa: E402,F401
+from . import q_io, q_models, q_stream, q_upsert  # noqa: E402,F401
