@@ -34,7 +34,12 @@ GAP_SIZE_DIVISOR = 7                 # gappy ticks: NULL price when size % 7 ==
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, read with its declared schema (no inference job)."""
+    from ..schemas import DRIVER_TABLES
+    r = spark.read
+    if name in DRIVER_TABLES:
+        r = r.schema(DRIVER_TABLES[name])
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:

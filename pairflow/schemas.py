@@ -68,3 +68,24 @@ BASE_CASTS = {
     "taker_buy_quote_asset_volume": "double", "open_time_ms": "bigint",
     "close_time_ms": "bigint",
 }
+
+# Schemas of the driver's tables, declared so reads run no inference job
+# (their Parquet timestamps are naive, i.e. TIMESTAMP_NTZ).
+I = T.IntegerType()
+DRIVER_TABLES = {
+    "events": struct(("event_id", L), ("ts", NTZ), ("user_id", L), ("event_type", S),
+                     ("value", D), ("props", S)),
+    "orders": struct(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S),
+                     ("o_totalprice", D), ("o_orderdate", NTZ), ("o_orderpriority", S)),
+    "customer": struct(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
+                       ("c_mktsegment", S)),
+    "lineitem": struct(("l_orderkey", L), ("l_partkey", L), ("l_suppkey", L),
+                       ("l_linenumber", I), ("l_quantity", D), ("l_extendedprice", D),
+                       ("l_discount", D), ("l_tax", D), ("l_returnflag", S),
+                       ("l_linestatus", S), ("l_shipdate", NTZ)),
+    "nation": struct(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "region": struct(("r_regionkey", I), ("r_name", S)),
+    "supplier": struct(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", D)),
+    "part": struct(("p_partkey", L), ("p_name", S), ("p_brand", S), ("p_type", S),
+                   ("p_size", I), ("p_retailprice", D)),
+}
