@@ -116,11 +116,13 @@ def format_ref_series(raw: DataFrame, *, dt=None, audit: bool = False) -> DataFr
     """Raw market-hours candles (CSV text) to the formatted layer.
 
     Rows missing ts/open/close are dropped and a (minute, symbol) keeps its
-    latest ingest. ``dt`` defaults to the calendar day of the minute.
+    latest ingest. ``dt`` (a value or a column, e.g. the landing folder's
+    day) defaults to the calendar day of the minute.
     """
     ts = parse_ts("ts_minute_utc")
     df = raw.select(
-        (F.lit(dt).cast("date") if dt is not None else ts.cast("date")).alias("dt"),
+        (ts.cast("date") if dt is None else dt.cast("date") if isinstance(dt, Column)
+         else F.lit(dt).cast("date")).alias("dt"),
         ts.alias("ts_minute_utc"),
         parse_ts("datetime").alias("datetime_utc"),
         *[F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")],

@@ -106,6 +106,19 @@ def locf_completeness(df: DataFrame, as_of: str | None = None, rp: str = "ref",
                   F.count_if(F.col(f"{rp}_return_1m").isNull()).alias("nulls_return")))
 
 
+def observed(df: DataFrame, name: str, ts: str = "ts_minute_utc"):
+    """``df`` with row count and time range attached as observed metrics:
+    they are computed by the action that consumes ``df`` (e.g. its write),
+    so profiling costs no extra job. Returns (df, Observation); read
+    ``observation.get`` after the action."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if ts in df.columns:
+        aggs += [F.min(ts).alias("first_minute"), F.max(ts).alias("last_minute")]
+    return df.observe(obs, *aggs), obs
+
+
 def null_profile(df: DataFrame) -> DataFrame:
     """NULL (and NaN) count per column, most NULLs first, plus the total
     row count, from one aggregation pass."""
