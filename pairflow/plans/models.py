@@ -75,3 +75,22 @@ def daily_correlation(features: DataFrame, bp: str = "base", rp: str = "ref",
                  rnd(F.stddev_samp(a)).alias(f"stddev_{bp}_return"),
                  rnd(F.stddev_samp(b)).alias(f"stddev_{rp}_return"))
             .orderBy(F.col(day).desc()))
+
+
+def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
+    """Expose a model under ``name``: a temporary view of its plan
+    (``kind="view"``) or, for ``"table"``, its rows written as Parquet at
+    ``path`` (shared storage) and a view over the written files, so later
+    readers do not recompute the model and its lineage is cut."""
+    spark = df.sparkSession
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+    elif kind == "table":
+        if path is None:
+            from ..session import scratch_path
+            path = scratch_path(spark, f"model-{name}")
+        df.write.mode("overwrite").parquet(path)
+        spark.read.parquet(path).createOrReplaceTempView(name)
+    else:
+        raise ValueError("kind must be 'view' or 'table'")
+    return spark.table(name)

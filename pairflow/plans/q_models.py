@@ -135,8 +135,11 @@ SELECT ts_minute_utc, dt, base_high, base_low, base_close, base_volume,
        coalesce(ref_close_lead_1, lead(ref_close, 1) OVER w) AS ref_close_lead_1
 FROM aln WINDOW w AS (ORDER BY ts_minute_utc)"""), dates=("dt",))
 def q_enriched_mart(spark, sf_dir):
-    """Aligned rows with lag/lead(1) refilled over the whole history."""
-    return models.enriched(models.aligned(models.staging(features(spark, sf_dir))))
+    """Aligned rows with lag/lead(1) refilled over the whole history, the
+    chain staging (view) -> aligned (view) -> enriched (table)."""
+    stg = models.materialize(models.staging(features(spark, sf_dir)), "stg_features")
+    aln = models.materialize(models.aligned(stg), "mart_aligned")
+    return models.materialize(models.enriched(aln), "mart_enriched", kind="table")
 
 
 # --- reports --------------------------------------------------------------------

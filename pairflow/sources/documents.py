@@ -50,3 +50,9 @@ def write_documents(docs: DataFrame, path: str, index: str | None = None) -> Non
     line = F.concat(F.regexp_replace(head, "}$", ""), F.lit(',"_source":'), F.col("doc"),
                     F.lit("}"))
     docs.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def export_json(df: DataFrame, path: str) -> None:
+    """Fallback export when no search endpoint is reachable: the rows as
+    JSON objects (NaN as null, ISO times), one file per task."""
+    nan_to_null(df).write.mode("overwrite").options(**JSON_OPTIONS).json(path)
