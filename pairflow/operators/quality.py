@@ -65,6 +65,8 @@ def expectations(df: DataFrame, rules: Sequence[Rule], unique_key: Sequence[str]
                                 F.lit(",".join(unique_key)).alias("column_name"),
                                 F.col("violations").cast("bigint")))
     if order_by:
+        if not order_within:
+            raise ValueError("order checks need partition keys (e.g. series and day)")
         w = Window.partitionBy(*order_within).orderBy(order_by)
         prev = F.lag(order_by, 1).over(w)
         bad = df.select((prev.isNotNull() & (prev >= F.col(order_by))).alias("_bad")) \

@@ -34,10 +34,17 @@ def lag_lead_columns(cols: Sequence[str], w: Window, max_lag: int, *,
     return out
 
 
+def _require_partition(by: Sequence[str]) -> None:
+    if not by:
+        raise ValueError("row-offset windows need partition keys (e.g. series and day); "
+                         "use whole_history_shift for ordering across all rows")
+
+
 def lead_lag(df: DataFrame, cols: Sequence[str], *, order: str,
-             by: Sequence[str] = (), max_lag: int = 5, lags: bool = True,
+             by: Sequence[str], max_lag: int = 5, lags: bool = True,
              leads: bool = True) -> DataFrame:
     """Append lag/lead 1..max_lag of ``cols``, partitioned by ``by``."""
+    _require_partition(by)
     w = Window.partitionBy(*by).orderBy(order)
     return df.select("*", *lag_lead_columns(cols, w, max_lag, lags=lags, leads=leads))
 
@@ -49,6 +56,7 @@ def locf(df: DataFrame, cols: Sequence[str], *, order: str, by: Sequence[str],
     ``seeds`` maps a column to a value used before the first observation of
     the partition (e.g. the previous day's last value).
     """
+    _require_partition(by)
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding,
                                                            Window.currentRow)
     seeds = seeds or {}
