@@ -159,10 +159,10 @@ def orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").where(
         F.col("o_orderdate") >= F.lit(BATCH_FROM).cast("timestamp_ntz"))
-    v1 = o.select("o_orderkey", F.lit("U").alias("o_orderstatus"),
+    v1 = o.select("o_orderkey", "o_custkey", F.lit("U").alias("o_orderstatus"),
                   (F.col("o_totalprice") + 1.0).alias("o_totalprice"), F.lit(1).alias("version"))
     v2 = o.where(F.col("o_orderpriority") == SECOND_REVISION).select(
-        "o_orderkey", F.lit("R").alias("o_orderstatus"),
+        "o_orderkey", "o_custkey", F.lit("R").alias("o_orderstatus"),
         (F.col("o_totalprice") + 2.0).alias("o_totalprice"), F.lit(2).alias("version"))
     return v1.unionByName(v2)
 

@@ -63,7 +63,7 @@ def q_prior_day_seed(spark, sf_dir):
 SELECT f.execution_date, h.execution_date IS NOT NULL AS has_ref, count(*) AS n_rows,
        count(ref_close) AS ref_close_non_null, count(ref_close_lag_1) AS ref_lag_non_null,
        count(ref_return_1m) AS ref_return_non_null,
-       count_if(ref_market_open) AS market_open_rows,
+       CAST(count_if(ref_market_open) AS BIGINT) AS market_open_rows,
        min(ref_close) AS min_ref_close, max(ref_close) AS max_ref_close
 FROM features f LEFT JOIN refdays h ON h.execution_date = f.execution_date
 GROUP BY f.execution_date, h.execution_date IS NOT NULL"""))
@@ -191,7 +191,7 @@ SELECT ts_minute_utc - INTERVAL ((hour(ts_minute_utc) * 60 + minute(ts_minute_ut
        round(sum(base_return_1m), {R}) AS sum_base_return,
        round(sum(ref_return_1m), {R}) AS sum_ref_return,
        sum(base_volume) AS sum_base_volume, max(base_high) AS max_base_high,
-       min(base_low) AS min_base_low, count_if(ref_market_open) AS market_open_minutes,
+       min(base_low) AS min_base_low, CAST(count_if(ref_market_open) AS BIGINT) AS market_open_minutes,
        count(*) AS doc_count
 FROM features GROUP BY 1"""), dates=())
 def q_dashboard_rollup(spark, sf_dir):
@@ -256,9 +256,9 @@ NULLPROF_COLS = ["open", "high", "low", "close", "volume", "trades"]
 
 @register("null_profile", o.with_(o.TICKS, o.GAPPY_TICKS, o.GAPPY) + """
 SELECT (SELECT count(*) FROM gappy) AS total_rows, column_name, null_count FROM (
-  UNPIVOT (SELECT count_if(open IS NULL) AS open, count_if(high IS NULL) AS high,
-                  count_if(low IS NULL) AS low, count_if(close IS NULL) AS close,
-                  count_if(volume IS NULL) AS volume, count_if(trades IS NULL) AS trades
+  UNPIVOT (SELECT CAST(count_if(open IS NULL) AS BIGINT) AS open, CAST(count_if(high IS NULL) AS BIGINT) AS high,
+                  CAST(count_if(low IS NULL) AS BIGINT) AS low, CAST(count_if(close IS NULL) AS BIGINT) AS close,
+                  CAST(count_if(volume IS NULL) AS BIGINT) AS volume, CAST(count_if(trades IS NULL) AS BIGINT) AS trades
            FROM gappy)
   ON open, high, low, close, volume, trades INTO NAME column_name VALUE null_count)""", dates=())
 def q_null_profile(spark, sf_dir):
@@ -288,16 +288,16 @@ QUALITY_NOT_NULL = ["ts_minute_utc", "dt", "base_close", "base_high", "base_low"
           FROM features)
 SELECT rule, column_name, violations FROM (
   SELECT 'not_null' AS rule, c AS column_name, n AS violations FROM (
-    UNPIVOT (SELECT """ + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in QUALITY_NOT_NULL)
+    UNPIVOT (SELECT """ + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in QUALITY_NOT_NULL)
     + """ FROM stg) ON """ + ", ".join(QUALITY_NOT_NULL) + """ INTO NAME c VALUE n)
-  UNION ALL SELECT 'positive', 'base_close', count_if(base_close <= 0) FROM stg
-  UNION ALL SELECT 'positive', 'base_volume', count_if(base_volume <= 0) FROM stg
-  UNION ALL SELECT 'high_ge_low', 'base_high,base_low', count_if(base_high < base_low) FROM stg
-  UNION ALL SELECT 'high_ge_low', 'ref_high,ref_low', count_if(ref_high < ref_low) FROM stg
+  UNION ALL SELECT 'positive', 'base_close', CAST(count_if(base_close <= 0) AS BIGINT) FROM stg
+  UNION ALL SELECT 'positive', 'base_volume', CAST(count_if(base_volume <= 0) AS BIGINT) FROM stg
+  UNION ALL SELECT 'high_ge_low', 'base_high,base_low', CAST(count_if(base_high < base_low) AS BIGINT) FROM stg
+  UNION ALL SELECT 'high_ge_low', 'ref_high,ref_low', CAST(count_if(ref_high < ref_low) AS BIGINT) FROM stg
   UNION ALL SELECT 'unique', 'ts_minute_utc,dt',
          CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (
            SELECT count(*) AS n FROM stg GROUP BY ts_minute_utc, dt HAVING count(*) > 1)
-  UNION ALL SELECT 'strictly_increasing', 'ts_minute_utc', count_if(p >= ts_minute_utc) FROM (
+  UNION ALL SELECT 'strictly_increasing', 'ts_minute_utc', CAST(count_if(p >= ts_minute_utc) AS BIGINT) FROM (
            SELECT ts_minute_utc, lag(ts_minute_utc) OVER (PARTITION BY dt ORDER BY ts_minute_utc) AS p
            FROM stg)
   UNION ALL SELECT 'required_column', 'ref_market_open', 1)"""), dates=())

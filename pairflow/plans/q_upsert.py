@@ -12,15 +12,17 @@ from .registry import register
 
 ORDERS_SQL = f"""WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{fx.TARGET_BEFORE}'),
 src AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{fx.BATCH_FROM}'),
-b0 AS (SELECT o_orderkey, 'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice, 1 AS version
+b0 AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice,
+              1 AS version
        FROM src
        UNION ALL
-       SELECT o_orderkey, 'R', o_totalprice + 2.0, 2 FROM src
+       SELECT o_orderkey, o_custkey, 'R', o_totalprice + 2.0, 2 FROM src
        WHERE o_orderpriority = '{fx.SECOND_REVISION}'),
 b AS (SELECT * FROM b0 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) = 1)
 """
 
-UPDATED = """SELECT coalesce(t.o_orderkey, b.o_orderkey) AS o_orderkey, t.o_custkey,
+UPDATED = """SELECT coalesce(t.o_orderkey, b.o_orderkey) AS o_orderkey,
+       CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_custkey ELSE t.o_custkey END AS o_custkey,
        CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_orderstatus ELSE t.o_orderstatus END
          AS o_orderstatus,
        CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_totalprice ELSE t.o_totalprice END
@@ -40,14 +42,13 @@ def q_upsert_update(spark, sf_dir):
 @register("upsert_ignore", ORDERS_SQL + """
 SELECT * FROM t
 UNION ALL
-SELECT o_orderkey, NULL::BIGINT, NULL::VARCHAR, NULL::DOUBLE, NULL::TIMESTAMP, NULL::VARCHAR
-FROM (SELECT DISTINCT o_orderkey FROM b0) n
-WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = n.o_orderkey)""", dates=())
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULL::TIMESTAMP, NULL::VARCHAR
+FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = b.o_orderkey)""", dates=())
 def q_upsert_ignore(spark, sf_dir):
-    """A batch sharing only the key with the target: absent keys are
-    inserted, present ones left alone."""
-    batch = fx.orders_batch(spark, sf_dir).select("o_orderkey", "version")
-    return upsert(fx.orders_target(spark, sf_dir), batch, ["o_orderkey"], order=["version"])
+    """Insert-if-absent (conflict does nothing): absent keys are inserted
+    with the batch's latest version, present ones are left alone."""
+    return upsert(fx.orders_target(spark, sf_dir), fx.orders_batch(spark, sf_dir),
+                  ["o_orderkey"], order=["version"], on_match="ignore")
 
 
 @register("insert_distinct_new", f"""

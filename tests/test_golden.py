@@ -164,3 +164,10 @@ def test_dedup_is_deterministic_on_ties(spark):
     df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 4, "z")], "k int, o int, x string")
     assert [tuple(r) for r in dedup(df, ["k"], ["o"]).collect()] == [(1, 5, "b")]
     assert [tuple(r) for r in dedup(df, ["k"], ["o"], keep="first").collect()] == [(1, 4, "z")]
+
+
+def test_upsert_with_only_key_in_common_inserts_absent_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, s string")
+    batch = spark.createDataFrame([(2, 7), (3, 8)], "k int, other int")
+    got = sorted(tuple(r) for r in upsert(target, batch, ["k"]).collect())
+    assert got == [(1, "a"), (2, "b"), (3, None)]
