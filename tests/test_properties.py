@@ -55,3 +55,33 @@ def test_lag_of_lead_is_identity_inside_a_partition(spark):
     x = df.withColumn("nxt", F.lead("a", 2).over(w)).withColumn("back", F.lag("nxt", 2).over(w))
     bad = x.where(F.col("back").isNotNull() & (F.col("back") != F.col("a"))).count()
     assert bad == 0
+
+
+def test_multi_pair_features_equal_per_pair_runs(spark, sf_dir):
+    """``by=`` keys: two pairs in one frame give exactly each pair alone."""
+    from pairflow.operators.pairing import lead_lag_features
+    from pairflow.plans import fixtures as fx
+    base, ref = fx.base_candles(spark, sf_dir), fx.scenario_ref(fx.ref_candles(spark, sf_dir))
+    b2 = base.withColumn("pair", F.lit("p1")).unionByName(
+        base.withColumn("close", F.col("close") * 2).withColumn("pair", F.lit("p2")))
+    r2 = ref.withColumn("pair", F.lit("p1")).unionByName(
+        ref.where(F.col("execution_date") != F.lit("2024-01-05").cast("date"))
+           .withColumn("pair", F.lit("p2")))
+    both = lead_lag_features(b2, r2, by=["pair"])
+    for p in ("p1", "p2"):
+        alone = lead_lag_features(b2.where(F.col("pair") == p), r2.where(F.col("pair") == p),
+                                  by=["pair"])
+        mine = both.where(F.col("pair") == p)
+        assert mine.exceptAll(alone).count() == 0 and alone.exceptAll(mine).count() == 0
+    assert both.where("pair = 'p1'").drop("pair").exceptAll(lead_lag_features(base, ref)).count() == 0
+
+
+def test_whole_history_shift_by_key(spark):
+    a = random_series(spark, 21).withColumn("k", F.lit(1))
+    b = random_series(spark, 22).withColumn("k", F.lit(2))
+    df = a.unionByName(b)
+    got = whole_history_shift(df, ["a"], ts="ts", by=["k"])
+    w = Window.partitionBy("k").orderBy("ts")
+    want = df.select("*", F.lag("a", 1).over(w).alias("a_lag_1_calc"),
+                     F.lead("a", 1).over(w).alias("a_lead_1_calc")).select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
