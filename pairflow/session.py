@@ -9,6 +9,7 @@ used as is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -69,7 +70,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the checkpoint root for a written table."""
     root = checkpoint_root(spark)
-    if "://" not in root and not root.startswith("/"):
+    # a URI with any scheme ("file:/…", "hdfs://…", "s3a://…") is already
+    # absolute; only a bare relative path is resolved against the cwd
+    if not re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", root):
         root = os.path.abspath(root)
     return f"{root}/pairflow/{name}-{uuid.uuid4().hex[:12]}"
 
