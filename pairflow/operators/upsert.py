@@ -51,6 +51,26 @@ def resolve_key(candidates: Sequence[Sequence[str]], columns: Sequence[str]) ->
     return None
 
 
+NULL_KEY_SPREAD = 4096  # buckets over which rows with a NULL key are spread
+
+
+def _has_null_key(keys: Sequence[str]):
+    cond = F.lit(False)
+    for k in keys:
+        cond = cond | F.col(k).isNull()
+    return cond
+
+
+def _null_key_salt(keys: Sequence[str], sign: int):
+    """0 for rows with a complete key; for rows with a NULL in the key (which
+    can never match) a bucket in 1..NULL_KEY_SPREAD, negated on the batch
+    side, so such rows spread over the join's partitions instead of all
+    hashing to the partition of NULL. Seeded per partition, hence stable
+    when a task is retried."""
+    bucket = (F.floor(F.rand(17) * NULL_KEY_SPREAD) + 1).cast("int") * sign
+    return F.when(_has_null_key(keys), bucket).otherwise(F.lit(0))
+
+
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            order: Sequence[str] = (), on_match: str = "update") -> DataFrame:
     """The target after upserting ``batch`` on ``keys``.
@@ -63,8 +83,11 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
       matched rows are left untouched;
     * unmatched batch rows are inserted (target-only columns NULL).
 
-    One shuffle per side on the key (sort-merge or hash join), or none for
-    the target when it is bucketed on the key.
+    One shuffle per side on the key (sort-merge or hash join). The batch is
+    deduplicated with map-side combine before it moves, so repeated keys do
+    not pile up in one task; rows with a NULL key, which can be numerous in
+    the target and never match, are spread by a salt instead of hashing to
+    one partition.
     """
     keys = list(keys)
     if target is None:
@@ -75,13 +98,17 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     b = dedup(staged, keys, order, keep="last").drop(*extra)
     nonkey = [c for c in b.columns if c not in keys]
     if on_match == "ignore" or not nonkey:
-        new = b.join(target.select(*keys), keys, "left_anti")
+        # NULL keys never match: leave them out of the probe side, where any
+        # number of them would otherwise hash to a single partition
+        present = target.select(*keys).where(~_has_null_key(keys))
+        new = b.join(present, keys, "left_anti")
         return target.unionByName(new, allowMissingColumns=True)
     if on_match != "update":
         raise ValueError("on_match must be 'update' or 'ignore'")
     nb = b.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in nonkey],
-                  F.lit(True).alias("_in_batch"))
-    j = target.join(nb, keys, "full_outer")
+                  F.lit(True).alias("_in_batch"), _null_key_salt(keys, -1).alias("_salt"))
+    j = target.withColumn("_salt", _null_key_salt(keys, 1)).join(nb, [*keys, "_salt"],
+                                                                  "full_outer")
     hit = F.col("_in_batch").isNotNull()
     out = []
     for f in target.schema.fields:
