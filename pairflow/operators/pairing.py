@@ -60,6 +60,11 @@ def paired_minutes(base: DataFrame, ref: DataFrame, *, base_cols: Mapping[str, s
     Columns: by…, day, ts, ``_b`` (base struct or NULL), ``_r`` (ref struct
     or NULL), ``_s`` (seed struct or NULL). Duplicate minutes on a side
     collapse to their greatest struct, so the result is deterministic.
+
+    Inputs are candles, one row per (by…, minute) and side, which bounds a
+    (by…, day) partition to 1,440 rows per side. Raw pulls with repeated
+    minutes are deduplicated first (``dedup``, or the formatters), where
+    the copies are combined map-side before any shuffle.
     """
     keys = [*by, day]
     b = base.select(*[F.col(k) for k in by], _day(base, day, ts).alias(day),

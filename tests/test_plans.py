@@ -59,3 +59,15 @@ def test_layer_read_prunes_partitions(spark, sf_dir):
     p = plan(df)
     assert "PartitionFilters: [isnotnull(dt" in p
     assert {r["dt"].isoformat() for r in df.select("dt").distinct().collect()} == {"2024-01-05"}
+
+
+def test_top_n_per_group_limits_before_the_shuffle(spark, sf_dir):
+    p = plan(entry.queries()["last_n_per_series"](spark, sf_dir))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_dedup_and_upsert_combine_before_shuffle(spark, sf_dir):
+    p = plan(entry.queries()["dedup_latest"](spark, sf_dir))
+    # partial aggregation (map-side combine) below the exchange on the key
+    assert re.search(r"Exchange hashpartitioning\(symbol#\d+, ts_minute_utc#\d+", p)
+    assert p.count("SortAggregate") >= 2 or p.count("HashAggregate") >= 2
