@@ -144,3 +144,17 @@ def test_fallback_uses_primary_when_it_succeeds(spark):
     seen = []
     assert sinks.with_fallback(df, lambda d: seen.append(d.count()), "/nonexistent") == "primary"
     assert seen == [1]
+
+
+def test_readme_quick_start_with_reference_prefixes(spark, sf_dir):
+    import pairflow as pf
+    ticks = fx.ticks(spark, sf_dir).withColumn(
+        "symbol", F.when(F.col("event_type") == "purchase", "NDAQ").otherwise("BTCUSDT"))
+    base = pf.candle_metrics(pf.to_candles(ticks.where("symbol = 'BTCUSDT'")))
+    ref = pf.candle_metrics(pf.to_candles(ticks.where("symbol = 'NDAQ'")), bullish=False)
+    features = pf.lead_lag_features(base, ref, max_lag=5, seed="previous_day",
+                                    prefixes=("btc", "ndaq"))
+    assert {"btc_close_lag_5", "ndaq_close_lead_5", "ndaq_market_open"} <= set(features.columns)
+    assert pf.daily_correlation(features, "btc", "ndaq").count() > 0
+    mart = pf.enriched(pf.aligned(pf.staging(features, "btc", "ndaq"), rp="ndaq"), "btc", "ndaq")
+    assert mart.count() > 0 and "ndaq_close_lead_1" in mart.columns
