@@ -61,6 +61,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would differ per executor host
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         current = tempfile.mkdtemp(prefix="pairflow-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir()
