@@ -62,3 +62,18 @@ def lower_columns(df: DataFrame, aliases: Mapping[str, str] | None = None) -> Da
         if canonical not in low.columns and alt in low.columns:
             low = low.withColumnRenamed(alt, canonical)
     return low
+
+
+def with_audit(df: DataFrame, *, processed_col: str | None = "processed_at_utc",
+               source_col: str | None = None, run_date: str | None = None,
+               run_date_col: str = "execution_date") -> DataFrame:
+    """Append audit columns: processing time (one value per query), the
+    source file of each row (file-based frames only) and the run date."""
+    cols = {}
+    if processed_col:
+        cols[processed_col] = F.current_timestamp()
+    if source_col:
+        cols[source_col] = F.col("_metadata.file_path")
+    if run_date is not None:
+        cols[run_date_col] = F.lit(run_date).cast("date")
+    return df.withColumns(cols) if cols else df

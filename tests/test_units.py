@@ -158,3 +158,12 @@ def test_readme_quick_start_with_reference_prefixes(spark, sf_dir):
     assert pf.daily_correlation(features, "btc", "ndaq").count() > 0
     mart = pf.enriched(pf.aligned(pf.staging(features, "btc", "ndaq"), rp="ndaq"), "btc", "ndaq")
     assert mart.count() > 0 and "ndaq_close_lead_1" in mart.columns
+
+
+def test_with_audit_columns(spark, sf_dir):
+    from pairflow.operators.conform import with_audit
+    df = with_audit(spark.read.parquet(f"{sf_dir}/region.parquet"), source_col="source_file",
+                    run_date="2024-01-02")
+    r = df.first()
+    assert r["source_file"].endswith("region.parquet")
+    assert r["execution_date"] == dt.date(2024, 1, 2) and r["processed_at_utc"] is not None
