@@ -45,11 +45,13 @@ def q_stream_dedup(spark, sf_dir):
     c = fx.base_candles(spark, sf_dir, metrics=False)
     cols = ["ts_minute_utc", "symbol", "close", "ingested_at_utc", "dt"]
 
+    state = streams.stream_session(spark)
+
     def run():
         def tf(df):
             return streams.dedup_stream(_typed(df), ["symbol", "ts_minute_utc"],
                                         delay="10 minutes").select(*cols)
-        streams.ingest_stream(spark, src, RAW_WITH_DT, sink, ck, transform=tf).awaitTermination()
+        streams.ingest_stream(state, src, RAW_WITH_DT, sink, ck, transform=tf).awaitTermination()
 
     fx.raw_base_records(c).write.mode("append").partitionBy("dt").json(src)
     run()
@@ -66,8 +68,8 @@ def q_stream_rollup(spark, sf_dir):
     (update mode, candles upserted per micro-batch)."""
     table, ck = scratch_path(spark, "rollup-table"), scratch_path(spark, "rollup-ck")
     ev_schema = fx.table(spark, sf_dir, "events").schema
-    ev = (spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet")
-          .parquet(sf_dir.rstrip("/")))
+    ev = (streams.stream_session(spark).readStream.schema(ev_schema)
+          .option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/")))
     ticks = ev.select(F.lit("ALL").alias("symbol"), "ts", F.col("value").alias("price"),
                       F.get_json_object("props", "$.k").try_cast("bigint").alias("size"))
     streams.rollup_stream(ticks, table, ck, delay="10 minutes").awaitTermination()

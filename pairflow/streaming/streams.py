@@ -35,6 +35,19 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.time import floor_minute
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A child session (same SparkContext, its own SQL conf) for stateful
+    streams. A stateful query fixes its number of state partitions from
+    ``spark.sql.shuffle.partitions`` at its first run; in the child session
+    that is ``state_partitions`` (default: the cluster's default
+    parallelism, one state partition per core), whatever the batch
+    setting of the caller's session, which is left unchanged."""
+    child = spark.newSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    child.conf.set("spark.sql.shuffle.partitions", str(n))
+    return child
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
