@@ -62,3 +62,23 @@ def test_features_job_without_ref_layer(spark, sf_dir):
     f = spark.read.parquet(usage)
     assert f.count() > 0
     assert f.where(F.col("ref_close").isNotNull()).count() == 0
+
+
+def test_cli_runs_jobs_by_execution_date(spark, sf_dir):
+    raw_b, fb, raw_r, fr, usage = (scratch_path(spark, n) for n in
+                                   ("cli-raw-b", "cli-fmt-b", "cli-raw-r", "cli-fmt-r", "cli-usage"))
+    sinks.write_json_arrays(fx.raw_base_records(fx.base_candles(spark, sf_dir, metrics=False)),
+                            raw_b, group_cols=["symbol"])
+    fx.raw_ref_records(fx.ref_candles(spark, sf_dir, metrics=False)) \
+        .write.partitionBy("dt").option("header", True).csv(raw_r)
+    jobs.main(["format-base", "--raw", raw_b, "--out", fb, "--execution_date",
+               "2024-01-04", "2024-01-05"])
+    jobs.main(["format-ref", "--raw", raw_r, "--out", fr])
+    jobs.main(["features", "--base", fb, "--ref", fr, "--out", usage,
+               "--execution_date", "2024-01-05", "--max_lag_minutes", "3"])
+    f = spark.read.parquet(usage)
+    assert {r["execution_date"].isoformat() for r in f.select("execution_date").distinct().collect()} \
+        == {"2024-01-05"}
+    assert "base_close_lag_3" in f.columns and "base_close_lag_4" not in f.columns
+    assert {r["dt"].isoformat() for r in spark.read.parquet(fb).select("dt").distinct().collect()} \
+        == {"2024-01-04", "2024-01-05"}
