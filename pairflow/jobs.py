@@ -83,8 +83,11 @@ def features_job(spark: SparkSession, base: str, ref: str, out: str, days: Seque
 
     Only the needed partitions are read: the days themselves, plus the day
     before for the previous-day seed, or every earlier day for
-    ``last_known``. A missing or empty ref layer is not an error."""
+    ``last_known``. A missing or empty ref layer is not an error; a base
+    layer without rows for the days is."""
     b = read_layer(spark, base, days).withColumnRenamed("dt", "execution_date")
+    if b.isEmpty():  # reads at most one row of the pruned partitions
+        raise ValueError(f"no base rows in {base} for {list(days)}")
     if not _exists(spark, ref):
         r = spark.createDataFrame([], EMPTY_REF)
     elif seed == "last_known":

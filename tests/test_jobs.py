@@ -82,3 +82,14 @@ def test_cli_runs_jobs_by_execution_date(spark, sf_dir):
     assert "base_close_lag_3" in f.columns and "base_close_lag_4" not in f.columns
     assert {r["dt"].isoformat() for r in spark.read.parquet(fb).select("dt").distinct().collect()} \
         == {"2024-01-04", "2024-01-05"}
+
+
+def test_features_job_requires_base_rows(spark, sf_dir):
+    import pytest
+    raw_b, fb = scratch_path(spark, "req-raw"), scratch_path(spark, "req-fmt")
+    sinks.write_json_lines(fx.raw_base_records(fx.base_candles(spark, sf_dir, metrics=False)),
+                           raw_b)
+    jobs.format_base_job(spark, raw_b, fb, fmt="jsonl")
+    with pytest.raises(ValueError):
+        jobs.features_job(spark, fb, scratch_path(spark, "none"), scratch_path(spark, "o"),
+                          ["1999-01-01"])
