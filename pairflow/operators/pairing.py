@@ -8,7 +8,8 @@ Physical shape of ``lead_lag_features`` (one shuffle of the candle rows):
                               ─ window(LOCF, base lag/lead) ─ window(ref lag/lead)
 
 * The left join on (day, minute) is an aggregation of the union: each side
-  contributes a struct and ``max`` keeps the non-NULL one. Aggregation keys
+  contributes flat columns and a presence flag, and a per-column ``max``
+  keeps the non-NULL value (a hash aggregation). Aggregation keys
   (by…, day, minute) are satisfied by the hash partitioning on (by…, day),
   so the aggregation and all three windows reuse one exchange; no join is
   planned, so there is nothing to broadcast and nothing to size-check.
@@ -58,8 +59,11 @@ def paired_minutes(base: DataFrame, ref: DataFrame, *, base_cols: Mapping[str, s
     per (by…, day) when ``seeds`` is given (its minute is NULL).
 
     Columns: by…, day, ts, ``_b`` (base struct or NULL), ``_r`` (ref struct
-    or NULL), ``_s`` (seed struct or NULL). Duplicate minutes on a side
-    collapse to their greatest struct, so the result is deterministic.
+    or NULL), ``_s`` (seed struct or NULL).
+
+    Each side travels as flat columns plus a presence flag, so the
+    aggregation is a per-column ``max`` with fixed-width buffers: a
+    code-generated hash aggregation. The structs are rebuilt afterwards.
 
     Inputs are candles, one row per (by…, minute) and side, which bounds a
     (by…, day) partition to 1,440 rows per side. Raw pulls with repeated
@@ -67,27 +71,36 @@ def paired_minutes(base: DataFrame, ref: DataFrame, *, base_cols: Mapping[str, s
     the copies are combined map-side before any shuffle.
     """
     keys = [*by, day]
-    b = base.select(*[F.col(k) for k in by], _day(base, day, ts).alias(day),
-                    F.col(ts).alias(ts), _side(base, base_cols).alias("_b"))
-    r = ref.select(*[F.col(k) for k in by], _day(ref, day, ts).alias(day),
-                   F.col(ts).alias(ts), _side(ref, ref_cols).alias("_r"))
-    bt, rt = b.schema["_b"].dataType, r.schema["_r"].dataType
-    st = seeds.schema["_s"].dataType if seeds is not None else rt
-    none = lambda t: F.lit(None).cast(t)
-    parts = [
-        b.select(*keys, ts, "_b", none(rt).alias("_r"), none(st).alias("_s")),
-        r.select(*keys, ts, none(bt).alias("_b"), "_r", none(st).alias("_s")),
-    ]
+    sides = {"_b": (base, base_cols), "_r": (ref, ref_cols)}
+    parts = []
+    for tag, (df, cols) in sides.items():
+        parts.append(df.select(
+            *[F.col(k) for k in by], _day(df, day, ts).alias(day), F.col(ts).alias(ts),
+            *[(F.col(src) if src in df.columns else F.lit(None).cast("double")).alias(f"{tag}_{out}")
+              for out, src in cols.items()], F.lit(True).alias(f"{tag}_p")))
+    seed_cols: list[str] = []
     if seeds is not None:
-        tstype = b.schema[ts].dataType
-        parts.append(seeds.select(*keys, none(tstype).alias(ts), none(bt).alias("_b"),
-                                  none(rt).alias("_r"), "_s"))
+        seed_cols = seeds.schema["_s"].dataType.fieldNames()
+        tstype = parts[0].schema[ts].dataType
+        parts.append(seeds.select(*keys, F.lit(None).cast(tstype).alias(ts),
+                                  *[F.col(f"_s.{c}").alias(f"_s_{c}") for c in seed_cols],
+                                  F.lit(True).alias("_s_p")))
     u = parts[0]
     for p in parts[1:]:
-        u = u.unionByName(p)
-    return (u.repartition(*keys)
-             .groupBy(*keys, ts)
-             .agg(F.max("_b").alias("_b"), F.max("_r").alias("_r"), F.max("_s").alias("_s")))
+        u = u.unionByName(p, allowMissingColumns=True)
+    flat = [c for c in u.columns if c not in keys and c != ts]
+    g = u.repartition(*keys).groupBy(*keys, ts).agg(*[F.max(c).alias(c) for c in flat])
+
+    def rebuild(tag: str, names: Sequence[str]):
+        return F.when(F.col(f"{tag}_p"), F.struct(*[F.col(f"{tag}_{n}").alias(n) for n in names]))
+
+    out = [rebuild("_b", list(base_cols)).alias("_b"), rebuild("_r", list(ref_cols)).alias("_r")]
+    if seeds is not None:
+        out.append(rebuild("_s", seed_cols).alias("_s"))
+    else:  # no seed: a NULL struct shaped like the ref side
+        out.append(F.when(F.lit(False), F.struct(*[F.col(f"_r_{n}").alias(n) for n in ref_cols]))
+                   .alias("_s"))
+    return g.select(*keys, ts, *out)
 
 
 def pair_join(base: DataFrame, ref: DataFrame, *, ts: str = "ts_minute_utc",
