@@ -34,7 +34,10 @@ def _fs_files(spark: SparkSession, path: str) -> Iterable[str]:
 
 def detect_format(spark: SparkSession, path: str,
                   precedence: Sequence[str] = FORMAT_PRECEDENCE) -> str | None:
-    """First format of ``precedence`` that has a file under ``path``."""
+    """First format of ``precedence`` that has a file under ``path``.
+
+    Meant for landing folders (a day's pulls); the listing stops at the
+    first file of the preferred format."""
     seen = set()
     for name in _fs_files(spark, path):
         ext = name.rsplit(".", 1)[-1].lower() if "." in name else ""
@@ -98,25 +101,21 @@ def read_layer(spark: SparkSession, base: str, days: Sequence[str] | None = None
 def read_any(spark: SparkSession, path: str, schema: T.StructType,
              formats: Sequence[str] = ("parquet", "csv", "json")) -> DataFrame:
     """All files under ``path`` whose extension is a known format, read with
-    that format and one schema, unioned by name; other files are ignored."""
-    present = set()
-    for name in _fs_files(spark, path):
-        ext = name.rsplit(".", 1)[-1].lower() if "." in name else ""
-        if ext in formats:
-            present.add(ext)
-    parts = []
+    that format and one schema, unioned by name; other files are ignored.
+
+    No driver-side listing: each format's reader selects its files with a
+    glob filter (Spark's file index lists the folder, in parallel for many
+    sub-folders), and a format without files reads as empty."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    out = None
     for fmt in formats:
-        if fmt not in present:
-            continue
         r = spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}")
         if fmt == "csv":
             r = r.option("header", True)
-        parts.append(r.format(fmt).load(path))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+        part = r.format(fmt).load(path)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
