@@ -71,3 +71,20 @@ def test_dedup_and_upsert_combine_before_shuffle(spark, sf_dir):
     # partial aggregation (map-side combine) below the exchange on the key
     assert re.search(r"Exchange hashpartitioning\(symbol#\d+, ts_minute_utc#\d+", p)
     assert p.count("SortAggregate") >= 2 or p.count("HashAggregate") >= 2
+
+
+def test_upsert_scope_prunes_target_partitions_dynamically(spark, sf_dir):
+    """The touched-day semi join of ``upsert_table`` becomes a dynamic
+    partition filter on the target scan: untouched days are not read."""
+    from pyspark.sql import functions as F
+    from pairflow.plans import fixtures as fx
+    from pairflow.session import scratch_path
+    from pairflow.sources import sinks
+    c = fx.base_candles(spark, sf_dir, metrics=False)
+    path = scratch_path(spark, "dpp")
+    sinks.write_layer(c, path, "execution_date")
+    batch = c.where(F.col("execution_date") == F.lit("2024-01-05").cast("date"))
+    scoped = spark.read.parquet(path).join(batch.select("execution_date").distinct(),
+                                           "execution_date", "left_semi")
+    scoped.write.format("noop").mode("overwrite").save()
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruningexpression", plan(scoped))
