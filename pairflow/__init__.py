@@ -15,7 +15,8 @@ from .operators.reports import (freshness, joint_move, joint_move_daily, last_n,
                                 series_profile)
 from .operators.timeseries import lead_lag, locf, whole_history_shift
 from .operators.upsert import align_to, insert_new_rows, merge_append, upsert, upsert_table
-from .plans.models import aligned, daily_correlation, enriched, materialize, staging
+from .plans.models import (aligned, daily_correlation, enriched, materialize, register_views,
+                           staging)
 
 __all__ = [
     "align_to", "aligned", "candle_metrics", "conform", "daily_correlation", "dedup",
@@ -23,7 +24,8 @@ __all__ = [
     "format_ref_series", "freshness", "insert_new_rows", "joint_move", "joint_move_daily",
     "last_n", "latest", "lead_lag", "lead_lag_features", "locf", "locf_completeness",
     "materialize", "merge_append", "nan_to_null", "null_profile", "observed", "pair_join",
-    "parse_ts", "pct_change", "prior_day_seed", "require_columns", "rollup", "safe_corr",
+    "parse_ts", "pct_change", "prior_day_seed", "register_views", "require_columns", "rollup",
+    "safe_corr",
     "series_profile", "staging", "to_candles", "upsert", "upsert_table",
     "whole_history_shift",
 ]

@@ -94,3 +94,24 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
     else:
         raise ValueError("kind must be 'view' or 'table'")
     return spark.table(name)
+
+
+def register_views(features: DataFrame, bp: str = "base", rp: str = "ref",
+                   enriched_kind: str = "view") -> dict[str, DataFrame]:
+    """Expose the model chain for SQL users: ``staging_features``,
+    ``aligned_mart``, ``aligned_market_open``, ``enriched_mart`` and
+    ``daily_correlation`` as views of the feature table (``enriched_kind=
+    "table"`` writes the enriched mart once, like a materialized model)."""
+    stg = materialize(staging(features, bp, rp, keep_flag=True), "staging_features")
+    plain = stg.drop(f"{rp}_market_open")
+    views = {
+        "staging_features": stg,
+        "aligned_mart": materialize(aligned(plain, "non_null", rp), "aligned_mart"),
+        "aligned_market_open": materialize(aligned(stg, "market_open", rp),
+                                           "aligned_market_open"),
+        "daily_correlation": materialize(daily_correlation(features, bp, rp),
+                                         "daily_correlation"),
+    }
+    views["enriched_mart"] = materialize(enriched(views["aligned_mart"], bp, rp),
+                                         "enriched_mart", kind=enriched_kind)
+    return views

@@ -167,3 +167,16 @@ def test_with_audit_columns(spark, sf_dir):
     r = df.first()
     assert r["source_file"].endswith("region.parquet")
     assert r["execution_date"] == dt.date(2024, 1, 2) and r["processed_at_utc"] is not None
+
+
+def test_register_views_for_sql_users(spark, sf_dir):
+    from pairflow.plans.models import aligned, daily_correlation, enriched, register_views, staging
+    f = lead_lag_features(fx.base_candles(spark, sf_dir),
+                          fx.scenario_ref(fx.ref_candles(spark, sf_dir)))
+    register_views(f)
+    corr = spark.sql("SELECT * FROM daily_correlation")
+    assert corr.exceptAll(daily_correlation(f)).count() == 0
+    en = spark.sql("SELECT * FROM enriched_mart")
+    assert en.exceptAll(enriched(aligned(staging(f)))).count() == 0
+    n_open = spark.sql("SELECT count(*) FROM aligned_market_open").first()[0]
+    assert n_open == f.where("ref_market_open").count()
