@@ -155,7 +155,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     column (so the scan is pruned), merged with the batch, and written
     with dynamic partition overwrite. The new files are first written to a
     staging folder and read back, so the rewrite never reads the files it
-    is replacing.
+    is replacing; the staging folder is removed once the rewrite committed.
+    Rerunning after a failure is safe: the upsert is idempotent.
     """
     from ..session import scratch_path
     from ..sources.sinks import write_layer
@@ -174,3 +175,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     # explicit schema: an empty batch leaves a stage without data files
     staged = spark.read.schema(merged.schema).parquet(stage).select(*target.columns)
     write_layer(staged, path, partition_col, sort_col=None)
+    # the staged copy is only needed until the rewrite has committed; on a
+    # failure above it stays for inspection and a rerun recomputes it
+    sp = jvm.org.apache.hadoop.fs.Path(stage)
+    sp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(sp, True)
