@@ -124,7 +124,8 @@ def features_stream(candles: DataFrame, ref: DataFrame, base_table: str, feature
                     max_lag: int = 5, seed: str = "previous_day") -> StreamingQuery:
     """Per micro-batch: upsert the new base candles into ``base_table``,
     recompute ``features_table`` for the touched days (the ref series read
-    for those days and the day before, for the seed), overwrite them."""
+    for those days and the day before for the previous-day seed, or its
+    whole history for ``last_known``), overwrite them."""
     from ..operators.pairing import lead_lag_features
     from ..operators.upsert import upsert_table
     from ..sources.sinks import write_layer
@@ -134,9 +135,12 @@ def features_stream(candles: DataFrame, ref: DataFrame, base_table: str, feature
         upsert_table(spark, base_table, batch, ["symbol", "ts_minute_utc"], "execution_date",
                      order=["ingested_at_utc"])
         days = batch.select("execution_date").distinct()
-        seed_days = days.select(F.date_sub("execution_date", 1).alias("execution_date"))
         base = spark.read.parquet(base_table).join(days, "execution_date", "left_semi")
-        r = ref.join(days.unionByName(seed_days).distinct(), "execution_date", "left_semi")
+        if seed == "last_known":
+            r = ref  # a seed may come from any earlier day (one seed row per day)
+        else:
+            seed_days = days.select(F.date_sub("execution_date", 1).alias("execution_date"))
+            r = ref.join(days.unionByName(seed_days).distinct(), "execution_date", "left_semi")
         f = lead_lag_features(base, r, max_lag=max_lag, seed=seed)
         write_layer(f.join(days, "execution_date", "left_semi"), features_table,
                     "execution_date")

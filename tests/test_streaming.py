@@ -52,3 +52,18 @@ def test_dedup_stream_keeps_first_arrival(spark):
     run()
     got = {r["ts_minute_utc"]: r["close"] for r in spark.read.parquet(sink).collect()}
     assert got == {t(9, 0): 1.0, t(9, 1): 2.0, t(9, 2): 3.0}
+
+
+def test_features_stream_last_known_equals_batch(spark, sf_dir):
+    from pairflow.operators.pairing import lead_lag_features
+    from pairflow.plans import fixtures as fx
+    src, base_t, feat_t, ck = (scratch_path(spark, n) for n in
+                               ("lk-src", "lk-base", "lk-feat", "lk-ck"))
+    base = fx.base_candles(spark, sf_dir)
+    base.repartitionByRange(4, "ts_minute_utc").write.json(src)
+    ref = fx.scenario_ref(fx.ref_candles(spark, sf_dir))       # has gap days
+    stream = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).json(src)
+    streams.features_stream(stream, ref, base_t, feat_t, ck, seed="last_known").awaitTermination()
+    want = lead_lag_features(base, ref, seed="last_known")
+    got = spark.read.parquet(feat_t).select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
