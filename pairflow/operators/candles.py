@@ -79,7 +79,7 @@ def candle_metrics(df: DataFrame, *, bullish: bool = True) -> DataFrame:
     return df.select("*", *extra)
 
 
-def format_base_series(raw: DataFrame, *, source: str = "binance",
+def format_base_series(raw: DataFrame, *, source: str = schemas.BASE_SOURCE_TAG,
                        dedup_pulls: bool = True, audit: bool = False,
                        keep: Sequence[str] = ()) -> DataFrame:
     """Raw 24/7 candles (text numerics, epoch-ms times) to the formatted layer.

@@ -35,6 +35,10 @@ RAW_REF_CANDLE = struct(
     ("ingested_at_utc", S), ("interval", S),
 )
 
+# Fixed values (must equal the reference's for the same results): the column
+# orders of the two formatted layers, the rename map and target types of the
+# 24/7 candle formatter, and the source tag it adds when none is present.
+
 # Column order of a formatted 24/7 candle layer (present columns only).
 FORMATTED_BASE_ORDER = [
     "ts_minute_utc", "symbol", "interval", "open_time_ms", "open_time_utc",
@@ -52,7 +56,7 @@ FORMATTED_REF_ORDER = [
     "interval", "source", "ingested_at_utc", "formatted_at_utc",
 ]
 
-# Rename map and target types of the 24/7 candle formatter.
+BASE_SOURCE_TAG = "binance"
 BASE_RENAMES = {
     "quote_volume": "quote_asset_volume",
     "taker_buy_base": "taker_buy_base_asset_volume",
