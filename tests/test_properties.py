@@ -85,3 +85,17 @@ def test_whole_history_shift_by_key(spark):
     want = df.select("*", F.lag("a", 1).over(w).alias("a_lag_1_calc"),
                      F.lead("a", 1).over(w).alias("a_lead_1_calc")).select(*got.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_dedup_matches_brute_force_with_ties(spark):
+    from pairflow.operators.dedup import dedup
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 20), rng.randint(0, 3), rng.choice("abc"), rng.randint(0, 9))
+            for _ in range(600)]                      # few keys: heavy repetition and ties
+    df = spark.createDataFrame(rows, "k int, o int, x string, y int")
+    for keep, pick in (("last", max), ("first", min)):
+        want = {}
+        for k, o, x, y in rows:
+            want[k] = pick(want.get(k, (o, x, y)), (o, x, y))
+        got = {r["k"]: (r["o"], r["x"], r["y"]) for r in dedup(df, ["k"], ["o"], keep=keep).collect()}
+        assert got == want
