@@ -99,3 +99,32 @@ def test_dedup_matches_brute_force_with_ties(spark):
             want[k] = pick(want.get(k, (o, x, y)), (o, x, y))
         got = {r["k"]: (r["o"], r["x"], r["y"]) for r in dedup(df, ["k"], ["o"], keep=keep).collect()}
         assert got == want
+
+
+def test_upsert_matches_brute_force_with_null_keys(spark):
+    from pairflow.operators.upsert import upsert
+    rng = random.Random(9)
+    key = lambda: None if rng.random() < 0.2 else rng.randint(0, 30)
+    target = [(key(), f"t{i}", float(i)) for i in range(120)]
+    # target keys are unique apart from NULLs (a keyed table)
+    seen, t_rows = set(), []
+    for k, s, v in target:
+        if k is None or k not in seen:
+            t_rows.append((k, s, v))
+            seen.add(k)
+    batch = [(key(), float(100 + i), rng.randint(0, 3)) for i in range(80)]
+    t = spark.createDataFrame(t_rows, "k int, s string, v double")
+    b = spark.createDataFrame(batch, "k int, v double, ver int")
+    # brute force: latest version per key (ties: greatest value), NULL keys grouped
+    best = {}
+    for k, v, ver in batch:
+        best[k] = max(best.get(k, (ver, v)), (ver, v))
+    want = []
+    for k, s, v in t_rows:
+        hit = k is not None and k in best
+        want.append((k, s, best[k][1] if hit else v))
+    present = {k for k, _, _ in t_rows if k is not None}
+    want += [(k, None, vv) for k, (_, vv) in best.items() if k is None or k not in present]
+    got = [tuple(r) for r in upsert(t, b, ["k"], order=["ver"]).collect()]
+    norm = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2]))
+    assert norm(got) == norm(want)
