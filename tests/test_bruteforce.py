@@ -44,13 +44,21 @@ def pct(cur, prev):
     return None if cur is None or prev is None or prev == 0 else (cur - prev) / prev * 100
 
 
-def brute(base, ref, k):
+def seed_for(ref, day, mode):
+    if mode == "previous_day":
+        prev = sorted([r for r in ref if r[1] == day - dt.timedelta(days=1)])
+        return dict(zip(REF_COLS, prev[-1][2:])) if prev else dict.fromkeys(REF_COLS)
+    earlier = sorted([r for r in ref if r[1] < day])          # last_known, per column
+    return {c: next((r[2 + i] for r in reversed(earlier) if r[2 + i] is not None), None)
+            for i, c in enumerate(REF_COLS)}
+
+
+def brute(base, ref, k, mode="previous_day"):
     out = []
     for day in sorted({b[1] for b in base}):
         rows = sorted([b for b in base if b[1] == day])
         obs = {r[0]: r for r in ref if r[1] == day}
-        prev = sorted([r for r in ref if r[1] == day - dt.timedelta(days=1)])
-        seed = dict(zip(REF_COLS, prev[-1][2:])) if prev else dict.fromkeys(REF_COLS)
+        seed = seed_for(ref, day, mode)
         has_ref = any(r[1] == day for r in ref)
         last, filled = dict.fromkeys(REF_COLS), []
         for b in rows:
@@ -82,12 +90,14 @@ def brute(base, ref, k):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3, 4])
-def test_features_equal_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,mode", [(1, "previous_day"), (2, "previous_day"),
+                                       (3, "previous_day"), (4, "previous_day"),
+                                       (5, "last_known"), (6, "last_known")])
+def test_features_equal_brute_force(spark, seed, mode):
     base, ref = gen(seed)
     got = lead_lag_features(spark.createDataFrame(base, BASE_T),
-                            spark.createDataFrame(ref, REF_T), max_lag=3)
-    want = brute(base, ref, 3)
+                            spark.createDataFrame(ref, REF_T), max_lag=3, seed=mode)
+    want = brute(base, ref, 3, mode)
     cols = got.columns
     key = lambda r: r["ts_minute_utc"]
     g = sorted((r.asDict() for r in got.collect()), key=key)
