@@ -128,3 +128,32 @@ def test_upsert_matches_brute_force_with_null_keys(spark):
     got = [tuple(r) for r in upsert(t, b, ["k"], order=["ver"]).collect()]
     norm = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "", r[2]))
     assert norm(got) == norm(want)
+
+
+def test_to_candles_matches_brute_force(spark):
+    from pairflow.operators.candles import to_candles
+    rng = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1, 9, 0)
+    secs = sorted(rng.sample(range(0, 3 * 3600), 500))        # unique tick times, 3 hours
+    ticks = [(rng.choice("AB"), t0 + dt.timedelta(seconds=s, microseconds=rng.randint(0, 999)),
+              None if rng.random() < 0.1 else float(rng.randint(1, 100)), rng.randint(1, 5))
+             for s in secs]
+    df = spark.createDataFrame(ticks, "symbol string, ts timestamp_ntz, price double, size bigint")
+    for minutes in (1, 5):
+        want = {}
+        for sym, ts, p, z in sorted(ticks, key=lambda r: r[1]):
+            start = ts.replace(second=0, microsecond=0)
+            start -= dt.timedelta(minutes=(start.hour * 60 + start.minute) % minutes)
+            c = want.setdefault((sym, start), {"prices": [], "vol": 0.0, "n": 0})
+            c["n"] += 1
+            c["vol"] += z
+            if p is not None:
+                c["prices"].append(p)
+        got = {(r["symbol"], r["ts_minute_utc"]): r for r in
+               to_candles(df, minutes=minutes).collect()}
+        assert set(got) == set(want)
+        for key, c in want.items():
+            r, ps = got[key], c["prices"]
+            assert (r["open"], r["close"]) == ((ps[0], ps[-1]) if ps else (None, None))
+            assert (r["high"], r["low"]) == ((max(ps), min(ps)) if ps else (None, None))
+            assert (r["volume"], r["trades"]) == (c["vol"], c["n"])
