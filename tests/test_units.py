@@ -180,3 +180,14 @@ def test_register_views_for_sql_users(spark, sf_dir):
     assert en.exceptAll(enriched(aligned(staging(f)))).count() == 0
     n_open = spark.sql("SELECT count(*) FROM aligned_market_open").first()[0]
     assert n_open == f.where("ref_market_open").count()
+
+
+def test_auto_format_prefers_jsonl_over_csv(spark, sf_dir):
+    raw = fx.raw_base_records(fx.base_candles(spark, sf_dir, metrics=False))
+    path = scratch_path(spark, "auto-jsonl")
+    sinks.write_json_lines(raw, path)
+    raw.withColumn("close", F.lit("-1")).write.mode("append").partitionBy("dt") \
+        .option("header", True).csv(path)
+    assert files.detect_format(spark, path) == "jsonl"
+    got = files.read_candles(spark, path)
+    assert got.count() == raw.count() and got.where("close = '-1'").count() == 0
