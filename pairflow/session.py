@@ -70,14 +70,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def absolute_root(root: str) -> str:
+    """A URI with any scheme ("file:/…", "hdfs://…", "s3a://…") is already
+    absolute; only a bare relative path is resolved against the cwd."""
+    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", root):
+        return root
+    return os.path.abspath(root)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the checkpoint root for a written table."""
-    root = checkpoint_root(spark)
-    # a URI with any scheme ("file:/…", "hdfs://…", "s3a://…") is already
-    # absolute; only a bare relative path is resolved against the cwd
-    if not re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", root):
-        root = os.path.abspath(root)
-    return f"{root}/pairflow/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{absolute_root(checkpoint_root(spark))}/pairflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_path(path: str) -> str:

@@ -191,3 +191,12 @@ def test_auto_format_prefers_jsonl_over_csv(spark, sf_dir):
     assert files.detect_format(spark, path) == "jsonl"
     got = files.read_candles(spark, path)
     assert got.count() == raw.count() and got.where("close = '-1'").count() == 0
+
+
+def test_scratch_roots_with_a_scheme_stay_where_they_are(spark):
+    import os
+    from pairflow.session import absolute_root
+    for uri in ("file:/tmp/ck/abc", "hdfs://nn:8020/ck", "s3a://bucket/ck", "/tmp/ck"):
+        assert absolute_root(uri) == uri
+    assert absolute_root("rel/ck") == os.path.join(os.getcwd(), "rel/ck")
+    assert not scratch_path(spark, "x").startswith(os.getcwd() + "/file:")
