@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +75,29 @@ def sub_batches(frames: Iterator[pd.DataFrame], column: str,
             yield frame.iloc[start:]
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
+                rows: int = 400, chars: int = 4_000_000):
+    """(slice, texts) of Arrow batches, cut as `sub_batches` does. Columns
+    that only pass through stay Arrow data: ids keep their exact values next
+    to nulls, which pandas would turn into doubles."""
+    for batch in batches:
+        texts = [t or "" for t in batch.column(column).to_pylist()]
+        start, held = 0, 0
+        for i, text in enumerate(texts):
+            if i > start and (i - start >= rows or held + len(text) > chars):
+                yield batch.slice(start, i - start), texts[start:i]
+                start, held = i, 0
+            held += len(text)
+        if start < len(texts):
+            yield batch.slice(start), texts[start:]
+
+
+def process_memo(name: str) -> dict:
+    """A dictionary that a Python worker keeps between its tasks."""
+    holder = sys.modules.setdefault("_pairflow_llm_memo", types.ModuleType("_pairflow_llm_memo"))
+    return holder.__dict__.setdefault(name, {})
+
+
 def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
                  l2: float = 1e-2, steps: int = 60) -> np.ndarray:
     """Newton steps of ridge logistic regression; the last weight is the bias."""

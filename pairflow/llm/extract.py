@@ -12,8 +12,9 @@ nothing.
 Labels come from the pages themselves: nodes inside the element a page marks
 as its article, and not inside anything that names itself a menu, advert,
 comment and the like, are content. So that the trees do not lean on that mark
-alone, half of the training pages lose their telling tags and tokens, and
-boilerplate and reader comments are grafted into articles.
+alone, each training page also comes without its telling tags and tokens, and
+twice with boilerplate and reader comments grafted into and behind its article
+and paragraphs under other tags, once with the article's mark and once without.
 
 Text: character references decoded, white space inside a block is one space,
 blocks joined by a line feed in page order; nothing else is cut. A line break
@@ -34,10 +35,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_fraction, sigmoid, sub_batches
+from .common import hash_fraction, sigmoid, text_slices
 
 MAX_PAGES = 1_200  # pages that train, about
 TREES, LEAF_DEPTH, RATE, BINS = 50, 4, 0.25, 32
@@ -236,6 +238,8 @@ def describe(root: Node):
 
 
 BLIND = [23, 24, 25, 26, 27] + [28 + i for i in range(len(KINDS))]  # telling tags and tokens
+CONTENT_MARKS = [24, 26]
+OTHER_TEXT = ["blockquote", "li", "div", "pre", "h2", "h3", "td", "section", "dd"]
 
 
 def teach(root: Node) -> np.ndarray | None:
@@ -260,29 +264,33 @@ def _copy(node: Node, parent: Node) -> Node:
 
 
 def graft(root: Node, rng: random.Random) -> Node:
-    """A copy of the tree with boilerplate and comments inside the article."""
+    """A copy of the tree with boilerplate and reader comments put into and
+    behind the article, and some of its paragraphs under other tags."""
     root = _copy(root, None)
     flat, todo = [], [root]
     while todo:
         node = todo.pop()
         flat.append(node)
         todo += node.children()
-    homes = [x for x in flat if x.tag in CONTENT_TAGS]
+    homes = [x for x in flat if x.tag in CONTENT_TAGS and x.parent is not None]
     bad = [x for x in flat if x.tag in BOILER_TAGS or x.tokens & BOILER]
     if not homes:
         return root
-    home = rng.choice(homes)
+    article = rng.choice(homes)
+    paragraphs = [x for x in article.children() if x.tag == "p"]
     names = sorted(BOILER)
-    for _ in range(rng.randint(1, 2)):
+    for home in (article, article, article.parent):
         at = rng.choice([0, len(home.parts), rng.randint(0, len(home.parts))])
-        kind = rng.choice(["div", "section", "aside", "ul", "div"])
-        box = Node(kind, home, frozenset([rng.choice(names)]))
-        paragraphs = [x for x in home.children() if x.tag == "p"]
+        box = Node(rng.choice(["div", "section", "aside", "ul", "div"]), home,
+                   frozenset([rng.choice(names)]))
         if paragraphs and rng.random() < 0.6:  # reader comments look like text
             box.parts = [_copy(rng.choice(paragraphs), box) for _ in range(rng.randint(1, 4))]
         elif bad:
             box.parts = [_copy(rng.choice(bad), box)]
         home.parts.insert(at, box)
+    for node in paragraphs:
+        if rng.random() < 0.3:
+            node.tag = rng.choice(OTHER_TEXT)
     return root
 
 
@@ -292,13 +300,13 @@ def training_rows(pages: list[str]):
     for page in pages:
         root = parse(page)
         rng = random.Random(len(page))
-        for tree, blind in ((root, False), (graft(root, rng), False), (root, True)):
+        for tree, blind in ((root, []), (graft(root, rng), []), (graft(root, rng), CONTENT_MARKS),
+                            (root, BLIND)):
             y = teach(tree)
             if y is None:
                 break
             x = describe(tree)[2]
-            if blind:
-                x[:, BLIND] = 0
+            x[:, blind] = 0
             xs.append(x)
             ys.append(y)
     if not xs:
@@ -452,12 +460,13 @@ def extract(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
     model = model or fit(pages)
     kind = pages.schema["page_id"].dataType.simpleString()
 
-    def run(frames):
-        for frame in sub_batches(frames, "html", rows=200):
-            texts = main_texts([h or "" for h in frame["html"]], model)
-            yield pd.DataFrame({"page_id": frame["page_id"].to_numpy(),
-                                "url": frame["url"].to_numpy(), "text": texts,
-                                "n_chars": [len(t) for t in texts]})
+    def run(batches):
+        for part, html in text_slices(batches, "html", rows=200):
+            texts = main_texts(html, model)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
+                 pa.array([len(t) for t in texts], pa.int64())],
+                names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(
+    return pages.select("page_id", "url", "html").mapInArrow(
         run, f"page_id {kind}, url string, text string, n_chars long")

@@ -39,11 +39,12 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, sub_batches
+from .common import staged, sub_batches, text_slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -164,19 +165,20 @@ def text_key():
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def _sign(frames):
+def _sign(batches):
     memo: dict = {}
-    for frame in sub_batches(frames, "text"):
-        texts = [words_of(t) for t in frame["text"]]
+    for part, texts in text_slices(batches):
+        texts = [words_of(t) for t in texts]
         key, doc, weight = weighted_shingles(texts, memo)
         content = prob_minhash(key, doc, weight, len(texts))
-        some = np.array([len(w) > 0 for w in texts])
         bands, sketch = bands_of(content), sketch_of(content)
-        yield pd.DataFrame({
-            "doc_id": frame["doc_id"].to_numpy(), "text_key": frame["text_key"].to_numpy(),
-            "node": [hashlib.md5(" ".join(w).encode("utf-8", "replace")).digest() for w in texts],
-            "bands": [b if s else [] for b, s in zip(bands, some)],
-            "sketch": [s.tobytes() for s in sketch]})
+        yield pa.RecordBatch.from_arrays([
+            part.column("doc_id"), part.column("text_key"),
+            pa.array([hashlib.md5(" ".join(w).encode("utf-8", "replace")).digest() for w in texts],
+                     pa.binary()),
+            pa.array([b if w else [] for b, w in zip(bands, texts)], pa.list_(pa.int64())),
+            pa.array([s.tobytes() for s in sketch], pa.binary())],
+            names=["doc_id", "text_key", "node", "bands", "sketch"])
 
 
 def _shingle_rows(frames):
@@ -277,7 +279,7 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                              text_key().alias("text_key"))
     kind = documents.schema["doc_id"].dataType.simpleString()
-    signed = staged(texts.mapInPandas(
+    signed = staged(texts.mapInArrow(
         _sign, f"doc_id {kind}, text_key binary, node binary, bands array<long>, sketch binary"),
         "signatures")
 

@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_fraction, held_out, labelled_texts, logistic_fit, sigmoid, sub_batches
+from .common import hash_fraction, held_out, labelled_texts, logistic_fit, sigmoid, text_slices
 
 THRESHOLD = 0.3
 MAX_POSITIVE = 15_000      # trusted positives that train, about
@@ -160,16 +161,21 @@ def fit(documents: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIV
     return fit_arrays(*got)
 
 
+def _predictions(model, texts: list[str]) -> np.ndarray:
+    return predict(model, np.array([text_statistics(t) for t in texts]))
+
+
 def score(documents: DataFrame, model: QualityModel | None) -> DataFrame:
     """All columns of `documents` plus quality_score."""
-    def run(frames):
-        for frame in sub_batches(frames, "text"):
-            stats = np.array([text_statistics(t) for t in frame["text"].fillna("")])
-            yield frame.assign(quality_score=predict(model, stats))
+    def run(batches):
+        for part, texts in text_slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(_predictions(model, texts))],
+                names=[*part.schema.names, "quality_score"])
 
-    out = StructType([f for f in documents.schema.fields if f.name != "quality_score"]
-                     + [StructField("quality_score", DoubleType())])
-    return documents.drop("quality_score").mapInPandas(run, out)
+    documents = documents.drop("quality_score")
+    out = StructType([*documents.schema.fields, StructField("quality_score", DoubleType())])
+    return documents.mapInArrow(run, out)
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame,
@@ -186,5 +192,9 @@ def quality_scores(documents: DataFrame, labels: DataFrame,
 def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier accepts, with their own columns."""
     model = fit(documents, labels)
-    return (score(documents, model).where(F.col("quality_score") >= threshold)
-            .select(*documents.columns))
+
+    def run(batches):
+        for part, texts in text_slices(batches):
+            yield part.filter(pa.array(_predictions(model, texts) >= threshold))
+
+    return documents.mapInArrow(run, documents.schema)

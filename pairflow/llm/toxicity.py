@@ -25,10 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_texts, logistic_fit, sigmoid, staged, sub_batches
+from .common import held_out, labelled_texts, logistic_fit, sigmoid, staged, text_slices
 
 THRESHOLD = 0.5
 MAX_LABELLED = 30_000   # labelled documents that train, about
@@ -40,6 +41,9 @@ STEMS = (4, 5, 6, 7)
 CACHED_WORDS = 400_000
 OTHER = -0.4            # of every word that is not significantly toxic
 WORD = re.compile(r"\w+")
+PASSAGES = pa.list_(pa.struct([("first_word", pa.int32()), ("last_word", pa.int32()),
+                               ("score", pa.float64()), ("evidence", pa.float64()),
+                               ("text", pa.string())]))
 
 
 @dataclass
@@ -212,29 +216,28 @@ def passages(documents: DataFrame, model: ToxicModel | None) -> DataFrame:
     """(doc_id, score, passages): each passage is (first_word, last_word,
     score, evidence, text), where evidence above 0 means rarer in clean text
     than one such segment per document."""
-    def run(frames):
+    def run(batches):
         score = scorer(model.scores) if model else None
-        for frame in sub_batches(frames, "text"):
+        for part, texts in text_slices(batches):
             found, rows = [], []
-            for text in frame["text"].fillna(""):
+            for text in texts if model else []:
                 words = words_of(text)
-                if model is None:
-                    found.append([])
-                    rows.append((0.0, 0.0, 0.0))
-                    continue
                 segs, x = evidence(words, score, model.lam, model.log_k)
                 found.append([{"first_word": a, "last_word": b, "score": float(s),
                                "evidence": float(e), "text": " ".join(words[a:b + 1])}
                               for a, b, s, e in segs if e > 0])
                 rows.append(x)
-            z = (np.array(rows) - model.mean) / model.scale if model else np.zeros((len(rows), 3))
-            value = sigmoid(z @ model.curve[:-1] + model.curve[-1]) if model else np.full(
-                len(rows), 0.5)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "score": value,
-                                "passages": found})
+            if model:
+                z = (np.array(rows) - model.mean) / model.scale
+                value = sigmoid(z @ model.curve[:-1] + model.curve[-1])
+            else:
+                found, value = [[] for _ in texts], np.full(len(texts), 0.5)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(value), pa.array(found, PASSAGES)],
+                names=["doc_id", "score", "passages"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInPandas(
+    return documents.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, score double, passages array<struct<first_word: int, "
              "last_word: int, score: double, evidence: double, text: string>>")
 
