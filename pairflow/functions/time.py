@@ -35,26 +35,24 @@ def parse_ts(c, fmt: str | None = None) -> Column:
     """Text to NTZ UTC wall clock; bad text gives NULL (ANSI-safe).
 
     Without ``fmt`` ISO-8601 is accepted with or without a zone suffix;
-    ``Z`` means UTC and a ``+HH:MM`` offset is folded into the wall clock.
-    With ``fmt`` the text is parsed by that pattern, zone-free.
+    ``Z`` and ``UTC`` mean UTC, an offset (``+HH:MM``, ``+HHMM``, ``+HH``) is
+    folded into the wall clock, and any other zone name gives NULL rather
+    than a wrong time. With ``fmt`` the text is parsed by that pattern,
+    zone-free.
     """
     s = F.trim(col_of(c).cast("string"))
     if fmt:
         return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
-    wall = s.try_cast("timestamp_ntz")
-    sign = F.regexp_extract(s, r"T?\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?([+-])\d{2}:?\d{2}$", 1)
-    hh = F.regexp_extract(s, r"[+-](\d{2}):?\d{2}$", 1)
-    mm = F.regexp_extract(s, r"[+-]\d{2}:?(\d{2})$", 1)
-    offset_min = F.when(sign == "", F.lit(0)).otherwise(
-        (hh.cast("int") * 60 + mm.cast("int")) * F.when(sign == "-", -1).otherwise(1))
+    # date or date and time, then the zone: nothing, Z, UTC or an offset
+    iso = (r"^(\d{4}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?)"
+           r" ?(?:Z|UTC|([+-])(\d{2})(?::?(\d{2}))?)?$")
+    wall = F.regexp_extract(s, iso, 1).try_cast("timestamp_ntz")  # no match: NULL
+    sign, hh, mm = (F.regexp_extract(s, iso, i) for i in (2, 3, 4))
+    offset_min = (F.coalesce(hh.try_cast("int"), F.lit(0)) * 60
+                  + F.coalesce(mm.try_cast("int"), F.lit(0))) * F.when(sign == "-", -1).otherwise(1)
     return F.timestamp_add("MINUTE", -offset_min, wall)
 
 
-def to_day(c) -> Column:
-    """Calendar day of an NTZ timestamp."""
-    return col_of(c).cast("date")
-
-
 def minutes_between(later, earlier) -> Column:
     """Whole minutes from ``earlier`` to ``later`` (both NTZ), zone-free."""
     diff = col_of(later) - col_of(earlier)
@@ -72,6 +70,15 @@ def ts_to_epoch_ms(c) -> Column:
             + (F.extract(F.lit("SECOND"), diff) * 1000).cast("bigint"))
 
 
+def ts_to_epoch_us(c) -> Column:
+    """NTZ (UTC wall clock) to epoch microseconds, zone-free."""
+    diff = col_of(c) - F.expr(EPOCH_NTZ)
+    return (F.extract(F.lit("DAY"), diff).cast("bigint") * 86_400_000_000
+            + F.extract(F.lit("HOUR"), diff).cast("bigint") * 3_600_000_000
+            + F.extract(F.lit("MINUTE"), diff).cast("bigint") * 60_000_000
+            + (F.extract(F.lit("SECOND"), diff) * 1_000_000).cast("bigint"))
+
+
 def iso_text(c, suffix: str = "Z") -> Column:
     """NTZ as ISO-8601 text ``YYYY-MM-DDTHH:MM:SS[.ffffff]<suffix>``."""
     return F.concat(F.regexp_replace(col_of(c).cast("string"), " ", "T"), F.lit(suffix))

@@ -1,12 +1,16 @@
-"""Pipeline jobs over storage paths: format the two landed series, build the
-feature layer, load it into a keyed table, export documents. Each job runs
-any set of days as one Spark job (the reference runs one day per process).
+"""Pipeline jobs over storage paths: land stored payloads, format the two
+landed series, build the feature layer, load it into a keyed table, build the
+models, export documents. Each job runs any set of days as one Spark job (the
+reference runs one day per process), and a day without input is an error.
 
+    python -m pairflow.jobs land-klines --payloads P --out R --symbol S
+    python -m pairflow.jobs land-quotes --payloads P --out R --symbol S
     python -m pairflow.jobs format-base --raw R --out O [--execution_date D ...]
     python -m pairflow.jobs format-ref  --raw R --out O [--execution_date D ...]
     python -m pairflow.jobs features    --base B --ref R --out O --execution_date D ...
-                                        [--max_lag_minutes 5] [--seed previous_day]
+                                        [--max_lag_minutes 5] [--seed previous_day] [--by C ...]
     python -m pairflow.jobs load        --usage U --table T --ledger L --as_of D
+    python -m pairflow.jobs models      --usage U --out M [--by C ...]
     python -m pairflow.jobs documents   --usage U --out O --ledger L --as_of D [--index I]
 
 Progress and row counts come from ``observe`` metrics on the write itself,
@@ -27,13 +31,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schemas
+from .functions.time import floor_minute
 from .operators.candles import format_base_series, format_ref_series
 from .operators.pairing import lead_lag_features
 from .operators.reports import observed
-from .operators.upsert import upsert_table
+from .operators.upsert import merge_append, upsert_table
+from .plans import models
+from .session import scratch_path
 from .sources import documents as docs
-from .sources.files import partitions_of, read_candles, read_layer
-from .sources.sinks import LEDGER_SCHEMA, mark_done, pending_partitions, write_layer
+from .sources import payloads
+from .sources.files import partitions_of, path_exists, read_candles, read_layer
+from .sources.sinks import (LEDGER_SCHEMA, append_raw, mark_done, pending_partitions, remove_path,
+                            write_layer)
 
 FEATURE_KEY = ["ts_minute_utc", "execution_date"]
 EMPTY_REF = T.StructType([T.StructField("dt", T.DateType()),
@@ -42,9 +51,45 @@ EMPTY_REF = T.StructType([T.StructField("dt", T.DateType()),
                             for c in ("open", "high", "low", "close", "volume")]])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def land_klines_job(spark: SparkSession, payload_path: str, out: str, symbol: str,
+                    interval: str = "1m", ingested_at: str | None = None) -> None:
+    """Stored kline responses (text files holding one response each) appended
+    to the landing area as records under ``dt=`` of their minute."""
+    text = spark.read.option("wholetext", True).text(payload_path)
+    now = F.lit(ingested_at) if ingested_at else F.date_format(
+        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    rows = payloads.explode_klines(text.withColumn("at", now), "value", symbol, interval, "at")
+    append_raw(rows.withColumn("dt", F.substring("ts_minute_utc", 1, 10).cast("date")), out)
+
+
+def land_quotes_job(spark: SparkSession, payload_path: str, out: str, symbol: str,
+                    source: str = "api", interval: str = "1m",
+                    ingested_at: str | None = None) -> int:
+    """Stored quote responses merged into the day files of the landing area:
+    a minute that is already landed stays as it is, new minutes are added.
+    Returns the number of responses without quotes."""
+    text = spark.read.option("wholetext", True).text(payload_path)
+    at = F.lit(ingested_at).cast("timestamp_ntz") if ingested_at else \
+        F.current_timestamp().cast("timestamp_ntz")
+    q = payloads.explode_quotes(text, "value", symbol, source, fetched_at=at)
+    minute = payloads.iso_minute_text(floor_minute("datetime"))
+    rows = q.where("datetime IS NOT NULL").select(
+        F.col("datetime").cast("string").alias("datetime"),
+        *[F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close", "volume")],
+        minute.alias("ts_minute_utc"), "symbol", "source",
+        payloads.iso_minute_text(F.col("fetched_at")).alias("ingested_at_utc"),
+        F.lit(interval).alias("interval"), F.col("datetime").cast("date").alias("dt"))
+    if path_exists(spark, out):
+        have = read_candles(spark, out, "csv", schemas.RAW_REF_CANDLE)
+        rows = merge_append(have.join(rows.select("dt").distinct(), "dt", "left_semi"), rows,
+                            ["dt", "symbol", "ts_minute_utc"], keep="existing")
+    stage = scratch_path(spark, "quotes")  # the rewrite must not read what it replaces
+    rows.write.parquet(stage)
+    (spark.read.schema(rows.schema).parquet(stage).hint("rebalance", "dt")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("header", True).partitionBy("dt").csv(out))
+    remove_path(spark, stage)
+    return payloads.rejected_quotes(text, "value").count()
 
 
 def _in_days(df: DataFrame, col: str, days: Sequence[str] | None) -> DataFrame:
@@ -56,7 +101,7 @@ def _in_days(df: DataFrame, col: str, days: Sequence[str] | None) -> DataFrame:
 def format_base_job(spark: SparkSession, raw: str, out: str, days: Sequence[str] | None = None,
                     fmt: str = "auto", dedup_pulls: bool = True) -> dict:
     """Landed 24/7 candles (``dt=`` folders) -> formatted layer by ``dt``."""
-    df = _in_days(read_candles(spark, raw, fmt), "dt", days)
+    df = read_candles(spark, raw, fmt, days=days)
     f, obs = observed(format_base_series(df, dedup_pulls=dedup_pulls, audit=True, keep=["dt"]),
                       "format-base")
     write_layer(f, out, "dt")
@@ -67,7 +112,7 @@ def format_ref_job(spark: SparkSession, raw: str, out: str,
                    days: Sequence[str] | None = None) -> dict:
     """Landed market-hours CSV (``dt=`` folders) -> formatted layer by ``dt``
     (the landing day, which is the run day, as the partition)."""
-    df = _in_days(read_candles(spark, raw, "csv", schemas.RAW_REF_CANDLE), "dt", days)
+    df = read_candles(spark, raw, "csv", schemas.RAW_REF_CANDLE, days=days)
     f, obs = observed(format_ref_series(df, dt=F.col("dt"), audit=True), "format-ref")
     write_layer(f, out, "dt")
     return obs.get
@@ -78,31 +123,31 @@ def _previous_days(days: Sequence[str]) -> list[str]:
 
 
 def features_job(spark: SparkSession, base: str, ref: str, out: str, days: Sequence[str],
-                 max_lag: int = 5, seed: str = "previous_day") -> dict:
+                 max_lag: int = 5, seed: str = "previous_day", by: Sequence[str] = ()) -> dict:
     """Formatted layers -> feature layer by ``execution_date`` for ``days``.
 
     Only the needed partitions are read: the days themselves, plus the day
     before for the previous-day seed, or every earlier day for
-    ``last_known``. A missing or empty ref layer is not an error; a base
-    layer without rows for the days is."""
+    ``last_known``. Missing ref days are not an error (the market may be
+    closed); a day without base rows is. ``by`` names the pair keys of layers
+    that hold several pairs."""
     b = read_layer(spark, base, days).withColumnRenamed("dt", "execution_date")
-    if b.isEmpty():  # reads at most one row of the pruned partitions
-        raise ValueError(f"no base rows in {base} for {list(days)}")
-    if not _exists(spark, ref):
-        r = spark.createDataFrame([], EMPTY_REF)
+    if not path_exists(spark, ref):
+        r = spark.createDataFrame([], T.StructType([*EMPTY_REF.fields,
+                                                    *[b.schema[c] for c in by]]))
     elif seed == "last_known":
         r = read_layer(spark, ref).where(F.col("dt") <= F.lit(max(days)).cast("date"))
     else:
-        r = read_layer(spark, ref, sorted(set(days) | set(_previous_days(days))))
+        r = _in_days(read_layer(spark, ref), "dt", sorted(set(days) | set(_previous_days(days))))
     r = r.withColumnRenamed("dt", "execution_date")
-    f = lead_lag_features(b, r, max_lag=max_lag, seed=seed, audit=True)
+    f = lead_lag_features(b, r, max_lag=max_lag, seed=seed, audit=True, by=by)
     f, obs = observed(_in_days(f, "execution_date", days), "features")
     write_layer(f, out, "execution_date")
     return obs.get
 
 
 def _ledger(spark: SparkSession, path: str) -> DataFrame:
-    if _exists(spark, path):
+    if path_exists(spark, path):
         return spark.read.schema(LEDGER_SCHEMA).parquet(path)
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
@@ -113,33 +158,61 @@ def _pending(spark: SparkSession, usage: str, ledger: str, consumer: str) -> Dat
 
 
 def load_job(spark: SparkSession, usage: str, table: str, ledger: str, as_of: str,
-             consumer: str = "warehouse") -> None:
+             consumer: str = "warehouse", by: Sequence[str] = ()) -> None:
     """Upsert every day partition not yet loaded into the keyed table
-    (key: minute and day), then record the days except ``as_of``."""
+    (key: pair, minute and day), then record the days except ``as_of``."""
     pending = _pending(spark, usage, ledger, consumer)
     batch = (spark.read.parquet(usage)
              .withColumn("source_file", F.col("_metadata.file_path"))
              .join(pending.withColumnRenamed("dt", "execution_date"), "execution_date", "left_semi")
              .withColumn("loaded_at_utc", F.current_timestamp()))
-    upsert_table(spark, table, batch, FEATURE_KEY, "execution_date",
+    upsert_table(spark, table, batch, [*by, *FEATURE_KEY], "execution_date",
                  order=["processed_at_utc"] if "processed_at_utc" in batch.columns else ())
     done = mark_done(spark.createDataFrame([], LEDGER_SCHEMA), pending, consumer, as_of)
     done.write.mode("append").parquet(ledger)
 
 
 def documents_job(spark: SparkSession, usage: str, out: str, ledger: str, as_of: str,
-                  index: str = "features", consumer: str = "documents") -> None:
-    """Export pending day partitions as NDJSON documents (one folder per
-    run), then record the days except ``as_of``."""
+                  index: str = "features", consumer: str = "documents",
+                  by: Sequence[str] = (), ids: str = "minute") -> None:
+    """Export pending day partitions as NDJSON documents, one folder per day,
+    then record the days except ``as_of``. A rerun replaces the folders of the
+    days it exports and no others.
+
+    ``ids="minute"`` names a document by its pair and minute; ``"row"`` by the
+    day and the row's number in it (``<day>_<n>``), in an index named
+    ``<index>_<day>``."""
     pending = _pending(spark, usage, ledger, consumer)
-    batch = spark.read.parquet(usage).join(
-        pending.withColumnRenamed("dt", "execution_date"), "execution_date", "left_semi")
-    d = docs.to_documents(batch, ["ts_minute_utc"], keep_first_by=["execution_date"])
-    docs.write_documents(d, f"{out.rstrip('/')}/run={as_of}", index=index)
+    day = "execution_date"
+    batch = spark.read.parquet(usage).join(pending.withColumnRenamed("dt", day), day, "left_semi")
+    name = index
+    if ids == "row":
+        batch = docs.number_rows(batch, day, [*by, "ts_minute_utc"])
+        name = F.concat(F.lit(f"{index}_"), F.col(day).cast("string"))
+        d = docs.to_documents(batch, [day, "row_index"], keep=[day])
+    elif ids == "minute":
+        d = docs.to_documents(batch, [*by, "ts_minute_utc"], keep_first_by=[day], keep=[day])
+    else:
+        raise ValueError("ids must be 'minute' or 'row'")
+    docs.write_documents(d, out, index=name, partition_col=day)
     done = mark_done(spark.createDataFrame([], LEDGER_SCHEMA), pending, consumer, as_of)
     done.write.mode("append").parquet(ledger)
 
 
+def models_job(spark: SparkSession, usage: str, out: str, by: Sequence[str] = (),
+               prefixes: tuple[str, str] = ("base", "ref")) -> dict[str, int]:
+    """Feature layer -> stored models (staging, aligned, enriched, daily
+    correlation) below ``out``, then their declared rules; a violated rule
+    raises. Returns the rows of each model."""
+    bp, rp = prefixes
+    built = models.build_models(spark.read.parquet(usage), out, bp, rp, by)
+    bad = models.check_models(built, bp, rp, by).where("violations > 0").collect()  # few rules
+    if bad:
+        raise ValueError("model rules violated: " + "; ".join(
+            f"{r['model']} {r['rule']} {r['column_name']}: {r['violations']}" for r in bad))
+    return {name: df.count() for name, df in built.items()}
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="pairflow.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -155,16 +228,28 @@ def main(argv: Sequence[str] | None = None) -> None:
     s.add_argument("--max_lag_minutes", type=int, default=5)
     s.add_argument("--seed", default="previous_day",
                    choices=["previous_day", "last_known", "none"])
+    s.add_argument("--by", nargs="*", default=[])
+    for name in ("land-klines", "land-quotes"):
+        s = sub.add_parser(name)
+        s.add_argument("--payloads", required=True)
+        s.add_argument("--out", required=True)
+        s.add_argument("--symbol", required=True)
+    s = sub.add_parser("models")
+    s.add_argument("--usage", required=True)
+    s.add_argument("--out", required=True)
+    s.add_argument("--by", nargs="*", default=[])
     for name in ("load", "documents"):
         s = sub.add_parser(name)
         s.add_argument("--usage", required=True)
         s.add_argument("--ledger", required=True)
+        s.add_argument("--by", nargs="*", default=[])
         s.add_argument("--as_of", default=dt.datetime.now(dt.timezone.utc).date().isoformat())
         if name == "load":
             s.add_argument("--table", required=True)
         else:
             s.add_argument("--out", required=True)
             s.add_argument("--index", default="features")
+            s.add_argument("--ids", default="minute", choices=["minute", "row"])
     a = p.parse_args(argv)
     from .session import get_session
     spark = get_session(app=f"pairflow-{a.job}")
@@ -173,11 +258,18 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "format-ref":
         format_ref_job(spark, a.raw, a.out, a.execution_date)
     elif a.job == "features":
-        features_job(spark, a.base, a.ref, a.out, a.execution_date, a.max_lag_minutes, a.seed)
+        features_job(spark, a.base, a.ref, a.out, a.execution_date, a.max_lag_minutes, a.seed,
+                     a.by)
+    elif a.job == "land-klines":
+        land_klines_job(spark, a.payloads, a.out, a.symbol)
+    elif a.job == "land-quotes":
+        land_quotes_job(spark, a.payloads, a.out, a.symbol)
+    elif a.job == "models":
+        models_job(spark, a.usage, a.out, a.by)
     elif a.job == "load":
-        load_job(spark, a.usage, a.table, a.ledger, a.as_of)
+        load_job(spark, a.usage, a.table, a.ledger, a.as_of, by=a.by)
     else:
-        documents_job(spark, a.usage, a.out, a.ledger, a.as_of, a.index)
+        documents_job(spark, a.usage, a.out, a.ledger, a.as_of, a.index, by=a.by, ids=a.ids)
 
 
 if __name__ == "__main__":

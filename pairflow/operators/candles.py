@@ -2,7 +2,7 @@
 
 All of it is projection and hash aggregation, so it stays inside
 whole-stage codegen. ``to_candles`` aggregates partially on the map side
-(open/close are ``min_by``/``max_by`` over an ordering struct), so only one
+(open/close are ``min_by``/``max_by`` over one ordering value), so only one
 partial row per (symbol, bucket) and input partition crosses the shuffle,
 however hot one symbol is.
 """
@@ -13,10 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.numeric import pct_change_or_zero
-from ..functions.time import col_of, epoch_ms_to_ts, floor_minute, parse_ts
+from ..functions.time import col_of, epoch_ms_to_ts, floor_minute, parse_ts, ts_to_epoch_us
 from .conform import conform
 from .dedup import dedup
 
@@ -24,8 +25,10 @@ from .dedup import dedup
 def bucket_start(ts, minutes: int = 1) -> Column:
     """Start of the ``minutes``-wide bucket holding ``ts`` (NTZ, zone-free).
 
-    Buckets are aligned on midnight, so ``minutes`` should divide 1440.
+    Buckets are aligned on midnight, so ``minutes`` must divide 1440.
     """
+    if minutes < 1 or 1440 % minutes:
+        raise ValueError("minutes must divide a day (1440)")
     m = floor_minute(ts)
     if minutes == 1:
         return m
@@ -33,6 +36,22 @@ def bucket_start(ts, minutes: int = 1) -> Column:
     return F.timestamp_add("MINUTE", -(into_day % F.lit(minutes)), m)
 
 
+def tick_order(order: Sequence[str], schema: T.StructType) -> Column:
+    """One ordering value for ``order``: a column itself, or a timestamp and
+    an integer tie-break packed into one DECIMAL(38, 0) (microseconds times
+    10^20 plus the id), which keeps aggregation buffers of fixed width."""
+    if len(order) == 1:
+        return F.col(order[0])
+    ts, tie = order
+    if not isinstance(schema[tie].dataType, T.IntegralType):
+        raise ValueError("the tie-break column must be an integer")
+    # offset 2^63 keeps negative ids in order; a missing id comes first
+    return (
+        ts_to_epoch_us(ts).cast("decimal(17,0)") * F.lit("1" + "0" * 20).cast("decimal(21,0)")
+        + F.coalesce(F.col(tie).cast("decimal(20,0)"), F.lit(str(-2**63)).cast("decimal(20,0)"))
+        + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
 def to_candles(ticks: DataFrame, *, ts: str = "ts", price: str = "price",
                size: str | None = "size", symbol: str | Column = "symbol",
                order: Sequence[str] | str = "ts", minutes: int = 1) -> DataFrame:
@@ -42,17 +61,15 @@ def to_candles(ticks: DataFrame, *, ts: str = "ts", price: str = "price",
     ``high``/``low`` ignore NULL prices; ``volume`` is the summed size
     (NULL when no size is given); ``trades`` counts every tick.
 
-    With a single ordering column every aggregate has a fixed-width buffer
-    and Spark plans a hash aggregation with map-side partial aggregation.
-    Several ordering columns (e.g. a tie-break id for equal timestamps)
-    need a struct ordering, which Spark can only aggregate by sorting.
+    ``order`` is the tick's timestamp, or (timestamp, integer id) to settle
+    equal timestamps. Either way every aggregate has a fixed-width buffer and
+    Spark plans a hash aggregation with map-side partial aggregation.
     """
     sym = F.lit(symbol) if isinstance(symbol, str) and symbol not in ticks.columns \
         else col_of(symbol)
     p = F.col(price).cast("double")
     order = [order] if isinstance(order, str) else list(order)
-    okey = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
-    ordering = F.when(p.isNotNull(), okey)
+    ordering = F.when(p.isNotNull(), tick_order(order, ticks.schema))
     vol = F.col(size).cast("double") if size else F.lit(None).cast("double")
     return (
         ticks
@@ -87,7 +104,9 @@ def format_base_series(raw: DataFrame, *, source: str = schemas.BASE_SOURCE_TAG,
     Presence-driven like the landing data: absent columns are skipped.
     ``dedup_pulls`` keeps the latest ingest of a (symbol, minute) when pulls
     overlap; False keeps every pulled row. ``keep`` names extra columns
-    (e.g. the ``dt`` folder) carried after the formatted ones.
+    (e.g. the ``dt`` folder) carried after the formatted ones. They belong
+    to the dedup key: a minute landed in the folders of two run days keeps a
+    row for each, whether the days are formatted together or one by one.
     """
     df = conform(raw, renames=schemas.BASE_RENAMES, casts=schemas.BASE_CASTS)
     derived = {}
@@ -108,16 +127,16 @@ def format_base_series(raw: DataFrame, *, source: str = schemas.BASE_SOURCE_TAG,
                  order=[*schemas.FORMATTED_BASE_ORDER, *keep])
     if dedup_pulls and {"ts_minute_utc", "symbol"} <= set(df.columns):
         order = ["ingested_at_utc"] if "ingested_at_utc" in df.columns else []
-        df = dedup(df, ["symbol", "ts_minute_utc"], order, keep="last")
+        df = dedup(df, ["symbol", "ts_minute_utc", *keep], order, keep="last")
     return df
 
 
 def format_ref_series(raw: DataFrame, *, dt=None, audit: bool = False) -> DataFrame:
     """Raw market-hours candles (CSV text) to the formatted layer.
 
-    Rows missing ts/open/close are dropped and a (minute, symbol) keeps its
-    latest ingest. ``dt`` (a value or a column, e.g. the landing folder's
-    day) defaults to the calendar day of the minute.
+    Rows missing ts/open/close are dropped and a (run day, minute, symbol)
+    keeps its latest ingest. ``dt`` (a value or a column, e.g. the landing
+    folder's day) defaults to the calendar day of the minute.
     """
     ts = parse_ts("ts_minute_utc")
     df = raw.select(
@@ -136,4 +155,4 @@ def format_ref_series(raw: DataFrame, *, dt=None, audit: bool = False) -> DataFr
         df = df.withColumn("formatted_at_utc", F.current_timestamp())
     df = conform(df, order=schemas.FORMATTED_REF_ORDER)
     df = df.dropna(subset=["ts_minute_utc", "open", "close"])
-    return dedup(df, ["ts_minute_utc", "symbol"], ["ingested_at_utc"], keep="last")
+    return dedup(df, ["dt", "ts_minute_utc", "symbol"], ["ingested_at_utc"], keep="last")

@@ -1,11 +1,11 @@
 """One row per key, deterministic, with map-side pre-aggregation.
 
-``dedup`` is a hash aggregation of ``max``/``min`` over a struct whose
-leading fields are the ordering columns and whose tail is the whole row.
-The struct order breaks every tie the same way on every run, and because it
-is an ordinary aggregate Spark combines duplicates inside each map task
-before the shuffle: a key holding a third of all rows still sends one row
-per input partition.
+``dedup`` aggregates ``max``/``min`` over a struct whose leading fields are
+the ordering columns and whose tail is the whole row. The struct order breaks
+every tie the same way on every run. A struct buffer has no fixed width, so
+Spark plans sort aggregations: each map task sorts its rows by the key and
+combines duplicates before the shuffle, so a key holding a third of all rows
+still sends one row per input partition.
 """
 
 from __future__ import annotations
@@ -40,14 +40,3 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     names.update({f"t{i}": c for i, c in enumerate(tail)})
     return agg.select(*keys, *[F.col(f"_row.{k}").alias(v) for k, v in names.items()]) \
         .select(*df.columns)
-
-
-def dedup_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               keep: str = "last") -> DataFrame:
-    """``dedup`` for inputs with columns a struct cannot order (maps):
-    a ``row_number`` window, one shuffle on ``keys``."""
-    from pyspark.sql import Window
-    o = [F.col(c).desc_nulls_last() if keep == "last" else F.col(c).asc_nulls_last()
-         for c in order]
-    w = Window.partitionBy(*keys).orderBy(*o)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -3,16 +3,15 @@
 Physical shape of ``lead_lag_features`` (one shuffle of the candle rows):
 
     base rows ─┐
-    ref rows  ─┼─ union ─ repartition(by…, day) ─ aggregate (by…, day, minute)
+    ref rows  ─┼─ union ─ repartition(by…, day) ─ window(minute: its ref rows)
     seed rows ─┘          └── window(has_ref, seed) ─ filter base present
                               ─ window(LOCF, base lag/lead) ─ window(ref lag/lead)
 
-* The left join on (day, minute) is an aggregation of the union: each side
-  contributes flat columns and a presence flag, and a per-column ``max``
-  keeps the non-NULL value (a hash aggregation). Aggregation keys
-  (by…, day, minute) are satisfied by the hash partitioning on (by…, day),
-  so the aggregation and all three windows reuse one exchange; no join is
-  planned, so there is nothing to broadcast and nothing to size-check.
+* The left join on (day, minute) is a window over the union: every base row
+  gets the ref rows of its minute, none or one for candles. All windows share
+  the hash partitioning on (by…, day) and the order by minute, so one exchange
+  and one sort serve them; no join is planned, so there is nothing to
+  broadcast and nothing to size-check.
 * The previous day's seed arrives as one extra row per (by…, day) carrying
   a struct; a whole-partition ``max`` window hands it to every minute.
 * Partitions are (pair, day): at most 1,440 minutes per series, whatever
@@ -55,20 +54,18 @@ def paired_minutes(base: DataFrame, ref: DataFrame, *, base_cols: Mapping[str, s
                    ref_cols: Mapping[str, str], ts: str = "ts_minute_utc",
                    day: str = "execution_date", by: Sequence[str] = (),
                    seeds: DataFrame | None = None) -> DataFrame:
-    """One row per (by…, day, minute) seen on either side, plus one seed row
-    per (by…, day) when ``seeds`` is given (its minute is NULL).
+    """The rows of both sides on their minute, plus one seed row per
+    (by…, day) when ``seeds`` is given (its minute is NULL).
 
     Columns: by…, day, ts, ``_b`` (base struct or NULL), ``_r`` (ref struct
     or NULL), ``_s`` (seed struct or NULL).
 
-    Each side travels as flat columns plus a presence flag, so the
-    aggregation is a per-column ``max`` with fixed-width buffers: a
-    code-generated hash aggregation. The structs are rebuilt afterwards.
-
-    Inputs are candles, one row per (by…, minute) and side, which bounds a
-    (by…, day) partition to 1,440 rows per side. Raw pulls with repeated
-    minutes are deduplicated first (``dedup``, or the formatters), where
-    the copies are combined map-side before any shuffle.
+    Both sides travel in one union, hashed and sorted once by (by…, day, ts).
+    A window over the minute hands its ref rows to each base row, as a left
+    join does: a minute with several rows on a side (raw pulls that were not
+    deduplicated, two series without ``by``) keeps every pair of them and
+    never mixes the columns of two rows. Candles hold one row a minute and
+    side, so a (by…, day) partition has 1,440 rows per side.
     """
     keys = [*by, day]
     sides = {"_b": (base, base_cols), "_r": (ref, ref_cols)}
@@ -88,19 +85,23 @@ def paired_minutes(base: DataFrame, ref: DataFrame, *, base_cols: Mapping[str, s
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p, allowMissingColumns=True)
-    flat = [c for c in u.columns if c not in keys and c != ts]
-    g = u.repartition(*keys).groupBy(*keys, ts).agg(*[F.max(c).alias(c) for c in flat])
+    u = u.repartition(*keys)
 
     def rebuild(tag: str, names: Sequence[str]):
         return F.when(F.col(f"{tag}_p"), F.struct(*[F.col(f"{tag}_{n}").alias(n) for n in names]))
 
-    out = [rebuild("_b", list(base_cols)).alias("_b"), rebuild("_r", list(ref_cols)).alias("_r")]
-    if seeds is not None:
-        out.append(rebuild("_s", seed_cols).alias("_s"))
-    else:  # no seed: a NULL struct shaped like the ref side
-        out.append(F.when(F.lit(False), F.struct(*[F.col(f"_r_{n}").alias(n) for n in ref_cols]))
-                   .alias("_s"))
-    return g.select(*keys, ts, *out)
+    b, r = rebuild("_b", list(base_cols)), rebuild("_r", list(ref_cols))
+    s = rebuild("_s", seed_cols) if seeds is not None else \
+        F.when(F.lit(False), F.struct(*[F.col(f"_r_{n}").alias(n) for n in ref_cols]))
+    rows = u.select(*keys, ts, b.alias("_b"), r.alias("_r"), s.alias("_s"))
+    # the minute's ref rows reach every base row of the minute; a minute holds
+    # one row a side unless the input repeats it
+    same = Window.partitionBy(*keys, ts)
+    rows = rows.withColumn("_refs", F.when(F.col("_b").isNotNull(),
+                                           F.collect_list("_r").over(same)))
+    matched = F.when(F.size("_refs") > 0, F.col("_refs")).otherwise(F.array(F.col("_r")))
+    return (rows.where(F.col("_b").isNotNull() | F.col("_r").isNotNull() | F.col("_s").isNotNull())
+                .withColumn("_r", F.explode(matched)).select(*keys, ts, "_b", "_r", "_s"))
 
 
 def pair_join(base: DataFrame, ref: DataFrame, *, ts: str = "ts_minute_utc",
@@ -140,24 +141,22 @@ def last_known_seed(base: DataFrame, ref: DataFrame, *, cols: Mapping[str, str],
     """Per (by…, day): each column's last non-NULL ref value from any
     earlier day, however long ago (carry over the whole history).
 
-    Built from one row per (by…, day) of either series; the window over
+    Built from one row per (by…, day) of either series, by one aggregation of
+    their union (base rows bring their day and no value); the window over
     that table is the only ordering across days and its size is the
     number of calendar days (per ``by`` group), not the number of rows.
     """
     keys = [*by, day]
-    daily = (ref.select(*by, _day(ref, day, ts).alias(day), ts,
-                        *[F.col(src).alias(out) for out, src in cols.items()])
-                .groupBy(*keys)
-                .agg(*[F.max_by(out, F.when(F.col(out).isNotNull(), F.col(ts))).alias(out)
-                       for out in cols]))
-    days = (base.select(*by, _day(base, day, ts).alias(day))
-                .unionByName(ref.select(*by, _day(ref, day, ts).alias(day)))
-                .distinct())
+    seen = ref.select(*by, _day(ref, day, ts).alias(day), ts,
+                      *[F.col(src).cast("double").alias(out) for out, src in cols.items()])
+    days = base.select(*by, _day(base, day, ts).alias(day), F.col(ts),
+                       *[F.lit(None).cast("double").alias(out) for out in cols])
+    daily = (seen.unionByName(days).groupBy(*keys)
+                 .agg(*[F.max_by(out, F.when(F.col(out).isNotNull(), F.col(ts))).alias(out)
+                        for out in cols]))
     w = Window.partitionBy(*by).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.join(daily, keys, "left").select(
-        *keys, F.struct(*[F.last(out, ignorenulls=True).over(w).alias(out)
-                          for out in cols]).alias("_s"))
-    return carried
+    return daily.select(*keys, F.struct(*[F.last(out, ignorenulls=True).over(w).alias(out)
+                                          for out in cols]).alias("_s"))
 
 
 def lead_lag_features(base: DataFrame, ref: DataFrame, *, max_lag: int = 5,

@@ -1,9 +1,9 @@
 """Data-quality expectations evaluated in one pass.
 
-Row-level rules (not NULL, positive, ordered pair, accepted values) are
-``count_if`` aggregates of one scan. Key uniqueness is a hash aggregation
-on the key; time order is a ``lag`` inside each series partition. The
-report is one row per rule: (rule, column, violations).
+Row-level rules (not NULL, positive, ordered pair, accepted values), key
+uniqueness (a window on the key) and time order (a ``lag`` in order of
+arrival inside each series partition) are ``count_if`` aggregates of one
+scan. The report is one row per rule: (rule, column, violations).
 """
 
 from __future__ import annotations
@@ -40,44 +40,38 @@ def accepted_values(c: str, values: Sequence) -> Rule:
 
 def expectations(df: DataFrame, rules: Sequence[Rule], unique_key: Sequence[str] = (),
                  order_by: str | None = None, order_within: Sequence[str] = (),
-                 required: Sequence[str] = ()) -> DataFrame:
-    """Violations per rule.
-
-    * ``rules``: row-level rules, counted in one aggregation;
-    * ``unique_key``: extra rows per duplicated key (one shuffle on the key);
-    * ``order_by``/``order_within``: rows whose ``order_by`` value is lower
-      than the previous row's in file order cannot be defined in a
-      distributed table, so this checks strict increase per group instead:
-      rows whose value equals the previous one in sort order (duplicates in
-      time), one partitioned window;
-    * ``required``: missing columns, checked at plan time (0 or 1 each).
+                 arrival: str | None = None, required: Sequence[str] = (),
+                 model: str | None = None) -> DataFrame:
+    """Violations per rule, from one scan and at most one shuffle of it.
+
+    * ``rules``: row-level rules;
+    * ``unique_key``: rows beyond the first of each key. When it contains
+      ``order_within``, its window shares the order check's partitioning;
+    * ``order_by`` within ``order_within``: rows whose ``order_by`` does not
+      exceed that of the row before it by ``arrival`` (e.g. the ingest time);
+      rows that arrive together are compared in ``order_by`` order;
+    * ``required``: missing columns, checked at plan time (0 or 1 each);
+    * ``model``: a leading column naming what was checked.
     """
-    spark = df.sparkSession
-    parts = []
-    if rules:
-        agg = df.agg(*[F.count_if(r.bad).alias(f"r{i}") for i, r in enumerate(rules)])
-        pairs = ", ".join(f"'{r.name}', '{r.column}', r{i}" for i, r in enumerate(rules))
-        parts.append(agg.selectExpr(f"stack({len(rules)}, {pairs}) AS (rule, column_name, violations)"))
-    if unique_key:
-        dup = (df.groupBy(*unique_key).count().where(F.col("count") > 1)
-                 .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("violations")))
-        parts.append(dup.select(F.lit("unique").alias("rule"),
-                                F.lit(",".join(unique_key)).alias("column_name"),
-                                F.col("violations").cast("bigint")))
+    checks = [(r.name, r.column, r.bad) for r in rules]
     if order_by:
-        if not order_within:
-            raise ValueError("order checks need partition keys (e.g. series and day)")
-        w = Window.partitionBy(*order_within).orderBy(order_by)
-        prev = F.lag(order_by, 1).over(w)
-        bad = df.select((prev.isNotNull() & (prev >= F.col(order_by))).alias("_bad")) \
-                .agg(F.count_if("_bad").alias("violations"))
-        parts.append(bad.select(F.lit("strictly_increasing").alias("rule"),
-                                F.lit(order_by).alias("column_name"), "violations"))
-    for c in required:
-        parts.append(spark.range(1).select(
-            F.lit("required_column").alias("rule"), F.lit(c).alias("column_name"),
-            F.lit(0 if c in df.columns else 1).cast("bigint").alias("violations")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        if not order_within or not arrival:
+            raise ValueError("order checks need partition keys (e.g. series and day) and the "
+                             "column that orders arrival")
+        w = Window.partitionBy(*order_within).orderBy(arrival, order_by)
+        df = df.withColumn("_prev", F.lag(order_by, 1).over(w))
+        checks.append(("strictly_increasing", order_by, F.col("_prev") >= F.col(order_by)))
+    if unique_key:
+        key = [c for c in order_within if c in unique_key] + \
+              [c for c in unique_key if c not in order_within]
+        first = Window.partitionBy(*key).orderBy(F.lit(0))
+        df = df.withColumn("_nth", F.row_number().over(first))
+        checks.append(("unique", ",".join(unique_key), F.col("_nth") > 1))
+    rows = [F.struct(F.lit(n).alias("rule"), F.lit(c).alias("column_name"),
+                     F.count_if(bad).alias("violations")) for n, c, bad in checks]
+    missing = [F.struct(F.lit("required_column").alias("rule"), F.lit(c).alias("column_name"),
+                        F.lit(0 if c in df.columns else 1).cast("bigint").alias("violations"))
+               for c in required]
+    head = [] if model is None else [F.lit(model).alias("model")]
+    return (df.agg(F.array(*rows, *missing).alias("_r")).select(F.explode("_r").alias("_r"))
+              .select(*head, "_r.rule", "_r.column_name", "_r.violations"))

@@ -40,15 +40,6 @@ def _require_partition(by: Sequence[str]) -> None:
                          "use whole_history_shift for ordering across all rows")
 
 
-def lead_lag(df: DataFrame, cols: Sequence[str], *, order: str,
-             by: Sequence[str], max_lag: int = 5, lags: bool = True,
-             leads: bool = True) -> DataFrame:
-    """Append lag/lead 1..max_lag of ``cols``, partitioned by ``by``."""
-    _require_partition(by)
-    w = Window.partitionBy(*by).orderBy(order)
-    return df.select("*", *lag_lead_columns(cols, w, max_lag, lags=lags, leads=leads))
-
-
 def locf(df: DataFrame, cols: Sequence[str], *, order: str, by: Sequence[str],
          seeds: dict[str, Column] | None = None) -> DataFrame:
     """Last observation carried forward inside each ``by`` partition.

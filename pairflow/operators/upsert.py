@@ -51,9 +51,6 @@ def resolve_key(candidates: Sequence[Sequence[str]], columns: Sequence[str]) ->
     return None
 
 
-NULL_KEY_SPREAD = 4096  # buckets over which rows with a NULL key are spread
-
-
 def _has_null_key(keys: Sequence[str]):
     cond = F.lit(False)
     for k in keys:
@@ -61,16 +58,6 @@ def _has_null_key(keys: Sequence[str]):
     return cond
 
 
-def _null_key_salt(keys: Sequence[str], sign: int):
-    """0 for rows with a complete key; for rows with a NULL in the key (which
-    can never match) a bucket in 1..NULL_KEY_SPREAD, negated on the batch
-    side, so such rows spread over the join's partitions instead of all
-    hashing to the partition of NULL. Seeded per partition, hence stable
-    when a task is retried."""
-    bucket = (F.floor(F.rand(17) * NULL_KEY_SPREAD) + 1).cast("int") * sign
-    return F.when(_has_null_key(keys), bucket).otherwise(F.lit(0))
-
-
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            order: Sequence[str] = (), on_match: str = "update") -> DataFrame:
     """The target after upserting ``batch`` on ``keys``.
@@ -83,11 +70,12 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
       matched rows are left untouched;
     * unmatched batch rows are inserted (target-only columns NULL).
 
-    One shuffle per side on the key (sort-merge or hash join). The batch is
-    deduplicated with map-side combine before it moves, so repeated keys do
-    not pile up in one task; rows with a NULL key, which can be numerous in
-    the target and never match, are spread by a salt instead of hashing to
-    one partition.
+    The updated rows are the target LEFT JOIN the batch, the inserted ones
+    the batch ANTI JOIN the target's keys, so the engine may broadcast a batch
+    that it has measured as small and then moves no target row. The batch is
+    deduplicated with map-side combine first, so repeated keys do not pile
+    up in one task. Rows with a NULL in the key never match: they pass beside
+    the joins, where any number of them would hash to one partition.
     """
     keys = list(keys)
     if target is None:
@@ -97,27 +85,20 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     staged = batch.select(*_aligned_columns(batch, target.schema), *extra)
     b = dedup(staged, keys, order, keep="last").drop(*extra)
     nonkey = [c for c in b.columns if c not in keys]
+    if on_match not in ("update", "ignore"):
+        raise ValueError("on_match must be 'update' or 'ignore'")
+    whole = target.where(~_has_null_key(keys))
+    new = b.join(whole.select(*keys), keys, "left_anti")
     if on_match == "ignore" or not nonkey:
-        # NULL keys never match: leave them out of the probe side, where any
-        # number of them would otherwise hash to a single partition
-        present = target.select(*keys).where(~_has_null_key(keys))
-        new = b.join(present, keys, "left_anti")
         return target.unionByName(new, allowMissingColumns=True)
-    if on_match != "update":
-        raise ValueError("on_match must be 'update' or 'ignore'")
-    nb = b.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in nonkey],
-                  F.lit(True).alias("_in_batch"), _null_key_salt(keys, -1).alias("_salt"))
-    j = target.withColumn("_salt", _null_key_salt(keys, 1)).join(nb, [*keys, "_salt"],
-                                                                  "full_outer")
+    nb = b.where(~_has_null_key(keys)).select(
+        *keys, *[F.col(c).alias(f"_new_{c}") for c in nonkey], F.lit(True).alias("_in_batch"))
     hit = F.col("_in_batch").isNotNull()
-    out = []
-    for f in target.schema.fields:
-        c = f.name
-        if c in nonkey:
-            out.append(F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    out = [F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in nonkey else F.col(c)
+           for c in target.columns]
+    updated = whole.join(nb, keys, "left").select(*out)
+    return (updated.unionByName(target.where(_has_null_key(keys)))
+            .unionByName(new, allowMissingColumns=True))
 
 
 def insert_new_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -151,31 +132,47 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     """Upsert into a Parquet table partitioned by ``partition_col``,
     rewriting only the partitions the batch touches.
 
-    The touched partitions are read through a semi join on the partition
-    column (so the scan is pruned), merged with the batch, and written
-    with dynamic partition overwrite. The new files are first written to a
-    staging folder and read back, so the rewrite never reads the files it
-    is replacing; the staging folder is removed once the rewrite committed.
-    Rerunning after a failure is safe: the upsert is idempotent.
+    Touched are the batch's own partitions and, unless the partition column
+    belongs to the key, those where the target holds a key of the batch (found
+    by reading the key columns alone): a row whose partition value changes
+    moves, it is not stored twice. The batch is deduplicated and staged once.
+    Merged rows are staged before the rewrite, so it never reads the files
+    that it replaces, and written with dynamic partition overwrite; partitions
+    that lost their last row are removed. Stages go once all has committed.
+
+    Rerunning after a failure gives the same table for rows with complete
+    keys; rows with a NULL in the key are appended by every run, as an
+    INSERT would, so a caller that may replay a batch drops or numbers them.
     """
     from ..session import scratch_path
-    from ..sources.sinks import write_layer
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    if not exists:
+    from ..sources.sinks import remove_path, write_layer
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         write_layer(upsert(None, batch, keys, order), path, partition_col, sort_col=None)
         return
     target = spark.read.parquet(path)
-    touched = batch.select(partition_col).distinct()
+    batch_stage, stage = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-stage")
+    dedup(batch, list(keys), [c for c in order if c in batch.columns], keep="last") \
+        .write.parquet(batch_stage)
+    batch = spark.read.schema(batch.schema).parquet(batch_stage)
+    touched = batch.select(F.col(partition_col).cast(target.schema[partition_col].dataType))
+    if partition_col not in keys:
+        touched = touched.unionByName(
+            target.select(*keys, partition_col).join(batch.select(*keys), list(keys), "left_semi")
+            .select(partition_col))
+    touched = touched.distinct()
     scoped = target.join(touched, partition_col, "left_semi")
     merged = upsert(scoped, batch, keys, order, on_match)
-    stage = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+    merged.write.partitionBy(partition_col).parquet(stage)
     # explicit schema: an empty batch leaves a stage without data files
     staged = spark.read.schema(merged.schema).parquet(stage).select(*target.columns)
+    emptied = touched.join(staged.select(partition_col).distinct(), partition_col, "left_anti")
+    gone = [r["v"] for r in emptied.select(F.col(partition_col).cast("string").alias("v"))
+            .where("v IS NOT NULL").collect()] if partition_col not in keys else []
     write_layer(staged, path, partition_col, sort_col=None)
-    # the staged copy is only needed until the rewrite has committed; on a
-    # failure above it stays for inspection and a rerun recomputes it
-    sp = jvm.org.apache.hadoop.fs.Path(stage)
-    sp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(sp, True)
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in gone:  # partitions, not rows
+        remove_path(spark, f"{path.rstrip('/')}/{name.getPartitionPathString(partition_col, value)}")
+    # on a failure above the stages stay for inspection and a rerun recomputes them
+    remove_path(spark, stage)
+    remove_path(spark, batch_stage)

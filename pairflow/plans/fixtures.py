@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from ..operators.candles import candle_metrics, to_candles
 
+TICK_ORDER = ("ts", "event_id")      # open and close of a candle, ties settled
+
 # Fixed values of the test scenario.
 SESSION_OPEN_MINUTE = 14 * 60 + 30   # 14:30 UTC
 SESSION_CLOSE_MINUTE = 21 * 60       # 21:00 UTC (exclusive)
@@ -59,7 +61,7 @@ def _with_ingest(c: DataFrame, minutes: int = 1) -> DataFrame:
 
 
 def base_candles(spark: SparkSession, sf_dir: str, metrics: bool = True) -> DataFrame:
-    c = to_candles(ticks(spark, sf_dir), symbol="ALL", order="ts")
+    c = to_candles(ticks(spark, sf_dir), symbol="ALL", order=TICK_ORDER)
     c = _with_ingest(c)
     return candle_metrics(c, bullish=True) if metrics else c
 
@@ -71,7 +73,7 @@ def in_session(ts_col: str = "ts"):
 
 def ref_candles(spark: SparkSession, sf_dir: str, metrics: bool = True) -> DataFrame:
     t = ticks(spark, sf_dir).where((F.col("event_type") == "purchase") & in_session())
-    c = _with_ingest(to_candles(t, symbol="REF", order="ts"))
+    c = _with_ingest(to_candles(t, symbol="REF", order=TICK_ORDER))
     return candle_metrics(c, bullish=False) if metrics else c
 
 
@@ -86,7 +88,7 @@ def scenario_ref(ref: DataFrame) -> DataFrame:
 
 
 def gappy_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = to_candles(gappy_ticks(spark, sf_dir), symbol="ALL", order="ts")
+    c = to_candles(gappy_ticks(spark, sf_dir), symbol="ALL", order=TICK_ORDER)
     return _with_ingest(c)
 
 
@@ -108,7 +110,7 @@ def overlapping_pulls(candles: DataFrame) -> DataFrame:
 
 def ref_from(t: DataFrame) -> DataFrame:
     t = t.where((F.col("event_type") == "purchase") & in_session())
-    return _with_ingest(to_candles(t, symbol="REF", order="ts"))
+    return _with_ingest(to_candles(t, symbol="REF", order=TICK_ORDER))
 
 
 def raw_base_records(candles: DataFrame, extra=()) -> DataFrame:

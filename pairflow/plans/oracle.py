@@ -36,9 +36,9 @@ def candles_cte(name: str, src: str, symbol: str, where: str = "TRUE",
     raw = f"""{name}_c AS (
   SELECT '{symbol}' AS symbol, date_trunc('minute', ts) AS ts_minute_utc,
          CAST(date_trunc('minute', ts) AS DATE) AS execution_date,
-         arg_min(price, ts) AS open,
+         first(price ORDER BY ts, event_id) FILTER (WHERE price IS NOT NULL) AS open,
          max(price) AS high, min(price) AS low,
-         arg_max(price, ts) AS close,
+         last(price ORDER BY ts, event_id) FILTER (WHERE price IS NOT NULL) AS close,
          CAST(sum(size) AS DOUBLE) AS volume, count(*) AS trades,
          date_trunc('minute', ts) + INTERVAL 1 MINUTE AS ingested_at_utc
   FROM {src} WHERE {where}
@@ -86,7 +86,7 @@ def r(expr: str, digits: int = ROUND) -> str:
 
 # --- lead/lag features -------------------------------------------------------
 
-def features_sql(ref_name: str = "sref", seed: str = "previous_day", max_lag: int = 5,
+def features_sql(ref_name: str = "ref", seed: str = "previous_day", max_lag: int = 5,
                  bp: str = "base", rp: str = "ref", warmup: bool = True,
                  base_name: str = "base") -> str:
     """The feature table as plain SQL: LEFT JOIN, LEFT JOIN seed, global

@@ -98,6 +98,54 @@ def q_scan_auto(spark, sf_dir):
     return _typed_scan(files.read_candles(spark, path, fmt="auto"))
 
 
+JSON_UNTIL, JSONL_UNTIL = "2024-01-10", "2024-01-20"  # scan_mixed_days: formats by day
+
+
+@register("scan_mixed_days", SCAN_SQL, dates=("dt",))
+def q_scan_mixed_days(spark, sf_dir):
+    """One landing tree whose days hold JSON arrays, then JSON lines, then
+    CSV; the earlier days also hold (different) CSV files, which lose."""
+    path = scratch_path(spark, "landing-mixed")
+    raw, dt = _raw_base(spark, sf_dir), F.col("dt")
+    json_days = dt <= F.lit(JSON_UNTIL).cast("date")
+    line_days = ~json_days & (dt <= F.lit(JSONL_UNTIL).cast("date"))
+    sinks.write_json_arrays(raw.where(json_days), path, group_cols=["symbol"])
+    sinks.write_json_lines(raw.where(line_days), path)
+    decoy = raw.withColumn("close", (F.col("close").cast("double") + 1).cast("string"))
+    (decoy.where(json_days | line_days).unionByName(raw.where(~json_days & ~line_days))
+          .write.mode("append").partitionBy("dt").option("header", True).csv(path))
+    return _typed_scan(files.read_candles(spark, path))
+
+
+RUN_DAYS_SQL = o.with_(o.TICKS, BASE_RAW, BASE_OVERLAP) + """
+, landed AS (
+  SELECT symbol, ts_minute_utc, close, ingested_at_utc, execution_date AS dt FROM bo
+  UNION ALL
+  SELECT symbol, ts_minute_utc, close + 0.5, ingested_at_utc + INTERVAL 5 MINUTE,
+         CAST(execution_date + INTERVAL 1 DAY AS DATE)
+  FROM base_c WHERE hour(ts_minute_utc) = 23)
+SELECT symbol, ts_minute_utc, close, ingested_at_utc, dt FROM landed
+QUALIFY row_number() OVER (PARTITION BY symbol, ts_minute_utc, dt ORDER BY ingested_at_utc DESC) = 1"""
+
+
+def _two_run_days(spark, sf_dir):
+    """Pulls landed on their own day, and the last hour of a day landed again
+    in the next day's folder with a revised close."""
+    c = fx.base_candles(spark, sf_dir, metrics=False)
+    late = c.where(F.hour("ts_minute_utc") == 23).withColumns({
+        "close": F.col("close") + 0.5,
+        "ingested_at_utc": F.timestamp_add("MINUTE", F.lit(5), F.col("ingested_at_utc"))})
+    return fx.raw_base_records(fx.overlapping_pulls(c)).unionByName(
+        fx.raw_base_records(late).withColumn("dt", F.date_add("dt", 1)))
+
+
+@register("format_run_days", RUN_DAYS_SQL, dates=("dt",))
+def q_format_run_days(spark, sf_dir):
+    """Minutes in the folders of two run days keep a row for each."""
+    f = cdl.format_base_series(_two_run_days(spark, sf_dir), keep=["dt"])
+    return f.select("symbol", "ts_minute_utc", "close", "ingested_at_utc", "dt")
+
+
 # --- A5, A9, A10, A12, B1, B2, B5, B9: layers and sinks ----------------------------
 
 @register("scan_partitions", o.with_(*FEATURE_CTES, o.features_sql()) + "SELECT * FROM features")
@@ -314,10 +362,11 @@ def q_epoch_to_ts(spark, sf_dir):
 
 
 @register("parse_iso_ts", "SELECT event_id, ts, ts AS p_z, ts AS p_plus, ts AS p_minus, "
-          "ts AS p_plain FROM events", dates=())
+          "ts AS p_plain, ts AS p_hour, ts AS p_utc, CAST(NULL AS TIMESTAMP) AS p_zone "
+          "FROM events", dates=())
 def q_parse_iso_ts(spark, sf_dir):
-    """ISO-8601 text in four spellings (Z, +05:30, -03:00, no zone) parses
-    back to the same UTC wall clock."""
+    """ISO-8601 text in six spellings (Z, UTC, +05:30, -03:00, +05, no zone)
+    parses back to the same UTC wall clock; a zone name gives NULL."""
     ev = fx.table(spark, sf_dir, "events").select("event_id", "ts")
     ts = F.col("ts")
     plus = ts + F.make_dt_interval(F.lit(0), F.lit(5), F.lit(30), F.lit(0))
@@ -325,10 +374,14 @@ def q_parse_iso_ts(spark, sf_dir):
     txt = ev.select("event_id", "ts", iso_text(ts, "Z").alias("t_z"),
                     iso_text(plus, "+05:30").alias("t_plus"),
                     iso_text(minus, "-03:00").alias("t_minus"),
+                    iso_text(ts + F.make_dt_interval(F.lit(0), F.lit(5), F.lit(0), F.lit(0)), "+05")
+                    .alias("t_hour"), iso_text(ts, " UTC").alias("t_utc"),
+                    iso_text(ts, " America/New_York").alias("t_zone"),
                     ts.cast("string").alias("t_plain"))
     return txt.select("event_id", "ts", parse_ts("t_z").alias("p_z"),
                       parse_ts("t_plus").alias("p_plus"), parse_ts("t_minus").alias("p_minus"),
-                      parse_ts("t_plain").alias("p_plain"))
+                      parse_ts("t_plain").alias("p_plain"), parse_ts("t_hour").alias("p_hour"),
+                      parse_ts("t_utc").alias("p_utc"), parse_ts("t_zone").alias("p_zone"))
 
 
 @register("floor_minute", "SELECT event_id, ts, date_trunc('minute', ts) AS ts_minute FROM events",
@@ -340,6 +393,10 @@ def q_floor_minute(spark, sf_dir):
 
 # --- A7/A8: payloads --------------------------------------------------------------------
 
+def _bad_day(col: str) -> str:
+    return f"({col} IN (DATE '{fx.NO_SEED_DAYS[0]}', DATE '{fx.NO_SEED_DAYS[1]}'))"
+
+
 KLINE_OUT = ["ts_minute_utc", "symbol", "open_time_ms", "open", "high", "low", "close", "volume",
              "number_of_trades", "quote_asset_volume"]
 
@@ -362,18 +419,27 @@ def q_parse_klines(spark, sf_dir):
 
 
 @register("parse_quotes", o.with_(o.TICKS, o.REF) + f"""
-SELECT ts_minute_utc AS datetime, open, high, low, close, volume, symbol, 'yfinance' AS source
-FROM ref_c WHERE execution_date NOT IN (DATE '{fx.NO_SEED_DAYS[0]}', DATE '{fx.NO_SEED_DAYS[1]}')""",
-          dates=())
+SELECT 'quote' AS kind, execution_date AS dt, ts_minute_utc AS datetime, open, high, low, close,
+       volume, symbol, 'yfinance' AS source, TIMESTAMP '2024-02-01 00:00:00' AS fetched_at
+FROM ref_c WHERE {_bad_day('execution_date')} = FALSE
+UNION ALL
+SELECT DISTINCT 'rejected', execution_date, NULL::TIMESTAMP, NULL::DOUBLE, NULL::DOUBLE,
+       NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, symbol, NULL::VARCHAR, NULL::TIMESTAMP
+FROM ref_c WHERE {_bad_day('execution_date')}""", dates=("dt",))
 def q_parse_quotes(spark, sf_dir):
-    """One quote payload per symbol-day; the days of NO_SEED_DAYS return an
-    error object without ``values`` and yield no rows."""
+    """One quote payload per symbol-day. Two days answered with an error
+    object without ``values``: they give no quotes and are returned as
+    rejected."""
     r = fx.raw_ref_records(fx.ref_candles(spark, sf_dir, metrics=False))
     item = F.struct(*[F.col(c) for c in payloads.QUOTE_FIELDS])
-    day = F.col("dt")
-    bad = day.isin(*[F.lit(d).cast("date") for d in fx.NO_SEED_DAYS])
+    bad = F.col("dt").isin(*[F.lit(d).cast("date") for d in fx.NO_SEED_DAYS])
     p = (r.groupBy("symbol", "dt")
           .agg(F.to_json(F.struct(F.collect_list(item).alias("values"))).alias("payload"))
           .withColumn("payload", F.when(bad, F.lit('{"status": "error"}'))
                       .otherwise(F.col("payload"))))
-    return payloads.explode_quotes(p, "payload", "symbol", "yfinance")
+    fetched = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    q = payloads.explode_quotes(p, "payload", "symbol", "yfinance", keep=["dt"],
+                                fetched_at=fetched)
+    lost = payloads.rejected_quotes(p, "payload").select("dt", "symbol", F.lit("rejected")
+                                                         .alias("kind"))
+    return q.withColumn("kind", F.lit("quote")).unionByName(lost, allowMissingColumns=True)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numeric import nan_to_null
+from ..operators import candles as cdl
 from ..operators import pairing, reports
 from ..operators import quality as qr
+from ..session import scratch_path
 from . import fixtures as fx
 from . import models
 from . import oracle as o
@@ -15,29 +17,37 @@ from .registry import FEATURE_CTES, features, register
 R = o.ROUND
 
 
-def fsql(select: str, seed: str = "previous_day", max_lag: int = 5, warmup: bool = True) -> str:
-    return o.with_(*FEATURE_CTES, o.features_sql(seed=seed, max_lag=max_lag, warmup=warmup)) + select
+def fsql(select: str, seed: str = "previous_day", max_lag: int = 5, warmup: bool = True,
+         ref_name: str = "ref") -> str:
+    return o.with_(*FEATURE_CTES, o.features_sql(seed=seed, max_lag=max_lag, warmup=warmup,
+                                                 ref_name=ref_name)) + select
 
 
 # --- F5 variants, D2, D3 ---------------------------------------------------------
 
-@register("locf_intraday", fsql("SELECT * FROM features", seed="none"))
+@register("locf_intraday", fsql("SELECT * FROM features", seed="none", ref_name="sref"))
 def q_locf_intraday(spark, sf_dir):
     """Carry forward within the day only (no seed)."""
-    return features(spark, sf_dir, seed="none")
+    return features(spark, sf_dir, seed="none", scenario=True)
 
 
-@register("locf_last_known", fsql("SELECT * FROM features", seed="last_known"))
+@register("locf_last_known", fsql("SELECT * FROM features", seed="last_known",
+                                   ref_name="sref"))
 def q_locf_last_known(spark, sf_dir):
-    """Carry the last known ref value over the whole history."""
-    return features(spark, sf_dir, seed="last_known")
+    """Carry the last known ref value over the whole history, from stored
+    candle layers: each series is aggregated from its ticks once."""
+    base, ref = (models.materialize(df, f"candles_{n}", kind="table") for n, df in
+                 (("base", fx.base_candles(spark, sf_dir)),
+                  ("ref", fx.scenario_ref(fx.ref_candles(spark, sf_dir)))))
+    return pairing.lead_lag_features(base, ref, max_lag=5, seed="last_known")
 
 
 LOCF_COLS = ("execution_date, ts_minute_utc, ref_close, ref_volume, ref_high, ref_low, "
              "ref_market_open")
 
 
-@register("locf_seeded", fsql(f"SELECT {LOCF_COLS} FROM features", max_lag=1, warmup=False))
+@register("locf_seeded", fsql(f"SELECT {LOCF_COLS} FROM features", max_lag=1, warmup=False,
+                               ref_name="sref"))
 def q_locf_seeded(spark, sf_dir):
     """Seeded LOCF of the ref columns on every base minute (no warm-up drop)."""
     base, ref = fx.base_candles(spark, sf_dir), fx.scenario_ref(fx.ref_candles(spark, sf_dir))
@@ -66,12 +76,12 @@ SELECT f.execution_date, h.execution_date IS NOT NULL AS has_ref, count(*) AS n_
        CAST(count_if(ref_market_open) AS BIGINT) AS market_open_rows,
        min(ref_close) AS min_ref_close, max(ref_close) AS max_ref_close
 FROM features f LEFT JOIN refdays h ON h.execution_date = f.execution_date
-GROUP BY f.execution_date, h.execution_date IS NOT NULL"""))
+GROUP BY f.execution_date, h.execution_date IS NOT NULL""", ref_name="sref"))
 def q_features_ref_absent(spark, sf_dir):
     """Per day: does the ref series have rows, and what the feature table
     holds for it (seed constants and NULL lag/return on absent days)."""
     ref = fx.scenario_ref(fx.ref_candles(spark, sf_dir))
-    f = features(spark, sf_dir)
+    f = features(spark, sf_dir, scenario=True)
     refdays = ref.select("execution_date").distinct().withColumn("has_ref", F.lit(True))
     return (f.join(refdays, "execution_date", "left")
              .groupBy("execution_date", F.coalesce("has_ref", F.lit(False)).alias("has_ref"))
@@ -125,21 +135,81 @@ def q_aligned_market_open(spark, sf_dir):
     return models.aligned(stg, "market_open")
 
 
-@register("enriched_mart", fsql(f"""
-, aln AS (SELECT {STG_COLS} FROM features WHERE ref_close IS NOT NULL)
-SELECT ts_minute_utc, dt, base_high, base_low, base_close, base_volume,
+ENRICHED_SELECT = """SELECT ts_minute_utc, dt, base_high, base_low, base_close, base_volume,
        ref_high, ref_low, ref_close, ref_volume,
        coalesce(base_close_lag_1, lag(base_close, 1) OVER w) AS base_close_lag_1,
        coalesce(base_close_lead_1, lead(base_close, 1) OVER w) AS base_close_lead_1,
        coalesce(ref_close_lag_1, lag(ref_close, 1) OVER w) AS ref_close_lag_1,
        coalesce(ref_close_lead_1, lead(ref_close, 1) OVER w) AS ref_close_lead_1
-FROM aln WINDOW w AS (ORDER BY ts_minute_utc)"""), dates=("dt",))
+FROM aln WINDOW w AS (ORDER BY ts_minute_utc)"""
+
+
+@register("enriched_mart", fsql(f"""
+, aln AS (SELECT {STG_COLS} FROM features WHERE ref_close IS NOT NULL)
+{ENRICHED_SELECT}"""), dates=("dt",))
 def q_enriched_mart(spark, sf_dir):
     """Aligned rows with lag/lead(1) refilled over the whole history, the
-    chain staging (view) -> aligned (view) -> enriched (table)."""
+    chain staging (view) -> aligned (stored once, read for the rows and for
+    their day edges) -> enriched."""
     stg = models.materialize(models.staging(features(spark, sf_dir)), "stg_features")
-    aln = models.materialize(models.aligned(stg), "mart_aligned")
-    return models.materialize(models.enriched(aln), "mart_enriched", kind="table")
+    aln = models.materialize(models.aligned(stg), "mart_aligned", kind="table")
+    return models.enriched(aln)
+
+
+PAIRS = {"all": "TRUE", "odd": "event_id % 2 = 1"}
+
+
+def _pair_sql(name: str, where: str) -> str:
+    """The enriched mart of one pair alone."""
+    ticks = f"pticks AS (SELECT * FROM ticks WHERE {where})"
+    base = o.candles_cte("base", "pticks", "ALL")
+    ref = o.candles_cte("ref", "pticks", "REF",
+                        f"event_type = 'purchase' AND {o.in_session()}", metrics="ref")
+    return f"""SELECT '{name}' AS pair, * FROM ({o.with_(o.TICKS, ticks, base, ref, o.features_sql())}
+, aln AS (SELECT {STG_COLS} FROM features WHERE ref_close IS NOT NULL)
+{ENRICHED_SELECT})"""
+
+
+def _pair_features(spark, sf_dir):
+    t = fx.ticks(spark, sf_dir)
+    parts = [t.where(where).withColumn("pair", F.lit(name)) for name, where in PAIRS.items()]
+    rows = parts[0].unionByName(parts[1])
+    purchase = (F.col("event_type") == "purchase") & fx.in_session()
+
+    def candles(ticks):
+        return cdl.candle_metrics(cdl.to_candles(ticks, symbol="pair", order=fx.TICK_ORDER)
+                                  .withColumnRenamed("symbol", "pair"))
+
+    return pairing.lead_lag_features(candles(rows), candles(rows.where(purchase)), by=["pair"])
+
+
+@register("enriched_mart_pairs", "\nUNION ALL\n".join(_pair_sql(*p) for p in PAIRS.items()),
+          dates=("dt",))
+def q_enriched_mart_pairs(spark, sf_dir):
+    """Two pairs in one feature table: neighbours never cross pairs."""
+    f = _pair_features(spark, sf_dir)
+    aln = models.materialize(models.aligned(models.staging(f, by=["pair"])), "mart_aligned_pairs",
+                             kind="table")
+    return models.enriched(aln, by=["pair"])
+
+
+@register("daily_correlation_pairs", "\nUNION ALL\n".join(f"""
+SELECT '{name}' AS pair, * FROM ({o.with_(o.TICKS, f"pticks AS (SELECT * FROM ticks WHERE {where})",
+  o.candles_cte("base", "pticks", "ALL"),
+  o.candles_cte("ref", "pticks", "REF", f"event_type = 'purchase' AND {o.in_session()}", metrics="ref"),
+  o.features_sql())}
+SELECT execution_date, count(*) AS record_count,
+       round(CASE WHEN stddev_samp(base_return_1m) * stddev_samp(ref_return_1m) <> 0
+                  THEN covar_samp(base_return_1m, ref_return_1m)
+                       / (stddev_samp(base_return_1m) * stddev_samp(ref_return_1m)) END, {R})
+         AS correlation_1m
+FROM features WHERE base_return_1m IS NOT NULL AND ref_return_1m IS NOT NULL
+GROUP BY execution_date)""" for name, where in PAIRS.items()))
+def q_daily_correlation_pairs(spark, sf_dir):
+    """Correlations per pair and day."""
+    f = _pair_features(spark, sf_dir)
+    return models.daily_correlation(f, by=["pair"]).select(
+        "pair", "execution_date", "record_count", "correlation_1m")
 
 
 # --- reports --------------------------------------------------------------------
@@ -152,6 +222,18 @@ def q_locf_completeness(spark, sf_dir):
     return reports.locf_completeness(features(spark, sf_dir))
 
 
+AS_OF = "2024-01-05"
+
+
+@register("locf_completeness_as_of", fsql(f"""
+SELECT execution_date, ref_market_open, count(*) AS n_rows, count(ref_close) AS ref_close_non_null,
+       count(*) FILTER (WHERE ref_return_1m IS NULL) AS nulls_return
+FROM features WHERE execution_date = DATE '{AS_OF}' GROUP BY execution_date, ref_market_open"""))
+def q_locf_completeness_as_of(spark, sf_dir):
+    """The validation query of one day."""
+    return reports.locf_completeness(features(spark, sf_dir), as_of=AS_OF)
+
+
 QUAD = f"""CASE WHEN base_return_1m > 0 AND ref_return_1m > 0 THEN 'both_up'
             WHEN base_return_1m < 0 AND ref_return_1m < 0 THEN 'both_down'
             ELSE 'divergence' END"""
@@ -278,36 +360,54 @@ def q_nan_to_null(spark, sf_dir):
     return nan_to_null(with_nan)
 
 
-QUALITY_NOT_NULL = ["ts_minute_utc", "dt", "base_close", "base_high", "base_low",
-                    "base_volume", "ref_close", "ref_high", "ref_low", "ref_volume",
-                    "base_return_1m"]
-
-
-@register("quality_report", fsql("""
-, stg AS (SELECT ts_minute_utc, execution_date AS dt, * EXCLUDE (ts_minute_utc, execution_date)
-          FROM features)
-SELECT rule, column_name, violations FROM (
-  SELECT 'not_null' AS rule, c AS column_name, n AS violations FROM (
-    UNPIVOT (SELECT """ + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in QUALITY_NOT_NULL)
-    + """ FROM stg) ON """ + ", ".join(QUALITY_NOT_NULL) + """ INTO NAME c VALUE n)
-  UNION ALL SELECT 'positive', 'base_close', CAST(count_if(base_close <= 0) AS BIGINT) FROM stg
-  UNION ALL SELECT 'positive', 'base_volume', CAST(count_if(base_volume <= 0) AS BIGINT) FROM stg
-  UNION ALL SELECT 'high_ge_low', 'base_high,base_low', CAST(count_if(base_high < base_low) AS BIGINT) FROM stg
-  UNION ALL SELECT 'high_ge_low', 'ref_high,ref_low', CAST(count_if(ref_high < ref_low) AS BIGINT) FROM stg
-  UNION ALL SELECT 'unique', 'ts_minute_utc,dt',
-         CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (
-           SELECT count(*) AS n FROM stg GROUP BY ts_minute_utc, dt HAVING count(*) > 1)
-  UNION ALL SELECT 'strictly_increasing', 'ts_minute_utc', CAST(count_if(p >= ts_minute_utc) AS BIGINT) FROM (
-           SELECT ts_minute_utc, lag(ts_minute_utc) OVER (PARTITION BY dt ORDER BY ts_minute_utc) AS p
-           FROM stg)
-  UNION ALL SELECT 'required_column', 'ref_market_open', 1)"""), dates=())
+def _nulls_sql(model: str, cols) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{model}' AS model, 'not_null' AS rule, '{c}' AS column_name, "
+        f"CAST(count_if({c} IS NULL) AS BIGINT) AS violations FROM {model}" for c in cols)
+
+
+def _unique_sql(model: str, key: str, label: str | None = None) -> str:
+    return (f"SELECT '{model}', 'unique', '{label or key}', CAST(coalesce(sum(n - 1), 0) AS BIGINT) "
+            f"FROM (SELECT count(*) AS n FROM {model} GROUP BY {key})")
+
+
+NOT_NULL = {m: [c.format(b="base", r="ref") for c in cols]
+            for m, cols in models.DECLARED_NOT_NULL.items()}
+
+
+@register("quality_report", o.with_(*FEATURE_CTES, o.overlap_cte("candles", "base_c"),
+                                    o.features_sql()) + f"""
+, staging AS (SELECT {STG_COLS} FROM features),
+aligned AS (SELECT * FROM staging WHERE ref_close IS NOT NULL),
+aln AS (SELECT * FROM aligned),
+enriched AS ({ENRICHED_SELECT}),
+ordered AS (SELECT *, lag(ts_minute_utc) OVER (PARTITION BY symbol, execution_date
+                                               ORDER BY ingested_at_utc, ts_minute_utc) AS prev
+            FROM candles)
+""" + "\nUNION ALL ".join([*(_nulls_sql(m, c) for m, c in NOT_NULL.items()),
+                            *(_unique_sql(m, "dt, ts_minute_utc", "dt,ts_minute_utc")
+                              for m in NOT_NULL)]) + """
+UNION ALL SELECT 'candles', 'positive', 'close', CAST(count_if(close <= 0) AS BIGINT) FROM candles
+UNION ALL SELECT 'candles', 'positive', 'volume', CAST(count_if(volume <= 0) AS BIGINT) FROM candles
+UNION ALL SELECT 'candles', 'high_ge_low', 'high,low', CAST(count_if(high < low) AS BIGINT) FROM candles
+UNION ALL SELECT 'candles', 'accepted_values', 'symbol', CAST(count_if(symbol NOT IN ('ALL')) AS BIGINT)
+  FROM candles
+UNION ALL SELECT 'candles', 'strictly_increasing', 'ts_minute_utc',
+  CAST(count_if(prev >= ts_minute_utc) AS BIGINT) FROM ordered
+UNION ALL """ + _unique_sql("candles", "symbol, execution_date, ts_minute_utc",
+                            "symbol,execution_date,ts_minute_utc") + """
+UNION ALL SELECT 'candles', 'required_column', 'trades', 0
+UNION ALL SELECT 'candles', 'required_column', 'source', 1""", dates=())
 def q_quality_report(spark, sf_dir):
-    """Expectations of the staging and mart models in one report."""
-    f = features(spark, sf_dir)
-    stg = models.staging(f)
-    rules = [qr.not_null(c) for c in QUALITY_NOT_NULL]
-    rules += [qr.positive("base_close"), qr.positive("base_volume"),
-              qr.ordered_pair("base_high", "base_low"), qr.ordered_pair("ref_high", "ref_low")]
-    return qr.expectations(stg, rules, unique_key=["ts_minute_utc", "dt"],
-                           order_by="ts_minute_utc", order_within=["dt"],
-                           required=["ref_market_open"])
+    """The declared rules of the three stored models, and the checks of the
+    landed candles with their overlapping pulls: a re-fetched minute arrives
+    behind later ones, which the order and the uniqueness rule count."""
+    built = models.build_models(features(spark, sf_dir), scratch_path(spark, "models"))
+    declared = models.check_models(built)
+    c = fx.overlapping_pulls(fx.base_candles(spark, sf_dir, metrics=False))
+    return declared.unionByName(qr.expectations(
+        c, [qr.positive("close"), qr.positive("volume"), qr.ordered_pair("high", "low"),
+            qr.accepted_values("symbol", ["ALL"])],
+        unique_key=["symbol", "execution_date", "ts_minute_utc"], order_by="ts_minute_utc",
+        order_within=["symbol", "execution_date"], arrival="ingested_at_utc",
+        required=["trades", "source"], model="candles"))

@@ -35,44 +35,44 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(sink).select(*SCAN_COLS)
 
 
+LATE_MINUTE = 17  # stream_dedup: minutes divisible by this arrive with the second run
+
+
 @register("stream_dedup", o.with_(o.TICKS, BASE_RAW) + """
 SELECT ts_minute_utc, symbol, close, ingested_at_utc, execution_date AS dt FROM base_c""",
           dates=("dt",))
 def q_stream_dedup(spark, sf_dir):
-    """A full pull, then the re-fetched candles in a later run of the same
-    stream: the first arrival of each (symbol, minute) is kept."""
-    src, sink, ck = (scratch_path(spark, n) for n in ("dedup-src", "dedup-sink", "dedup-ck"))
+    """Two runs of one stream. The first holds most minutes, the second the
+    re-fetched candles (true duplicates of stored minutes) and minutes of
+    every day that are new: duplicates go, new minutes stay however late."""
+    src, table, ck = (scratch_path(spark, n) for n in ("dedup-src", "dedup-table", "dedup-ck"))
     c = fx.base_candles(spark, sf_dir, metrics=False)
+    late = F.minute("ts_minute_utc") % LATE_MINUTE == 0
     cols = ["ts_minute_utc", "symbol", "close", "ingested_at_utc", "dt"]
 
-    state = streams.stream_session(spark)
-
     def run():
-        def tf(df):
-            return streams.dedup_stream(_typed(df), ["symbol", "ts_minute_utc"],
-                                        delay="10 minutes").select(*cols)
-        streams.ingest_stream(state, src, RAW_WITH_DT, sink, ck, transform=tf).awaitTermination()
+        raw = _typed(spark.readStream.schema(RAW_WITH_DT).json(src)).select(*cols)
+        streams.dedup_stream(raw, ["symbol", "ts_minute_utc"], table, ck).awaitTermination()
 
-    fx.raw_base_records(c).write.mode("append").partitionBy("dt").json(src)
+    fx.raw_base_records(c.where(~late)).write.mode("append").partitionBy("dt").json(src)
     run()
-    fx.raw_base_records(fx.refetched(c)).write.mode("append").partitionBy("dt").json(src)
+    fx.raw_base_records(fx.refetched(c).unionByName(c.where(late))) \
+        .write.mode("append").partitionBy("dt").json(src)
     run()
-    return spark.read.parquet(sink).select(*cols)
+    return spark.read.parquet(table).select(*cols)
 
 
 @register("stream_rollup", o.with_(o.TICKS, BASE_RAW) + """
 SELECT symbol, ts_minute_utc, execution_date, open, high, low, close, volume, trades
 FROM base_c""")
 def q_stream_rollup(spark, sf_dir):
-    """The events table as a tick stream rolled up into one-minute candles
-    (update mode, candles upserted per micro-batch)."""
-    table, ck = scratch_path(spark, "rollup-table"), scratch_path(spark, "rollup-ck")
-    ev_schema = fx.table(spark, sf_dir, "events").schema
-    ev = (streams.stream_session(spark).readStream.schema(ev_schema)
-          .option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/")))
-    ticks = ev.select(F.lit("ALL").alias("symbol"), "ts", F.col("value").alias("price"),
-                      F.get_json_object("props", "$.k").try_cast("bigint").alias("size"))
-    streams.rollup_stream(ticks, table, ck, delay="10 minutes").awaitTermination()
+    """The events as a tick stream of several micro-batches, each with ticks
+    of the whole month: every batch but the first brings late ticks."""
+    src, table, ck = (scratch_path(spark, n) for n in ("tick-src", "rollup-table", "rollup-ck"))
+    t = fx.ticks(spark, sf_dir).withColumn("symbol", F.lit("ALL"))
+    t.repartition(3, "event_id").write.parquet(src)
+    ticks = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    streams.rollup_stream(ticks, table, ck, order=fx.TICK_ORDER).awaitTermination()
     return spark.read.parquet(table).select("symbol", "ts_minute_utc", "execution_date", "open",
                                             "high", "low", "close", "volume", "trades")
 
@@ -80,14 +80,18 @@ def q_stream_rollup(spark, sf_dir):
 @register("stream_features_upsert",
           o.with_(*FEATURE_CTES, o.features_sql()) + "SELECT * FROM features")
 def q_stream_features_upsert(spark, sf_dir):
-    """Base candles arriving as files over several micro-batches (days
-    split across batches); each batch recomputes its days' features."""
-    src, base_t, feat_t, ck = (scratch_path(spark, n) for n in
-                               ("feat-src", "feat-base", "feat-table", "feat-ck"))
+    """Both candle series arriving as files over several micro-batches (days
+    split across batches, ref files behind base files): the table that the
+    last batch leaves is the batch operator's on all rows."""
+    root, base_t, ref_t, feat_t, ck = (scratch_path(spark, n) for n in (
+        "feat-src", "feat-base", "feat-ref", "feat-table", "feat-ck"))
     base = fx.base_candles(spark, sf_dir)
-    base.repartitionByRange(6, "ts_minute_utc").write.json(src)
-    ref = fx.scenario_ref(fx.ref_candles(spark, sf_dir))
-    stream = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 2).json(src)
-    streams.features_stream(stream, ref, base_t, feat_t, ck).awaitTermination()
+    ref = fx.ref_candles(spark, sf_dir)
+    base.repartitionByRange(4, "ts_minute_utc").write.parquet(f"{root}/base")
+    ref.repartitionByRange(2, "ts_minute_utc").write.parquet(f"{root}/ref")
+    stream = lambda df, n, k: (spark.readStream.schema(df.schema)
+                               .option("maxFilesPerTrigger", k).parquet(f"{root}/{n}"))
+    streams.features_stream(stream(base, "base", 2), stream(ref, "ref", 1), base_t, ref_t, feat_t,
+                            ck).awaitTermination()
     cols = features(spark, sf_dir).columns
     return spark.read.parquet(feat_t).select(*cols)

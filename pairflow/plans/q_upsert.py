@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.upsert import align_to, insert_new_rows, upsert, upsert_table
+from ..operators.upsert import align_to, insert_new_rows, resolve_key, upsert, upsert_table
 from ..session import scratch_path
 from . import fixtures as fx
 from .registry import register
@@ -88,6 +88,67 @@ def q_upsert_create(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+NULLED = "o_orderkey % 10 = 3"  # rows whose key is lost, on both sides
+
+
+@register("upsert_null_keys", f"""
+WITH t AS (SELECT * REPLACE (CASE WHEN NOT ({NULLED}) THEN o_orderkey END AS o_orderkey)
+           FROM orders WHERE o_orderdate < TIMESTAMP '{fx.TARGET_BEFORE}'),
+b0 AS (SELECT CASE WHEN NOT ({NULLED}) THEN o_orderkey END AS o_orderkey, o_custkey,
+              'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice
+       FROM orders WHERE o_orderdate >= TIMESTAMP '{fx.BATCH_FROM}'),
+b AS (SELECT * FROM b0 QUALIFY row_number() OVER (
+        PARTITION BY o_orderkey ORDER BY o_custkey DESC, o_orderstatus DESC, o_totalprice DESC) = 1)
+SELECT t.o_orderkey, CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_custkey ELSE t.o_custkey END AS o_custkey,
+       CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       t.o_orderdate, t.o_orderpriority
+FROM t LEFT JOIN b ON t.o_orderkey = b.o_orderkey
+UNION ALL
+SELECT b.o_orderkey, o_custkey, o_orderstatus, o_totalprice, NULL, NULL FROM b
+WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = b.o_orderkey)""", dates=())
+def q_upsert_null_keys(spark, sf_dir):
+    """A tenth of the keys are NULL on both sides: target rows without a key
+    stay, the batch's are one group and are inserted."""
+    key = F.when(~F.expr(NULLED), F.col("o_orderkey"))
+    target = fx.orders_target(spark, sf_dir).withColumn("o_orderkey", key)
+    batch = (fx.orders_batch(spark, sf_dir).where("version = 1").drop("version")
+             .withColumn("o_orderkey", key))
+    return upsert(target, batch, ["o_orderkey"])
+
+
+MOVED_YEAR = 1992  # all its orders move, so its partition ends empty
+
+
+@register("upsert_moved", f"""
+SELECT o_orderkey, o_custkey, CASE WHEN moved THEN 'M' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, CAST(o_year + CASE WHEN moved THEN 1 ELSE 0 END AS INTEGER) AS o_year
+FROM (SELECT *, year(o_orderdate) AS o_year,
+             year(o_orderdate) = {MOVED_YEAR} OR o_orderkey % 5 = 0 AS moved FROM orders)""",
+          dates=())
+def q_upsert_moved(spark, sf_dir):
+    """A batch that gives known keys another partition value: the rows move,
+    none is left behind, and the partition that empties is gone."""
+    path = scratch_path(spark, "orders-moved")
+    o_ = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.year("o_orderdate").alias("o_year"))
+    upsert_table(spark, path, o_, ["o_orderkey"], "o_year")
+    batch = o_.where((F.col("o_year") == MOVED_YEAR) | (F.col("o_orderkey") % 5 == 0)).withColumns(
+        {"o_orderstatus": F.lit("M"), "o_year": F.col("o_year") + 1})
+    upsert_table(spark, path, batch, ["o_orderkey"], "o_year")
+    return spark.read.parquet(path)
+
+
+@register("upsert_resolved_key", ORDERS_SQL + UPDATED.format(extra=""), dates=())
+def q_upsert_resolved_key(spark, sf_dir):
+    """The key is the first declared one whose columns the batch carries: the
+    primary key is missing in it, the second unique key is not."""
+    batch = fx.orders_batch(spark, sf_dir)
+    key = resolve_key([["o_rowid"], ["o_orderkey", "o_orderdate"], ["o_orderkey"]], batch.columns)
+    return upsert(fx.orders_target(spark, sf_dir), batch, key, order=["version"])
+
+
 @register("align_to_target", """
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""",
           dates=())

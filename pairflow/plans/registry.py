@@ -62,7 +62,9 @@ def present_dates(sql: str, dates: tuple[str, ...]) -> str:
 # --- shared derivations -------------------------------------------------------
 
 def features(spark: SparkSession, sf_dir: str, seed: str = "previous_day",
-             scenario: bool = True) -> DataFrame:
+             scenario: bool = False) -> DataFrame:
+    """The feature table over the whole events table; ``scenario`` replaces
+    the ref series by the one with the calendar's edge cases."""
     base = fx.base_candles(spark, sf_dir)
     ref = fx.ref_candles(spark, sf_dir)
     if scenario:
@@ -73,7 +75,7 @@ def features(spark: SparkSession, sf_dir: str, seed: str = "previous_day",
 FEATURE_CTES = [o.TICKS, o.BASE, o.REF, o.SCENARIO_REF]
 
 
-def feat_sql(select: str, seed: str = "previous_day", ref_name: str = "sref",
+def feat_sql(select: str, seed: str = "previous_day", ref_name: str = "ref",
              extra: tuple[str, ...] = ()) -> str:
     return o.with_(*FEATURE_CTES, o.features_sql(ref_name=ref_name, seed=seed), *extra) + select
 
@@ -100,6 +102,19 @@ def q_candle_metrics(spark, sf_dir):
                     "price_change", "price_change_pct", "is_bullish")
 
 
+@register("candle_ties", o.with_(o.TICKS, """tticks AS (
+  SELECT event_id, date_trunc('hour', ts) AS ts, event_type, price, size FROM ticks)""",
+                                 o.candles_cte("tied", "tticks", "ALL", metrics=None)) + """
+SELECT symbol, ts_minute_utc, execution_date, open, high, low, close, volume, trades
+FROM tied""")
+def q_candle_ties(spark, sf_dir):
+    """Ticks of an hour that all carry the hour's timestamp: the event id
+    alone decides open and close."""
+    t = fx.ticks(spark, sf_dir)
+    hour = F.timestamp_add("HOUR", F.hour("ts"), F.col("ts").cast("date").cast("timestamp_ntz"))
+    return cdl.to_candles(t.withColumn("ts", hour), symbol="ALL", order=fx.TICK_ORDER)
+
+
 # --- D1: pair join --------------------------------------------------------------
 
 @register("pair_join", o.with_(o.TICKS, o.BASE, o.REF) + """
@@ -113,6 +128,30 @@ def q_pair_join(spark, sf_dir):
     return pairing.pair_join(fx.base_candles(spark, sf_dir), fx.ref_candles(spark, sf_dir))
 
 
+def _twice(c):
+    """Every candle, and those of even minutes again with another close."""
+    again = c.where(F.minute("ts_minute_utc") % 2 == 0).withColumns(
+        {"close": F.col("close") + 0.25, "volume": F.col("volume") + 1.0})
+    return c.unionByName(again)
+
+
+@register("pair_join_duplicates", o.with_(o.TICKS, o.BASE, o.REF, *[f"""{n}2 AS (
+  SELECT * FROM {n} UNION ALL
+  SELECT * REPLACE (close + 0.25 AS close, volume + 1.0 AS volume) FROM {n}
+  WHERE minute(ts_minute_utc) % 2 = 0)""" for n in ("base", "ref")]) + """
+SELECT b.execution_date, b.ts_minute_utc, b.close AS base_close, b.volume AS base_volume,
+       r.close AS ref_close, r.volume AS ref_volume, r.close IS NOT NULL AS ref_market_open
+FROM base2 b LEFT JOIN ref2 r
+  ON r.execution_date = b.execution_date AND r.ts_minute_utc = b.ts_minute_utc""")
+def q_pair_join_duplicates(spark, sf_dir):
+    """Repeated minutes on both sides: every pair of rows of a minute stays,
+    and no row mixes the columns of two."""
+    j = pairing.pair_join(_twice(fx.base_candles(spark, sf_dir)),
+                          _twice(fx.ref_candles(spark, sf_dir)))
+    return j.select("execution_date", "ts_minute_utc", "base_close", "base_volume", "ref_close",
+                    "ref_volume", "ref_market_open")
+
+
 # --- F1-F6, D2, D3, C12: the feature table -------------------------------------
 
 @register("lead_lag_features", feat_sql("SELECT * FROM features"))
@@ -141,4 +180,4 @@ def q_daily_correlation(spark, sf_dir):
 
 
 # Themed query modules register themselves on import.
-from . import q_io, q_models, q_stream, q_upsert  # noqa: E402,F401
+from . import q_io, q_jobs, q_models, q_stream, q_upsert, q_volume  # noqa: E402,F401

@@ -81,8 +81,3 @@ def absolute_root(root: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the checkpoint root for a written table."""
     return f"{absolute_root(checkpoint_root(spark))}/pairflow/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (used only by tests that inspect files)."""
-    return path[5:] if path.startswith("file:") else path

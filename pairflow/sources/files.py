@@ -2,13 +2,13 @@
 Parquet layers partitioned by day, and mixed-format folders.
 
 Every reader takes an explicit schema, so no inference job runs. Format
-detection lists file *names* through the Hadoop file system of the path
-(any scheme the cluster supports), never the driver's local disk.
+detection reads file *names* through Spark's file index (any scheme the
+cluster supports), day by day, and opens no file for it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,58 +19,71 @@ from .. import schemas
 FORMAT_PRECEDENCE = ("json", "jsonl", "csv")
 
 
-def _fs_files(spark: SparkSession, path: str) -> Iterable[str]:
-    """File names under ``path`` (recursive), via the Hadoop FileSystem."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        yield it.next().getPath().getName()
-
-
-def detect_format(spark: SparkSession, path: str,
-                  precedence: Sequence[str] = FORMAT_PRECEDENCE) -> str | None:
-    """First format of ``precedence`` that has a file under ``path``.
-
-    Meant for landing folders (a day's pulls); the listing stops at the
-    first file of the preferred format."""
-    seen = set()
-    for name in _fs_files(spark, path):
-        ext = name.rsplit(".", 1)[-1].lower() if "." in name else ""
-        if ext in precedence:
-            seen.add(ext)
-            if ext == precedence[0]:
-                break
-    for fmt in precedence:
-        if fmt in seen:
-            return fmt
-    return None
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_candles(spark: SparkSession, path: str, fmt: str = "auto",
-                 schema: T.StructType = schemas.RAW_BASE_CANDLE) -> DataFrame:
-    """Read landed candles: ``json`` (files holding one JSON array),
-    ``jsonl`` (one object per line), ``csv`` (with header) or ``auto``
-    (json > jsonl > csv by the files present). Day folders ``dt=…`` become a
-    ``dt`` column by partition discovery."""
-    if fmt == "auto":
-        fmt = detect_format(spark, path)
-        if fmt is None:
-            raise FileNotFoundError(
-                f"no raw input under {path}; expected one of "
-                + ", ".join(f"{path}/**/*.{e}" for e in FORMAT_PRECEDENCE))
-    r = spark.read.schema(schema)
+def _landed(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
+    r = spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}")
     if fmt == "json":
-        return r.option("multiLine", True).option("pathGlobFilter", "*.json").json(path)
+        return r.option("multiLine", True).json(path)
     if fmt == "jsonl":
-        return r.option("pathGlobFilter", "*.jsonl").json(path)
-    if fmt == "csv":
-        return r.option("header", True).option("pathGlobFilter", "*.csv").csv(path)
-    raise ValueError(f"unknown format {fmt}")
+        return r.json(path)
+    return r.option("header", True).csv(path)
+
+
+def landed_formats(spark: SparkSession, path: str,
+                   precedence: Sequence[str] = FORMAT_PRECEDENCE,
+                   day_col: str = "dt") -> dict[str, str]:
+    """The format of each landed day: the first of ``precedence`` that has a
+    file in the day's ``dt=`` folder ("" stands for files outside any).
+
+    The file names come from Spark's own file index, which lists folders in
+    parallel; a row per day and format reaches the driver, no file is opened.
+    """
+    names = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+             .select(F.regexp_extract("path", rf"/{day_col}=([^/]+)/", 1).alias("day"),
+                     F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("fmt"))
+             .where(F.col("fmt").isin(list(precedence))).distinct().collect())
+    best: dict[str, str] = {}
+    for r in names:
+        have = best.get(r["day"])
+        if have is None or precedence.index(r["fmt"]) < precedence.index(have):
+            best[r["day"]] = r["fmt"]
+    return best
+
+
+def read_candles(spark: SparkSession, path: str, fmt: str = "auto",
+                 schema: T.StructType = schemas.RAW_BASE_CANDLE,
+                 days: Sequence[str] | None = None, day_col: str = "dt") -> DataFrame:
+    """Read landed candles: ``json`` (files holding one JSON array),
+    ``jsonl`` (one object per line), ``csv`` (with header) or ``auto``.
+
+    ``auto`` settles the format of each ``dt=`` folder by itself (json >
+    jsonl > csv by the files present) and unions the days. Day folders become
+    a ``dt`` column by partition discovery. Every day of ``days`` must have
+    input of the format: missing days raise, as does an empty tree."""
+    if fmt != "auto" and fmt not in FORMAT_PRECEDENCE:
+        raise ValueError(f"unknown format {fmt}")
+    wanted = FORMAT_PRECEDENCE if fmt == "auto" else (fmt,)
+    best = landed_formats(spark, path, wanted, day_col) if path_exists(spark, path) else {}
+    if not best:
+        raise FileNotFoundError(f"no raw input under {path}; expected one of "
+                                + ", ".join(f"{path}/**/*.{e}" for e in wanted))
+    missing = sorted(set(map(str, days or ())) - set(best))
+    if missing:
+        raise FileNotFoundError(f"no raw input under {path} for {', '.join(missing)}")
+    out = None
+    for f in dict.fromkeys(best[d] for d in sorted(best)):
+        part = _landed(spark, path, f, schema)
+        if day_col in part.columns:
+            own = [d for d in best if best[d] == f and (days is None or d in days)]
+            if not own:
+                continue
+            part = part.where(F.col(day_col).isin([F.lit(d).cast("date") for d in own]))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def read_layer(spark: SparkSession, base: str, days: Sequence[str] | None = None,
@@ -80,12 +93,10 @@ def read_layer(spark: SparkSession, base: str, days: Sequence[str] | None = None
     (the filter reaches the file index as a PartitionFilter).
 
     A missing optional layer (``required=False``) is an empty frame of
-    ``schema``; a missing required one raises.
+    ``schema``; a missing required one raises, and so does a required day
+    without a partition.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    if not exists:
+    if not path_exists(spark, base):
         if required or schema is None:
             raise FileNotFoundError(f"layer not found: {base}")
         return spark.createDataFrame([], schema)
@@ -94,7 +105,13 @@ def read_layer(spark: SparkSession, base: str, days: Sequence[str] | None = None
         r = r.schema(schema)
     df = r.parquet(base)
     if days is not None:
-        df = df.where(F.col(day_col).isin([F.lit(d).cast("date") for d in days]))
+        asked = F.col(day_col).isin([F.lit(d).cast("date") for d in days])
+        if required:
+            have = {str(r[0]) for r in df.where(asked).select(day_col).distinct().collect()}
+            missing = sorted(set(map(str, days)) - have)
+            if missing:
+                raise FileNotFoundError(f"layer {base} has no day {', '.join(missing)}")
+        df = df.where(asked)
     return df
 
 
@@ -106,8 +123,7 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType,
     No driver-side listing: each format's reader selects its files with a
     glob filter (Spark's file index lists the folder, in parallel for many
     sub-folders), and a format without files reads as empty."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     out = None
     for fmt in formats:

@@ -53,19 +53,23 @@ QUOTE_PAYLOAD = ("struct<values: array<struct<datetime: string, open: string, hi
 
 
 def explode_quotes(df: DataFrame, payload_col: str, symbol, source: str,
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), fetched_at: Column | None = None) -> DataFrame:
     """``{"values": [{"datetime", "open", …}, …]}`` to typed rows with a
-    source tag; payloads without ``values`` yield no rows (see
-    ``rejected_quotes``)."""
+    source tag and, on request, the time of the fetch (a column of ``df``, or
+    ``current_timestamp()`` for a live pull); payloads without ``values``
+    yield no rows (see ``rejected_quotes``)."""
     sym = F.col(symbol) if isinstance(symbol, str) and symbol in df.columns else F.lit(symbol)
-    parsed = df.select(*keep, sym.alias("_sym"),
+    fetched = [] if fetched_at is None else [fetched_at.alias("fetched_at")]
+    names = [*keep, "_sym", *(["fetched_at"] if fetched else [])]
+    parsed = df.select(*keep, sym.alias("_sym"), *fetched,
                        F.from_json(F.col(payload_col), QUOTE_PAYLOAD).alias("_p"))
-    x = parsed.select(*keep, "_sym", F.explode("_p.values").alias("_q"))
+    x = parsed.select(*names, F.explode("_p.values").alias("_q"))
     dt = parse_ts(F.col("_q.datetime"))
     return x.select(*keep, dt.alias("datetime"),
                     *[F.col(f"_q.{c}").try_cast("double").alias(c)
                       for c in QUOTE_FIELDS if c != "datetime"],
-                    F.col("_sym").alias("symbol"), F.lit(source).alias("source"))
+                    F.col("_sym").alias("symbol"), F.lit(source).alias("source"),
+                    *(["fetched_at"] if fetched else []))
 
 
 def rejected_quotes(df: DataFrame, payload_col: str) -> DataFrame:

@@ -10,6 +10,7 @@ ledger is keyed, so a retried day replaces itself instead of duplicating.
 
 from __future__ import annotations
 
+import logging
 import os
 from collections.abc import Callable, Mapping, Sequence
 
@@ -17,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
+MAX_ARRAY_ROWS = 100_000  # rows of one JSON array file
+
 
 def write_layer(df: DataFrame, base: str, partition_col: str = "dt",
                 sort_col: str | None = "ts_minute_utc", mode: str = "overwrite",
@@ -25,10 +30,11 @@ def write_layer(df: DataFrame, base: str, partition_col: str = "dt",
 
     ``mode="overwrite"`` replaces only the partitions present in ``df``
     (dynamic partition overwrite, set on this write only; the session
-    default ``static`` would delete every other day). No repartition by
-    day: a hot day is written by all the tasks holding it, not by one.
+    default ``static`` would delete every other day). A rebalance by day
+    gathers each day's rows into few files and lets adaptive execution split
+    a hot day over several tasks, so files do not multiply as tasks x days.
     """
-    w = df
+    w = df.hint("rebalance", partition_col)
     if sort_col and sort_col in df.columns:
         w = w.sortWithinPartitions(partition_col, sort_col)
     writer = w.write.mode(mode).partitionBy(partition_col)
@@ -44,44 +50,43 @@ def append_raw(df: DataFrame, base: str, partition_col: str = "dt", fmt: str = "
     df.write.mode("append").partitionBy(partition_col).format(fmt).save(base)
 
 
+def _write_lines(df: DataFrame, base: str, partition_col: str, extension: str) -> None:
+    """Write ``value`` as text lines into files of the given extension, which
+    readers select files by. Only the CSV writer names its files freely; JSON
+    text holds no control character, so U+0001 never separates anything."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .options(extension=extension, sep="\u0001", quote="", header="false", escapeQuotes="false",
+                ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+       .partitionBy(partition_col).csv(base))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table or partition folder that the caller has replaced."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_json_arrays(df: DataFrame, base: str, group_cols: Sequence[str],
                       partition_col: str = "dt", sort_col: str = "ts_minute_utc") -> None:
     """Land each group (e.g. one symbol-day pull) as one file holding a JSON
     array, the shape of an exchange REST response. Groups must be bounded
-    (a pull or a day of one-minute candles); use JSON lines otherwise."""
+    (a pull or a day of one-minute candles): a group of more than
+    ``MAX_ARRAY_ROWS`` rows fails the write; use JSON lines for such."""
     cols = [c for c in df.columns if c != partition_col]
     arr = (df.groupBy(*group_cols, partition_col)
              .agg(F.sort_array(F.collect_list(F.struct(F.col(sort_col).alias("_k"),
                                                        F.struct(*cols).alias("_v")))).alias("_a"))
+             .withColumn("_a", F.when(F.size("_a") <= MAX_ARRAY_ROWS, F.col("_a")).otherwise(
+                 F.raise_error(F.lit("group too large for one JSON array"))))
              .select(partition_col, F.to_json(F.col("_a._v")).alias("value")))
-    (arr.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col).text(base))
-    _rename_parts(df.sparkSession, base, ".txt", ".json")
+    _write_lines(arr, base, partition_col, "json")
 
 
 def write_json_lines(df: DataFrame, base: str, partition_col: str = "dt") -> None:
     """Land records as JSON lines files named ``*.jsonl``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).json(base))
-    _rename_parts(df.sparkSession, base, ".json", ".jsonl")
-
-
-def _rename_parts(spark: SparkSession, base: str, old: str, new: str) -> None:
-    """Spark names part files by sink format; landing files are selected by
-    extension, so rename in place (a metadata operation on HDFS, a copy on
-    object stores)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(conf)
-    it = fs.listFiles(root, True)
-    todo = []
-    while it.hasNext():
-        p = it.next().getPath()
-        if p.getName().endswith(old):
-            todo.append(p)
-    for p in todo:
-        fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), p.getName()[:-len(old)] + new))
+    cols = [c for c in df.columns if c != partition_col]
+    _write_lines(df.select(partition_col, F.to_json(F.struct(*cols)).alias("value")), base,
+                 partition_col, "jsonl")
 
 
 # --- JDBC with fallback --------------------------------------------------------
@@ -110,15 +115,19 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
     df.write.jdbc(url=url, table=table, mode="append", properties=props)
 
 
-def with_fallback(df: DataFrame, primary: Callable[[DataFrame], None], fallback_path: str) -> str:
+def with_fallback(df: DataFrame, primary: Callable[[DataFrame], None],
+                  fallback_path: str) -> tuple[str, Exception | None]:
     """Run ``primary(df)``; if it fails, write the rows as CSV (with header)
-    to ``fallback_path``. Returns ``"primary"`` or ``"fallback"``."""
+    to ``fallback_path``. Returns ``("primary", None)`` or ``("fallback", the
+    error)``, and logs the error. A primary that is not atomic may have
+    stored some rows before it failed; whoever loads the spill must upsert."""
     try:
         primary(df)
-        return "primary"
-    except Exception:  # noqa: BLE001 - any sink failure triggers the spill
+        return "primary", None
+    except Exception as error:  # noqa: BLE001 - any sink failure triggers the spill
+        log.warning("primary sink failed, rows go to %s: %s", fallback_path, error)
         df.write.mode("overwrite").option("header", True).csv(fallback_path)
-        return "fallback"
+        return "fallback", error
 
 
 # --- processed-partition ledger -------------------------------------------------

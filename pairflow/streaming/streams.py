@@ -1,26 +1,26 @@
 """Structured Streaming versions of the pipeline stages.
 
-Event time stays TIMESTAMP_NTZ in every output. Watermarks need TIMESTAMP,
-so each stream carries a TIMESTAMP copy of its event time (``_et``) used
-only for the watermark and state eviction; keys and outputs use the NTZ
-value.
+No stage drops late rows: what a stage remembers lies in its tables, not in
+watermarked state, so a row may arrive any time and gives the result that the
+batch operator gives on all rows.
 
 * ``ingest_stream``: new landing files -> typed day-partitioned layer,
   exactly once (file-source log + checkpoint).
 * ``dedup_stream``: overlapping pulls collapse to the first arrival of a
-  (symbol, minute) with state bounded by the watermark.
-* ``rollup_stream``: ticks -> candles with an update-mode aggregation;
-  each micro-batch upserts the changed candles into the candle table, so
-  late ticks inside the watermark correct their candle and the table is
-  exact at any point.
-* ``features_stream``: each micro-batch of new candles upserts the base
-  layer, recomputes the feature table for the days it touched with the
-  batch operator and overwrites those day partitions (row-offset windows
-  are not allowed on streams; per-day recomputation is the correct shape).
-
-Every sink write is idempotent per micro-batch (keyed upsert or dynamic
-partition overwrite), so a batch replayed after a lost executor or driver
-restart does not duplicate rows.
+  (symbol, minute): each micro-batch inserts the keys its days lack.
+* ``rollup_stream``: ticks -> candles. Each micro-batch stores its partial
+  candles under its own number and rebuilds the candles of the days it touched
+  from all partials of those days.
+* ``features_stream``: each micro-batch of new candles of either series
+  upserts its layer, recomputes the feature table for the days that it can
+  change with the batch operator and overwrites those day partitions
+  (row-offset windows are not allowed on streams; per-day recomputation is the
+  correct shape).
+
+Replaying a micro-batch after a lost executor or a driver restart gives the
+same tables: inserts and upserts are keyed (rows with a NULL in the key are
+left out, they have no identity), partials are overwritten by batch number,
+and days are overwritten whole.
 """
 
 from __future__ import annotations
@@ -71,79 +71,144 @@ def ingest_stream(spark: SparkSession, source: str, schema: T.StructType, sink:
     return _trigger(w, trigger).start(sink)
 
 
-def with_event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
-    """Attach the watermark column ``_et`` (TIMESTAMP copy of ``ts``)."""
-    return df.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", delay)
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a complete key: only these can be recognised on replay."""
+    return df.dropna(subset=list(keys))
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str = "ts_minute_utc",
-                 delay: str = "10 minutes") -> DataFrame:
-    """First arrival per key; a duplicate arriving within ``delay`` of the
-    first is dropped, older state is evicted by the watermark."""
-    return with_event_time(df, ts, delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
+def dedup_stream(df: DataFrame, keys: Sequence[str], table: str, checkpoint: str,
+                 partition_col: str = "dt", order: Sequence[str] = ("ingested_at_utc",),
+                 trigger: str | None = "availableNow") -> StreamingQuery:
+    """First arrival per key in a day-partitioned table, however late: a
+    micro-batch keeps its least ``order`` per key and inserts the keys that
+    the table lacks. ``partition_col`` must follow from the key, so only the
+    touched days are read."""
+    from ..operators.dedup import dedup
+    from ..operators.upsert import upsert_table
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        first = dedup(_keyed(batch, keys), keys, [c for c in order if c in batch.columns],
+                      keep="first")
+        upsert_table(batch.sparkSession, table, first, [*keys, partition_col], partition_col,
+                     on_match="ignore")
+
+    w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    return _trigger(w, trigger).start()
 
 
-def candle_aggregation(ticks: DataFrame, ts: str = "ts", price: str = "price",
-                       size: str = "size", symbol: str = "symbol",
-                       delay: str = "10 minutes") -> DataFrame:
-    """Streaming one-minute candles: grouped by the watermarked minute
-    window plus the zone-free NTZ minute (functionally the same key)."""
-    t = with_event_time(ticks.withColumn("_m", floor_minute(ts)), ts, delay)
+PARTIAL_KEY = ["symbol", "ts_minute_utc", "execution_date"]
+
+
+def partial_candles(ticks: DataFrame, ts: str = "ts", price: str = "price", size: str = "size",
+                    symbol: str = "symbol", order: Sequence[str] | str = "ts") -> DataFrame:
+    """Candles of some ticks with the ordering values of their open and
+    close, so that partial candles of a minute can be merged."""
+    from ..operators.candles import tick_order
+    order = [order] if isinstance(order, str) else list(order)
+    minute = floor_minute(ts)
     p = F.col(price).cast("double")
-    o = F.when(p.isNotNull(), F.col(ts))
-    g = (t.withColumn("_p", p).withColumn("_o", o)
-          .groupBy(F.col(symbol).alias("symbol"), F.window("_et", "1 minute"),
-                   F.col("_m").alias("ts_minute_utc"))
-          .agg(F.min_by("_p", "_o").alias("open"), F.max("_p").alias("high"),
-               F.min("_p").alias("low"), F.max_by("_p", "_o").alias("close"),
-               F.sum(F.col(size).cast("double")).alias("volume"),
-               F.count(F.lit(1)).alias("trades")))
-    return g.select("symbol", "ts_minute_utc",
-                    F.col("ts_minute_utc").cast("date").alias("execution_date"),
-                    "open", "high", "low", "close", "volume", "trades")
+    return (ticks.select(F.col(symbol).alias("symbol"), minute.alias("ts_minute_utc"),
+                         minute.cast("date").alias("execution_date"), p.alias("_p"),
+                         F.when(p.isNotNull(), tick_order(order, ticks.schema)).alias("_o"),
+                         F.col(size).cast("double").alias("_v"))
+            .groupBy(*PARTIAL_KEY)
+            .agg(F.min_by("_p", "_o").alias("open"), F.max("_p").alias("high"),
+                 F.min("_p").alias("low"), F.max_by("_p", "_o").alias("close"),
+                 F.sum("_v").alias("volume"), F.count(F.lit(1)).alias("trades"),
+                 F.min("_o").alias("open_order"), F.max("_o").alias("close_order")))
+
+
+def merged_candles(partials: DataFrame) -> DataFrame:
+    """Partial candles of the same minutes merged into candles."""
+    return (partials.groupBy(*PARTIAL_KEY)
+            .agg(F.min_by("open", "open_order").alias("open"), F.max("high").alias("high"),
+                 F.min("low").alias("low"), F.max_by("close", "close_order").alias("close"),
+                 F.sum("volume").alias("volume"), F.sum("trades").alias("trades")))
 
 
 def rollup_stream(ticks: DataFrame, table: str, checkpoint: str,
-                  delay: str = "10 minutes", trigger: str | None = "availableNow",
+                  partials: str | None = None, trigger: str | None = "availableNow",
                   **cols) -> StreamingQuery:
-    """Ticks -> candle table; changed candles are upserted each batch."""
-    from ..operators.upsert import upsert_table
-    agg = candle_aggregation(ticks, delay=delay, **cols)
+    """Ticks -> candle table. ``partials`` (default: beside the table) holds
+    each micro-batch's partial candles by day and batch number; a tick of any
+    age corrects its candle."""
+    from ..sources.sinks import write_layer
+    partials = partials or f"{table.rstrip('/')}-partials"
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        upsert_table(batch.sparkSession, table, batch, ["symbol", "ts_minute_utc"],
-                     "execution_date")
+        spark = batch.sparkSession
+        part = partial_candles(batch, **cols).withColumn("epoch", F.lit(epoch).cast("bigint"))
+        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("execution_date", "epoch").parquet(partials))
+        stored = spark.read.schema(part.schema).parquet(partials)
+        days = stored.where(F.col("epoch") == epoch).select("execution_date").distinct()
+        write_layer(merged_candles(stored.join(days, "execution_date", "left_semi")), table,
+                    "execution_date")
 
-    w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(sink))
+    w = ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return _trigger(w, trigger).start()
 
 
-def features_stream(candles: DataFrame, ref: DataFrame, base_table: str, features_table: str,
-                    checkpoint: str, trigger: str | None = "availableNow",
-                    max_lag: int = 5, seed: str = "previous_day") -> StreamingQuery:
-    """Per micro-batch: upsert the new base candles into ``base_table``,
-    recompute ``features_table`` for the touched days (the ref series read
-    for those days and the day before for the previous-day seed, or its
-    whole history for ``last_known``), overwrite them."""
+def features_stream(base: DataFrame, ref: DataFrame, base_table: str, ref_table: str,
+                    features_table: str, checkpoint: str,
+                    trigger: str | None = "availableNow", max_lag: int = 5,
+                    seed: str = "previous_day", by: Sequence[str] = ()) -> StreamingQuery:
+    """Both candle streams -> feature table.
+
+    Per micro-batch the new candles of either series are upserted into
+    ``base_table`` and ``ref_table`` by (symbol, minute), and the features of
+    every day they can change are recomputed and overwritten: their own days,
+    the day after a ref day (its seed), and for ``last_known`` all later days.
+    ``ref`` may be a stream, whose late files then reach the features, or a
+    static frame, which is stored once with the first micro-batch."""
     from ..operators.pairing import lead_lag_features
     from ..operators.upsert import upsert_table
-    from ..sources.sinks import write_layer
+    from ..session import scratch_path
+    from ..sources.files import path_exists
+    from ..sources.sinks import remove_path, write_layer
+    keys, day = ["symbol", "ts_minute_utc", *by, "execution_date"], "execution_date"
+    keys = list(dict.fromkeys(keys))
+
+    def tagged(df, is_ref):
+        return df.withColumn("_ref", F.lit(is_ref))
+
+    if ref.isStreaming:
+        source = tagged(base, False).unionByName(tagged(ref, True), allowMissingColumns=True)
+    else:
+        source = tagged(base, False)
+        static_ref = ref
+
+    def store(spark, rows, table, like):
+        cols = [c for c in rows.columns if c in like]
+        upsert_table(spark, table, _keyed(rows, keys).select(*cols), keys, day,
+                     order=["ingested_at_utc"])
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        upsert_table(spark, base_table, batch, ["symbol", "ts_minute_utc"], "execution_date",
-                     order=["ingested_at_utc"])
-        days = batch.select("execution_date").distinct()
-        base = spark.read.parquet(base_table).join(days, "execution_date", "left_semi")
+        stage = scratch_path(spark, "feature-batch")
+        batch.write.parquet(stage)  # the batch is used several times
+        rows = spark.read.schema(batch.schema).parquet(stage)
+        new_ref = rows.where("_ref").drop("_ref")
+        if not ref.isStreaming and not path_exists(spark, ref_table):
+            new_ref = static_ref
+        store(spark, rows.where("NOT _ref"), base_table, base.columns)
+        store(spark, new_ref, ref_table, ref.columns)
+        base_rows, ref_rows = spark.read.parquet(base_table), spark.read.parquet(ref_table)
+        changed = new_ref.select(day).distinct()
+        days = rows.where("NOT _ref").select(day).distinct().unionByName(changed).unionByName(
+            changed.select(F.date_add(day, 1).alias(day))).distinct()
         if seed == "last_known":
-            r = ref  # a seed may come from any earlier day (one seed row per day)
-        else:
-            seed_days = days.select(F.date_sub("execution_date", 1).alias("execution_date"))
-            r = ref.join(days.unionByName(seed_days).distinct(), "execution_date", "left_semi")
-        f = lead_lag_features(base, r, max_lag=max_lag, seed=seed)
-        write_layer(f.join(days, "execution_date", "left_semi"), features_table,
-                    "execution_date")
-
-    w = candles.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+            first = changed.agg(F.min(day)).first()[0]
+            if first is not None:
+                days = days.unionByName(base_rows.where(F.col(day) >= F.lit(first))
+                                        .select(day).distinct()).distinct()
+        base_part = base_rows.join(days, day, "left_semi")
+        if seed != "last_known":  # a seed may come from any earlier day otherwise
+            seed_days = days.select(F.date_sub(day, 1).alias(day))
+            ref_rows = ref_rows.join(days.unionByName(seed_days).distinct(), day, "left_semi")
+        f = lead_lag_features(base_part, ref_rows, max_lag=max_lag, seed=seed, by=by)
+        write_layer(f.join(days, day, "left_semi"), features_table, day)
+        remove_path(spark, stage)
+
+    w = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return _trigger(w, trigger).start()

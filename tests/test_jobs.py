@@ -90,6 +90,75 @@ def test_features_job_requires_base_rows(spark, sf_dir):
     sinks.write_json_lines(fx.raw_base_records(fx.base_candles(spark, sf_dir, metrics=False)),
                            raw_b)
     jobs.format_base_job(spark, raw_b, fb, fmt="jsonl")
-    with pytest.raises(ValueError):
-        jobs.features_job(spark, fb, scratch_path(spark, "none"), scratch_path(spark, "o"),
-                          ["1999-01-01"])
+    for days in (["1999-01-01"], ["2024-01-04", "1999-01-01"]):  # a missing day among others
+        with pytest.raises(FileNotFoundError, match="1999-01-01"):
+            jobs.features_job(spark, fb, scratch_path(spark, "none"), scratch_path(spark, "o"),
+                              days)
+        with pytest.raises(FileNotFoundError, match="1999-01-01"):
+            jobs.format_base_job(spark, raw_b, fb, days)
+
+
+def _landed_in_two_formats(spark, sf_dir):
+    """2024-01-04 as JSON arrays, 2024-01-05 as CSV, and minutes of the 4th
+    landed again on the 5th."""
+    raw = scratch_path(spark, "two-formats")
+    c = fx.base_candles(spark, sf_dir, metrics=False)
+    rows = fx.raw_base_records(c)
+    day = lambda d: F.col("dt") == F.lit(d).cast("date")
+    sinks.write_json_arrays(rows.where(day("2024-01-04")), raw, group_cols=["symbol"])
+    again = rows.where(day("2024-01-04") & F.col("ts_minute_utc").like("%T2%")).withColumn(
+        "dt", F.lit("2024-01-05").cast("date"))
+    rows.where(day("2024-01-05")).unionByName(again).write.mode("append").partitionBy("dt") \
+        .option("header", True).csv(raw)
+    return raw, rows.where(day("2024-01-04")).count(), \
+        rows.where(day("2024-01-05")).count() + again.count()
+
+
+def test_days_of_different_formats_joint_and_one_by_one(spark, sf_dir):
+    raw, n4, n5 = _landed_in_two_formats(spark, sf_dir)
+    joint, single = scratch_path(spark, "fmt-joint"), scratch_path(spark, "fmt-single")
+    assert jobs.format_base_job(spark, raw, joint)["rows"] == n4 + n5
+    for d, n in (("2024-01-04", n4), ("2024-01-05", n5)):
+        assert jobs.format_base_job(spark, raw, single, [d])["rows"] == n
+    a, b = (spark.read.parquet(p).drop("formatted_at_utc") for p in (joint, single))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_document_rerun_keeps_earlier_exports(spark, sf_dir):
+    from pairflow.plans.registry import QUERIES
+    f = lead_lag_features(fx.base_candles(spark, sf_dir), fx.ref_candles(spark, sf_dir))
+    assert QUERIES["documents_rerun"](spark, sf_dir).count() == f.count()
+
+
+def test_models_job_twice_and_broken_rules(spark, sf_dir):
+    import pytest
+    usage, out = scratch_path(spark, "m-usage"), scratch_path(spark, "m-out")
+    f = lead_lag_features(fx.base_candles(spark, sf_dir), fx.ref_candles(spark, sf_dir))
+    sinks.write_layer(f, usage, "execution_date")
+    first = jobs.models_job(spark, usage, out)
+    assert first["staging"] == f.count() and jobs.models_job(spark, usage, out) == first
+    broken = f.withColumn("base_close", F.when(F.minute("ts_minute_utc") > 3, F.col("base_close")))
+    sinks.write_layer(broken, usage, "execution_date")
+    with pytest.raises(ValueError, match="staging not_null base_close"):
+        jobs.models_job(spark, usage, out)
+
+
+def test_two_symbols_stay_apart_in_the_jobs(spark, sf_dir):
+    """Formatted layers of two symbols, paired by symbol."""
+    fb, fr, usage, table, ledger = (scratch_path(spark, n) for n in
+                                    ("p-base", "p-ref", "p-usage", "p-table", "p-ledger"))
+    base, ref = fx.base_candles(spark, sf_dir), fx.ref_candles(spark, sf_dir)
+    two = lambda df: df.withColumn("symbol", F.lit("A")).unionByName(
+        df.withColumn("symbol", F.lit("B")).withColumn("close", F.col("close") * 2))
+    for df, path in ((base, fb), (ref, fr)):
+        sinks.write_layer(two(df).withColumn("dt", F.col("execution_date"))
+                          .drop("execution_date"), path, "dt")
+    days = sorted(str(r[0]) for r in base.select("execution_date").distinct().collect())
+    jobs.features_job(spark, fb, fr, usage, days, by=["symbol"])
+    one = lead_lag_features(base, ref)
+    got = spark.read.parquet(usage)
+    assert got.count() == 2 * one.count()
+    a = got.where("symbol = 'A'").select(*one.columns)
+    assert a.exceptAll(one).count() == 0
+    jobs.load_job(spark, usage, table, ledger, as_of="2099-01-01", by=["symbol"])
+    assert spark.read.parquet(table).count() == got.count()

@@ -12,9 +12,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
                                 "scripts"))
 
 import __spark_entry__ as entry  # noqa: E402
+from pairflow.plans import registry  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +30,8 @@ def duck(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(KEYS) <= set(entry.queries()) and set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -142,10 +142,23 @@ def test_materialize_table_and_export_json(spark, sf_dir):
 def test_fallback_uses_primary_when_it_succeeds(spark):
     df = spark.createDataFrame([(1,)], "a int")
     seen = []
-    assert sinks.with_fallback(df, lambda d: seen.append(d.count()), "/nonexistent") == "primary"
+    assert sinks.with_fallback(df, lambda d: seen.append(d.count()), "/nonexistent") == (
+        "primary", None)
     assert seen == [1]
 
 
+def test_fallback_returns_the_error(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+
+    def fails(d):
+        raise OSError("no route")
+
+    path = scratch_path(spark, "spill")
+    kind, error = sinks.with_fallback(df, fails, path)
+    assert kind == "fallback" and "no route" in str(error)
+    assert spark.read.option("header", True).csv(path).count() == 1
+
+
 def test_readme_quick_start_with_reference_prefixes(spark, sf_dir):
     import pairflow as pf
     ticks = fx.ticks(spark, sf_dir).withColumn(
@@ -188,7 +201,7 @@ def test_auto_format_prefers_jsonl_over_csv(spark, sf_dir):
     sinks.write_json_lines(raw, path)
     raw.withColumn("close", F.lit("-1")).write.mode("append").partitionBy("dt") \
         .option("header", True).csv(path)
-    assert files.detect_format(spark, path) == "jsonl"
+    assert set(files.landed_formats(spark, path).values()) == {"jsonl"}
     got = files.read_candles(spark, path)
     assert got.count() == raw.count() and got.where("close = '-1'").count() == 0
 
