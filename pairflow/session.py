@@ -8,8 +8,10 @@ used as is.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -65,6 +67,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             # a machine-local folder would differ per executor host
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         current = tempfile.mkdtemp(prefix="pairflow-ckpt-")
+        # a folder of our own making goes with the process
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir()
     return current.rstrip("/")
@@ -81,3 +85,10 @@ def absolute_root(root: str) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the checkpoint root for a written table."""
     return f"{absolute_root(checkpoint_root(spark))}/pairflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables that this library has left under the
+    checkpoint root. Frames that still read them must have been written."""
+    from .sources.sinks import remove_path
+    remove_path(spark, f"{absolute_root(checkpoint_root(spark))}/pairflow")

@@ -213,3 +213,11 @@ def test_scratch_roots_with_a_scheme_stay_where_they_are(spark):
         assert absolute_root(uri) == uri
     assert absolute_root("rel/ck") == os.path.join(os.getcwd(), "rel/ck")
     assert not scratch_path(spark, "x").startswith(os.getcwd() + "/file:")
+
+
+def test_remove_path_deletes_a_scratch_table(spark):
+    path = scratch_path(spark, "left-over")
+    spark.createDataFrame([(1,)], "a int").write.parquet(path)
+    assert files.path_exists(spark, path)
+    sinks.remove_path(spark, path)
+    assert not files.path_exists(spark, path)
