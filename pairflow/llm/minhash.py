@@ -1,7 +1,9 @@
 """Near-duplicate groups by ProbMinHash.
 
-A text is the multiset of its five-word shingles. Each shingle is a Poisson
-process of rate equal to its count: its points arrive after exponential
+A text is the weighted set of its five-word shingles; one that occurs c times
+weighs 1 + ln(c), so that a repeated line counts more than once but does not
+make texts alike that share nothing else. Each shingle is a Poisson process of
+rate equal to its weight: its points arrive after exponential
 steps, drawn from a generator seeded with the shingle, and every point falls
 on a random register. A register keeps the shingle of its earliest point, so
 two texts agree on a register with the probability Jaccard similarity of
@@ -11,16 +13,19 @@ costs about n + m*ln(m) points for m registers.
 
 Registers are cut into bands; texts that share a band are candidates:
 
-1. Every text of a bucket is paired with the bucket's smallest text, and the
-   pair is verified on the exact weighted shingles. Verified pairs are joined
-   into components.
+1. Every text of a bucket is paired with the bucket's least and greatest
+   text, and the pairs are verified on the exact weighted shingles. Verified
+   pairs are joined into components.
 2. In buckets that still hold several components, texts of different
-   components are compared by their register sketches in tiles of bounded
-   size, and the pairs that can reach the similarity are verified exactly.
+   components meet in tiles of bounded size. A tile holds up to 256 hashes of
+   each text's shingles: the whole set of most texts, whose similarity it
+   knows exactly and of whose links it returns a spanning forest; the least
+   hashes of longer ones, of which it returns the pairs that can reach the
+   similarity (within four standard errors) for exact verification. Texts
+   with weights other than 1 are judged by their registers in the same way.
 
-So a group of any size costs one pair per text, and no pair that shares a
-band is lost. At similarity 0.8 a pair misses all bands with probability
-3e-6; the sketch filter leaves four standard errors of room.
+So a group of any size costs a few rows per text, and no pair that shares a
+band is lost. At similarity 0.8 a pair misses all bands with probability 3e-6.
 
 Texts with the same words in the same order are one node, whatever their
 number. Components come from alternating star contraction over written
@@ -51,6 +56,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 TILE = 512             # texts of a bucket that one tile compares with another 512
+LEAST = 256            # hashes of a text that a tile holds
 CACHED_WORDS = 300_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -68,7 +74,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def weighted_shingles(texts: list[list[str]], memo: dict):
-    """(shingle hash, text number, count) of all texts, sorted by text."""
+    """(shingle hash, text number, weight) of all texts, sorted by text."""
     lengths = np.array([len(w) for w in texts], dtype=np.int64)
     hashes = np.empty(int(lengths.sum()), dtype=np.uint64)
     at = 0
@@ -99,7 +105,12 @@ def weighted_shingles(texts: list[list[str]], memo: dict):
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
     begin = np.flatnonzero(new)
-    return key[begin], doc[begin], np.diff(np.append(begin, len(key)))
+    return key[begin], doc[begin], 1 + np.log(np.diff(np.append(begin, len(key))))
+
+
+def stream(step: int) -> np.uint64:
+    """What is added to an element's hash for its step-th draw."""
+    return np.uint64((step + 1) * int(GOLD) & 0xFFFFFFFFFFFFFFFF)
 
 
 def prob_minhash(key: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int,
@@ -111,7 +122,7 @@ def prob_minhash(key: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: i
     time = np.zeros(len(key))
     step = 0
     while len(key):
-        draw = _mix(key + np.uint64(step + 1) * GOLD)
+        draw = _mix(key + stream(step))
         time = time - np.log(((draw >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53) / weight
         go = time < latest[doc]  # a process behind the latest register has ended
         key, doc, weight, time, draw = key[go], doc[go], weight[go], time[go], draw[go]
@@ -129,7 +140,7 @@ def prob_minhash(key: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: i
 
 def bands_of(content: np.ndarray) -> np.ndarray:
     parts = content.reshape(len(content), BANDS, ROWS)
-    h = np.arange(BANDS, dtype=np.uint64)[None, :] * GOLD
+    h = np.arange(BANDS, dtype=np.uint64)[None, :] * GOLD  # arrays wrap around
     for i in range(ROWS):
         h = _mix(h * GOLD + parts[:, :, i])
     return h.astype(np.int64)
@@ -181,16 +192,23 @@ def _sign(batches):
             names=["doc_id", "text_key", "node", "bands", "sketch"])
 
 
+def least_hashes(key: np.ndarray) -> bytes:
+    """The least 32-bit shingle hashes, sorted; all of them if they fit."""
+    return np.unique((_mix(key) >> np.uint64(32)).astype(np.uint32))[:LEAST].tobytes()
+
+
 def _shingle_rows(frames):
     memo: dict = {}
     for frame in sub_batches(frames, "text"):
         texts = [words_of(t) for t in frame["text"]]
         key, doc, weight = weighted_shingles(texts, memo)
         cuts = np.searchsorted(doc, np.arange(1, len(texts)))
-        keys, weights = np.split(key.astype(np.int64), cuts), np.split(weight, cuts)
-        # weights of 1 are left out
-        yield pd.DataFrame({"node": frame["node"].to_numpy(), "keys": keys,
-                            "weights": [[] if (w == 1).all() else w for w in weights]})
+        keys, weights = np.split(key, cuts), np.split(weight, cuts)
+        # weights that are all 1 are left out
+        yield pd.DataFrame({
+            "node": frame["node"].to_numpy(), "keys": [k.astype(np.int64) for k in keys],
+            "weights": [[] if (w == 1).all() else w for w in weights],
+            "least": [least_hashes(k) for k in keys], "n": [len(k) for k in keys]})
 
 
 def _verify(similarity):
@@ -248,28 +266,75 @@ def components(edges: DataFrame) -> DataFrame:
         now = staged(star(directed(star(now, True)), False), "edges")
 
 
-def _tile(margin):
+def set_similarity(at: int, flat, first, size, n):
+    """Jaccard similarity of text `at` of a tile to all its texts, from their
+    least hashes, and the standard error of each (0: exact).
+
+    Below the smaller of two texts' greatest kept hashes both sets are
+    complete, so the similarity there is a sample of the whole."""
+    mine = flat[first[at]:first[at] + size[at]]
+    cut = n > size  # texts of which only the least hashes are here
+    last = np.where(cut, flat[first + size - 1], np.uint32(0xFFFFFFFF))
+    inside = np.isin(flat, mine, assume_unique=False)
+    common = np.add.reduceat(inside.astype(np.int64), first)
+    top = np.minimum(last, last[at])
+    a = np.searchsorted(mine, top, side="right")
+    owner = np.repeat(np.arange(len(first)), size)
+    b = np.bincount(owner, weights=flat <= top[owner], minlength=len(first))
+    union = np.maximum(a + b - common, 1)
+    value = common / union
+    whole = np.maximum(n + n[at] - value * (n + n[at]) / (1 + value), union)
+    error = np.sqrt(0.25 / union * np.maximum(0, 1 - union / whole))
+    return value, np.where(cut | cut[at], error, 0.0)
+
+
+def tile_links(members, same_block: bool, similarity: float):
+    """(pairs, sure) of one tile: a spanning forest of its exactly known links
+    between components, and the pairs to verify."""
+    rows = [i for i, m in enumerate(members) if m["n"]]
+    members = [members[i] for i in rows]
+    if len(members) < 2:
+        return [], []
+    kept = [np.frombuffer(bytes(m["least"]), np.uint32) for m in members]
+    flat, size = np.concatenate(kept), np.array([len(k) for k in kept])
+    first, n = np.cumsum(size) - size, np.array([m["n"] for m in members])
+    sketch = np.frombuffer(b"".join(bytes(m["sketch"]) for m in members),
+                           np.uint8).reshape(len(members), REGISTERS)
+    block = np.array([m["block"] for m in members])
+    loose = np.array([m["loose"] for m in members])
+    plain = np.array([not m["weighted"] for m in members])
+    root = pd.factorize(np.array([bytes(m["root"]) for m in members], dtype=object))[0]
+    margin = similarity - 4 * np.sqrt(similarity * (1 - similarity) / REGISTERS)
+    pairs, sure, open_pairs = [], [], []
+    for x in np.flatnonzero(loose):
+        fit = (root != root[x]) & (~loose | (np.arange(len(members)) > x))
+        if not same_block:
+            fit &= block != block[x]
+        if not fit.any():
+            continue
+        value, error = set_similarity(x, flat, first, size, n)
+        exact = plain & plain[x] & (error == 0)
+        for y in np.flatnonzero(fit & exact & (value >= similarity)):
+            if root[y] != root[x]:
+                pairs.append((x, y))
+                sure.append(True)
+                root[root == root[y]] = root[x]
+        agree = (sketch == sketch[x]).mean(1) >= margin
+        near = np.where(plain & plain[x], value + 4 * error >= similarity, agree)
+        open_pairs += [(x, y) for y in np.flatnonzero(fit & ~exact & near)]
+    open_pairs = [(x, y) for x, y in open_pairs if root[x] != root[y]]
+    node = [bytes(m["node"]) for m in members]
+    ends = [(max(node[x], node[y]), min(node[x], node[y])) for x, y in pairs + open_pairs]
+    return ends, sure + [False] * len(open_pairs)
+
+
+def _tile(similarity):
     def run(frames):
         for frame in frames:
-            out = []
             for i, j, members in zip(frame["i"], frame["j"], frame["members"]):
-                sketch = np.frombuffer(b"".join(bytes(m["sketch"]) for m in members),
-                                       dtype=np.uint8).reshape(len(members), REGISTERS)
-                block = np.array([m["block"] for m in members])
-                root = [bytes(m["root"]) for m in members]
-                rooted = pd.factorize(np.array(root, dtype=object))[0]
-                loose = np.array([m["loose"] for m in members])
-                for x in range(len(members)):
-                    rest = slice(x + 1, None)
-                    fit = (rooted[rest] != rooted[x]) & (loose[rest] | loose[x])
-                    if i != j:
-                        fit &= block[rest] != block[x]
-                    y = np.flatnonzero(fit) + x + 1
-                    if len(y):
-                        same = (sketch[y] == sketch[x]).mean(1)
-                        out += [(bytes(members[x]["node"]), bytes(members[k]["node"]))
-                                for k in y[same >= margin]]
-            yield pd.DataFrame([(max(p), min(p)) for p in out], columns=["a", "b"])
+                ends, sure = tile_links(list(members), i == j, similarity)
+                yield pd.DataFrame({"a": [e[0] for e in ends], "b": [e[1] for e in ends],
+                                    "sure": sure})
     return run
 
 
@@ -287,11 +352,12 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         F.min(F.struct("text_key", "doc_id")).alias("pick"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch")), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    reps = (banded.groupBy("band").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
-            .where("n > 1"))
+    reps = (banded.groupBy("band").agg(F.min("node").alias("rep"), F.max("node").alias("high"),
+                                       F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = staged(banded.join(reps, "band"), "members")
-    first = members.where("node <> rep").select(
-        F.col("node").alias("a"), F.col("rep").alias("b")).distinct()
+    first = (members.select(F.col("node").alias("a"), F.explode(F.array("rep", "high")).alias("b"))
+             .where("a <> b")
+             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
     # shingles of the candidates only, from one text of each
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
@@ -300,38 +366,41 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         texts.join(wanted, (F.col("text_key") == F.col("key"))
                    & F.col("doc_id").eqNullSafe(F.col("id")))
         .dropDuplicates(["node"]).select("node", "text")
-        .mapInPandas(_shingle_rows, "node binary, keys array<long>, weights array<long>"),
+        .mapInPandas(_shingle_rows, "node binary, keys array<long>, weights array<double>, "
+                     "least binary, n int"),
         "shingles")
     edges = staged(verified(first, shingles, similarity), "verified")
     roots = components(edges)
 
-    # buckets that still hold several components
+    # buckets that still hold several components; two texts were settled above
     def root_of(df, node, name):
         pair = roots.select(F.col("node").alias(node), F.col("root").alias(name))
         return df.join(pair, node, "left").withColumn(name, F.coalesce(name, node))
 
-    rooted = staged(root_of(root_of(members, "node", "root"), "rep", "rep_root").withColumn(
-        "loose", F.col("root") != F.col("rep_root")), "rooted")
-    open_bands = rooted.groupBy("band").agg(
-        F.max("loose").alias("open"), F.countDistinct("root").alias("roots")).where(
-        "open AND roots > 1").select("band")
+    rooted = staged(root_of(root_of(members.where("n > 2").drop("high"), "node", "root"),
+                            "rep", "rep_root")
+                    .withColumn("loose", F.col("root") != F.col("rep_root")), "rooted")
+    open_bands = rooted.where("loose").select("band").distinct()
     blocks = F.ceil(F.col("n") / TILE)
-    # a bucket of two texts was settled by the first round
-    open_members = (rooted.where("n > 2").join(open_bands, "band", "left_semi")
-                    .join(nodes.select("node", "sketch"), "node")
+    about = nodes.select("node", "sketch").join(
+        shingles.select("node", "least", F.col("n").alias("size"),
+                        (F.size("weights") > 0).alias("weighted")), "node")
+    open_members = (rooted.join(open_bands, "band", "left_semi").join(about, "node")
                     .withColumn("block", F.pmod(F.xxhash64("node"), blocks)))
     tiles = (open_members
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
              .withColumn("i", F.least("block", "other"))
              .withColumn("j", F.greatest("block", "other"))
              .groupBy("band", "i", "j")
-             .agg(F.collect_list(F.struct("node", "root", "loose", "sketch", "block"))
+             .agg(F.collect_list(F.struct("node", "root", "loose", "sketch", "block", "least",
+                                          F.col("size").alias("n"), "weighted"))
                   .alias("members")))  # about two blocks of TILE texts
-    margin = similarity - 4 * np.sqrt(similarity * (1 - similarity) / REGISTERS)
-    second = (tiles.mapInPandas(_tile(float(margin)), "a binary, b binary").distinct()
-              .join(first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")),
-                    ["a", "b"], "left_anti"))
-    more = staged(verified(second, shingles, similarity), "verified")
+    second = staged(tiles.mapInPandas(_tile(similarity), "a binary, b binary, sure boolean")
+                    .distinct(), "second")
+    tested = first.select("a", "b")
+    unsure = second.where("NOT sure").select("a", "b").join(tested, ["a", "b"], "left_anti")
+    more = staged(verified(unsure, shingles, similarity)
+                  .unionByName(second.where("sure").select("a", "b")), "verified")
     if more.take(1):
         roots = components(edges.unionByName(more))
 

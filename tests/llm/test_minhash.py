@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 
 import numpy as np
@@ -15,16 +16,17 @@ from . import helpers as h
 
 
 def exact(a: list[str], b: list[str]) -> float:
-    """Probability Jaccard of the five-word shingle counts, by its definition."""
+    """Probability Jaccard of the weighted five-word shingles, by its definition."""
     def bag(w):
         n = max(1, len(w) - 4) if w else 0
-        return collections.Counter(tuple(w[i:i + 5]) for i in range(n))
+        counts = collections.Counter(tuple(w[i:i + 5]) for i in range(n))
+        return {k: 1 + math.log(c) for k, c in counts.items()}
     x, y = bag(a), bag(b)
     if not x and not y:
         return 1.0
     total = 0.0
     for i in x.keys() & y.keys():
-        total += 1 / sum(max(x[j] / x[i], y[j] / y[i]) for j in x.keys() | y.keys())
+        total += 1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in x.keys() | y.keys())
     return total
 
 
@@ -95,6 +97,50 @@ def test_odd_rows(spark):
     assert m.classes(h.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("least", [256, 40])
+def test_tile_knows_or_asks(monkeypatch, least):
+    """A tile returns links only, connects all it knows exactly, and asks for
+    every other pair that is a link."""
+    monkeypatch.setattr(m, "LEAST", least)
+    rng = random.Random(9)
+    texts = []
+    for g in range(6):
+        base = h.prose(g, 100)
+        texts += [changed(base, rng, k % 5) for k in range(12)]
+    texts = [m.words_of(t) for t in texts]
+    key, doc, weight = m.weighted_shingles(texts, {})
+    content = m.prob_minhash(key, doc, weight, len(texts))
+    sketch, members = m.sketch_of(content), []
+    for i in range(len(texts)):
+        mine = key[doc == i]
+        members.append({"node": bytes([i]) * 16, "root": bytes([i]) * 16, "loose": True,
+                        "sketch": sketch[i].tobytes(), "block": 0, "weighted": False,
+                        "least": m.least_hashes(mine), "n": len(mine)})
+    ends, sure = m.tile_links(members, True, m.SIMILARITY)
+    links = {(j, i) for j in range(len(texts)) for i in range(j)
+             if exact(texts[i], texts[j]) >= m.SIMILARITY}
+    got = {(a[0], b[0]): s for (a, b), s in zip(ends, sure)}
+    assert all(p in links for p, s in got.items() if s)
+    if least == 256:
+        assert all(sure) and len(sure) < len(texts)
+    joined = brute_join(len(texts), [p for p in got if p in links])
+    assert joined == brute_join(len(texts), links)
+
+
+def brute_join(n, links):
+    parent = list(range(n))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    return [find(i) for i in range(n)]
+
+
 def test_tiles_find_links_that_stars_miss(spark, monkeypatch):
     """Strangers share a long passage and so the buckets; the pairs among them
     that are near must still be found, in more than one tile."""
@@ -142,7 +188,7 @@ def test_early_termination_changes_nothing():
     for k, w in zip(key, weight):
         time = 0.0
         for step in range(400):
-            draw = m._mix(np.array([k]) + np.uint64(step + 1) * m.GOLD)
+            draw = m._mix(np.array([k]) + m.stream(step))
             time -= np.log((float(draw[0] >> np.uint64(11)) + 1) * 2.0 ** -53) / w
             r = int((m._mix(draw)[0] >> np.uint64(32)) * np.uint64(m.REGISTERS) >> np.uint64(32))
             if time < best.get(r, np.inf):
