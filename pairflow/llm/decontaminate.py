@@ -29,15 +29,15 @@ from collections import Counter
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sub_batches
+from .common import text_slices
 
 SIMILARITY = 0.8
-ANCHORS = 8             # window starts per item
+ANCHORS = 5             # window starts per item
 LENGTHS = (6, 12, 24)   # CGK steps of the window lengths; a window has at least as many words
 REPEATS = 6             # tables per window length
 SAMPLED = 4             # output positions per hash
@@ -94,6 +94,7 @@ class BenchmarkIndex:
     def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY):
         self.items = [(i, w) for i, t in items if (w := words_of(t))]
         self.similarity = similarity
+        self.distinct = [frozenset(w) for _, w in self.items]
         seen = Counter(w for _, words in self.items for w in set(words))
         starts = []
         for k, (_, words) in enumerate(self.items):
@@ -158,6 +159,8 @@ class BenchmarkIndex:
                 continue
             low = max(0, start - 2 * most)
             part = texts[t][low:max(0, start + len(words) + 2 * most)]
+            if len(self.distinct[k].difference(part)) > most:
+                continue  # each edit accounts for one missing word at most
             distance, end = edit_distance(words, part)
             if distance <= most and distance < best.get((t, k), (most + 1, 0))[0]:
                 best[t, k] = (distance, low + end)
@@ -190,51 +193,53 @@ def edit_distance(pattern: list[str], text: list[str]) -> tuple[int, int]:
     return best, end
 
 
+def indexes(benchmark: DataFrame, similarity: float,
+            items_per_block: int = ITEMS_PER_BLOCK):
+    """The benchmark in blocks of about `items_per_block` items, one at a time."""
+    blocks = max(1, -(-benchmark.count() // items_per_block))
+    for block in range(blocks):
+        rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        yield BenchmarkIndex([(r["item_id"], r["text"]) for r in
+                              rows.select("item_id", "text").collect()], similarity)
+
+
 def find_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """(doc_id, item_id, distance, last_word): every benchmark item that a
     document holds, up to the allowed edits."""
-    n = benchmark.count()
-    blocks = max(1, -(-n // items_per_block))
     kind = documents.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, distance int, last_word int"
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = documents.select("doc_id", "text")
+    index_type = pa.string() if item_kind == "string" else pa.int64()
 
-    def one(block):
-        rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = BenchmarkIndex([(r["item_id"], r["text"]) for r in
-                                rows.select("item_id", "text").collect()], similarity)
+    def one(index):
+        def run(batches):
+            for part, texts in text_slices(batches):
+                found = sorted(index.matches([words_of(t) for t in texts]),
+                               key=lambda m: (m[0], str(m[1])))
+                yield pa.RecordBatch.from_arrays([
+                    part.column("doc_id").take(pa.array([m[0] for m in found], pa.int64())),
+                    pa.array([m[1] for m in found], index_type),
+                    pa.array([m[2] for m in found], pa.int32()),
+                    pa.array([m[3] for m in found], pa.int32())],
+                    names=["doc_id", "item_id", "distance", "last_word"])
 
-        def run(frames):
-            for frame in sub_batches(frames, "text"):
-                ids = frame["doc_id"].to_numpy()
-                found = index.matches([words_of(t) for t in frame["text"]])
-                yield pd.DataFrame(
-                    [(ids[t], i, d, e) for t, i, d, e in found],
-                    columns=["doc_id", "item_id", "distance", "last_word"])
+        return docs.mapInArrow(run, schema)
 
-        return docs.mapInPandas(run, schema)
-
-    return reduce(DataFrame.unionByName, [one(b) for b in range(blocks)])
+    return reduce(DataFrame.unionByName,
+                  [one(i) for i in indexes(benchmark, similarity, items_per_block)])
 
 
 def drop_leaked(documents: DataFrame, benchmark: DataFrame,
                 similarity: float = SIMILARITY) -> DataFrame:
-    """The documents that hold no benchmark item, with their own columns.
-    Rows with a null id are checked by their own text like all others."""
-    n = benchmark.count()
-    blocks = max(1, -(-n // ITEMS_PER_BLOCK))
+    """The documents that hold no benchmark item, with their own columns."""
     kept = documents
-    for block in range(blocks):
-        rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        index = BenchmarkIndex([(r["item_id"], r["text"]) for r in
-                                rows.select("item_id", "text").collect()], similarity)
-
-        def run(frames, index=index):
-            for frame in sub_batches(frames, "text"):
-                hit = {t for t, *_ in index.matches([words_of(t) for t in frame["text"]])}
-                yield frame[[i not in hit for i in range(len(frame))]]
+    for index in indexes(benchmark, similarity):
+        def run(batches, index=index):
+            for part, texts in text_slices(batches):
+                hit = {t for t, *_ in index.matches([words_of(t) for t in texts])}
+                yield part.filter(pa.array([i not in hit for i in range(len(texts))]))
 
-        kept = kept.mapInPandas(run, documents.schema)
+        kept = kept.mapInArrow(run, documents.schema)
     return kept
