@@ -22,22 +22,26 @@ read. Checksums are taken while the ids are at hand, so no text is read twice.
 from __future__ import annotations
 
 import itertools
+import re
+import unicodedata
 import zlib
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import staged, sub_batches
+from .common import process_memo, staged, text_slices
 
 WINDOW = 2048
 UNIT = 64
 DEPTH = 4
 END_ID = 1
-CACHED_CHUNKS = 250_000
+CACHED_CHUNKS = 1_000_000
 RANK_ROWS = 20_000  # rows that one task ranks, about
 
 
@@ -47,37 +51,89 @@ def default_tokenizer() -> str:
 
 # --- token ids -----------------------------------------------------------------
 
+# the four separators that Python takes for white space and the tokenizer does not
+SEPARATORS = re.compile("[\x1c-\x1f]")
+SPACE = re.compile(r"[^\S\x1c-\x1f]+")
+
+
+def chunks_of(text: str) -> list[str]:
+    if SEPARATORS.search(text):
+        return [w for w in SPACE.split(text) if w]
+    return text.split()
+
+
+# what the tokenizer cuts a chunk into, apart from its contractions
+PIECE = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def pieces_of(chunk: str) -> list[str]:
+    """Parts of a chunk that the tokenizer encodes one by one; the chunk itself
+    where a contraction, a special token or composition could join them."""
+    if chunk[-1] in ".," and chunk[:-1].isalpha():
+        return [chunk[:-1], chunk[-1]]
+    if "'" in chunk or "<|" in chunk or not unicodedata.is_normalized("NFC", chunk):
+        return [chunk]
+    return PIECE.findall(chunk) or [chunk]
+
+
 def encoder(path: str):
-    """text -> uint32 ids. The tokenizer drops white space and never joins
-    across it, so a text's ids are those of its chunks one after another;
-    repeated chunks come from a bounded memo. A final '.' or ',' behind
-    letters is a chunk of its own."""
+    """texts -> little-endian uint32 ids of each, closed by the end id.
+
+    The tokenizer drops white space and never joins across it, so a text's
+    ids are those of its chunks one after another, and a chunk's those of its
+    runs of letters, digits and signs. Known pieces come from a bounded memo
+    that the worker keeps between tasks; the unknown ones of a slice are
+    encoded together, words in long lines cut by the tokenizer's own word
+    numbers."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
-    memo: dict[str, list[int]] = {}
-
-    def chunk(word):
-        if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha():
-            return get(word[:-1]) + get(word[-1])
-        return tokenizer.encode(word, add_special_tokens=False).ids
-
-    def get(word):
-        ids = memo.get(word)
-        if ids is None:
-            ids = chunk(word)
-            if len(memo) >= CACHED_CHUNKS:
-                memo.clear()
-            memo[word] = ids
-        return ids
-
-    def encode(text: str) -> np.ndarray:
-        out: list[int] = []
-        look = memo.get
-        for word in text.split():
-            ids = look(word)
-            out += get(word) if ids is None else ids
-        out.append(END_ID)
-        return np.array(out, dtype="<u4")
+    memo = process_memo(path)
+
+    def ids_of(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    end = np.array([END_ID], "<u4").tobytes()
+
+    def encode_pieces(pieces: set[str]) -> dict[str, bytes]:
+        out, plain = {}, []
+        for c in pieces:
+            if c.isalpha():
+                plain.append(c)
+            else:
+                out[c] = ids_of(c)
+        for a in range(0, len(plain), 400):
+            some = plain[a:a + 400]
+            line = tokenizer.encode(" ".join(some), add_special_tokens=False)
+            number = np.array(line.word_ids)
+            if len(number) and number[-1] == len(some) - 1:
+                parts = np.split(np.array(line.ids, "<u4"), np.flatnonzero(np.diff(number)) + 1)
+                out.update(zip(some, [p.tobytes() for p in parts]))
+            else:  # a letter that lower case takes apart
+                out.update((c, ids_of(c)) for c in some)
+        return out
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        get = memo.get
+        split = [chunks_of(t) for t in texts]
+        found = [list(map(get, words)) for words in split]
+        gaps, unknown = [], set()
+        for words, parts in zip(split, found):
+            if None in parts:
+                for i, ids in enumerate(parts):
+                    if ids is None:
+                        gaps.append((parts, i, words[i]))
+        cut = {w: pieces_of(w) for _, _, w in gaps}
+        for pieces in cut.values():
+            for p in pieces:
+                if p not in memo:
+                    unknown.add(p)
+        fresh = encode_pieces(unknown)
+        whole = {w: b"".join([get(p) or fresh[p] for p in pieces]) for w, pieces in cut.items()}
+        for parts, i, w in gaps:
+            parts[i] = whole[w]
+        for new in (fresh, whole):
+            memo.update(itertools.islice(new.items(), max(0, CACHED_CHUNKS - len(memo))))
+        return [np.frombuffer(b"".join(parts) + end, "<u4") for parts in found]
 
     return encode
 
@@ -97,27 +153,30 @@ def raw_pieces(documents: DataFrame, tokenizer: str, window: int, unit: int,
     holds the checksums of its power-of-two parts."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
-    def run(frames):
+    def run(batches):
         encode = encoder(tokenizer)
-        for frame in sub_batches(frames, "text"):
+        for part, texts in text_slices(batches):
             rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                ids = encode(text or "")
+            for row, ids in enumerate(encode(texts)):
                 n, at = len(ids), 0
                 head = (n % window) // unit * unit
                 for size in [window] * (n // window) + [head, n % unit]:
                     if size:
-                        part = ids[at:at + size]
+                        piece = ids[at:at + size]
                         steps = [0] + list(np.cumsum(binary_parts(size // unit)) * unit)
                         crcs = [] if size in (window, n % unit) else [
-                            _checksum(part[a:b]) for a, b in zip(steps, steps[1:])]
-                        rows.append((doc_id, at, size, _checksum(part), crcs, n,
-                                     part.tobytes() if with_ids else None))
+                            _checksum(piece[a:b]) for a, b in zip(steps, steps[1:])]
+                        rows.append((row, at, size, _checksum(piece), crcs, n,
+                                     piece.tobytes() if with_ids else None))
                     at += size
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "parts",
-                                              "doc_tokens", "ids"])
-
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
+            columns = list(zip(*rows))
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int64(), pa.binary()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(arrays[0]), *arrays[1:]],
+                names=["doc_id", "start", "length", "ids_crc32", "parts", "doc_tokens", "ids"])
+
+    return documents.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, start long, length long, ids_crc32 long, parts array<long>, "
              "doc_tokens long, ids binary")
 
@@ -159,27 +218,39 @@ def combinations(total: int, depth: int, present: list[int]) -> list[tuple[int,
     return out
 
 
-def solve(counts: dict[int, int], total: int, depth: int) -> list[tuple[tuple[int, ...], int]]:
+def solve(counts: dict[int, int], total: int, depth: int,
+          rounds: int = 6) -> list[tuple[tuple[int, ...], int]]:
     """Repeat counts of exact combinations: least squares, rounded down, and
-    clipped so that no length is used more often than it occurs."""
-    present = [k for k, v in counts.items() if v > 0]
-    combos = combinations(total, depth, present)
-    if not combos:
-        return []
-    row = {k: i for i, k in enumerate(present)}
-    a = np.zeros((len(present), len(combos)))
-    for j, combo in enumerate(combos):
-        for k in combo:
-            a[row[k], j] += 1
-    repeats = np.floor(nnls(a, np.array([counts[k] for k in present], float)) + 1e-6).astype(int)
+    clipped so that no length is used more often than it occurs; then the
+    same for what is left, while that gains anything."""
     left, plan = dict(counts), []
-    for j in np.argsort(-repeats):
-        uses = {k: combos[j].count(k) for k in combos[j]}
-        n = min([int(repeats[j])] + [left[k] // u for k, u in uses.items()])
-        if n > 0:
-            plan.append((combos[j], n))
-            for k, u in uses.items():
-                left[k] -= n * u
+    for _ in range(rounds):
+        present = [k for k, v in left.items() if v > 0]
+        combos = combinations(total, depth, present)
+        if not combos:
+            break
+        row = {k: i for i, k in enumerate(present)}
+        a = np.zeros((len(present), len(combos)))
+        for j, combo in enumerate(combos):
+            for k in combo:
+                a[row[k], j] += 1
+        repeats = np.floor(nnls(a, np.array([left[k] for k in present], float)) + 1e-6)
+        before = len(plan)
+        for j in np.argsort(-repeats, kind="stable"):
+            uses = {k: combos[j].count(k) for k in combos[j]}
+            n = min([int(repeats[j])] + [left[k] // u for k, u in uses.items()])
+            if n > 0:
+                plan.append((combos[j], n))
+                for k, u in uses.items():
+                    left[k] -= n * u
+        if len(plan) == before:
+            break
+    for combo in combinations(total, depth, [k for k, v in left.items() if v > 0]):
+        n = min(left[k] // combo.count(k) for k in combo)
+        if n > 0:  # a repeat count that rounding down had made 0
+            plan.append((combo, n))
+            for k in combo:
+                left[k] -= n
     return plan
 
 
@@ -301,9 +372,12 @@ def pack(documents: DataFrame, window: int = WINDOW, unit: int = UNIT, depth: in
             for length, group in frame.groupby("length", sort=False):
                 yield from _placed(group, int(length), layout, window, unit)
 
-    out = ranked(pieces, sum(histogram.values())).mapInPandas(
-        place, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
-               "sequence_id long, offset long, ids binary")
+    # ids pass through pandas as text, which keeps them exact next to nulls
+    rows = ranked(pieces, sum(histogram.values())).withColumn("doc_id", F.col("doc_id").cast("string"))
+    out = rows.mapInPandas(
+        place, "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
+               "sequence_id long, offset long, ids binary").withColumn(
+        "doc_id", F.col("doc_id").cast(kind))
     return out if with_ids else out.drop("ids")
 
 

@@ -76,7 +76,9 @@ def test_encoder_equals_tokenizer():
     encode = p.encoder(p.default_tokenizer())
     for text in ["", "  ", "It's fine, isn't it? We'll see...", "ÉTÉ été Straße ΟΔΟΣ. ΟΔΟΣ",
                  "ábc é. 12,345.67 x.", "<|endoftext|> hi <|startoftext|>",
-                 "word, word. w​x", "😀😀, ok.", "tab\tnew\nline\r\n\x1c end."]:
+                 "word, word. w​x", "😀😀, ok.", "tab\tnew\nline\r\n\x1c end.", "e\u0301te\u0301*** don't'll a1b22c",
+                 "x_y-z@w.com 3.14e-10 ½ ² Ⅷ ١٢ हिन्दी 漢字かな İstanbul. \u00a0a\u2003b\u0085c",
+                 "###??!!--word## ''s 's' <|x|> a<|endoftext|>b"]:
         assert encode([text])[0].tolist() == tokenizer.encode(
             text, add_special_tokens=False).ids + [1], text
 
