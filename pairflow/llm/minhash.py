@@ -420,7 +420,8 @@ def keep_one(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keep = (classes(documents, similarity).where("kept")
             .select(F.col("doc_id").alias("keep_id"), F.col("text_key").alias("keep_key"))
             .distinct())
-    return (documents.select(F.struct(*documents.columns).alias("row"),
+    return (documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+                             .alias("row"),
                              F.col("doc_id").alias("id"), text_key().alias("key"))
             .join(keep, F.col("id").eqNullSafe(F.col("keep_id"))
                   & (F.col("key") == F.col("keep_key")), "left_semi")

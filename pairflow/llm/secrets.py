@@ -46,15 +46,15 @@ KNOWN = (r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[baprs]-[A
          r"|^sk_live_[A-Za-z0-9]{16,}$|^eyJ[A-Za-z0-9_-]{10,}$")
 
 
-def text_key() -> Column:
-    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def candidates(documents: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, finding, before, after) of every candidate."""
     text = F.coalesce(F.col("text"), F.lit(""))
     split = documents.select(
-        "doc_id", text_key().alias("text_key"),
+        "doc_id", text_key(text).alias("text_key"),
         F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"),
         F.split(text, CANDIDATE, -1).alias("between")).where(F.size("found") > 0)
     starts = F.aggregate(
@@ -163,22 +163,21 @@ def redact(documents: DataFrame, labelled: DataFrame | None = None) -> DataFrame
     """The documents with every secret replaced; n_chars, where it exists,
     follows. Secrets are joined back on the text, once per distinct text."""
     secrets = (scan(documents, labelled).where("is_secret").groupBy("text_key")
-               .agg(F.sort_array(F.collect_set("finding"), asc=False).alias("secrets")))
+               .agg(F.sort_array(F.collect_set(F.struct(F.length("finding").alias("n"), "finding")),
+                                 asc=False).alias("s"))
+               .select("text_key", F.col("s.finding").alias("secrets")))  # longest first
     clean = F.aggregate(
-        F.coalesce("s.secrets", F.array().cast("array<string>")), F.col("d.text"),
+        F.coalesce("secrets", F.array().cast("array<string>")), F.col("row.text"),
         lambda text, s: F.replace(text, s, F.lit(MARK)))
-    joined = (documents.withColumn("text_key", text_key()).alias("d")
-              .join(secrets.alias("s"), F.col("d.text_key") == F.col("s.text_key"), "left"))
-    columns = []
-    for c in documents.columns:
-        if c == "text":
-            columns.append(clean.alias("text"))
-        elif c == "n_chars":
-            columns.append(F.when(F.col("s.secrets").isNull(), F.col("d.n_chars"))
-                           .otherwise(F.length(clean).cast("long")).alias("n_chars"))
-        else:
-            columns.append(F.col(f"d.`{c}`"))
-    return joined.select(*columns)
+    # the row travels as one struct, so its columns may have any names
+    joined = (documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+                               text_key(F.col("text")).alias("key"))
+              .join(secrets.withColumnRenamed("text_key", "key"), "key", "left"))
+    changed = {"text": clean, "n_chars": F.when(F.col("secrets").isNull(), F.col("row.n_chars"))
+               .otherwise(F.length(clean).cast("long"))} if "n_chars" in documents.columns else {
+        "text": clean}
+    return joined.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c)
+                           for c in documents.columns])
 
 
 def findings_digest(documents: DataFrame) -> DataFrame:

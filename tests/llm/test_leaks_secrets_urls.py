@@ -140,6 +140,7 @@ def test_redact_and_odd_rows(spark):
     out = secrets.redact(docs)
     assert out.schema.names == docs.schema.names and out.count() == docs.count()
     got = {r["doc_id"]: r for r in out.collect() if r["doc_id"] is not None}
+    assert all(r[c] == f"own {c}" for r in got.values() for c in h.CLASHES)
     for i, t in rows:
         key = re.search(r'"(\w{40})"', t).group(1)
         assert got[i]["text"] == t.replace(key, secrets.MARK)

@@ -161,6 +161,7 @@ def test_keep_one(spark):
     docs = h.documents(spark, rows, clash=True)
     kept = m.keep_one(docs)
     assert kept.schema == docs.schema
+    assert all(r[c] == f"own {c}" for r in kept.collect() for c in h.CLASHES)
     out = [(r["doc_id"], r["text"]) for r in kept.select("doc_id", "text").collect()]
     classes = brute_classes(rows)
     assert len(out) == len({c for _, c in classes})
