@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import hash_fraction, sigmoid, text_slices
 
-MAX_PAGES = 1_200  # pages that train, about
+MAX_PAGES = 500  # pages that train, about
 TREES, LEAF_DEPTH, RATE, BINS = 50, 4, 0.25, 32
 
 TOKEN = re.compile(
@@ -399,15 +399,17 @@ def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Boosted | None:
     def rows(frames):
         for frame in frames:
             x, y = training_rows(list(frame["html"]))
-            yield pd.DataFrame({"x": list(x), "y": y})
+            yield pd.DataFrame({"x": [v.tobytes() for v in x.astype(np.float32)], "y": y})
 
     got = (pages.where(F.col("html").isNotNull())
            .where(hash_fraction(F.col("page_id"), max_pages, total, 41)).select("html")
-           .mapInPandas(rows, "x array<double>, y double").toPandas())  # bounded by max_pages
+           .mapInPandas(rows, "x binary, y double").toPandas())  # bounded by max_pages
     if not len(got):
         return None
-    order = np.lexsort((got["y"].to_numpy(), got["x"].map(lambda v: float(sum(v))).to_numpy()))
-    return boost(np.array(got["x"].tolist())[order], got["y"].to_numpy()[order])
+    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), FEATURES)
+    y = got["y"].to_numpy()
+    order = np.lexsort((y, *x.T))  # the same training order, however rows arrived
+    return boost(x[order].astype(np.float64), y[order])
 
 
 def main_texts(pages: list[str], model: Boosted | None) -> list[str]:
