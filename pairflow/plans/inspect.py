@@ -27,15 +27,15 @@ def executed_plans(spark: SparkSession, run: Callable[[], object]) -> list[str]:
     bus = spark.sparkContext._jsc.sc().listenerBus()
     store = spark._jsparkSession.sharedState().statusStore()
 
-    def known():
+    def last() -> int:
         bus.waitUntilEmpty(60_000)
-        rows = store.executionsList()
-        return {rows.apply(i).executionId(): rows.apply(i).physicalPlanDescription()
-                for i in range(rows.size())}
+        n = store.executionsCount()
+        return store.executionsList(n - 1, 1).apply(0).executionId() if n else -1
 
-    before = set(known())
+    before = last()
     run()
-    return [plan for i, plan in sorted(known().items()) if i not in before]
+    found = [store.execution(i) for i in range(before + 1, last() + 1)]
+    return [x.get().physicalPlanDescription() for x in found if x.isDefined()]
 
 
 def final_part(description: str) -> str:
