@@ -136,9 +136,11 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     belongs to the key, those where the target holds a key of the batch (found
     by reading the key columns alone): a row whose partition value changes
     moves, it is not stored twice. The batch is deduplicated and staged once.
-    Merged rows are staged before the rewrite, so it never reads the files
-    that it replaces, and written with dynamic partition overwrite; partitions
-    that lost their last row are removed. Stages go once all has committed.
+    Merged rows are written with dynamic partition overwrite, which writes
+    aside and replaces partitions when all tasks are done, so the files that a
+    retried task reads are still there. Where rows may move, the merged rows
+    are staged, and partitions that lost their last row are removed. Stages go
+    once all has committed.
 
     Rerunning after a failure gives the same table for rows with complete
     keys; rows with a NULL in the key are appended by every run, as an
@@ -162,16 +164,20 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
             .select(partition_col))
     touched = touched.distinct()
     scoped = target.join(touched, partition_col, "left_semi")
-    merged = upsert(scoped, batch, keys, order, on_match)
+    merged = upsert(scoped, batch, keys, order, on_match).select(*target.columns)
+    if partition_col in keys:  # no row moves
+        write_layer(merged, path, partition_col, sort_col=None)
+        remove_path(spark, batch_stage)
+        return
     merged.write.partitionBy(partition_col).parquet(stage)
     # explicit schema: an empty batch leaves a stage without data files
     staged = spark.read.schema(merged.schema).parquet(stage).select(*target.columns)
     emptied = touched.join(staged.select(partition_col).distinct(), partition_col, "left_anti")
     gone = [r["v"] for r in emptied.select(F.col(partition_col).cast("string").alias("v"))
-            .where("v IS NOT NULL").collect()] if partition_col not in keys else []
+            .where("v IS NOT NULL").collect()]  # partitions, not rows
     write_layer(staged, path, partition_col, sort_col=None)
     name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for value in gone:  # partitions, not rows
+    for value in gone:
         remove_path(spark, f"{path.rstrip('/')}/{name.getPartitionPathString(partition_col, value)}")
     # on a failure above the stages stay for inspection and a rerun recomputes them
     remove_path(spark, stage)
