@@ -76,7 +76,7 @@ def pieces_of(chunk: str) -> list[str]:
     return PIECE.findall(chunk) or [chunk]
 
 
-def encoder(path: str):
+def encoder(path: str, cached: int = CACHED_CHUNKS):
     """texts -> little-endian uint32 ids of each, closed by the end id.
 
     The tokenizer drops white space and never joins across it, so a text's
@@ -132,7 +132,7 @@ def encoder(path: str):
         for parts, i, w in gaps:
             parts[i] = whole[w]
         for new in (fresh, whole):
-            memo.update(itertools.islice(new.items(), max(0, CACHED_CHUNKS - len(memo))))
+            memo.update(itertools.islice(new.items(), max(0, cached - len(memo))))
         return [np.frombuffer(b"".join(parts) + end, "<u4") for parts in found]
 
     return encode
@@ -148,13 +148,13 @@ def binary_parts(units: int) -> list[int]:
 
 
 def raw_pieces(documents: DataFrame, tokenizer: str, window: int, unit: int,
-               with_ids: bool) -> DataFrame:
+               with_ids: bool, cached: int = CACHED_CHUNKS) -> DataFrame:
     """One row per whole window, head and tail of a document; a head also
     holds the checksums of its power-of-two parts."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, cached)
         for part, texts in text_slices(batches):
             rows = []
             for row, ids in enumerate(encode(texts)):
@@ -354,14 +354,17 @@ def ranked(pieces: DataFrame, total: int) -> DataFrame:
 
 
 def pack(documents: DataFrame, window: int = WINDOW, unit: int = UNIT, depth: int = DEPTH,
-         tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+         tokenizer: str | None = None, with_ids: bool = False,
+         cached: int = CACHED_CHUNKS) -> DataFrame:
     """Pieces of all documents with their place: doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset and, on request, the ids as
-    little-endian unsigned 32-bit numbers."""
+    little-endian unsigned 32-bit numbers. A worker keeps the ids of up to
+    `cached` pieces of text, about 250 bytes each."""
     if window % unit or (window // unit) & (window // unit - 1):
         raise ValueError("window must be a power of two times unit")
     tokenizer = tokenizer or default_tokenizer()
-    pieces = staged(raw_pieces(documents, tokenizer, window, unit, with_ids), "pieces")
+    pieces = staged(raw_pieces(documents, tokenizer, window, unit, with_ids, cached),
+                    "pieces")
     rows = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()  # <= 96 rows
     histogram = {int(r["length"]): int(r["n"]) for r in rows}
     layout = plan(histogram, window, unit, depth)
