@@ -57,7 +57,7 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 TILE = 512             # texts of a bucket that one tile compares with another 512
 LEAST = 256            # hashes of a text that a tile holds
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -178,7 +178,7 @@ def text_key():
 
 def _sign(batches):
     memo: dict = {}
-    for part, texts in text_slices(batches):
+    for part, texts in text_slices(batches, rows=200, chars=2_000_000):
         texts = [words_of(t) for t in texts]
         key, doc, weight = weighted_shingles(texts, memo)
         content = prob_minhash(key, doc, weight, len(texts))
@@ -199,7 +199,7 @@ def least_hashes(key: np.ndarray) -> bytes:
 
 def _shingle_rows(frames):
     memo: dict = {}
-    for frame in sub_batches(frames, "text"):
+    for frame in sub_batches(frames, "text", rows=200, chars=2_000_000):
         texts = [words_of(t) for t in frame["text"]]
         key, doc, weight = weighted_shingles(texts, memo)
         cuts = np.searchsorted(doc, np.arange(1, len(texts)))
@@ -212,18 +212,22 @@ def _shingle_rows(frames):
 
 
 def _verify(similarity):
-    def weighted(keys, weights):
-        keys = np.asarray(keys, dtype=np.int64).view(np.uint64)
-        return keys, np.ones(len(keys)) if not len(weights) else np.asarray(weights, float)
-
-    def run(frames):
-        for frame in frames:
-            keep = []
-            for ka, wa, kb, wb in zip(frame["ka"], frame["wa"], frame["kb"], frame["wb"]):
-                a, x = weighted(ka, wa)
-                b, y = weighted(kb, wb)
-                keep.append(probability_jaccard(a, x, b, y) >= similarity)
-            yield frame.loc[keep, ["a", "b"]]
+    def lists(column):
+        """Offsets and values of a list column, without a copy."""
+        return column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+
+    def run(batches):
+        for batch in batches:
+            (ao, ka), (bo, kb) = lists(batch.column("ka")), lists(batch.column("kb"))
+            (xo, wa), (yo, wb) = lists(batch.column("wa")), lists(batch.column("wb"))
+            ka, kb = ka.view(np.uint64), kb.view(np.uint64)
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for i in range(batch.num_rows):
+                a, b = ka[ao[i]:ao[i + 1]], kb[bo[i]:bo[i + 1]]
+                x, y = wa[xo[i]:xo[i + 1]], wb[yo[i]:yo[i + 1]]
+                keep[i] = probability_jaccard(a, x if len(x) else np.ones(len(a)),
+                                              b, y if len(y) else np.ones(len(b))) >= similarity
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
     return run
 
 
@@ -233,7 +237,7 @@ def verified(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFr
     right = shingles.select(F.col("node").alias("b"), F.col("keys").alias("kb"),
                             F.col("weights").alias("wb"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.mapInPandas(_verify(similarity), "a binary, b binary")
+    return both.mapInArrow(_verify(similarity), "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -329,12 +333,19 @@ def tile_links(members, same_block: bool, similarity: float):
 
 
 def _tile(similarity):
-    def run(frames):
-        for frame in frames:
-            for i, j, members in zip(frame["i"], frame["j"], frame["members"]):
-                ends, sure = tile_links(list(members), i == j, similarity)
-                yield pd.DataFrame({"a": [e[0] for e in ends], "b": [e[1] for e in ends],
-                                    "sure": sure})
+    def run(batches):
+        for batch in batches:
+            ends, sure = [], []
+            i, j = batch.column("i").to_pylist(), batch.column("j").to_pylist()
+            for k in range(batch.num_rows):  # one tile at a time in Python's memory
+                members = batch.column("members").slice(k, 1).to_pylist()[0]
+                e, s = tile_links(members, i[k] == j[k], similarity)
+                ends += e
+                sure += s
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([e[0] for e in ends], pa.binary()),
+                 pa.array([e[1] for e in ends], pa.binary()), pa.array(sure, pa.bool_())],
+                names=["a", "b", "sure"])
     return run
 
 
@@ -395,7 +406,7 @@ def classes(documents: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
              .agg(F.collect_list(F.struct("node", "root", "loose", "sketch", "block", "least",
                                           F.col("size").alias("n"), "weighted"))
                   .alias("members")))  # about two blocks of TILE texts
-    second = staged(tiles.mapInPandas(_tile(similarity), "a binary, b binary, sure boolean")
+    second = staged(tiles.mapInArrow(_tile(similarity), "a binary, b binary, sure boolean")
                     .distinct(), "second")
     tested = first.select("a", "b")
     unsure = second.where("NOT sure").select("a", "b").join(tested, ["a", "b"], "left_anti")
