@@ -13,12 +13,15 @@ over all documents, with partial sums before the shuffle.
 
 Labelled findings are candidates with a 0/1 label; without any at hand,
 `seed_labels` marks those of known formats and those assigned to a credential
-word, on the documents outside the held out fold.
+word, on the documents outside the held out fold (on all, if these hold one
+class only). Equal findings behind equal text train once. Each class has its
+own bound, so secrets train however rare they are; a class weighs as much as
+its distinct findings, the rarer one a tenth of the whole at least.
 
 Defined cases: null or empty text has no candidate; a candidate that occurs
 several times in a text is one finding per place; findings depend on the text
-alone, so repeated rows and copies have equal findings; with labels of one
-class only every candidate gets that class; an empty table gives no row. Only
+alone, so repeated rows and copies have equal findings; if all labels are of
+one class every candidate gets that class; an empty table gives no row. Only
 doc_id and text are read.
 """
 
@@ -36,7 +39,8 @@ from .common import hash_fraction, held_out, staged
 CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 CONTEXT = 48
 DICTIONARY = 300        # words, the commonest of the corpus
-MAX_FINDINGS = 20_000   # labelled findings that train, about
+MAX_FINDINGS = 20_000   # distinct labelled findings that train, about, of each class
+LEAST_SHARE = 0.1       # of the training weight, for the rarer class
 TREES, DEPTH = 30, 7
 THRESHOLD = 0.5
 MARK = "[SECRET]"
@@ -127,6 +131,40 @@ def seed_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", (known | assigned).cast("double"))
 
 
+FINDING_KEY = ("finding", "before")
+
+
+def class_sizes(labelled: DataFrame) -> dict[float, int]:
+    """Distinct findings of each label, about."""
+    rows = (labelled.where("label IS NOT NULL").groupBy(F.col("label").cast("double").alias("label"))
+            .agg(F.approx_count_distinct(F.xxhash64(*FINDING_KEY), 0.02).alias("n")).collect())
+    return {r["label"]: max(r["n"], 1) for r in rows}  # 0 and 1
+
+
+def training_rows(labelled: DataFrame, names: list[str],
+                  bound: int = MAX_FINDINGS) -> tuple[DataFrame, list[float]]:
+    """(label, weight, features) of about `bound` distinct findings of each
+    class, and the classes that the labels hold."""
+    sizes = class_sizes(labelled)
+    whole = sum(sizes.values())
+    share = {c: n / whole for c, n in sizes.items()}
+    if len(share) == 2:
+        rare = min(share, key=share.get)
+        share[rare] = max(share[rare], LEAST_SHARE)
+        share[1.0 - rare] = 1 - share[rare]
+    key, drawn = F.concat_ws("|", *FINDING_KEY), F.lit(False)
+    weight = F.lit(None).cast("double")
+    for c, n in sorted(sizes.items()):
+        of_class = F.col("label") == c
+        drawn = drawn | (of_class & hash_fraction(key, bound, n, 53))
+        # mean weight 1; a class that is drawn in part stands for all of it
+        weight = F.when(of_class, F.lit(share[c] * sum(min(m, bound) for m in sizes.values())
+                                        / min(n, bound))).otherwise(weight)
+    rows = (labelled.withColumn("label", F.col("label").cast("double")).where(drawn)
+            .groupBy(*FINDING_KEY, "label").agg(F.min(F.struct(*names)).alias("f")))
+    return rows.select("label", weight.alias("weight"), "f.*"), sorted(sizes)
+
+
 def scan(documents: DataFrame, labelled: DataFrame | None = None,
          threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, text_key, start, finding, score, is_secret) of every candidate.
@@ -137,21 +175,20 @@ def scan(documents: DataFrame, labelled: DataFrame | None = None,
     found = staged(found, "candidates")
     if labelled is None:
         labelled = seed_labels(found.where(~held_out(F.col("doc_id"))))
+        if len(class_sizes(labelled)) < 2:
+            labelled = seed_labels(found)
     else:
         labelled, _ = features(labelled, words)
-    total = labelled.count()
-    train = staged(
-        labelled.where("label IS NOT NULL")
-        .where(hash_fraction(F.concat_ws("|", "finding", "before"), MAX_FINDINGS, max(total, 1), 53))
-        .select("label", *names), "labelled-findings")
-    kinds = [r["label"] for r in train.select("label").distinct().collect()]  # 0 and 1
+    train, kinds = training_rows(labelled, names)
+    train = staged(train, "labelled-findings")
     if len(kinds) < 2:
         return found.select("doc_id", "text_key", "start", "finding",
-                            F.lit(float(kinds[0]) if kinds else 0.0).alias("score"),
+                            F.lit(kinds[0] if kinds else 0.0).alias("score"),
                             F.lit(bool(kinds and kinds[0] >= threshold)).alias("is_secret"))
     model = Pipeline(stages=[
         VectorAssembler(inputCols=names, outputCol="features"),
-        RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=19, labelCol="label")]).fit(
+        RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=19, labelCol="label",
+                               weightCol="weight")]).fit(
             train)
     scored = model.transform(found)
     score = vector_to_array("probability")[1]

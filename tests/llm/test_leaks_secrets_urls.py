@@ -220,3 +220,28 @@ def test_as_of_rules(spark):
 def test_very_long_runs(spark, text):
     docs = h.documents(spark, [(1, text)])
     assert secrets.candidates(docs).first()["finding"].startswith(text[:100])
+
+
+def test_rare_secrets_train(spark):
+    """Each class has its own bound, and copies of a finding train once."""
+    rows = [(i, f"prose number {10**15 + 7 * i} here") for i in range(4000)]
+    rows += [(10_000 + i, f'token = "{i:04d}{"a1b2c3d4e5" * 2}"') for i in range(6)]
+    rows += [(20_000 + i, "the number 9999888877776666 again") for i in range(2000)]
+    found, names = secrets.features(secrets.candidates(h.documents(spark, rows)), [])
+    labelled = secrets.seed_labels(found)
+    train, kinds = secrets.training_rows(labelled, names, bound=200)
+    sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    assert kinds == [0.0, 1.0] and sizes[1.0] == 6 and 100 <= sizes[0.0] <= 300
+    weights = {r["label"]: r["w"] for r in
+               train.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+    assert weights[1.0] >= 0.09 * sum(weights.values())
+
+
+def test_rare_secrets_are_found(spark, monkeypatch):
+    monkeypatch.setattr(secrets.training_rows, "__defaults__", (50,))
+    monkeypatch.setattr(secrets, "MAX_FINDINGS", 50)
+    rows = [(i, f"prose number {10**15 + 7 * i} here") for i in range(4000)]
+    keys = {10_000 + i: f"{i:04d}{'a1b2c3d4e5' * 2}" for i in range(6)}
+    rows += [(i, f'token = "{k}"') for i, k in keys.items()]
+    got = secrets.scan(h.documents(spark, rows)).where("is_secret").collect()
+    assert {r["doc_id"]: r["finding"] for r in got} == keys
