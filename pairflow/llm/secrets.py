@@ -1,6 +1,9 @@
 """Secret scan with a random forest against false positives.
 
-Any run of 16 or more token characters is a candidate. Its features are its
+Candidates are runs of 16 or more token characters, tokens of three dotted
+parts, the password in a URL's user information, and behind a credential word
+(password, token, ...) a value of any length and signs, to its closing quote or
+to the next white space. A candidate's features are its
 length, its character transitions (letter to digit and back, changes of case,
 vowel to consonant), the part of it that common words of the corpus cover, path
 marks in and around it, and its neighbouring words. A random forest trained
@@ -18,6 +21,15 @@ class only). Equal findings behind equal text train once. Each class has its
 own bound, so secrets train however rare they are; a class weighs as much as
 its distinct findings, the rarer one a tenth of the whole at least.
 
+`seed_labels` gives no label to candidates that mix letters and digits without
+a known format, nor to values behind a credential word that hold no digit or
+are short: the forest scores them, but is not taught that they are harmless.
+
+Not covered: secrets shorter than 16 characters, and ones with other signs than
+[A-Za-z0-9+/_=-], that follow neither a credential word and a mark nor stand in
+a URL; values joined to their word in prose ("the password is ..."); multi-line
+keys beyond their long runs; escaped quotes inside a value.
+
 Defined cases: null or empty text has no candidate; a candidate that occurs
 several times in a text is one finding per place; findings depend on the text
 alone, so repeated rows and copies have equal findings; if all labels are of
@@ -44,10 +56,24 @@ LEAST_SHARE = 0.1       # of the training weight, for the rarer class
 TREES, DEPTH = 30, 7
 THRESHOLD = 0.5
 MARK = "[SECRET]"
-CREDENTIAL = (r"(?i)(password|passwd|pwd|passphrase|token|secret|api[_-]?key|apikey|access[_-]?key|"
-              r"private[_-]?key|auth|bearer|credential)s?[\"']?\s*(=|:|=>|\s)\s*[\"']?$")
+_WORDS = (r"password|passwd|pwd|passphrase|token|secret|api[_-]?key|apikey|access[_-]?key|"
+          r"private[_-]?key|auth|bearer|credential")
+CREDENTIAL = rf"(?i)({_WORDS})s?[\"']?\s*(=|:|=>|\s)\s*[\"']?$"
+USER_INFO = r"://[^\s/:@\"'<>]{0,64}:$"
+# cheap looks first, for they are taken at every character
+SECRET_OR_WORD = "|".join([
+    r"(?<=:)(?=[^\s/:@\"'<>])(?<=://[^\s/:@\"'<>]{0,64}:)[^\s/\"'<>]{1,512}(?=@)",
+    r"(?<=[=:>\s\"'])(?<=[=:>]\s{0,3}[\"']?)"
+    rf"(?<=(?i:{_WORDS})s?[\"']?\s{{0,3}}(?:=>|=|:)\s{{0,3}}[\"']?)"
+    r"(?:(?<=[\"'])[^\"'\r\n]{1,512}(?=[\"'])"
+    r"|(?![=:>])[^\s\"'<>&]+(?:&(?!\w{1,40}=)[^\s\"'<>&]*){0,20}(?<![.,;:!?)\]}]))",
+    r"(?<=\s)(?=\S{0,200}[0-9])(?=\S{0,200}[A-Za-z])"
+    rf"(?<=(?i:{_WORDS})s?[\"']?\s{{1,3}})[^\s\"'<>=]+(?<![.,;:!?)\]}}])",
+    r"eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]{4,}){1,2}",
+    CANDIDATE])
 KNOWN = (r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[baprs]-[A-Za-z0-9-]{10,}$"
-         r"|^sk_live_[A-Za-z0-9]{16,}$|^eyJ[A-Za-z0-9_-]{10,}$")
+         r"|^sk_live_[A-Za-z0-9]{16,}$|^eyJ[A-Za-z0-9_-]{10,}(\.[A-Za-z0-9_-]{4,}){0,2}$"
+         r"|^AIza[A-Za-z0-9_-]{35}$|^glpat-[A-Za-z0-9_-]{20,}$|^npm_[A-Za-z0-9]{36}$")
 
 
 def text_key(text: Column) -> Column:
@@ -59,8 +85,8 @@ def candidates(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     split = documents.select(
         "doc_id", text_key(text).alias("text_key"),
-        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"),
-        F.split(text, CANDIDATE, -1).alias("between")).where(F.size("found") > 0)
+        F.regexp_extract_all(text, F.lit(SECRET_OR_WORD), F.lit(0)).alias("found"),
+        F.split(text, SECRET_OR_WORD, -1).alias("between")).where(F.size("found") > 0)
     starts = F.aggregate(
         F.sequence(F.lit(1), F.size("found")),
         F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
@@ -71,9 +97,14 @@ def candidates(documents: DataFrame) -> DataFrame:
             .alias("starts")),
         lambda s: s["starts"])
     split = split.withColumn("starts", starts)
+    # a long name before "=" is a candidate itself, up to and with that mark
+    def name(i):
+        last = F.get("found", i - 2)
+        return F.when(F.endswith(last, F.lit("=")), last).otherwise("")
+
     rows = F.transform(F.sequence(F.lit(1), F.size("found")), lambda i: F.struct(
         F.element_at("starts", i).alias("start"), F.element_at("found", i).alias("finding"),
-        F.right(F.element_at("between", i), F.lit(CONTEXT)).alias("before"),
+        F.right(F.concat(name(i), F.element_at("between", i)), F.lit(CONTEXT)).alias("before"),
         F.left(F.element_at("between", i + 1), F.lit(CONTEXT)).alias("after")))
     return split.select("doc_id", "text_key", F.explode(rows).alias("c")).select(
         "doc_id", "text_key", "c.*")
@@ -118,6 +149,8 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
         "f_assigned": F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
         "f_quoted": (F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']"))
         .cast("double"),
+        "f_user_info": (F.col("before").rlike(USER_INFO) & F.col("after").startswith("@"))
+        .cast("double"),
         "f_previous": F.length(previous).cast("double"),
         "f_common": (previous.isin(words) if words else F.lit(False)).cast("double"),
     }
@@ -125,10 +158,19 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def seed_labels(found: DataFrame) -> DataFrame:
-    """Label by known formats and by assignment to a credential word."""
-    known = F.col("finding").rlike(KNOWN)
-    assigned = F.col("before").rlike(CREDENTIAL) & F.col("finding").rlike("[0-9]")
-    return found.withColumn("label", (known | assigned).cast("double"))
+    """Label by known formats, by assignment to a credential word and by place
+    in a URL; null where none of these tells and the candidate may be a secret."""
+    f, before = F.col("finding"), F.col("before")
+    digits, long = f.rlike("[0-9]"), F.length(f) >= 6
+    known = f.rlike(KNOWN) | (before.rlike(USER_INFO) & F.col("after").startswith("@"))
+    # calls, placeholders and counts of tokens are no secrets
+    harmless = (f.rlike(r"^[A-Za-z_][\w.]*[(\[]|^[$%{*]")
+                | (before.rlike(r"(?i)tokens?[\"']?\s*[=:]?\s*[\"']?$") & f.rlike(r"^[0-9.,]{1,9}$")))
+    named = before.rlike(CREDENTIAL) & ~harmless
+    mixed = F.regexp_count(f, F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")) >= 4
+    unsure = (named & before.rlike(r"[=:>]\s*[\"']?$")) | (mixed & ~harmless)
+    return found.withColumn("label", F.when(known | (named & digits & long), 1.0)
+                            .when(~unsure, 0.0))
 
 
 FINDING_KEY = ("finding", "before")
@@ -198,13 +240,22 @@ def scan(documents: DataFrame, labelled: DataFrame | None = None,
 
 def redact(documents: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """The documents with every secret replaced; n_chars, where it exists,
-    follows. Secrets are joined back on the text, once per distinct text."""
+    follows. Secrets are joined back on the text, once per distinct text: each
+    is replaced in its place, and long ones wherever else they stand."""
+    anywhere = (F.length("finding") >= 16) | ((F.length("finding") >= 8)
+                                              & F.col("finding").rlike("[0-9]"))
     secrets = (scan(documents, labelled).where("is_secret").groupBy("text_key")
-               .agg(F.sort_array(F.collect_set(F.struct(F.length("finding").alias("n"), "finding")),
-                                 asc=False).alias("s"))
-               .select("text_key", F.col("s.finding").alias("secrets")))  # longest first
+               .agg(F.sort_array(F.collect_set(F.struct("start", F.length("finding").alias("n"))),
+                                 asc=False).alias("places"),  # last first
+                    F.sort_array(F.collect_set(F.when(anywhere, F.struct(
+                        F.length("finding").alias("n"), "finding"))), asc=False).alias("s"))
+               .select("text_key", "places", F.col("s.finding").alias("secrets")))  # longest first
+    placed = F.aggregate(
+        F.coalesce("places", F.array().cast("array<struct<start:int,n:int>>")), F.col("row.text"),
+        lambda text, p: F.concat(F.substring(text, F.lit(1), p["start"]), F.lit(MARK),
+                                 F.substring(text, p["start"] + p["n"] + 1, F.length(text))))
     clean = F.aggregate(
-        F.coalesce("secrets", F.array().cast("array<string>")), F.col("row.text"),
+        F.coalesce("secrets", F.array().cast("array<string>")), placed,
         lambda text, s: F.replace(text, s, F.lit(MARK)))
     # the row travels as one struct, so its columns may have any names
     joined = (documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
