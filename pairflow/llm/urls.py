@@ -7,7 +7,8 @@ entry of the same key, so the entries become validity intervals. Every capture
 looks up all its keys, host, parent domains and path prefixes, as of the day
 it was fetched, and the most specific active entry decides: longer path
 prefixes before shorter ones, these before the host, the host before its
-parents. 'clear' ends an entry and decides nothing.
+parents. 'clear' ends an entry and decides nothing. Paths are looked up as
+deep as the list's deepest entry; hosts match in any case, paths in their own.
 
 DataFrame functions only. Captures are reduced to distinct (target, day)
 pairs and these to distinct (key, day) pairs before the as-of join, so a host
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-PATH_DEPTH = 2
+PATH_DEPTH = 2  # of the shown target and of the list derived from the pages
 ABSOLUTE = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 
@@ -37,14 +38,14 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(host, r"\.$", "")
 
 
-def segments_of(url: Column) -> Column:
+def segments_of(url: Column, depth: int = PATH_DEPTH) -> Column:
     path = F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1)
-    return F.slice(F.filter(F.split(path, "/"), lambda s: s != ""), 1, PATH_DEPTH)
+    return F.slice(F.filter(F.split(path, "/"), lambda s: s != ""), 1, depth)
 
 
-def target_of(url: Column) -> Column:
-    """The part of a url that its keys depend on."""
-    return F.concat_ws("/", host_of(url), segments_of(url))
+def target_of(url: Column, depth: int = PATH_DEPTH) -> Column:
+    """The part of a url that its keys of so many path segments depend on."""
+    return F.concat_ws("/", host_of(url), segments_of(url, depth))
 
 
 def keys_of(target: Column) -> Column:
@@ -63,17 +64,31 @@ def keys_of(target: Column) -> Column:
         F.sequence(F.lit(1), F.size(parts)),
         lambda i: F.struct(F.array_join(F.slice(parts, 1, i), "/").alias("key"),
                            (F.lit(1000) + i).cast("int").alias("specificity")))
-    found = F.concat(domains, F.slice(prefixes, 2, PATH_DEPTH))
+    found = F.concat(domains, F.slice(prefixes, F.lit(2), F.size(parts)))
     return F.when(host == "", F.slice(found, 1, 0)).otherwise(found)
 
 
+USABLE = "key IS NOT NULL AND verdict IS NOT NULL AND listed_on IS NOT NULL"
+
+
+def entry_key(key: Column) -> Column:
+    """An entry's key with its host in lower case; paths keep their case."""
+    host = F.substring_index(key, "/", 1)
+    return F.concat(F.lower(host), F.substring(key, F.length(host) + 1, F.length(key)))
+
+
+def deepest(entries: DataFrame) -> int:
+    """Path segments of the deepest entry."""
+    return entries.where(USABLE).agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 0
+
+
 def validity(entries: DataFrame) -> DataFrame:
     """(key, verdict, valid_from, valid_to): each entry up to the next one of
     its key. Entries are dated by day, so a key has at most one a day."""
-    day = (entries.where("key IS NOT NULL AND verdict IS NOT NULL AND listed_on IS NOT NULL")
+    day = (entries.where(USABLE)
            .withColumn("order", F.expr("CASE verdict WHEN 'block' THEN 2 WHEN 'allow' THEN 1 "
                                        "ELSE 0 END"))
-           .groupBy(F.lower("key").alias("key"), "listed_on")
+           .groupBy(entry_key(F.col("key")).alias("key"), "listed_on")
            .agg(F.max("order").alias("order")))
     following = Window.partitionBy("key").orderBy("listed_on")
     return (day.withColumn("valid_to", F.lead("listed_on").over(following))
@@ -87,10 +102,11 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """The captures (page_id, url, fetched_on) with target, verdict,
     matched_key, listed_on and kept."""
     captures = captures.select("page_id", "url", "fetched_on",
-                               target_of(F.col("url")).alias("target"))
-    lookups = (captures.where("fetched_on IS NOT NULL").select("target", "fetched_on").distinct()
-               .withColumn("k", F.explode(keys_of(F.col("target"))))
-               .select("target", "fetched_on", "k.key", "k.specificity"))
+                               target_of(F.col("url")).alias("target"),
+                               target_of(F.col("url"), deepest(entries)).alias("place"))
+    lookups = (captures.where("fetched_on IS NOT NULL").select("place", "fetched_on").distinct()
+               .withColumn("k", F.explode(keys_of(F.col("place"))))
+               .select("place", "fetched_on", "k.key", "k.specificity"))
     intervals = validity(entries)
     active = (lookups.select("key", "fetched_on").distinct()
               .join(intervals, "key")
@@ -98,9 +114,9 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
                      & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to"))))
               .select("key", "fetched_on", "verdict", "valid_from"))
     decided = (lookups.join(active, ["key", "fetched_on"])
-               .groupBy("target", "fetched_on")
+               .groupBy("place", "fetched_on")
                .agg(F.max_by(F.struct("verdict", "key", "valid_from"), "specificity").alias("m")))
-    return (captures.join(decided, ["target", "fetched_on"], "left")
+    return (captures.join(decided, ["place", "fetched_on"], "left")
             .select("page_id", "url", "fetched_on", "target",
                     F.coalesce("m.verdict", F.lit("none")).alias("verdict"),
                     F.col("m.key").alias("matched_key"),

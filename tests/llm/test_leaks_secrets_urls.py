@@ -279,3 +279,19 @@ def test_short_secrets_are_redacted_in_place(spark):
     out = {r["doc_id"]: r["text"] for r in secrets.redact(h.documents(spark, rows)).collect()}
     for i in range(10, 99):
         assert out[i] == f"note a1b2 then password = \"{secrets.MARK}\" and more a{i}b2c"
+
+
+def test_deep_and_upper_case_paths(spark):
+    entries = spark.createDataFrame([
+        ("deep.org/a/b/c/d", "block"), ("deep.org/a/b", "allow"), ("Case.org/Docs", "block")],
+        "key string, verdict string").withColumn("listed_on", F.lit("2024-01-01").cast("date"))
+    cases = [("http://deep.org/a/b/c/d/e", "block", "deep.org/a/b/c/d"),
+             ("http://deep.org/a/b/c", "allow", "deep.org/a/b"), ("http://deep.org/a", "none", None),
+             ("https://CASE.org/Docs/x", "block", "case.org/Docs"),
+             ("https://case.org/docs/x", "none", None)]
+    captures = spark.createDataFrame(
+        [(i, u) for i, (u, *_) in enumerate(cases)], "page_id long, url string").withColumn(
+        "fetched_on", F.lit("2024-02-01").cast("date"))
+    got = {r["page_id"]: (r["verdict"], r["matched_key"])
+           for r in urls.judge(captures, entries).collect()}
+    assert got == {i: (v, k) for i, (_, v, k) in enumerate(cases)}
