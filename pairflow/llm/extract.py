@@ -15,6 +15,8 @@ comment and the like, are content. So that the trees do not lean on that mark
 alone, each training page also comes without its telling tags and tokens, and
 twice with boilerplate and reader comments grafted into and behind its article
 and paragraphs under other tags, once with the article's mark and once without.
+Only pages with a mark are counted and drawn; where no page has one, fixed
+rules on links and telling tags stand in for the trees.
 
 Text: character references decoded, white space inside a block is one space,
 blocks joined by a line feed in page order; nothing else is cut. A line break
@@ -41,7 +43,9 @@ from pyspark.sql import functions as F
 
 from .common import hash_fraction, sigmoid, text_slices
 
-MAX_PAGES = 500  # pages that train, about
+MAX_PAGES = 500  # marked pages that train, about
+# a tag that may mark the article, seen without parsing
+MARKED = r"(?i)<article[\s/>]|<[^<>]*main"
 TREES, LEAF_DEPTH, RATE, BINS = 50, 4, 0.25, 32
 
 TOKEN = re.compile(
@@ -295,9 +299,10 @@ def graft(root: Node, rng: random.Random) -> Node:
 
 
 def training_rows(pages: list[str]):
-    """(features, labels) of the nodes of pages that mark their article."""
-    xs, ys = [], []
-    for page in pages:
+    """(features, labels, number of the page) of the nodes of pages that mark
+    their article."""
+    xs, ys, of = [], [], []
+    for number, page in enumerate(pages):
         root = parse(page)
         rng = random.Random(len(page))
         for tree, blind in ((root, []), (graft(root, rng), []), (graft(root, rng), CONTENT_MARKS),
@@ -309,9 +314,10 @@ def training_rows(pages: list[str]):
             x[:, blind] = 0
             xs.append(x)
             ys.append(y)
+            of.append(np.full(len(y), number))
     if not xs:
-        return np.zeros((0, FEATURES)), np.zeros(0)
-    return np.vstack(xs), np.concatenate(ys)
+        return np.zeros((0, FEATURES)), np.zeros(0), np.zeros(0, int)
+    return np.vstack(xs), np.concatenate(ys), np.concatenate(of)
 
 
 # --- boosted trees --------------------------------------------------------------------
@@ -332,6 +338,15 @@ class Boosted:
         return out
 
 
+class NodeRules:
+    """Stands in for the trees where no page marks an article: everything but
+    boilerplate by tag or token, and nodes that are mostly links."""
+
+    def log_odds(self, x: np.ndarray) -> np.ndarray:
+        boilerplate = (x[:, 23] > 0) | (x[:, 25] > 0) | (x[:, 2] > 0.5)
+        return np.where(boilerplate, -1.0, 1.0)
+
+
 def boost(x: np.ndarray, y: np.ndarray) -> Boosted:
     """Second-order boosting of the logistic loss over binned features."""
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1]))
@@ -392,31 +407,43 @@ def decode(parent: np.ndarray, log_odds: np.ndarray, own: np.ndarray) -> np.ndar
 
 # --- Spark side -------------------------------------------------------------------------
 
-def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Boosted | None:
-    """Train on the nodes of about `max_pages` pages, chosen by hashed id."""
-    total = pages.count()
+def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Boosted | NodeRules:
+    """Train on the nodes of about `max_pages` pages that mark their article,
+    chosen by hashed id. Where the cheap look finds marks that parsing does
+    not, more pages are drawn."""
+    may_mark = F.col("html").rlike(MARKED)
+    total = pages.where(may_mark).count()
 
     def rows(frames):
         for frame in frames:
-            x, y = training_rows(list(frame["html"]))
-            yield pd.DataFrame({"x": [v.tobytes() for v in x.astype(np.float32)], "y": y})
-
-    got = (pages.where(F.col("html").isNotNull())
-           .where(hash_fraction(F.col("page_id"), max_pages, total, 41)).select("html")
-           .mapInPandas(rows, "x binary, y double").toPandas())  # bounded by max_pages
+            x, y, of = training_rows(list(frame["html"]))
+            first = np.diff(of, prepend=-1) != 0
+            yield pd.DataFrame({"x": [v.tobytes() for v in x.astype(np.float32)], "y": y,
+                                "first": first})
+
+    drawn = max_pages
+    while True:
+        got = (pages.where(F.col("html").isNotNull())
+               .where(hash_fraction(F.col("page_id"), drawn, total, 41)).where(may_mark)
+               .select("html").mapInPandas(rows, "x binary, y double, first boolean")
+               .toPandas())  # bounded by max_pages
+        labelled = int(got["first"].sum())
+        if drawn >= total or labelled >= max_pages / 2:
+            break
+        drawn *= min(16, -(-max_pages // max(labelled, 1)))
     if not len(got):
-        return None
+        return NodeRules()
     x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), FEATURES)
     y = got["y"].to_numpy()
     order = np.lexsort((y, *x.T))  # the same training order, however rows arrived
     return boost(x[order].astype(np.float64), y[order])
 
 
-def main_texts(pages: list[str], model: Boosted | None) -> list[str]:
+def main_texts(pages: list[str], model: Boosted | NodeRules) -> list[str]:
     """Main text of each page."""
     trees = [describe(parse(p)) if p else None for p in pages]
     have = [t for t in trees if t is not None]
-    if not have or model is None:
+    if not have:
         return ["" for _ in pages]
     scores = np.split(model.log_odds(np.vstack([t[2] for t in have])),
                       np.cumsum([len(t[0]) for t in have])[:-1])
@@ -457,7 +484,7 @@ def _kept_blocks(root: Node, keep: np.ndarray, number: dict) -> list[str]:
     return out
 
 
-def extract(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
+def extract(pages: DataFrame, model: Boosted | NodeRules | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     model = model or fit(pages)
     kind = pages.schema["page_id"].dataType.simpleString()

@@ -131,3 +131,25 @@ def test_pipeline_stages(spark):
     assert set(pieces["doc_id"]) == after.keys()
     assert (pieces.groupby("doc_id")["length"].sum()
             == pieces.groupby("doc_id")["doc_tokens"].first()).all()
+
+
+PLAIN = ("<html><body><nav><a href=/>Home</a></nav><div><p>Plain text number {} with some words."
+         "</p></div><footer>Foot</footer></body></html>")
+
+
+def test_rare_marked_pages_train(spark):
+    """The bound counts marked pages, and a false look draws more."""
+    rows = [(i, "u", PLAIN.format(i)) for i in range(1500)]
+    rows += [(5000 + i, "u", "<!-- <article > -->" + PLAIN.format(i)) for i in range(500)]
+    rows += [(9000 + i, "u", PAGE) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    model = extract.fit(pages, max_pages=20)
+    assert isinstance(model, extract.Boosted)
+    assert "Second paragraph has more to say" in extract.main_texts([PAGE], model)[0]
+
+
+def test_pages_without_marks_keep_their_text(spark):
+    pages = spark.createDataFrame([(i, "u", PLAIN.format(i)) for i in range(30)],
+                                  "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract.extract(pages).collect()}
+    assert got == {i: f"Plain text number {i} with some words." for i in range(30)}
