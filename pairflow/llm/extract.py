@@ -57,8 +57,11 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg canvas select object "
-          "button audio video".split())  # hold no text of the page
+RAW = set("script style template textarea title iframe".split())  # run to their closing tag
+# hold no text of the page either; without a closing tag they end with their
+# parent or before the next block element
+DROPPED = set("noscript svg canvas select object button audio video".split())
+ONE_AT_A_TIME = {"button", "select", "noscript"}  # a second one ends the first
 HEAD_TAGS = set("meta link title style script base noscript template".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt "
              "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html li main "
@@ -102,18 +105,58 @@ def attribute_tokens(text: str) -> frozenset:
     return frozenset(out)
 
 
+def dropped_ends(page: str) -> dict[int, int]:
+    """Where each dropped element that has a closing tag of its own ends, by
+    the end of its opening tag. A closing tag behind the parent's, or inside a
+    block that is still open, belongs to another element."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []  # open blocks and dropped elements
+    at, n = 0, len(page)
+
+    def last(tag):
+        return next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+
+    while at < n:
+        token = TOKEN.match(page, at)
+        at = token.end()
+        close, start = token.group(1), token.group(2)
+        if start is not None:
+            tag = start.lower()
+            if tag in RAW and not token.group(3).endswith("/"):
+                end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
+                at = end.end() if end else n
+            elif tag in DROPPED and not token.group(3).endswith("/"):
+                if tag in ONE_AT_A_TIME and (i := last(tag)) is not None:
+                    del stack[i]
+                stack.append((tag, at))
+            elif tag in BLOCKS:
+                stack.append((tag, -1))
+        elif close is not None:
+            tag = close.lower()
+            i = last(tag) if tag in BLOCKS or tag in DROPPED else None
+            if i is None:
+                continue
+            if tag in DROPPED:
+                if any(t in BLOCKS and t != "p" and t not in CLOSES for t, _ in stack[i + 1:]):
+                    continue
+                ends[stack[i][1]] = at
+            del stack[i:]
+    return ends
+
+
 def parse(page: str) -> Node:
     """The tree of block elements; inline elements dissolve into their block."""
     root = Node("root", None)
     stack, at, n = [root], 0, len(page)  # open blocks
     inline: list[str] = []               # open links
+    ends, dropping = None, False         # inside a dropped element without a closing tag
     while at < n:
         token = TOKEN.match(page, at)
         at = token.end()
         close, start = token.group(1), token.group(2)
         if start is None and close is None:
             text = token.group()
-            if text[0] != "<" or text == "<":
+            if not dropping and (text[0] != "<" or text == "<"):
                 node = stack[-1]
                 if node.tag != "head":
                     node.parts.append(text)
@@ -130,9 +173,19 @@ def parse(page: str) -> Node:
                     at = end.end() if end else n
                 stack[-1].inline += 1
                 continue
+            if tag in DROPPED:
+                if not token.group(3).endswith("/"):
+                    ends = dropped_ends(page) if ends is None else ends
+                    dropping = dropping or at not in ends
+                    at = ends.get(at, at)
+                stack[-1].inline += 1
+                continue
             if tag == "br" or tag == "hr":
                 stack[-1].parts.append(" ")
                 continue
+            if dropping and tag not in BLOCKS:
+                continue
+            dropping = False
             if tag not in BLOCKS:
                 stack[-1].inline += 1
                 if tag == "a":
@@ -166,6 +219,7 @@ def parse(page: str) -> Node:
                 if stack[i].tag == tag:
                     del stack[i:]
                     inline.clear()
+                    dropping = False
                     break
     return root
 

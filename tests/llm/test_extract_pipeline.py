@@ -153,3 +153,23 @@ def test_pages_without_marks_keep_their_text(spark):
                                   "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in extract.extract(pages).collect()}
     assert got == {i: f"Plain text number {i} with some words." for i in range(30)}
+
+
+def all_text(page):
+    nodes, *_, texts = extract.describe(extract.parse(page))
+    return [x for t in texts for x in t]
+
+
+def test_unclosed_elements_end_before_the_next_block():
+    for tag in extract.DROPPED:
+        lost = f"<div><{tag}>Menu <b>x</b><article><p>First.</p><p>Second.</p></article></div>"
+        assert all_text(lost) == ["First.", "Second."], tag
+        again = lost + f"<footer><{tag}>Top</{tag}> End</footer>"
+        assert all_text(again) == ["First.", "Second.", "End"], tag
+        stray = lost + f"<footer>End</{tag}></footer>"
+        assert all_text(stray) == ["First.", "Second.", "End"], tag
+        parent = f"<div><p>One <{tag}>no</p>loose</div><p>Two</p>"
+        assert all_text(parent) == ["loose", "One", "Two"], tag
+        closed = f"<p>One</p><{tag}><div>no <p>not</div></{tag}><p>Two <{tag}>no</{tag}>end</p>"
+        assert all_text(closed) == ["One", "Two end"], tag
+    assert all_text("<p>One</p><script>var a <p>Two</p>") == ["One"]
