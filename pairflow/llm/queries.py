@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ann, decontaminate, extract, minhash, packing, quality, secrets, sharding,
-               toxicity, urls)
+from . import (ann, centroids, chat, decontaminate, divergence, extract, minhash, packing, quality,
+               secrets, sharding, toxicity, urls)
 from .common import table
 
 QUERIES = {}
@@ -79,3 +79,27 @@ def q_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"),
                                   table(spark, sf_dir, "labels"))
+
+
+@register("op11_chat")
+def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_digest(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op11_chat"] = chat.ORACLE_SQL
+
+
+@register("op12_divergence")
+def q_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_divergence"] = divergence.ORACLE_SQL
+
+
+@register("op13_centroids")
+def q_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters_digest(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_centroids"] = centroids.ORACLE_SQL
