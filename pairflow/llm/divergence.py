@@ -74,7 +74,7 @@ def sparse_vector(text: bytes) -> Counter:
         words = text[start:stop].translate(TERM_BYTES)
         if stop < len(text) and not words.endswith(b" "):  # give a cut term back, or finish it
             cut = words.rfind(b" ")
-            if cut < 0:
+            if cut <= 0:
                 while stop < len(text) and TERM_BYTES[text[stop]] != 0x20:
                     stop += 1
                 words = text[start:stop].translate(TERM_BYTES)
@@ -150,41 +150,35 @@ def group_table(documents: DataFrame, kept: DataFrame) -> DataFrame:
     return joined.withColumn("base", F.coalesce(share("0", "n", "v"), zero))
 
 
-def pair_block(rows: pd.DataFrame) -> pd.DataFrame:
+def pair_block(rows: pa.Table) -> pa.Table:
     """Sums over the terms that both sources of a pair have, for one block of
     terms and one pair of tiles: (lang, source, other, shared), source < other
     within a tile, source of the lower tile otherwise."""
-    source, names = pd.factorize(rows["source"])
-    term, terms = pd.factorize(rows["term"])
+    source, names = pd.factorize(rows["source"].to_numpy())
+    term, terms = pd.factorize(rows["term"].to_numpy())
     p = np.zeros((len(names), len(terms)), dtype=np.int64)  # a share is 1 at least
     p[source, term] = rows["p"].to_numpy()
     base = np.zeros(len(names), dtype=np.int64)
     base[source] = rows["base"].to_numpy()
     tile = np.zeros(len(names), dtype=np.int64)
     tile[source] = rows["tile"].to_numpy()
-    low, high = int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
+    low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
     left, right = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
-    order = np.argsort(names.to_numpy().astype(object)) if low == high else None
     place = np.empty(len(names), dtype=np.int64)
-    if order is not None:
-        place[order] = np.arange(len(names))
-    out = []
+    place[np.argsort(names)] = np.arange(len(names))
+    found = {"source": [], "other": [], "shared": []}
     for a in left:
         others = right if low != high else right[place[right] > place[a]]
-        if not len(others):
-            continue
         q, c = p[others], base[others][:, None]
         both = (p[a] > 0) & (q > 0)
         d = (np.abs(p[a] - q) - np.abs(p[a] - c) - np.abs(q - base[a]) + np.abs(base[a] - c))
-        shared = np.where(both, d, 0).sum(1)
         meet = both.any(1)
-        out.append(pd.DataFrame({"source": names[a], "other": names[others[meet]],
-                                 "shared": shared[meet]}))
-    if not out:
-        return pd.DataFrame({"lang": [], "source": [], "other": [], "shared": []})
-    frame = pd.concat(out)
-    frame.insert(0, "lang", rows["lang"].iloc[0])
-    return frame
+        found["source"].extend([names[a]] * int(meet.sum()))
+        found["other"].extend(names[others[meet]])
+        found["shared"].extend(np.where(both, d, 0).sum(1)[meet].tolist())
+    found["lang"] = [rows["lang"][0].as_py()] * len(found["shared"])
+    return pa.table({c: pa.array(found[c], pa.int64() if c == "shared" else pa.string())
+                     for c in ("lang", "source", "other", "shared")})
 
 
 def shared_sums(weighted: DataFrame) -> DataFrame:
@@ -199,7 +193,7 @@ def shared_sums(weighted: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), tiles - 1)).alias("met"))
     sums = (placed.withColumns({"low": F.least("tile", "met"), "high": F.greatest("tile", "met")})
             .groupBy("lang", "block", "low", "high")
-            .applyInPandas(pair_block, "lang string, source string, other string, shared bigint")
+            .applyInArrow(pair_block, "lang string, source string, other string, shared bigint")
             .groupBy("lang", "source", "other").agg(F.sum("shared").alias("shared")))
     return sums.unionByName(sums.select("lang", F.col("other").alias("source"),
                                         F.col("source").alias("other"), "shared"))
