@@ -62,6 +62,43 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(table).select(*cols)
 
 
+DEDUP_COLS = ["ts_minute_utc", "symbol", "close", "ingested_at_utc", "dt"]
+NAMELESS_MINUTE = 13  # minutes divisible by this arrive once more without a symbol
+
+
+@register("stream_dedup_bounded", o.with_(o.TICKS, BASE_RAW) + f"""
+SELECT ts_minute_utc, symbol, close, ingested_at_utc, execution_date AS dt FROM base_c
+UNION ALL
+SELECT ts_minute_utc, NULL, close, ingested_at_utc, execution_date FROM base_c
+WHERE minute(ts_minute_utc) % {NAMELESS_MINUTE} = 0""", dates=("dt",))
+def q_stream_dedup_bounded(spark, sf_dir):
+    """Two hours of keys in the state store. First most minutes by day, then
+    their re-fetched candles, minutes of every day that are weeks late, late
+    duplicates, and rows without a symbol, twice."""
+    src, table, ck = (scratch_path(spark, n) for n in ("bd-src", "bd-table", "bd-ck"))
+    c = fx.base_candles(spark, sf_dir, metrics=False).select(*DEDUP_COLS[:4],
+                                                             F.col("execution_date").alias("dt"))
+    late = F.minute("ts_minute_utc") % LATE_MINUTE == 0
+    again = c.withColumns({"close": F.col("close") + 0.5, "ingested_at_utc":
+                           F.timestamp_add("MINUTE", F.lit(fx.PULL_MINUTES), "ingested_at_utc")})
+    nameless = c.where(F.minute("ts_minute_utc") % NAMELESS_MINUTE == 0) \
+        .withColumn("symbol", F.lit(None).cast("string"))
+    child = streams.stream_session(spark, 4)
+
+    def run():
+        s = child.readStream.schema(c.schema).option("maxFilesPerTrigger", 2).parquet(src)
+        streams.bounded_dedup_stream(s, ["symbol", "ts_minute_utc"], table, ck,
+                                     delay="2 hours").awaitTermination()
+
+    c.where(~late).repartitionByRange(4, "ts_minute_utc").write.mode("append").parquet(src)
+    run()
+    c.where(late).unionByName(again).unionByName(nameless).unionByName(nameless) \
+        .coalesce(1).write.mode("append").parquet(src)
+    run()
+    return streams.deduplicated(spark, table, c.schema, ["symbol", "ts_minute_utc"]) \
+        .select(*DEDUP_COLS)
+
+
 @register("stream_rollup", o.with_(o.TICKS, BASE_RAW) + """
 SELECT symbol, ts_minute_utc, execution_date, open, high, low, close, volume, trades
 FROM base_c""")

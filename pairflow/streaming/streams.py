@@ -8,9 +8,11 @@ batch operator gives on all rows.
   exactly once (file-source log + checkpoint).
 * ``dedup_stream``: overlapping pulls collapse to the first arrival of a
   (symbol, minute): each micro-batch inserts the keys its days lack.
+* ``bounded_dedup_stream``: the same with the keys of the last hours in the
+  state store; what comes later, or without a key, goes to a late table.
 * ``rollup_stream``: ticks -> candles. Each micro-batch stores its partial
   candles under its own number and rebuilds the candles of the days it touched
-  from all partials of those days.
+  from all partials of those days, which are merged level by level.
 * ``features_stream``: each micro-batch of new candles of either series
   upserts its layer, recomputes the feature table for the days that it can
   change with the batch operator and overwrites those day partitions
@@ -27,12 +29,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.time import floor_minute
+from ..functions.time import floor_minute, ts_to_epoch_us
+from . import segments
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
@@ -96,6 +99,126 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], table: str, checkpoint: str
     return _trigger(w, trigger).start()
 
 
+def _event_time(c) -> Column:
+    """A zone-free TIMESTAMP of a TIMESTAMP_NTZ, as watermarks need one."""
+    return F.timestamp_micros(ts_to_epoch_us(c))
+
+
+LATE_REASONS = ("late", "null_key")
+
+
+def bounded_dedup_stream(df: DataFrame, keys: Sequence[str], table: str, checkpoint: str, *,
+                         event_time: str = "ts_minute_utc", delay: str = "1 hour",
+                         partition_col: str = "dt", order: Sequence[str] = ("ingested_at_utc",),
+                         late_table: str | None = None, fanout: int = segments.FANOUT,
+                         trigger: str | None = "availableNow") -> StreamingQuery:
+    """First arrival per key with bounded state and without loss.
+
+    Two lanes of one query. Keys inside the watermark (``delay`` behind the
+    latest ``event_time``) are kept by ``dropDuplicatesWithinWatermark`` in
+    the state store, whose size is the keys of that span; their first rows go to
+    ``table`` without any reading of it. Rows behind the watermark, which
+    the state store drops, and rows with a NULL in the key or event time go to
+    ``late_table`` (default: beside the table), one row per key and batch with
+    its ``reason``, the number of ``arrivals`` and the batch: late ones only if
+    the table's days lack their key. ``deduplicated`` reads both as one table.
+
+    The key must determine event time and partition. Both tables are segments
+    by day and batch number (see ``segments``), so a replayed batch replaces
+    what it wrote, and ``<late_table>-progress`` has a row of counts per batch.
+    Create ``df`` in a ``stream_session`` to choose the state partitions."""
+    from ..operators.dedup import dedup
+    from ..session import scratch_path
+    from ..sources.files import path_exists
+    from ..sources.sinks import remove_path
+    keys, late_table = list(keys), late_table or f"{table.rstrip('/')}-late"
+    progress = f"{late_table}-progress"
+    order = [c for c in order if c in df.columns]
+    whole = F.col(event_time).isNotNull()
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    seen = (df.where(whole).select(*keys, _event_time(event_time).alias("_at"))
+            .withWatermark("_at", delay).dropDuplicatesWithinWatermark(keys)
+            .select(*[F.col(k) for k in keys], F.lit(True).alias("_first")))
+    lanes = df.withColumn("_first", F.lit(False)).unionByName(seen, allowMissingColumns=True)
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        stage = scratch_path(spark, "dedup-batch")
+        batch.write.parquet(stage)  # the state store is asked once
+        rows = spark.read.schema(batch.schema).parquet(stage)
+        new_keys = rows.where("_first").select(*keys)
+        arrived = rows.where("NOT _first").drop("_first")
+        before = None  # the latest event time of the earlier batches
+        if epoch and path_exists(spark, f"{progress}/epoch={epoch - 1}"):
+            before = spark.read.parquet(f"{progress}/epoch={epoch - 1}").first()["latest"]
+
+        first = dedup(arrived.where(whole).join(new_keys, keys, "left_semi"), keys, order, "first")
+        segments.write_segment(first, table, partition_col, epoch)
+
+        counts = dedup_counts(arrived.where(~whole), keys, order, "null_key")
+        if before is not None:
+            # the state store drops up to the watermark's millisecond; a row too
+            # many here is only looked up
+            limit = F.timestamp_add("MILLISECOND", F.lit(1),
+                                    F.lit(before).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}"))
+            old = arrived.where(whole & (F.col(event_time) <= limit)) \
+                .join(new_keys, keys, "left_anti")
+            days = segments.day_values(old, partition_col)
+            have = segments.read_days(spark, table, partition_col, arrived.schema, days).select(*keys)
+            counts = counts.unionByName(
+                dedup_counts(old, keys, order, "late").join(have, keys, "left_anti"))
+        late = counts.withColumn("epoch", F.lit(epoch).cast("bigint"))
+        segments.write_segment(late, late_table, partition_col, epoch)
+
+        latest = F.max(F.when(whole, F.col(event_time)))
+        (arrived.agg(F.count(F.lit(1)).alias("arrived"),
+                     F.greatest(latest, F.lit(before).cast("timestamp_ntz")).alias("latest"))
+         .crossJoin(first.agg(F.count(F.lit(1)).alias("first_rows")))  # one row each
+         .crossJoin(late.agg(F.count_if(F.col("reason") == "late").alias("late_keys"),
+                             F.sum("arrivals").alias("late_arrivals")))
+         .coalesce(1).write.mode("overwrite").parquet(f"{progress}/epoch={epoch}"))
+        for root, like in ((table, arrived.schema), (late_table, late.schema)):
+            segments.compact(spark, root, partition_col, like,
+                             segments.day_values(first if root == table else late, partition_col),
+                             fanout=fanout)
+        remove_path(spark, stage)
+
+    w = lanes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    return _trigger(w, trigger).start()
+
+
+def dedup_counts(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 reason: str) -> DataFrame:
+    """The first row per key (NULL keys grouped like any value), with the
+    number of its arrivals and the reason it is here."""
+    from ..operators.dedup import dedup
+    one = dedup(rows.withColumn("arrivals", F.lit(1).cast("bigint")), keys, order, "first")
+    same = [F.col(f"_n.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys]
+    total = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("arrivals"))
+    return (one.drop("arrivals").alias("_r").join(total.alias("_n"), same, "left")
+            .select("_r.*", "_n.arrivals", F.lit(reason).alias("reason")))
+
+
+def deduplicated(spark: SparkSession, table: str, schema: T.StructType, keys: Sequence[str], *,
+                 partition_col: str = "dt", order: Sequence[str] = ("ingested_at_utc",),
+                 late_table: str | None = None, days: Sequence[str] | None = None) -> DataFrame:
+    """The rows that ``bounded_dedup_stream`` has let through, its late lane
+    included: what the batch ``dedup`` gives on all rows that arrived."""
+    from ..operators.dedup import dedup
+    late_table = late_table or f"{table.rstrip('/')}-late"
+    late_schema = T.StructType([*schema.fields, T.StructField("arrivals", T.LongType()),
+                                T.StructField("reason", T.StringType()),
+                                T.StructField("epoch", T.LongType())])
+
+    def stored(root, like):
+        asked = days if days is not None else segments.all_days(spark, root, partition_col)
+        return segments.read_days(spark, root, partition_col, like, asked)
+    late = stored(late_table, late_schema)
+    rest = dedup(late, keys, [*[c for c in order if c in schema.fieldNames()], "epoch"], "first")
+    return stored(table, schema).unionByName(rest.select(*schema.fieldNames()))
+
+
 PARTIAL_KEY = ["symbol", "ts_minute_utc", "execution_date"]
 
 
@@ -118,32 +241,41 @@ def partial_candles(ticks: DataFrame, ts: str = "ts", price: str = "price", size
                  F.min("_o").alias("open_order"), F.max("_o").alias("close_order")))
 
 
-def merged_candles(partials: DataFrame) -> DataFrame:
-    """Partial candles of the same minutes merged into candles."""
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Partial candles of the same minutes merged into one partial each:
+    merging is associative, so it may be done in any number of steps."""
     return (partials.groupBy(*PARTIAL_KEY)
             .agg(F.min_by("open", "open_order").alias("open"), F.max("high").alias("high"),
                  F.min("low").alias("low"), F.max_by("close", "close_order").alias("close"),
-                 F.sum("volume").alias("volume"), F.sum("trades").alias("trades")))
+                 F.sum("volume").alias("volume"), F.sum("trades").alias("trades"),
+                 F.min("open_order").alias("open_order"),
+                 F.max("close_order").alias("close_order")))
+
+
+def merged_candles(partials: DataFrame) -> DataFrame:
+    """Partial candles of the same minutes merged into candles."""
+    return merged_partials(partials).drop("open_order", "close_order")
 
 
 def rollup_stream(ticks: DataFrame, table: str, checkpoint: str,
                   partials: str | None = None, trigger: str | None = "availableNow",
-                  **cols) -> StreamingQuery:
+                  fanout: int = segments.FANOUT, **cols) -> StreamingQuery:
     """Ticks -> candle table. ``partials`` (default: beside the table) holds
-    each micro-batch's partial candles by day and batch number; a tick of any
-    age corrects its candle."""
+    each micro-batch's partial candles by day and batch number, merged level
+    by level (see ``segments``); a tick of any age corrects its candle. A
+    batch lists, reads and rewrites the days of its ticks only."""
     from ..sources.sinks import write_layer
-    partials = partials or f"{table.rstrip('/')}-partials"
+    partials, day = partials or f"{table.rstrip('/')}-partials", "execution_date"
+    ts = cols.get("ts", "ts")
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        part = partial_candles(batch, **cols).withColumn("epoch", F.lit(epoch).cast("bigint"))
-        (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("execution_date", "epoch").parquet(partials))
-        stored = spark.read.schema(part.schema).parquet(partials)
-        days = stored.where(F.col("epoch") == epoch).select("execution_date").distinct()
-        write_layer(merged_candles(stored.join(days, "execution_date", "left_semi")), table,
-                    "execution_date")
+        part = partial_candles(batch, **cols)
+        segments.write_segment(part, partials, day, epoch)
+        days = segments.day_values(batch.select(floor_minute(ts).cast("date").alias(day)), day)
+        segments.compact(spark, partials, day, part.schema, days, merged_partials, fanout)
+        stored = segments.read_days(spark, partials, day, part.schema, days)
+        write_layer(merged_candles(stored), table, day)
 
     w = ticks.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return _trigger(w, trigger).start()
