@@ -178,6 +178,16 @@ def lead_lag_features(base: DataFrame, ref: DataFrame, *, max_lag: int = 5,
     """
     if seed not in SEED_MODES:
         raise ValueError(f"seed must be one of {SEED_MODES}")
+    filled = filled_minutes(base, ref, seed=seed, ts=ts, day=day, by=by, prefixes=prefixes)
+    return shifted_features(filled, max_lag=max_lag, ts=ts, day=day, by=by, prefixes=prefixes,
+                            drop_warmup=drop_warmup, audit=audit)
+
+
+def filled_minutes(base: DataFrame, ref: DataFrame, *, seed: str = "previous_day",
+                   ts: str = "ts_minute_utc", day: str = "execution_date",
+                   by: Sequence[str] = (), prefixes: tuple[str, str] = ("base", "ref")) -> DataFrame:
+    """Base minutes with the ref columns carried forward, ``<ref>_market_open``
+    and ``_has_ref`` (the day has any ref row)."""
     bp, rp = prefixes
     keys = [*by, day]
     bcols, rcols = side_columns(bp, True), side_columns(rp, False)
@@ -193,25 +203,35 @@ def lead_lag_features(base: DataFrame, ref: DataFrame, *, max_lag: int = 5,
         Window.unboundedPreceding, Window.unboundedFollowing)
     p = p.select("*", F.max(F.col("_r").isNotNull()).over(w_all).alias("_has_ref"),
                  F.max("_s").over(w_all).alias("_seed"))
-    rc, bc = f"{rp}_close", f"{bp}_close"
     flat = p.where(F.col("_b").isNotNull()).select(
         *keys, ts, *[F.col(f"_b.{c}").alias(c) for c in bcols],
         *[F.col(f"_r.{c}").alias(f"_obs_{c}") for c in rcols],
         *[F.col(f"_seed.{c}").alias(f"_seed_{c}") for c in rcols], "_has_ref")
-
-    w = Window.partitionBy(*keys).orderBy(ts)
-    w_fill = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_fill = Window.partitionBy(*keys).orderBy(ts).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     filled = [F.coalesce(F.last(f"_obs_{c}", ignorenulls=True).over(w_fill),
                          F.col(f"_seed_{c}")).alias(c) for c in rcols]
-    base_shift = lag_lead_columns([bc], w, max_lag) + \
-        lag_lead_columns([f"{bp}_volume"], w, max_lag, leads=False)
-    stage1 = flat.select(*keys, ts, *bcols, *filled,
-                         F.col(f"_obs_{rc}").isNotNull().alias(f"{rp}_market_open"),
-                         "_has_ref", *base_shift)
+    return flat.select(*keys, ts, *bcols, *filled,
+                       F.col(f"_obs_{rp}_close").isNotNull().alias(f"{rp}_market_open"), "_has_ref")
+
+
+def shifted_features(filled: DataFrame, *, max_lag: int = 5, ts: str = "ts_minute_utc",
+                     day: str = "execution_date", by: Sequence[str] = (),
+                     prefixes: tuple[str, str] = ("base", "ref"), drop_warmup: bool = True,
+                     audit: bool = False, within: Sequence[str] = ()) -> DataFrame:
+    """The feature columns over ``filled_minutes``: lags, leads and returns
+    inside (by…, day) and, if given, the runs of rows that ``within`` names
+    (columns that are not returned)."""
+    bp, rp = prefixes
+    bcols, rcols = side_columns(bp, True), side_columns(rp, False)
+    rc, bc = f"{rp}_close", f"{bp}_close"
+    w = Window.partitionBy(*by, day, *within).orderBy(ts)
     has_ref = F.col("_has_ref")
     ref_shift = [F.when(has_ref, x) for x in lag_lead_columns([rc], w, max_lag)]
     ref_names = [n for k in range(1, max_lag + 1) for n in (f"{rc}_lag_{k}", f"{rc}_lead_{k}")]
-    stage2 = stage1.select("*", *[x.alias(n) for x, n in zip(ref_shift, ref_names)])
+    stage2 = filled.select("*", *lag_lead_columns([bc], w, max_lag),
+                           *lag_lead_columns([f"{bp}_volume"], w, max_lag, leads=False),
+                           *[x.alias(n) for x, n in zip(ref_shift, ref_names)])
 
     ordered = []
     for k in range(1, max_lag + 1):

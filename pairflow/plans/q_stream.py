@@ -132,3 +132,29 @@ def q_stream_features_upsert(spark, sf_dir):
                             ck).awaitTermination()
     cols = features(spark, sf_dir).columns
     return spark.read.parquet(feat_t).select(*cols)
+
+
+RARE_MINUTE = 47  # minutes of the hour that arrive with the second run
+
+
+@register("stream_features_changes",
+          o.with_(*FEATURE_CTES, o.features_sql()) + "SELECT * FROM features")
+def q_stream_features_changes(spark, sf_dir):
+    """Most candles of both series first, a late minute of every hour of the
+    month behind them: the second run recomputes only the rows that these
+    minutes reach, and leaves the batch operator's table."""
+    root, base_t, ref_t, feat_t, ck = (scratch_path(spark, n) for n in (
+        "chg-src", "chg-base", "chg-ref", "chg-table", "chg-ck"))
+    series = {"base": fx.base_candles(spark, sf_dir), "ref": fx.ref_candles(spark, sf_dir)}
+    late = F.minute("ts_minute_utc") == RARE_MINUTE
+
+    def run():
+        read = [spark.readStream.schema(c.schema).parquet(f"{root}/{n}")
+                for n, c in series.items()]
+        streams.features_stream(*read, base_t, ref_t, feat_t, ck).awaitTermination()
+
+    for arrived in (~late, late):
+        for name, c in series.items():
+            c.where(arrived).write.mode("append").parquet(f"{root}/{name}")
+        run()
+    return spark.read.parquet(feat_t).select(*features(spark, sf_dir).columns)

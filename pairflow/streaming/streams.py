@@ -14,10 +14,9 @@ batch operator gives on all rows.
   candles under its own number and rebuilds the candles of the days it touched
   from all partials of those days, which are merged level by level.
 * ``features_stream``: each micro-batch of new candles of either series
-  upserts its layer, recomputes the feature table for the days that it can
-  change with the batch operator and overwrites those day partitions
-  (row-offset windows are not allowed on streams; per-day recomputation is the
-  correct shape).
+  upserts its layer, recomputes the feature rows that it can change and puts
+  them into their day partitions (row-offset windows are not allowed on
+  streams).
 
 Replaying a micro-batch after a lost executor or a driver restart gives the
 same tables: inserts and upserts are keyed (rows with a NULL in the key are
@@ -27,9 +26,10 @@ and days are overwritten whole.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -79,17 +79,30 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+def keep_rejects(rows: DataFrame, keys: Sequence[str], path: str, epoch: int) -> None:
+    """Rows with a NULL in the key, stored under the batch's number, so that
+    a replay replaces them; a batch without any stores nothing."""
+    nameless = F.lit(False)
+    for k in keys:
+        nameless = nameless | F.col(k).isNull()
+    bad = rows.where(nameless)
+    if not bad.isEmpty():
+        bad.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], table: str, checkpoint: str,
                  partition_col: str = "dt", order: Sequence[str] = ("ingested_at_utc",),
                  trigger: str | None = "availableNow") -> StreamingQuery:
     """First arrival per key in a day-partitioned table, however late: a
     micro-batch keeps its least ``order`` per key and inserts the keys that
     the table lacks. ``partition_col`` must follow from the key, so only the
-    touched days are read."""
+    touched days are read. Rows with a NULL in the key go to
+    ``<table>-rejects`` under the batch's number."""
     from ..operators.dedup import dedup
     from ..operators.upsert import upsert_table
 
     def sink(batch: DataFrame, epoch: int) -> None:
+        keep_rejects(batch, keys, f"{table.rstrip('/')}-rejects", epoch)
         first = dedup(_keyed(batch, keys), keys, [c for c in order if c in batch.columns],
                       keep="first")
         upsert_table(batch.sparkSession, table, first, [*keys, partition_col], partition_col,
@@ -153,8 +166,10 @@ def bounded_dedup_stream(df: DataFrame, keys: Sequence[str], table: str, checkpo
         if epoch and path_exists(spark, f"{progress}/epoch={epoch - 1}"):
             before = spark.read.parquet(f"{progress}/epoch={epoch - 1}").first()["latest"]
 
+        firsts, lates = Observation(), Observation()
         first = dedup(arrived.where(whole).join(new_keys, keys, "left_semi"), keys, order, "first")
-        segments.write_segment(first, table, partition_col, epoch)
+        segments.write_segment(first.observe(firsts, F.count(F.lit(1)).alias("first_rows")), table,
+                               partition_col, epoch)
 
         counts = dedup_counts(arrived.where(~whole), keys, order, "null_key")
         if before is not None:
@@ -164,24 +179,25 @@ def bounded_dedup_stream(df: DataFrame, keys: Sequence[str], table: str, checkpo
                                     F.lit(before).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}"))
             old = arrived.where(whole & (F.col(event_time) <= limit)) \
                 .join(new_keys, keys, "left_anti")
-            days = segments.day_values(old, partition_col)
-            have = segments.read_days(spark, table, partition_col, arrived.schema, days).select(*keys)
+            have = segments.read_days(spark, table, partition_col, arrived.schema,
+                                      segments.day_values(old, partition_col)).select(*keys)
             counts = counts.unionByName(
                 dedup_counts(old, keys, order, "late").join(have, keys, "left_anti"))
         late = counts.withColumn("epoch", F.lit(epoch).cast("bigint"))
-        segments.write_segment(late, late_table, partition_col, epoch)
+        segments.write_segment(
+            late.observe(lates, F.count_if(F.col("reason") == "late").alias("late_keys"),
+                         F.coalesce(F.sum("arrivals"), F.lit(0)).alias("late_arrivals")),
+            late_table, partition_col, epoch)
 
         latest = F.max(F.when(whole, F.col(event_time)))
         (arrived.agg(F.count(F.lit(1)).alias("arrived"),
                      F.greatest(latest, F.lit(before).cast("timestamp_ntz")).alias("latest"))
-         .crossJoin(first.agg(F.count(F.lit(1)).alias("first_rows")))  # one row each
-         .crossJoin(late.agg(F.count_if(F.col("reason") == "late").alias("late_keys"),
-                             F.sum("arrivals").alias("late_arrivals")))
+         .select("*", *[F.lit(n).cast("bigint").alias(c)
+                        for c, n in {**firsts.get, **lates.get}.items()])
          .coalesce(1).write.mode("overwrite").parquet(f"{progress}/epoch={epoch}"))
+        days = segments.day_values(arrived, partition_col)
         for root, like in ((table, arrived.schema), (late_table, late.schema)):
-            segments.compact(spark, root, partition_col, like,
-                             segments.day_values(first if root == table else late, partition_col),
-                             fanout=fanout)
+            segments.compact(spark, root, partition_col, like, days, fanout=fanout)
         remove_path(spark, stage)
 
     w = lanes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
@@ -284,15 +300,21 @@ def rollup_stream(ticks: DataFrame, table: str, checkpoint: str,
 def features_stream(base: DataFrame, ref: DataFrame, base_table: str, ref_table: str,
                     features_table: str, checkpoint: str,
                     trigger: str | None = "availableNow", max_lag: int = 5,
-                    seed: str = "previous_day", by: Sequence[str] = ()) -> StreamingQuery:
+                    seed: str = "previous_day", by: Sequence[str] = (),
+                    changes_table: str | None = None) -> StreamingQuery:
     """Both candle streams -> feature table.
 
     Per micro-batch the new candles of either series are upserted into
-    ``base_table`` and ``ref_table`` by (symbol, minute), and the features of
-    every day they can change are recomputed and overwritten: their own days,
-    the day after a ref day (its seed), and for ``last_known`` all later days.
+    ``base_table`` and ``ref_table`` by (symbol, minute), and the feature rows
+    that they can change are recomputed (see ``operators.changes``) and put in
+    place of the stored ones. The first batch, and every batch under
+    ``last_known``, recomputes whole days: their own, the day after a ref day
+    (its seed), and for ``last_known`` all later ones. ``changes_table`` gets the
+    recomputed minutes per batch and day. Rows with a NULL in the key go to
+    ``<table>-rejects`` under the batch's number.
     ``ref`` may be a stream, whose late files then reach the features, or a
     static frame, which is stored once with the first micro-batch."""
+    from ..operators import changes
     from ..operators.pairing import lead_lag_features
     from ..operators.upsert import upsert_table
     from ..session import scratch_path
@@ -315,22 +337,41 @@ def features_stream(base: DataFrame, ref: DataFrame, base_table: str, ref_table:
         upsert_table(spark, table, _keyed(rows, keys).select(*cols), keys, day,
                      order=["ingested_at_utc"])
 
-    def sink(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        stage = scratch_path(spark, "feature-batch")
-        batch.write.parquet(stage)  # the batch is used several times
-        rows = spark.read.schema(batch.schema).parquet(stage)
-        new_ref = rows.where("_ref").drop("_ref")
-        if not ref.isStreaming and not path_exists(spark, ref_table):
-            new_ref = static_ref
-        store(spark, rows.where("NOT _ref"), base_table, base.columns)
-        store(spark, new_ref, ref_table, ref.columns)
+    def days_of(spark, table, days):
+        """The rows of some days, as a partition filter on their values."""
+        have = spark.read.parquet(table)
+        return have.where(F.col(day).isin([F.lit(d).cast("date") for d in days]))
+
+    def changed_rows(spark, epoch, base_touched, ref_touched):
+        days = sorted(r[0] for r in changes.touched_days(base_touched, ref_touched, day, seed)
+                      .collect())  # days, not rows
+        if not days:
+            return
+        before = sorted({*days, *(d - dt.timedelta(days=1) for d in days)})
+        base_rows, ref_rows = days_of(spark, base_table, days), days_of(spark, ref_table, before)
+        new, minutes = changes.changed_features(base_rows, ref_rows, base_touched, ref_touched,
+                                                max_lag=max_lag, seed=seed, by=by)
+        minutes_stage, new_stage = (scratch_path(spark, n) for n in ("minutes", "changed"))
+        minutes.write.parquet(minutes_stage)
+        new.write.parquet(new_stage)
+        minutes = spark.read.schema(minutes.schema).parquet(minutes_stage)
+        new = spark.read.schema(new.schema).parquet(new_stage)
+        stored = days_of(spark, features_table, days)
+        if changes_table:
+            (minutes.groupBy(*by, day).agg(F.count(F.lit(1)).alias("recomputed"))
+             .join(base_rows.groupBy(*by, day).agg(F.count(F.lit(1)).alias("day_rows")), [*by, day])
+             .withColumn("epoch", F.lit(epoch).cast("bigint")).coalesce(1)
+             .write.mode("overwrite").parquet(f"{changes_table}/epoch={epoch}"))
+        write_layer(changes.replaced(stored, new, minutes, [*by, day, "ts_minute_utc"]),
+                    features_table, day)
+        remove_path(spark, minutes_stage)
+        remove_path(spark, new_stage)
+
+    def whole_days(spark, base_touched, ref_touched):
         base_rows, ref_rows = spark.read.parquet(base_table), spark.read.parquet(ref_table)
-        changed = new_ref.select(day).distinct()
-        days = rows.where("NOT _ref").select(day).distinct().unionByName(changed).unionByName(
-            changed.select(F.date_add(day, 1).alias(day))).distinct()
+        days = changes.touched_days(base_touched, ref_touched, day)
         if seed == "last_known":
-            first = changed.agg(F.min(day)).first()[0]
+            first = ref_touched.agg(F.min(day)).first()[0]
             if first is not None:
                 days = days.unionByName(base_rows.where(F.col(day) >= F.lit(first))
                                         .select(day).distinct()).distinct()
@@ -340,6 +381,26 @@ def features_stream(base: DataFrame, ref: DataFrame, base_table: str, ref_table:
             ref_rows = ref_rows.join(days.unionByName(seed_days).distinct(), day, "left_semi")
         f = lead_lag_features(base_part, ref_rows, max_lag=max_lag, seed=seed, by=by)
         write_layer(f.join(days, day, "left_semi"), features_table, day)
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        stage = scratch_path(spark, "feature-batch")
+        batch.write.parquet(stage)  # the batch is used several times
+        rows = spark.read.schema(batch.schema).parquet(stage)
+        new_ref = rows.where("_ref").drop("_ref")
+        if not ref.isStreaming and not path_exists(spark, ref_table):
+            new_ref = static_ref
+        new_base = rows.where("NOT _ref").drop("_ref")
+        for part, name in ((new_base, base_table), (new_ref, ref_table)):
+            keep_rejects(part, keys, f"{name}-rejects", epoch)
+        store(spark, new_base, base_table, base.columns)
+        store(spark, new_ref, ref_table, ref.columns)
+        touched = [_keyed(part, keys).select(*by, day, "ts_minute_utc").distinct()
+                   for part in (new_base, new_ref)]
+        if seed == "last_known" or not path_exists(spark, features_table):
+            whole_days(spark, *touched)
+        else:
+            changed_rows(spark, epoch, *touched)
         remove_path(spark, stage)
 
     w = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)

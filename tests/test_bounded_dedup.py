@@ -48,7 +48,7 @@ def test_state_is_bounded_and_late_rows_are_kept(spark):
 
     progress = spark.read.parquet(f"{table}-late-progress")
     total = progress.selectExpr("sum(arrived)", "sum(first_rows)", "sum(late_keys)").first()
-    assert tuple(total) == (len(arrived), 20 * 180, 3 + 3 * 0)
+    assert tuple(total) == (len(arrived), 20 * 180, 3 * 4)
     live, dead = segments.segments_of(spark, f"{table}-late", "dt", ["2024-01-01"])
     assert 1 <= len(live) <= 6 and dead == []
 
