@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,29 +75,60 @@ def sub_batches(frames: Iterator[pd.DataFrame], column: str,
             held += n
         if start < len(frame):
             yield frame.iloc[start:]
+    give_back()
+
+
+def give_back() -> None:
+    """Return what a worker has freed to the machine: reused workers otherwise
+    keep the largest amount that any of their tasks took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library than GNU's
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-                rows: int = 400, chars: int = 4_000_000):
-    """(slice, texts) of Arrow batches, cut as `sub_batches` does. Columns
-    that only pass through stay Arrow data: ids keep their exact values next
-    to nulls, which pandas would turn into doubles."""
-    for batch in batches:
-        texts = [t or "" for t in batch.column(column).to_pylist()]
-        start, held = 0, 0
-        for i, text in enumerate(texts):
-            if i > start and (i - start >= rows or held + len(text) > chars):
-                yield batch.slice(start, i - start), texts[start:i]
-                start, held = i, 0
-            held += len(text)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+                rows: int = 400, chars: int = 4_000_000, memo: str | None = None):
+    """(slice, texts) of Arrow batches, cut by the texts' bytes before any of
+    them is decoded. Columns that only pass through stay Arrow data: ids keep
+    their exact values next to nulls, which pandas would turn into doubles.
+
+    Memos of other operators than the one named are dropped at the first
+    batch, and freed memory is given back at the end of the task."""
+    drop_memos(memo)
+    try:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+            start, held, cuts = 0, 0, []
+            for i, n in enumerate(sizes):
+                if i > start and (i - start >= rows or held + n > chars):
+                    cuts.append((start, i))
+                    start, held = i, 0
+                held += n
+            if start < len(sizes):
+                cuts.append((start, len(sizes)))
+            for start, stop in cuts:
+                part = batch.slice(start, stop - start)
+                yield part, [t or "" for t in part.column(column).to_pylist()]
+    finally:
+        give_back()
+
+
+MEMOS = "_pairflow_llm_memo"
 
 
 def process_memo(name: str) -> dict:
     """A dictionary that a Python worker keeps between its tasks."""
-    holder = sys.modules.setdefault("_pairflow_llm_memo", types.ModuleType("_pairflow_llm_memo"))
-    return holder.__dict__.setdefault(name, {})
+    holder = sys.modules.setdefault(MEMOS, types.ModuleType(MEMOS))
+    return holder.__dict__.setdefault(f"memo {name}", {})
+
+
+def drop_memos(but: str | None) -> None:
+    """Forget the memos of all operators but one."""
+    held = vars(sys.modules.get(MEMOS, types.ModuleType(MEMOS)))
+    for name in [n for n in held if n.startswith("memo ") and n != f"memo {but}"]:
+        del held[name]
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,

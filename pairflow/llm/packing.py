@@ -155,7 +155,7 @@ def raw_pieces(documents: DataFrame, tokenizer: str, window: int, unit: int,
 
     def run(batches):
         encode = encoder(tokenizer, cached)
-        for part, texts in text_slices(batches):
+        for part, texts in text_slices(batches, memo=tokenizer):
             rows = []
             for row, ids in enumerate(encode(texts)):
                 n, at = len(ids), 0
