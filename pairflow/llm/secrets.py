@@ -62,10 +62,10 @@ CREDENTIAL = rf"(?i)({_WORDS})s?[\"']?\s*(=|:|=>|\s)\s*[\"']?$"
 USER_INFO = r"://[^\s/:@\"'<>]{0,64}:$"
 # cheap looks first, for they are taken at every character
 SECRET_OR_WORD = "|".join([
-    r"(?<=:)(?=[^\s/:@\"'<>])(?<=://[^\s/:@\"'<>]{0,64}:)[^\s/\"'<>]{1,512}(?=@)",
+    r"(?<=:)(?=[^\s/:@\"'<>])(?<=://[^\s/:@\"'<>]{0,64}:)[^\s/\"'<>]+(?=@)",
     r"(?<=[=:>\s\"'])(?<=[=:>]\s{0,3}[\"']?)"
     rf"(?<=(?i:{_WORDS})s?[\"']?\s{{0,3}}(?:=>|=|:)\s{{0,3}}[\"']?)"
-    r"(?:(?<=[\"'])[^\"'\r\n]{1,512}(?=[\"'])"
+    r"(?:(?<=[\"'])[^\"'\r\n]++"
     r"|(?![=:>])[^\s\"'<>&]+(?:&(?!\w{1,40}=)[^\s\"'<>&]*){0,20}(?<![.,;:!?)\]}]))",
     r"(?<=\s)(?=\S{0,200}[0-9])(?=\S{0,200}[A-Za-z])"
     rf"(?<=(?i:{_WORDS})s?[\"']?\s{{1,3}})[^\s\"'<>=]+(?<![.,;:!?)\]}}])",
