@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 SIMILARITY = 0.8
-ANCHORS = 5             # window starts per item
+ANCHORS = 8             # window starts per item
+SHORT = 10              # items of fewer words are looked up by intact word pairs
 LENGTHS = (6, 12, 24)   # CGK steps of the window lengths; a window has at least as many words
 REPEATS = 6             # tables per window length
 SAMPLED = 4             # output positions per hash
@@ -99,14 +100,22 @@ class BenchmarkIndex:
         starts = []
         for k, (_, words) in enumerate(self.items):
             first = {w: p for p, w in reversed(list(enumerate(words)))}
-            fits = [w for w, p in first.items() if len(words) - p >= min(LENGTHS)] or [words[0]]
+            if len(words) < SHORT:
+                continue
+            fits = [w for w, p in first.items() if len(words) - p >= min(LENGTHS)]
             for w in sorted(fits, key=lambda w: (seen[w], -len(w), first[w]))[:ANCHORS]:
                 starts.append((k, first[w]))
         self.anchors = {self.items[k][1][p] for k, p in starts}
-        self.short = {}  # items too short for any window: looked up by their words
+        # a short item in as many parts as it may have edits, and one more: one
+        # of the parts stands untouched, so the first two words of each find it
+        self.short: dict[tuple[str, ...], list[tuple[int, int]]] = {}
         for k, (_, words) in enumerate(self.items):
-            if len(words) < min(LENGTHS):
-                self.short.setdefault(words[0], []).append(k)
+            if len(words) < SHORT:
+                parts = int((1 - similarity) * len(words) + 1e-9) + 1
+                cuts = [len(words) * i // parts for i in range(parts + 1)]
+                for low, high in zip(cuts, cuts[1:]):
+                    self.short.setdefault(tuple(words[low:min(high, low + 2)]), []) \
+                        .append((k, low))
         hasher = Hasher()
         width = max(LENGTHS) + 1
         windows = np.zeros((len(starts), width), dtype=np.uint64)
@@ -136,8 +145,8 @@ class BenchmarkIndex:
                     part = [word_hash(x) for x in words[p:p + width]]
                     windows.append(part + [0] * (width - len(part)))
                     at.append((t, p))
-                if w in self.short:
-                    found.update((t, k, p) for k in self.short[w])
+                for pair in ((w,), tuple(words[p:p + 2])) if self.short else ():
+                    found.update((t, k, p - low) for k, low in self.short.get(pair, ()))
         if windows:
             for h in self.hasher.hashes(np.array(windows, dtype=np.uint64)).values():
                 low = np.searchsorted(self.keys, h, "left")
