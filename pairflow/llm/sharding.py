@@ -1,8 +1,9 @@
 """Sharding by sampled splitters.
 
-Records are ordered by (hash of the text, doc_id): equal texts lie side by
-side, yet a group of copies of any size can be cut, since the id goes on
-where the text ends. A size-weighted sample of keys gives quantile boundaries
+Records are ordered by (hash of the text, doc_id, place in the input): equal
+texts lie side by side, yet a group of copies of any size can be cut, since the
+id goes on where the text ends, and the place where the id repeats. Ids that
+are no integers go by their hash. A size-weighted sample of keys gives quantile boundaries
 of many fine ranges; every record is put into its range by binary search, and
 the exact bytes of each range are summed. A shard's share is a span of
 running bytes: a range within one span goes to its shard as a whole, an
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import staged
@@ -31,48 +33,54 @@ SHARDS = 24
 ROW_OVERHEAD = 8
 SAMPLES_PER_RANGE = 24
 ROWS_PER_RANGE = 50_000
+KEY = ("k1", "k2", "k3")
 RANGES_PER_SHARD = 4
 MAX_RANGES = 20_000  # of a sample of at most about half a million keys
 
 
 def keyed(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
+    whole = isinstance(documents.schema["doc_id"].dataType, T.IntegralType)
+    own = F.col("doc_id").cast("long") if whole else F.xxhash64("doc_id")
     return documents.select(
         "doc_id", (F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("k1"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)).alias("k2"))
+        F.when(F.col("doc_id").isNull(), F.lit(-2**63)).otherwise(own).alias("k2"),
+        # fixed once the table is written; tells apart rows that repeat
+        F.monotonically_increasing_id().alias("k3"))
 
 
-def boundaries(records: DataFrame, rows: int, total: int, ranges: int) -> list[tuple[int, int]]:
+def boundaries(records: DataFrame, rows: int, total: int, ranges: int) -> list[tuple[int, ...]]:
     """Quantile keys of a size-weighted sample. Half of a record's weight is
     its size, half is being a row, so that a range has neither many bytes
     nor many rows."""
     weight = (F.col("size") / F.lit(total) + F.lit(1.0 / rows)) / 2
     chance = weight * F.lit(float(SAMPLES_PER_RANGE * ranges))
-    draw = F.pmod(F.xxhash64("k1", "k2", F.lit(23)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = staged(records.where(draw < chance).select("k1", "k2"), "splitters")
+    draw = F.pmod(F.xxhash64(*KEY, F.lit(23)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = staged(records.where(draw < chance).select(*KEY), "splitters")
     drawn = sample.count()
     step = max(1, drawn // ranges)
     # the sample is bounded, so one task may order it
-    order = Window.orderBy("k1", "k2")
+    order = Window.orderBy(*KEY)
     cut = (sample.withColumn("i", F.row_number().over(order))
-           .where(F.col("i") % step == 0).select("k1", "k2").distinct()
-           .orderBy("k1", "k2").collect())
-    return [(r["k1"], r["k2"]) for r in cut]
+           .where(F.col("i") % step == 0).select(*KEY).orderBy(*KEY).collect())
+    return [tuple(r) for r in cut]
 
 
-def range_of(cuts: list[tuple[int, int]]) -> Column:
+def range_of(cuts: list[tuple[int, ...]]) -> Column:
     """Number of boundaries at or below the key: binary search over literal
     arrays, log2(ranges) steps per record."""
     if not cuts:
         return F.lit(0)
-    b1 = F.lit([c[0] for c in cuts])
-    b2 = F.lit([c[1] for c in cuts])
+    names = KEY[:len(cuts[0])]
+    bounds = [F.lit([c[i] for c in cuts]) for i in range(len(names))]
 
     def step(state, _):
         mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
-        at1, at2 = F.element_at(b1, mid + 1), F.element_at(b2, mid + 1)
-        above = (F.col("k1") > at1) | ((F.col("k1") == at1) & (F.col("k2") >= at2))
+        above = F.lit(True)
+        for name, bound in zip(reversed(names), reversed(bounds)):
+            at = F.element_at(bound, mid + 1)
+            above = (F.col(name) > at) | ((F.col(name) == at) & above)
         done = state["lo"] >= state["hi"]
         return F.when(done, state).otherwise(F.struct(
             F.when(above, mid + 1).otherwise(state["lo"]).alias("lo"),
@@ -97,7 +105,7 @@ def shard(documents: DataFrame, shards: int = SHARDS, max_ranges: int = MAX_RANG
                  .withColumn("base", F.coalesce(F.sum("bytes").over(
                      Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)),
                      F.lit(0))).select("range", "base"))
-    order = Window.partitionBy("range").orderBy("k1", "k2", "size", "text_crc32")
+    order = Window.partitionBy("range").orderBy(*KEY)
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = F.col("base") + F.col("upto") - F.col("size") / 2
     placed = staged(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pairflow.llm import ann, sharding
 from pairflow.llm.common import table
@@ -134,3 +135,16 @@ def test_boundaries_cut_a_range_by_binary_search(spark):
         "k1", "k2", sharding.range_of(cuts).alias("x")).collect()}
     assert got == {k: sum(c <= k for c in cuts) for k in rows}
     assert {r[0] for r in df.select(sharding.range_of([])).collect()} == {0}
+
+
+def test_shards_of_repeated_rows_and_text_ids(spark):
+    """A third of all rows are one row; ids may be text."""
+    rows = [(7, "same text")] * 200 + [(i, h.prose(i, 8)) for i in range(400)]
+    check_shards(spark, rows)
+    df = h.documents(spark, rows)
+    # every row has a key of its own, so any group can be cut
+    assert sharding.keyed(df).select(*sharding.KEY).distinct().count() == 600
+    named = df.withColumn("doc_id", F.concat(F.lit("a"), F.col("doc_id").cast("string")))
+    out = sharding.shards_digest(named)
+    assert out.select("shard", "slot").distinct().count() == 600
+    assert out.where("doc_id = 'a7'").count() == 201
