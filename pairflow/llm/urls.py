@@ -12,8 +12,10 @@ deep as the list's deepest entry; hosts match in any case, paths in their own.
 
 DataFrame functions only. Captures are reduced to distinct (target, day)
 pairs and these to distinct (key, day) pairs before the as-of join, so a host
-that holds a third of all captures is looked up once a day. The day is part of
-every join key behind that.
+that holds a third of all captures is looked up once a day. The as-of join
+lines up a key's entries and days by date and carries the last entry forward, so
+a key costs its days plus its entries. The day is part of every join key
+behind that.
 
 Defined cases: a null or unreadable url has no keys and is kept with verdict
 'none'; a null fetch day matches nothing; entries with a null key, verdict or
@@ -108,11 +110,20 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
                .withColumn("k", F.explode(keys_of(F.col("place"))))
                .select("place", "fetched_on", "k.key", "k.specificity"))
     intervals = validity(entries)
-    active = (lookups.select("key", "fetched_on").distinct()
-              .join(intervals, "key")
-              .where((F.col("fetched_on") >= F.col("valid_from"))
-                     & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to"))))
-              .select("key", "fetched_on", "verdict", "valid_from"))
+    # the entries of a key and the days it is asked for, in one line by date:
+    # each day takes the last interval begun, if that has not ended
+    asked = lookups.select("key", F.col("fetched_on").alias("on")).distinct()
+    begun = intervals.select("key", F.col("valid_from").alias("on"),
+                             F.struct("verdict", "valid_from", "valid_to").alias("entry"))
+    line = (Window.partitionBy("key").orderBy("on", F.col("entry").isNull())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    active = (asked.unionByName(begun, allowMissingColumns=True)
+              .select("key", "on", F.col("entry").isNull().alias("asked"),
+                      F.last("entry", ignorenulls=True).over(line).alias("entry"))
+              .where(F.col("asked") & F.col("entry").isNotNull()
+                     & F.coalesce(F.col("on") < F.col("entry.valid_to"), F.lit(True)))
+              .select("key", F.col("on").alias("fetched_on"), "entry.verdict",
+                      "entry.valid_from"))
     decided = (lookups.join(active, ["key", "fetched_on"])
                .groupBy("place", "fetched_on")
                .agg(F.max_by(F.struct("verdict", "key", "valid_from"), "specificity").alias("m")))
@@ -211,7 +222,8 @@ entries AS (
   UNION ALL
   SELECT key, 0, {_FIRST} + CAST(90 + {_sql_digits('key', 13)} % 60 AS INTEGER)
   FROM keys WHERE {_LISTED} AND {_sql_digits('key', 11)} % 2 = 0),
-days AS (SELECT lower(key) AS key, listed_on, max(ord) AS ord FROM entries GROUP BY 1, 2),
+days AS (SELECT lower(split_part(key, '/', 1)) || substr(key, length(split_part(key, '/', 1)) + 1)
+                  AS key, listed_on, max(ord) AS ord FROM entries GROUP BY 1, 2),
 intervals AS (
   SELECT key, ord, listed_on AS valid_from,
          lead(listed_on) OVER (PARTITION BY key ORDER BY listed_on) AS valid_to FROM days),

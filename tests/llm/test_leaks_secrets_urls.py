@@ -295,3 +295,39 @@ def test_deep_and_upper_case_paths(spark):
     got = {r["page_id"]: (r["verdict"], r["matched_key"])
            for r in urls.judge(captures, entries).collect()}
     assert got == {i: (v, k) for i, (_, v, k) in enumerate(cases)}
+
+
+@pytest.mark.parametrize("kind", ["substitute", "delete", "insert"])
+def test_recall_at_the_full_limit(spark, kind):
+    """Items of 5 to 60 words with every edit that the similarity allows."""
+    rng = random.Random(8)
+    items, rows = [], []
+    for i in range(340):
+        w = h.words(rng, 5 + i % 56, 6000)
+        items.append((i, " ".join(w)))
+        edited = list(w)
+        for at in sorted(rng.sample(range(len(w)), int(0.2 * len(w) + 1e-9)), reverse=True):
+            if kind == "substitute":
+                edited[at] = f"new{rng.randrange(10**6)}"
+            elif kind == "delete":
+                del edited[at]
+            else:
+                edited.insert(at, f"add{rng.randrange(10**6)}")
+        rows.append((i, " ".join(h.words(rng, 40, 6000) + edited + h.words(rng, 40, 6000))))
+    found = {(r["doc_id"], r["item_id"]) for r in
+             d.find_leaks(h.documents(spark, rows), benchmark(spark, items)).collect()}
+    short = [i for i in range(340) if 5 + i % 56 < d.SHORT]
+    assert all((i, i) in found for i in short)  # exact
+    assert sum((i, i) in found for i in range(340)) >= 0.95 * 340
+
+
+def test_long_secrets_leave_nothing_behind(spark):
+    quoted = " ".join(f"part{i}&x=<{i}>" for i in range(90))  # over 1,000 characters
+    url = "p" * 700 + "@" + "q" * 300
+    texts = [(1, f'the password = "{quoted}" and so on'), (2, f"go to ftp://me:{url}@host/x now"),
+             (3, f"api_key: '{quoted}\nnext line stays")]
+    out = {r["doc_id"]: r["text"] for r in
+           secrets.redact(h.documents(spark, texts + [(9, h.prose(1, 50))])).collect()}
+    assert out[1] == f'the password = "{secrets.MARK}" and so on'
+    assert out[2] == f"go to ftp://me:{secrets.MARK}@host/x now"
+    assert out[3] == f"api_key: '{secrets.MARK}\nnext line stays"
