@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import nan_to_null
 from ..operators import candles as cdl
-from ..operators import pairing, reports
+from ..operators import moments, pairing, reports
 from ..operators import quality as qr
 from ..session import scratch_path
 from . import fixtures as fx
 from . import models
 from . import oracle as o
-from .registry import FEATURE_CTES, features, register
+from .registry import FEATURE_CTES, ORACLE, features, register
 
 R = o.ROUND
 
@@ -212,6 +212,32 @@ def q_daily_correlation_pairs(spark, sf_dir):
         "pair", "execution_date", "record_count", "correlation_1m")
 
 
+@register("daily_correlation_states")
+def q_daily_correlation_states(spark, sf_dir):
+    """Daily correlation from states that were stored as the feature rows
+    came, in three batches, and merged; no day is read again."""
+    f = features(spark, sf_dir)
+    stored = materialize_batches(f)
+    root = scratch_path(spark, "moments")
+    for batch in range(MOMENT_BATCHES):
+        moments.add_moments(stored.where(F.col("batch") == batch).drop("batch"), root, batch)
+    return moments.stored_correlation(spark, root, moments.state_schema(f))
+
+
+MOMENT_BATCHES = 3
+
+
+def materialize_batches(f):
+    """The feature rows dealt to batches by their minute, written once."""
+    path = scratch_path(f.sparkSession, "moment-batches")
+    (f.withColumn("batch", F.minute("ts_minute_utc") % MOMENT_BATCHES)
+     .write.partitionBy("batch").parquet(path))
+    return f.sparkSession.read.parquet(path)
+
+
+ORACLE["daily_correlation_states"] = ORACLE["daily_correlation"]
+
+
 # --- reports --------------------------------------------------------------------
 
 @register("locf_completeness", fsql("""
