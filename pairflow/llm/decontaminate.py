@@ -89,6 +89,14 @@ def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word, 77) or 1
 
 
+class WordHashes(dict):
+    """Hashes of the words of a slice of texts."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = h = word_hash(word)
+        return h
+
+
 class BenchmarkIndex:
     """Anchors and LSH tables of a block of benchmark items."""
 
@@ -138,17 +146,20 @@ class BenchmarkIndex:
     def candidates(self, texts: list[list[str]]) -> set[tuple[int, int, int]]:
         """(text, item, word where the item would start)."""
         at, windows, width = [], [], max(LENGTHS) + 1
-        found = set()
+        found, anchors, hashed = set(), self.anchors, WordHashes()
         for t, words in enumerate(texts):
-            for p, w in enumerate(words):
-                if w in self.anchors:
-                    part = [word_hash(x) for x in words[p:p + width]]
-                    windows.append(part + [0] * (width - len(part)))
-                    at.append((t, p))
-                for pair in ((w,), tuple(words[p:p + 2])) if self.short else ():
-                    found.update((t, k, p - low) for k, low in self.short.get(pair, ()))
+            hits = [p for p, w in enumerate(words) if w in anchors]
+            if hits:  # each word of a text is hashed once, however many windows hold it
+                line = np.zeros(len(words) + width, dtype=np.uint64)
+                line[:len(words)] = [hashed[w] for w in words]
+                windows.append(line[np.array(hits)[:, None] + np.arange(width)])
+                at.extend((t, p) for p in hits)
+            if self.short:
+                for p, w in enumerate(words):
+                    for pair in ((w,), tuple(words[p:p + 2])):
+                        found.update((t, k, p - low) for k, low in self.short.get(pair, ()))
         if windows:
-            for h in self.hasher.hashes(np.array(windows, dtype=np.uint64)).values():
+            for h in self.hasher.hashes(np.concatenate(windows)).values():
                 low = np.searchsorted(self.keys, h, "left")
                 high = np.searchsorted(self.keys, h, "right")
                 for i in np.flatnonzero(high > low):
