@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import staged, text_slices
 
 SIMILARITY = 0.8
 ANCHORS = 8             # window starts per item
@@ -43,6 +44,9 @@ LENGTHS = (6, 12, 24)   # CGK steps of the window lengths; a window has at least
 REPEATS = 6             # tables per window length
 SAMPLED = 4             # output positions per hash
 ITEMS_PER_BLOCK = 20_000
+HITS = 50_000           # windows hashed at a time
+LANES = 4               # 64-bit words of marks
+OTHER = 0xD6E8FEB86659FD93  # hash of every word that no item holds
 WORD = re.compile(r"\w+")
 MASK = (1 << 64) - 1
 
@@ -64,39 +68,28 @@ class Hasher:
         self.positions = {n: [np.sort(rng.choice(n, SAMPLED, replace=False))
                               for _ in range(REPEATS)] for n in LENGTHS}
 
-    def hashes(self, windows: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """windows: word hashes, one row per window, padded with 0 behind the
-        text. Returns the hash of every window for (length, repeat)."""
-        n, out = len(windows), {}
-        rows = np.arange(n)
+    def hashes(self, line: np.ndarray, at: np.ndarray):
+        """The walks over `line` (word hashes, 0 behind each text, where a walk
+        stays) from the places `at`: ((length, repeat), hash of each window)."""
         for r in range(REPEATS):
-            at = np.zeros(n, dtype=np.int64)
-            emitted = np.empty((max(LENGTHS), n), dtype=np.uint64)
+            place = at.copy()
+            emitted = np.empty((max(LENGTHS), len(at)), dtype=np.uint64)
             for j in range(max(LENGTHS)):
-                symbol = windows[rows, at]
+                symbol = line[place]
                 emitted[j] = symbol
-                at += ((symbol * self.walk[r, j]) >> np.uint64(63)).astype(np.int64)
+                place += ((symbol * self.walk[r, j]) >> np.uint64(63)).astype(np.int64)
             for length in LENGTHS:
-                h = np.full(n, length * 1000003 + r, dtype=np.uint64)
+                h = np.full(len(at), length * 1000003 + r, dtype=np.uint64)
                 for k, position in enumerate(self.positions[length][r]):
                     h = (h ^ (emitted[position] * self.mix[r, k])) * np.uint64(0x9E3779B97F4A7C15)
                     h ^= h >> np.uint64(29)
-                out[length, r] = h
-        return out
+                yield (length, r), h
 
 
 def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word, 77) or 1
 
 
-class WordHashes(dict):
-    """Hashes of the words of a slice of texts."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = h = word_hash(word)
-        return h
-
-
 class BenchmarkIndex:
     """Anchors and LSH tables of a block of benchmark items."""
 
@@ -105,6 +98,20 @@ class BenchmarkIndex:
         self.similarity = similarity
         self.distinct = [frozenset(w) for _, w in self.items]
         seen = Counter(w for _, words in self.items for w in set(words))
+        vocabulary = sorted(seen)
+        self.ids = {w: i for i, w in enumerate(vocabulary, 1)}  # 0: any other word
+        self.end = len(vocabulary) + 1  # stands behind each text
+        self.hash_of = np.array([OTHER, *map(word_hash, vocabulary), 0], dtype=np.uint64)
+        bit = (self.hash_of >> np.uint64(7)) % np.uint64(64 * LANES)
+        self.mark_of = np.zeros((len(bit), LANES), dtype=np.uint64)
+        self.mark_of[np.arange(len(bit)), (bit // np.uint64(64)).astype(int)] = \
+            np.uint64(1) << (bit % np.uint64(64))
+        self.mark_of[[0, self.end]] = 0
+        line, of, at = self.line([w for _, w in self.items])
+        self.marks = np.zeros((len(self.items), LANES), dtype=np.uint64)
+        np.bitwise_or.at(self.marks, of, self.mark_of[line])
+        self.length = np.array([len(w) for _, w in self.items], dtype=np.int64)
+        self.most = ((1 - similarity) * self.length + 1e-9).astype(np.int64)
         starts = []
         for k, (_, words) in enumerate(self.items):
             first = {w: p for p, w in reversed(list(enumerate(words)))}
@@ -113,7 +120,10 @@ class BenchmarkIndex:
             fits = [w for w, p in first.items() if len(words) - p >= min(LENGTHS)]
             for w in sorted(fits, key=lambda w: (seen[w], -len(w), first[w]))[:ANCHORS]:
                 starts.append((k, first[w]))
-        self.anchors = {self.items[k][1][p] for k, p in starts}
+        self.starts = np.array(starts, dtype=np.int64).reshape(-1, 2)
+        item, offset = self.starts.T
+        self.anchor = np.zeros(self.end + 1, dtype=bool)
+        self.anchor[line[at[item] + offset]] = True
         # a short item in as many parts as it may have edits, and one more: one
         # of the parts stands untouched, so the first two words of each find it
         self.short: dict[tuple[str, ...], list[tuple[int, int]]] = {}
@@ -124,63 +134,89 @@ class BenchmarkIndex:
                 for low, high in zip(cuts, cuts[1:]):
                     self.short.setdefault(tuple(words[low:min(high, low + 2)]), []) \
                         .append((k, low))
-        hasher = Hasher()
-        width = max(LENGTHS) + 1
-        windows = np.zeros((len(starts), width), dtype=np.uint64)
-        for i, (k, p) in enumerate(starts):
-            part = [word_hash(w) for w in self.items[k][1][p:p + width]]
-            windows[i, :len(part)] = part
-        room = np.array([len(self.items[k][1]) - p for k, p in starts])
-        keys, owners = [], []
-        if starts:
-            for (length, _), h in hasher.hashes(windows).items():
-                fit = np.flatnonzero(room >= length)
-                keys.append(h[fit])
-                owners.append(fit)
-        keys = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        owners = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.owners = keys[order], owners[order]
-        self.starts, self.hasher = starts, hasher
-
-    def candidates(self, texts: list[list[str]]) -> set[tuple[int, int, int]]:
-        """(text, item, word where the item would start)."""
-        at, windows, width = [], [], max(LENGTHS) + 1
-        found, anchors, hashed = set(), self.anchors, WordHashes()
-        for t, words in enumerate(texts):
-            hits = [p for p, w in enumerate(words) if w in anchors]
-            if hits:  # each word of a text is hashed once, however many windows hold it
-                line = np.zeros(len(words) + width, dtype=np.uint64)
-                line[:len(words)] = [hashed[w] for w in words]
-                windows.append(line[np.array(hits)[:, None] + np.arange(width)])
-                at.extend((t, p) for p in hits)
-            if self.short:
-                for p, w in enumerate(words):
-                    for pair in ((w,), tuple(words[p:p + 2])):
-                        found.update((t, k, p - low) for k, low in self.short.get(pair, ()))
-        if windows:
-            for h in self.hasher.hashes(np.concatenate(windows)).values():
-                low = np.searchsorted(self.keys, h, "left")
-                high = np.searchsorted(self.keys, h, "right")
-                for i in np.flatnonzero(high > low):
-                    t, p = at[i]
-                    for owner in self.owners[low[i]:high[i]]:
-                        k, offset = self.starts[owner]
-                        found.add((t, k, p - offset))
-        return found
+        self.hasher, self.tables = Hasher(), {}
+        room = self.length[item] - offset
+        for (length, r), h in self.hasher.hashes(self.hash_of[line], at[item] + offset):
+            fit = np.flatnonzero(room >= length)
+            fit = fit[np.argsort(h[fit], kind="stable")]
+            keys, first, counts = np.unique(h[fit], return_index=True, return_counts=True)
+            self.tables[length, r] = (keys, first, counts, fit)
+
+    def line(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All texts behind one another as word ids, with room for a walk
+        behind each; the text of each place, and where each text begins."""
+        gap = max(LENGTHS) + 1
+        sizes = np.array([len(w) + gap for w in texts], dtype=np.int64)
+        at = np.cumsum(sizes) - sizes
+        line = np.full(int(sizes.sum()), self.end, dtype=np.int64)
+        for i, words in zip(at, texts):
+            line[i:i + len(words)] = list(map(self.ids.get, words, repeat(0)))
+        return line, np.repeat(np.arange(len(texts)), sizes), at
+
+    def candidates(self, texts: list[list[str]], line, of, at) -> np.ndarray:
+        """Rows (text, item, word where the item would start), each once."""
+        hashes, span = self.hash_of[line], int(self.length.max(initial=0))
+        size = len(line) + span + 1
+
+        def code(text, item, start):
+            return (text * len(self.items) + item) * size + start + span
+
+        found = [np.zeros(0, dtype=np.int64)]
+        hits = np.flatnonzero(self.anchor[line])
+        for low in range(0, len(hits), HITS):
+            part = hits[low:low + HITS]
+            for table, h in self.hasher.hashes(hashes, part):
+                keys, first, counts, owners = self.tables[table]
+                if not len(keys):
+                    continue
+                slot = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                window = np.flatnonzero(keys[slot] == h)
+                n = counts[slot[window]]
+                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                owner = owners[np.repeat(first[slot[window]], n) + nth]
+                place = np.repeat(part[window], n)
+                item, offset = self.starts[owner].T
+                found.append(np.unique(code(of[place], item, place - at[of[place]] - offset)))
+        if self.short:
+            short = [code(t, k, p - low) for t, words in enumerate(texts)
+                     for p, w in enumerate(words) for pair in ((w,), tuple(words[p:p + 2]))
+                     for k, low in self.short.get(pair, ())]
+            found.append(np.array(short, dtype=np.int64))
+        pair, start = np.divmod(np.unique(np.concatenate(found)), size)
+        return np.column_stack([*np.divmod(pair, max(1, len(self.items))), start - span])
+
+    def possible(self, texts: list[list[str]]) -> np.ndarray:
+        """The candidates that enough words speak for. Each edit accounts for
+        one missing word at most, and a mark of the item's words that no word
+        near the candidate has is a missing word."""
+        line, of, at = self.line(texts)
+        rows = self.candidates(texts, line, of, at)
+        text, item, start = rows.T
+        most, size = self.most[item], np.array([len(w) for w in texts], dtype=np.int64)[text]
+        low = np.maximum(0, start - 2 * most)
+        width = np.minimum(size, start + self.length[item] + 2 * most) - low
+        low += at[text]
+        keep, marks, step = np.zeros(len(rows), dtype=bool), self.mark_of[line], 1
+        while step <= width.max(initial=0):
+            # marks[i]: those of `step` words from i; two such runs cover a width below 2 * step
+            now = np.flatnonzero((width >= step) & (width < 2 * step))
+            near = marks[low[now]] | marks[low[now] + width[now] - step]
+            missing = np.bitwise_count(self.marks[item[now]] & ~near).sum(axis=1)
+            keep[now] = missing <= most[now]
+            marks, step = marks[:-step] | marks[step:], 2 * step
+        return rows[keep]
 
     def matches(self, texts: list[list[str]]) -> list[tuple[int, int, int, int]]:
         """(text, item id, distance, last word) of every verified pair."""
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for t, k, start in self.candidates(texts):
-            words = self.items[k][1]
-            most = int((1 - self.similarity) * len(words) + 1e-9)
+        for t, k, start in self.possible(texts).tolist():
+            words, most = self.items[k][1], int(self.most[k])
             if best.get((t, k), (1, 0))[0] == 0:
                 continue
             low = max(0, start - 2 * most)
             part = texts[t][low:max(0, start + len(words) + 2 * most)]
             if len(self.distinct[k].difference(part)) > most:
-                continue  # each edit accounts for one missing word at most
+                continue
             distance, end = edit_distance(words, part)
             if distance <= most and distance < best.get((t, k), (most + 1, 0))[0]:
                 best[t, k] = (distance, low + end)
@@ -215,12 +251,14 @@ def edit_distance(pattern: list[str], text: list[str]) -> tuple[int, int]:
 
 def indexes(benchmark: DataFrame, similarity: float,
             items_per_block: int = ITEMS_PER_BLOCK):
-    """The benchmark in blocks of about `items_per_block` items, one at a time."""
+    """The benchmark in blocks of about `items_per_block` items, one at a time,
+    and whether the block is the only one. Where it is not, its result is
+    written before the next one is fetched, so the driver holds one block."""
     blocks = max(1, -(-benchmark.count() // items_per_block))
     for block in range(blocks):
         rows = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         yield BenchmarkIndex([(r["item_id"], r["text"]) for r in
-                              rows.select("item_id", "text").collect()], similarity)
+                              rows.select("item_id", "text").collect()], similarity), blocks == 1
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
@@ -247,19 +285,23 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = S
 
         return docs.mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionByName,
-                  [one(i) for i in indexes(benchmark, similarity, items_per_block)])
+    found = []
+    for index, alone in indexes(benchmark, similarity, items_per_block):
+        found.append(one(index) if alone else staged(one(index), "leaks"))
+    return reduce(DataFrame.unionByName, found)
 
 
-def drop_leaked(documents: DataFrame, benchmark: DataFrame,
-                similarity: float = SIMILARITY) -> DataFrame:
+def drop_leaked(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
+                items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """The documents that hold no benchmark item, with their own columns."""
     kept = documents
-    for index in indexes(benchmark, similarity):
+    for index, alone in indexes(benchmark, similarity, items_per_block):
         def run(batches, index=index):
             for part, texts in text_slices(batches, rows=200, chars=2_000_000):
                 hit = {t for t, *_ in index.matches([words_of(t) for t in texts])}
                 yield part.filter(pa.array([i not in hit for i in range(len(texts))]))
 
         kept = kept.mapInArrow(run, documents.schema)
+        if not alone:
+            kept = staged(kept, "unleaked")
     return kept

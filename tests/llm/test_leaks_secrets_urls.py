@@ -107,6 +107,8 @@ def test_leaks_in_blocks_of_items(spark):
     docs, items = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     pairs = lambda df: sorted((r["doc_id"], r["item_id"]) for r in df.collect())
     assert pairs(d.find_leaks(docs, items, items_per_block=7)) == pairs(d.find_leaks(docs, items))
+    few = {r["doc_id"] for r in d.drop_leaked(docs, items, items_per_block=90).collect()}
+    assert few == {r["doc_id"] for r in d.drop_leaked(docs, items).collect()}
 
 
 def true_secret(text, start, finding):
@@ -331,3 +333,27 @@ def test_long_secrets_leave_nothing_behind(spark):
     assert out[1] == f'the password = "{secrets.MARK}" and so on'
     assert out[2] == f"go to ftp://me:{secrets.MARK}@host/x now"
     assert out[3] == f"api_key: '{secrets.MARK}\nnext line stays"
+
+
+def test_marks_reject_only_what_words_reject():
+    """The marks keep every candidate that the exact count of missing words
+    keeps, also at the ends of texts, next to other texts and without words."""
+    rng = random.Random(11)
+    names = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(names, k=rng.choice([5, 7, 12, 30, 60])))) for i in range(60)]
+    index = d.BenchmarkIndex(items)
+    texts = [[]]
+    for _, text in items:
+        words = text.split()
+        for at in rng.sample(range(len(words)), len(words) // 5):
+            words[at] = rng.choice([*names, "unseen"])
+        texts.append(rng.choices(names, k=rng.randrange(40)) + words
+                     + rng.choices(names, k=rng.randrange(40)))
+    rows = index.candidates(texts, *index.line(texts)).tolist()
+    kept = set(map(tuple, index.possible(texts).tolist()))
+    for t, k, start in rows:
+        most = int(index.most[k])
+        near = texts[t][max(0, start - 2 * most):max(0, start + int(index.length[k]) + 2 * most)]
+        if len(set(index.items[k][1]) - set(near)) <= most and near:
+            assert (t, k, start) in kept
+    assert kept <= set(map(tuple, rows)) and len(kept) < len(rows)
