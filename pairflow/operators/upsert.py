@@ -136,49 +136,37 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, keys: Sequenc
     belongs to the key, those where the target holds a key of the batch (found
     by reading the key columns alone): a row whose partition value changes
     moves, it is not stored twice. The batch is deduplicated and staged once.
-    Merged rows are written with dynamic partition overwrite, which writes
-    aside and replaces partitions when all tasks are done, so the files that a
-    retried task reads are still there. Where rows may move, the merged rows
-    are staged, and partitions that lost their last row are removed. Stages go
-    once all has committed.
+    Merged rows are written aside and published by a stored plan, with the
+    partitions that lost their last row (``sources.publish``): a run that
+    stops anywhere leaves the old partitions or is finished by the next one.
 
     Rerunning after a failure gives the same table for rows with complete
     keys; rows with a NULL in the key are appended by every run, as an
     INSERT would, so a caller that may replay a batch drops or numbers them.
     """
     from ..session import scratch_path
-    from ..sources.sinks import remove_path, write_layer
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        write_layer(upsert(None, batch, keys, order), path, partition_col, sort_col=None)
+    from ..sources.files import path_exists
+    from ..sources.publish import finish_publish, publish_layer
+    from ..sources.sinks import remove_path
+    finish_publish(spark, path)
+    if not path_exists(spark, path):
+        publish_layer(upsert(None, batch, keys, order), path, partition_col, sort_col=None)
         return
     target = spark.read.parquet(path)
-    batch_stage, stage = scratch_path(spark, "upsert-batch"), scratch_path(spark, "upsert-stage")
+    batch_stage = scratch_path(spark, "upsert-batch")
     dedup(batch, list(keys), [c for c in order if c in batch.columns], keep="last") \
         .write.parquet(batch_stage)
     batch = spark.read.schema(batch.schema).parquet(batch_stage)
     touched = batch.select(F.col(partition_col).cast(target.schema[partition_col].dataType))
+    moved: list[str] = []
     if partition_col not in keys:
-        touched = touched.unionByName(
-            target.select(*keys, partition_col).join(batch.select(*keys), list(keys), "left_semi")
-            .select(partition_col))
-    touched = touched.distinct()
-    scoped = target.join(touched, partition_col, "left_semi")
+        stored = target.select(*keys, partition_col).join(batch.select(*keys), list(keys),
+                                                          "left_semi").select(partition_col)
+        touched = touched.unionByName(stored)
+        moved = [r["v"] for r in stored.select(F.col(partition_col).cast("string").alias("v"))
+                 .distinct().where("v IS NOT NULL").collect()]  # partitions, not rows
+    scoped = target.join(touched.distinct(), partition_col, "left_semi")
     merged = upsert(scoped, batch, keys, order, on_match).select(*target.columns)
-    if partition_col in keys:  # no row moves
-        write_layer(merged, path, partition_col, sort_col=None)
-        remove_path(spark, batch_stage)
-        return
-    merged.write.partitionBy(partition_col).parquet(stage)
-    # explicit schema: an empty batch leaves a stage without data files
-    staged = spark.read.schema(merged.schema).parquet(stage).select(*target.columns)
-    emptied = touched.join(staged.select(partition_col).distinct(), partition_col, "left_anti")
-    gone = [r["v"] for r in emptied.select(F.col(partition_col).cast("string").alias("v"))
-            .where("v IS NOT NULL").collect()]  # partitions, not rows
-    write_layer(staged, path, partition_col, sort_col=None)
-    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for value in gone:
-        remove_path(spark, f"{path.rstrip('/')}/{name.getPartitionPathString(partition_col, value)}")
-    # on a failure above the stages stay for inspection and a rerun recomputes them
-    remove_path(spark, stage)
+    publish_layer(merged, path, partition_col, sort_col=None, replaces=moved)
+    # on a failure above the stage stays for inspection and a rerun recomputes it
     remove_path(spark, batch_stage)
