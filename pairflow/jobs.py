@@ -6,13 +6,17 @@ reference runs one day per process), and a day without input is an error.
     python -m pairflow.jobs land-klines --payloads P --out R --symbol S
     python -m pairflow.jobs land-quotes --payloads P --out R --symbol S
     python -m pairflow.jobs format-base --raw R --out O [--execution_date D ...]
+                                        [--fmt auto] [--all_pulls]
     python -m pairflow.jobs format-ref  --raw R --out O [--execution_date D ...]
+    python -m pairflow.jobs format-changed --raw R --out O --manifest M [--series base]
     python -m pairflow.jobs features    --base B --ref R --out O --execution_date D ...
                                         [--max_lag_minutes 5] [--seed previous_day] [--by C ...]
     python -m pairflow.jobs load        --usage U --table T --ledger L --as_of D
     python -m pairflow.jobs models      --usage U --out M [--by C ...]
     python -m pairflow.jobs documents   --usage U --out O --ledger L --as_of D [--index I]
 
+The format and feature layers are published day by day with a success marker
+(``sources.publish``), and records that do not parse go to ``<out>_rejects``.
 Progress and row counts come from ``observe`` metrics on the write itself,
 so no job runs a plan twice. State (which day partitions a consumer has
 loaded) lives in a ledger table next to the data; a day is recorded only
@@ -26,6 +30,7 @@ import argparse
 import datetime as dt
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,9 +45,11 @@ from .plans import models
 from .session import scratch_path
 from .sources import documents as docs
 from .sources import payloads
-from .sources.files import partitions_of, path_exists, read_candles, read_layer
-from .sources.sinks import (LEDGER_SCHEMA, append_raw, mark_done, pending_partitions, remove_path,
-                            write_layer)
+from .sources import manifest as mf
+from .sources.files import (FORMAT_PRECEDENCE, landed_formats, partitions_of, path_exists,
+                            read_candles, read_layer, split_landed)
+from .sources.publish import day_folder, publish_layer
+from .sources.sinks import (LEDGER_SCHEMA, append_raw, mark_done, pending_partitions, remove_path)
 
 FEATURE_KEY = ["ts_minute_utc", "execution_date"]
 EMPTY_REF = T.StructType([T.StructField("dt", T.DateType()),
@@ -98,24 +105,60 @@ def _in_days(df: DataFrame, col: str, days: Sequence[str] | None) -> DataFrame:
     return df.where(F.col(col).isin([F.lit(d).cast("date") for d in days]))
 
 
+def _format(spark: SparkSession, raw: str, out: str, days: Sequence[str] | None, fmt: str,
+            schema: T.StructType, form, name: str) -> dict:
+    """Split landed records, publish the formed layer and, at ``<out>_rejects``,
+    the rejects. The formed days are replaced in both, also those that hold no
+    row now. Returns the metrics of the layer's write and the rejects' number."""
+    df, rejects = split_landed(spark, raw, fmt, schema, days)
+    formed = days or [d for d in landed_formats(
+        spark, raw, FORMAT_PRECEDENCE if fmt == "auto" else (fmt,)) if d]
+    f, obs = observed(form(df), name)
+    publish_layer(f, out, "dt", replaces=formed)
+    publish_layer(rejects, f"{out.rstrip('/')}_rejects", "dt", replaces=formed)
+    try:
+        metrics = obs.get
+    except Py4JJavaError:  # adaptive execution drops the metrics of a plan without rows
+        metrics = {"rows": 0}
+    return {**metrics, "rejects": rejects.count()}
+
+
 def format_base_job(spark: SparkSession, raw: str, out: str, days: Sequence[str] | None = None,
                     fmt: str = "auto", dedup_pulls: bool = True) -> dict:
     """Landed 24/7 candles (``dt=`` folders) -> formatted layer by ``dt``."""
-    df = read_candles(spark, raw, fmt, days=days)
-    f, obs = observed(format_base_series(df, dedup_pulls=dedup_pulls, audit=True, keep=["dt"]),
-                      "format-base")
-    write_layer(f, out, "dt")
-    return obs.get
+    return _format(spark, raw, out, days, fmt, schemas.RAW_BASE_CANDLE,
+                   lambda df: format_base_series(df, dedup_pulls=dedup_pulls, audit=True,
+                                                 keep=["dt"]), "format-base")
 
 
 def format_ref_job(spark: SparkSession, raw: str, out: str,
                    days: Sequence[str] | None = None) -> dict:
     """Landed market-hours CSV (``dt=`` folders) -> formatted layer by ``dt``
     (the landing day, which is the run day, as the partition)."""
-    df = read_candles(spark, raw, "csv", schemas.RAW_REF_CANDLE, days=days)
-    f, obs = observed(format_ref_series(df, dt=F.col("dt"), audit=True), "format-ref")
-    write_layer(f, out, "dt")
-    return obs.get
+    return _format(spark, raw, out, days, "csv", schemas.RAW_REF_CANDLE,
+                   lambda df: format_ref_series(df, dt=F.col("dt"), audit=True), "format-ref")
+
+
+def format_changed_job(spark: SparkSession, raw: str, out: str, manifest: str,
+                       series: str = "base") -> list[str]:
+    """Form again exactly the days whose files were added, replaced or deleted
+    since the last run, and record the files. A day whose last file went
+    leaves the layer. Files that land during the run are new to the next one.
+    Returns the days."""
+    now = mf.current_files(spark, raw)
+    changes = mf.changed_days(mf.file_changes(mf.read_manifest(spark, manifest), now))
+    days = [str(r["dt"]) for r in changes.where("dt IS NOT NULL").orderBy("dt").collect()]
+    if not days:
+        return days
+    kept = {str(r["dt"]) for r in now.select("dt").distinct().collect()}
+    here = [d for d in days if d in kept]
+    if here:
+        (format_base_job if series == "base" else format_ref_job)(spark, raw, out, here)
+    for day in sorted(set(days) - kept):
+        for layer in (out, f"{out.rstrip('/')}_rejects"):
+            remove_path(spark, f"{layer.rstrip('/')}/{day_folder(spark, 'dt', day)}")
+    mf.store_manifest(now, manifest)
+    return days
 
 
 def _previous_days(days: Sequence[str]) -> list[str]:
@@ -142,7 +185,7 @@ def features_job(spark: SparkSession, base: str, ref: str, out: str, days: Seque
     r = r.withColumnRenamed("dt", "execution_date")
     f = lead_lag_features(b, r, max_lag=max_lag, seed=seed, audit=True, by=by)
     f, obs = observed(_in_days(f, "execution_date", days), "features")
-    write_layer(f, out, "execution_date")
+    publish_layer(f, out, "execution_date")
     return obs.get
 
 
@@ -221,6 +264,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         s.add_argument("--raw", required=True)
         s.add_argument("--out", required=True)
         s.add_argument("--execution_date", nargs="*")
+        if name == "format-base":
+            s.add_argument("--fmt", default="auto", choices=["auto", "json", "jsonl", "csv"])
+            s.add_argument("--all_pulls", action="store_true")
+    s = sub.add_parser("format-changed")
+    for a in ("--raw", "--out", "--manifest"):
+        s.add_argument(a, required=True)
+    s.add_argument("--series", default="base", choices=["base", "ref"])
     s = sub.add_parser("features")
     for a in ("--base", "--ref", "--out"):
         s.add_argument(a, required=True)
@@ -254,7 +304,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     from .session import get_session
     spark = get_session(app=f"pairflow-{a.job}")
     if a.job == "format-base":
-        format_base_job(spark, a.raw, a.out, a.execution_date)
+        format_base_job(spark, a.raw, a.out, a.execution_date, a.fmt, not a.all_pulls)
+    elif a.job == "format-changed":
+        format_changed_job(spark, a.raw, a.out, a.manifest, a.series)
     elif a.job == "format-ref":
         format_ref_job(spark, a.raw, a.out, a.execution_date)
     elif a.job == "features":

@@ -9,10 +9,10 @@ from ..operators import candles as cdl
 from ..operators.conform import lower_columns, require_columns
 from ..session import scratch_path
 from ..sources import documents as docs
-from ..sources import files, payloads, sinks
+from ..sources import files, payloads, publish, sinks
 from . import fixtures as fx
 from . import oracle as o
-from .q_io import BASE_RAW, DOC_SCHEMA
+from .q_io import BASE_RAW, DOC_SCHEMA, JSON_UNTIL, JSONL_UNTIL
 from .registry import FEATURE_CTES, features, register
 
 RUN_DAY = "2024-01-15"  # both document runs have this run day
@@ -123,6 +123,95 @@ def q_land_quotes(spark, sf_dir):
     return f.select("ts_minute_utc", "symbol", "open", "close", "volume", "dt")
 
 
+REJECTS_SQL = o.with_(o.TICKS, BASE_RAW) + f"""
+SELECT execution_date AS dt, 'json' AS format,
+       CASE WHEN day(execution_date) % 5 = 0 THEN 0 ELSE count(*) END AS records,
+       CASE WHEN day(execution_date) % 5 = 0 THEN 1 ELSE 0 END AS rejects
+FROM base_c WHERE execution_date <= DATE '{JSON_UNTIL}' GROUP BY execution_date
+UNION ALL
+SELECT execution_date,
+       CASE WHEN execution_date <= DATE '{JSONL_UNTIL}' THEN 'jsonl' ELSE 'csv' END,
+       count(*) FILTER (WHERE minute(ts_minute_utc) % 7 <> 0),
+       count(*) FILTER (WHERE minute(ts_minute_utc) % 7 = 0)
+FROM base_c WHERE execution_date > DATE '{JSON_UNTIL}' GROUP BY execution_date"""
+
+
+@register("scan_rejects", REJECTS_SQL, dates=("dt",))
+def q_scan_rejects(spark, sf_dir):
+    """A landing tree with malformed records in three formats: JSON arrays cut
+    short (the whole file is a reject), JSON lines cut short, and CSV values
+    of another type. Records and rejects of each day are counted."""
+    path = scratch_path(spark, "landing-rejects")
+    raw, dt = fx.raw_base_records(fx.base_candles(spark, sf_dir, metrics=False)), F.col("dt")
+    json_days = dt <= F.lit(JSON_UNTIL).cast("date")
+    line_days = ~json_days & (dt <= F.lit(JSONL_UNTIL).cast("date"))
+    broken_day = F.day("dt") % 5 == 0
+    broken = F.substring("ts_minute_utc", 15, 2).cast("int") % 7 == 0
+    line = F.to_json(F.struct(*[c for c in raw.columns if c != "dt"]))
+    half = lambda c: F.substring(c, F.lit(1), (F.length(c) / 2).cast("int"))
+    sinks.write_json_arrays(raw.where(json_days & ~broken_day), path, group_cols=["symbol"])
+    sinks.write_text_lines(raw.where(json_days & broken_day).groupBy("dt").agg(F.concat(
+        F.lit("["), F.array_join(F.sort_array(F.collect_list(line)), ",")).alias("value")),
+        path, "dt", "json")
+    sinks.write_text_lines(raw.where(line_days).select(
+        "dt", F.when(broken, half(line)).otherwise(line).alias("value")), path, "dt", "jsonl")
+    (raw.where(~json_days & ~line_days)
+        .withColumn("open_time", F.when(broken, F.lit("n/a")).otherwise(F.col("open_time")
+                                                                        .cast("string")))
+        .write.mode("append").partitionBy("dt").option("header", True).csv(path))
+    records, rejects = files.split_landed(spark, path)
+    one, none = F.lit(1), F.lit(0)
+    by_day = F.when(json_days, "json").when(line_days, "jsonl").otherwise("csv")
+    return (records.select("dt", by_day.alias("format"), one.alias("a"), none.alias("b"))
+            .unionByName(rejects.select("dt", "format", none.alias("a"), one.alias("b")))
+            .groupBy("dt", "format").agg(F.sum("a").alias("records"), F.sum("b").alias("rejects")))
+
+
+@register("format_changed_files", o.with_(o.TICKS, BASE_RAW) + """
+SELECT symbol, ts_minute_utc, CASE day(execution_date) % 3 WHEN 0 THEN close + 0.5
+       WHEN 1 THEN close + 1 ELSE close END AS close, execution_date AS dt
+FROM base_c WHERE day(execution_date) % 10 <> 9""", dates=("dt",))
+def q_format_changed_files(spark, sf_dir):
+    """The formatted layer after two runs that look at files: between them
+    some days got a further pull, some were landed anew, some were removed."""
+    raw, out, manifest = (scratch_path(spark, n) for n in ("cf-raw", "cf-out", "cf-manifest"))
+    c = fx.base_candles(spark, sf_dir, metrics=False)
+    dom = F.day("dt")
+    sinks.write_json_lines(fx.raw_base_records(c), raw)
+    jobs.format_changed_job(spark, raw, out, manifest)
+    up = lambda x: c.withColumn("close", F.col("close") + x)
+    later = up(0.5).withColumn("ingested_at_utc",
+                               F.timestamp_add("MINUTE", F.lit(5), F.col("ingested_at_utc")))
+    again = fx.raw_base_records(later).where(dom % 3 == 0)
+    sinks.write_text_lines(again.select("dt", F.to_json(F.struct(
+        *[x for x in again.columns if x != "dt"])).alias("value")), raw, "dt", "jsonl", "append")
+    sinks.write_json_lines(fx.raw_base_records(up(1.0)).where(dom % 3 == 1), raw)
+    gone = c.select(F.col("execution_date").alias("dt")).distinct().where(dom % 10 == 9)
+    for r in gone.collect():  # days, not rows
+        sinks.remove_path(spark, f"{raw}/dt={r['dt']}")
+    jobs.format_changed_job(spark, raw, out, manifest)
+    return files.read_layer(spark, out, marked=True).select("symbol", "ts_minute_utc", "close",
+                                                            "dt")
+
+
+@register("layer_published", o.with_(*FEATURE_CTES, o.features_sql()) + """
+SELECT ts_minute_utc, execution_date,
+       CASE WHEN day(execution_date) % 2 = 0 THEN base_close + 1 ELSE base_close END AS base_close
+FROM features WHERE day(execution_date) <> 7""")
+def q_layer_published(spark, sf_dir):
+    """A layer published twice: the second time with revised days and without
+    a day that it replaces; marked days are read."""
+    path, day = scratch_path(spark, "published"), "execution_date"
+    f = features(spark, sf_dir).select("ts_minute_utc", day, "base_close")
+    publish.publish_layer(f, path, day)
+    days = publish.marked_days(spark, path, day)
+    stored = files.read_layer(spark, path, day_col=day, marked=True)
+    publish.publish_layer(stored.where(F.day(day) % 2 == 0)
+                          .withColumn("base_close", F.col("base_close") + 1), path, day,
+                          replaces=[d for d in days if d.endswith("-07")])
+    return files.read_layer(spark, path, day_col=day, marked=True)
+
+
 @register("required_columns", "SELECT n_nationkey, n_name FROM nation", dates=())
 def q_required_columns(spark, sf_dir):
     """A frame that has the columns a job needs passes as it is."""

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..session import scratch_path
+from .publish import finish_publish, marked_days
 
 FORMAT_PRECEDENCE = ("json", "jsonl", "csv")
 
@@ -24,8 +26,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _landed(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
-    r = spark.read.schema(schema).option("pathGlobFilter", f"*.{fmt}")
+def _landed(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
+            rejects: str | None = None) -> DataFrame:
+    """Landed files of one format; ``rejects`` names a text column that holds
+    the raw text of a record that does not fit the schema."""
+    r = spark.read.schema(T.StructType([*schema.fields, T.StructField(rejects, T.StringType())])
+                          if rejects else schema).option("pathGlobFilter", f"*.{fmt}")
+    if rejects:
+        r = r.option("columnNameOfCorruptRecord", rejects)
     if fmt == "json":
         return r.option("multiLine", True).json(path)
     if fmt == "jsonl":
@@ -56,14 +64,18 @@ def landed_formats(spark: SparkSession, path: str,
 
 def read_candles(spark: SparkSession, path: str, fmt: str = "auto",
                  schema: T.StructType = schemas.RAW_BASE_CANDLE,
-                 days: Sequence[str] | None = None, day_col: str = "dt") -> DataFrame:
+                 days: Sequence[str] | None = None, day_col: str = "dt",
+                 rejects: str | None = None) -> DataFrame:
     """Read landed candles: ``json`` (files holding one JSON array),
     ``jsonl`` (one object per line), ``csv`` (with header) or ``auto``.
 
     ``auto`` settles the format of each ``dt=`` folder by itself (json >
     jsonl > csv by the files present) and unions the days. Day folders become
     a ``dt`` column by partition discovery. Every day of ``days`` must have
-    input of the format: missing days raise, as does an empty tree."""
+    input of the format: missing days raise, as does an empty tree.
+
+    ``rejects`` adds a column with the raw text of a malformed record, and
+    ``_file`` and ``_format`` say where a record is from (``split_landed``)."""
     if fmt != "auto" and fmt not in FORMAT_PRECEDENCE:
         raise ValueError(f"unknown format {fmt}")
     wanted = FORMAT_PRECEDENCE if fmt == "auto" else (fmt,)
@@ -76,7 +88,10 @@ def read_candles(spark: SparkSession, path: str, fmt: str = "auto",
         raise FileNotFoundError(f"no raw input under {path} for {', '.join(missing)}")
     out = None
     for f in dict.fromkeys(best[d] for d in sorted(best)):
-        part = _landed(spark, path, f, schema)
+        part = _landed(spark, path, f, schema, rejects)
+        if rejects:
+            part = part.select("*", F.col("_metadata.file_path").alias("_file"),
+                               F.lit(f).alias("_format"))
         if day_col in part.columns:
             own = [d for d in best if best[d] == f and (days is None or d in days)]
             if not own:
@@ -86,9 +101,35 @@ def read_candles(spark: SparkSession, path: str, fmt: str = "auto",
     return out
 
 
+def split_landed(spark: SparkSession, path: str, fmt: str = "auto",
+                 schema: T.StructType = schemas.RAW_BASE_CANDLE,
+                 days: Sequence[str] | None = None,
+                 day_col: str = "dt") -> tuple[DataFrame, DataFrame]:
+    """Landed candles as (records, rejects). A reject is a record that is not
+    of its format or does not fit the schema: a broken JSON line, a value of
+    another type, a CSV line with too few or too many fields, or a whole file
+    that is no JSON array. It comes as (day, format, file, record) with its
+    raw text, and is in no other row.
+
+    Records are parsed once, with every column, and stored in scratch, from
+    which both frames read. Parsing lazily, a reader judges a record by the
+    columns that a query happens to use, and the two frames could differ."""
+    raw = "_reject"
+    path_ = scratch_path(spark, "landed")
+    landed = read_candles(spark, path, fmt, schema, days, day_col, rejects=raw)
+    landed.write.parquet(path_)
+    stored = spark.read.schema(landed.schema).parquet(path_)
+    kept = [c for c in landed.columns if c not in (raw, "_file", "_format")]
+    day = [day_col] if day_col in kept else []
+    return (stored.where(F.col(raw).isNull()).select(*kept),
+            stored.where(F.col(raw).isNotNull()).select(
+                *day, F.col("_format").alias("format"), F.col("_file").alias("file"),
+                F.col(raw).alias("record")))
+
+
 def read_layer(spark: SparkSession, base: str, days: Sequence[str] | None = None,
                day_col: str = "dt", schema: T.StructType | None = None,
-               required: bool = True) -> DataFrame:
+               required: bool = True, marked: bool = False) -> DataFrame:
     """A Parquet layer partitioned by ``day_col``; ``days`` prunes partitions
     (the filter reaches the file index as a PartitionFilter).
 
@@ -104,6 +145,9 @@ def read_layer(spark: SparkSession, base: str, days: Sequence[str] | None = None
     if schema is not None:
         r = r.schema(schema)
     df = r.parquet(base)
+    if marked:
+        df = df.where(F.col(day_col).isin([F.lit(d).cast(df.schema[day_col].dataType)
+                                           for d in marked_days(spark, base, day_col)]))
     if days is not None:
         asked = F.col(day_col).isin([F.lit(d).cast("date") for d in days])
         if required:

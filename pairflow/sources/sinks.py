@@ -50,11 +50,12 @@ def append_raw(df: DataFrame, base: str, partition_col: str = "dt", fmt: str = "
     df.write.mode("append").partitionBy(partition_col).format(fmt).save(base)
 
 
-def _write_lines(df: DataFrame, base: str, partition_col: str, extension: str) -> None:
+def write_text_lines(df: DataFrame, base: str, partition_col: str, extension: str,
+                     mode: str = "overwrite") -> None:
     """Write ``value`` as text lines into files of the given extension, which
     readers select files by. Only the CSV writer names its files freely; JSON
     text holds no control character, so U+0001 never separates anything."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .options(extension=extension, sep="\u0001", quote="", header="false", escapeQuotes="false",
                 ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
        .partitionBy(partition_col).csv(base))
@@ -79,14 +80,14 @@ def write_json_arrays(df: DataFrame, base: str, group_cols: Sequence[str],
              .withColumn("_a", F.when(F.size("_a") <= MAX_ARRAY_ROWS, F.col("_a")).otherwise(
                  F.raise_error(F.lit("group too large for one JSON array"))))
              .select(partition_col, F.to_json(F.col("_a._v")).alias("value")))
-    _write_lines(arr, base, partition_col, "json")
+    write_text_lines(arr, base, partition_col, "json")
 
 
 def write_json_lines(df: DataFrame, base: str, partition_col: str = "dt") -> None:
     """Land records as JSON lines files named ``*.jsonl``."""
     cols = [c for c in df.columns if c != partition_col]
-    _write_lines(df.select(partition_col, F.to_json(F.struct(*cols)).alias("value")), base,
-                 partition_col, "jsonl")
+    write_text_lines(df.select(partition_col, F.to_json(F.struct(*cols)).alias("value")), base,
+                     partition_col, "jsonl")
 
 
 # --- JDBC with fallback --------------------------------------------------------
