@@ -11,7 +11,10 @@ reference runs one day per process), and a day without input is an error.
     python -m pairflow.jobs format-changed --raw R --out O --manifest M [--series base]
     python -m pairflow.jobs features    --base B --ref R --out O --execution_date D ...
                                         [--max_lag_minutes 5] [--seed previous_day] [--by C ...]
+                                        [--carry S]
+    python -m pairflow.jobs carry       --ref R --state S [--by C ...]
     python -m pairflow.jobs load        --usage U --table T --ledger L --as_of D
+    python -m pairflow.jobs export      --usage U --ledger L --spill P --as_of D
     python -m pairflow.jobs models      --usage U --out M [--by C ...]
     python -m pairflow.jobs documents   --usage U --out O --ledger L --as_of D [--index I]
 
@@ -28,7 +31,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -38,18 +41,20 @@ from pyspark.sql import types as T
 from . import schemas
 from .functions.time import floor_minute
 from .operators.candles import format_base_series, format_ref_series
-from .operators.pairing import lead_lag_features
+from .operators.pairing import lead_lag_features, side_columns
 from .operators.reports import observed
 from .operators.upsert import merge_append, upsert_table
 from .plans import models
 from .session import scratch_path
+from .sources import carry
 from .sources import documents as docs
 from .sources import payloads
 from .sources import manifest as mf
 from .sources.files import (FORMAT_PRECEDENCE, landed_formats, partitions_of, path_exists,
                             read_candles, read_layer, split_landed)
 from .sources.publish import day_folder, publish_layer
-from .sources.sinks import (LEDGER_SCHEMA, append_raw, mark_done, pending_partitions, remove_path)
+from .sources.sinks import (LEDGER_SCHEMA, append_raw, jdbc_options, mark_done,
+                            pending_partitions, remove_path, with_fallback, write_jdbc)
 
 FEATURE_KEY = ["ts_minute_utc", "execution_date"]
 EMPTY_REF = T.StructType([T.StructField("dt", T.DateType()),
@@ -165,25 +170,50 @@ def _previous_days(days: Sequence[str]) -> list[str]:
     return [(dt.date.fromisoformat(d) - dt.timedelta(days=1)).isoformat() for d in days]
 
 
+def carry_job(spark: SparkSession, ref: str, state: str, by: Sequence[str] = ()) -> list[str]:
+    """Bring the last-known snapshots at ``state`` up to date with the
+    formatted layer ``ref``: of the days whose files were added, replaced or
+    deleted since the last run, the candles are read; other days enter by
+    their stored values. Returns the days whose snapshot changed. ``by`` stays
+    the same over the life of a state."""
+    seen = f"{state.rstrip('/')}_files"
+    now = mf.current_files(spark, ref)
+    changes = mf.changed_days(mf.file_changes(mf.read_manifest(spark, seen), now))
+    days = [str(r["dt"]) for r in changes.where("dt IS NOT NULL").collect()]
+    if not days:
+        return days
+    changed = carry.update_carry(read_layer(spark, ref), state, days, by=by)
+    mf.store_manifest(now, seen)
+    return changed
+
+
 def features_job(spark: SparkSession, base: str, ref: str, out: str, days: Sequence[str],
-                 max_lag: int = 5, seed: str = "previous_day", by: Sequence[str] = ()) -> dict:
+                 max_lag: int = 5, seed: str = "previous_day", by: Sequence[str] = (),
+                 state: str | None = None) -> dict:
     """Formatted layers -> feature layer by ``execution_date`` for ``days``.
 
     Only the needed partitions are read: the days themselves, plus the day
     before for the previous-day seed, or every earlier day for
-    ``last_known``. Missing ref days are not an error (the market may be
+    ``last_known``; with the snapshots at ``state`` (``carry_job`` brings them
+    up to date first) ``last_known`` reads the days themselves and the snapshot
+    before each. Missing ref days are not an error (the market may be
     closed); a day without base rows is. ``by`` names the pair keys of layers
     that hold several pairs."""
     b = read_layer(spark, base, days).withColumnRenamed("dt", "execution_date")
+    seeds = None
     if not path_exists(spark, ref):
         r = spark.createDataFrame([], T.StructType([*EMPTY_REF.fields,
                                                     *[b.schema[c] for c in by]]))
+    elif seed == "last_known" and state:
+        carry_job(spark, ref, state, by)
+        r = _in_days(read_layer(spark, ref), "dt", days)
+        seeds = carry.carried_seeds(spark, state, days, side_columns("ref", False), r.schema, by=by)
     elif seed == "last_known":
         r = read_layer(spark, ref).where(F.col("dt") <= F.lit(max(days)).cast("date"))
     else:
         r = _in_days(read_layer(spark, ref), "dt", sorted(set(days) | set(_previous_days(days))))
     r = r.withColumnRenamed("dt", "execution_date")
-    f = lead_lag_features(b, r, max_lag=max_lag, seed=seed, audit=True, by=by)
+    f = lead_lag_features(b, r, max_lag=max_lag, seed=seed, audit=True, by=by, seeds=seeds)
     f, obs = observed(_in_days(f, "execution_date", days), "features")
     publish_layer(f, out, "execution_date")
     return obs.get
@@ -215,6 +245,42 @@ def load_job(spark: SparkSession, usage: str, table: str, ledger: str, as_of: st
     done.write.mode("append").parquet(ledger)
 
 
+def export_job(spark: SparkSession, usage: str, ledger: str, spill: str, as_of: str,
+               sink: Callable[[DataFrame], None] | None = None,
+               consumer: str = "export") -> tuple[str, list[str]]:
+    """Append the day partitions that are not exported yet to the warehouse
+    through ``sink`` (default: JDBC as ``sinks.jdbc_options`` finds it), with
+    the audit columns, in one job. The ``as_of`` day waits until it is over,
+    as appended rows cannot be replaced.
+
+    If the sink fails, the rows go to ``spill`` as CSV, a folder per day that
+    a later spill of the day replaces, and their days stay pending: the next
+    run tries them again and, once stored, removes their spill. Returns
+    ("primary", "fallback" or "nothing") and the days."""
+    day = "execution_date"
+    pending = _pending(spark, usage, ledger, consumer).where(
+        F.col("dt") != F.lit(as_of).cast("date"))
+    days = sorted(str(r["dt"]) for r in pending.collect())  # days, not rows
+    if not days:
+        return "nothing", days
+    batch = (_in_days(spark.read.parquet(usage)
+                      .withColumn("source_file", F.col("_metadata.file_path")), day, days)
+             .withColumn("loaded_at_utc", F.current_timestamp()))
+    if sink is None:
+        opts = jdbc_options()
+
+        def sink(rows):
+            write_jdbc(rows, opts["url"], opts["table"], opts["properties"])
+    how, _ = with_fallback(batch, sink, spill, partition_col=day)
+    if how == "primary":
+        done = spark.createDataFrame([(consumer, dt.date.fromisoformat(d)) for d in days],
+                                     LEDGER_SCHEMA)
+        done.write.mode("append").parquet(ledger)
+        for d in days:
+            remove_path(spark, f"{spill.rstrip('/')}/{day_folder(spark, day, d)}")
+    return how, days
+
+
 def documents_job(spark: SparkSession, usage: str, out: str, ledger: str, as_of: str,
                   index: str = "features", consumer: str = "documents",
                   by: Sequence[str] = (), ids: str = "minute") -> None:
@@ -279,6 +345,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     s.add_argument("--seed", default="previous_day",
                    choices=["previous_day", "last_known", "none"])
     s.add_argument("--by", nargs="*", default=[])
+    s.add_argument("--carry", help="last-known snapshots, with --seed last_known")
+    s = sub.add_parser("carry")
+    s.add_argument("--ref", required=True)
+    s.add_argument("--state", required=True)
+    s.add_argument("--by", nargs="*", default=[])
     for name in ("land-klines", "land-quotes"):
         s = sub.add_parser(name)
         s.add_argument("--payloads", required=True)
@@ -288,12 +359,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     s.add_argument("--usage", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--by", nargs="*", default=[])
-    for name in ("load", "documents"):
+    for name in ("load", "documents", "export"):
         s = sub.add_parser(name)
         s.add_argument("--usage", required=True)
         s.add_argument("--ledger", required=True)
-        s.add_argument("--by", nargs="*", default=[])
         s.add_argument("--as_of", default=dt.datetime.now(dt.timezone.utc).date().isoformat())
+        if name == "export":
+            s.add_argument("--spill", required=True)
+            continue
+        s.add_argument("--by", nargs="*", default=[])
         if name == "load":
             s.add_argument("--table", required=True)
         else:
@@ -311,7 +385,11 @@ def main(argv: Sequence[str] | None = None) -> None:
         format_ref_job(spark, a.raw, a.out, a.execution_date)
     elif a.job == "features":
         features_job(spark, a.base, a.ref, a.out, a.execution_date, a.max_lag_minutes, a.seed,
-                     a.by)
+                     a.by, a.carry)
+    elif a.job == "carry":
+        carry_job(spark, a.ref, a.state, a.by)
+    elif a.job == "export":
+        export_job(spark, a.usage, a.ledger, a.spill, a.as_of)
     elif a.job == "land-klines":
         land_klines_job(spark, a.payloads, a.out, a.symbol)
     elif a.job == "land-quotes":

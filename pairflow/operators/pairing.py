@@ -163,13 +163,16 @@ def lead_lag_features(base: DataFrame, ref: DataFrame, *, max_lag: int = 5,
                       seed: str = "previous_day", ts: str = "ts_minute_utc",
                       day: str = "execution_date", by: Sequence[str] = (),
                       prefixes: tuple[str, str] = ("base", "ref"),
-                      drop_warmup: bool = True, audit: bool = False) -> DataFrame:
+                      drop_warmup: bool = True, audit: bool = False,
+                      seeds: DataFrame | None = None) -> DataFrame:
     """The feature table: base minutes with the ref series aligned and
     carried forward, lag/lead 1..max_lag, 1-minute returns.
 
     * ``seed``: ``"previous_day"`` (last ref row of day J-1 fills the start
       of day J), ``"last_known"`` (last non-NULL value from any earlier day)
-      or ``"none"`` (carry within the day only).
+      or ``"none"`` (carry within the day only). ``seeds`` brings the seeds
+      instead, as (by…, day, struct ``_s`` of the ref columns), e.g. from
+      stored snapshots (``sources.carry``); ``ref`` then needs no earlier day.
     * On a day where the ref series has no rows at all the ref columns hold
       the seed, ``<ref>_market_open`` is false and the ref lag/lead/return
       columns are NULL.
@@ -178,21 +181,24 @@ def lead_lag_features(base: DataFrame, ref: DataFrame, *, max_lag: int = 5,
     """
     if seed not in SEED_MODES:
         raise ValueError(f"seed must be one of {SEED_MODES}")
-    filled = filled_minutes(base, ref, seed=seed, ts=ts, day=day, by=by, prefixes=prefixes)
+    filled = filled_minutes(base, ref, seed=seed, ts=ts, day=day, by=by, prefixes=prefixes,
+                            seeds=seeds)
     return shifted_features(filled, max_lag=max_lag, ts=ts, day=day, by=by, prefixes=prefixes,
                             drop_warmup=drop_warmup, audit=audit)
 
 
 def filled_minutes(base: DataFrame, ref: DataFrame, *, seed: str = "previous_day",
                    ts: str = "ts_minute_utc", day: str = "execution_date",
-                   by: Sequence[str] = (), prefixes: tuple[str, str] = ("base", "ref")) -> DataFrame:
+                   by: Sequence[str] = (), prefixes: tuple[str, str] = ("base", "ref"),
+                   seeds: DataFrame | None = None) -> DataFrame:
     """Base minutes with the ref columns carried forward, ``<ref>_market_open``
     and ``_has_ref`` (the day has any ref row)."""
     bp, rp = prefixes
     keys = [*by, day]
     bcols, rcols = side_columns(bp, True), side_columns(rp, False)
-    seeds = None
-    if seed == "previous_day":
+    if seeds is not None:
+        pass
+    elif seed == "previous_day":
         seeds = prior_day_seed(ref, cols=rcols, ts=ts, day=day, by=by)
     elif seed == "last_known":
         seeds = last_known_seed(base, ref, cols=rcols, ts=ts, day=day, by=by)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import jobs, schemas
 from ..operators import candles as cdl
@@ -212,6 +213,61 @@ def q_layer_published(spark, sf_dir):
     return files.read_layer(spark, path, day_col=day, marked=True)
 
 
+@register("locf_carry", o.with_(*FEATURE_CTES, o.features_sql(ref_name="sref", seed="last_known"))
+          + "SELECT * FROM features")
+def q_locf_carry(spark, sf_dir):
+    """Last-known seeds from stored snapshots. The ref layer first lacks its
+    later days and holds two days with other closes and volumes; then these
+    are corrected, the rest lands, and the feature layer is built."""
+    base, ref, out, state = (scratch_path(spark, n) for n in ("cb", "cr", "cf", "carry"))
+    days = F.col("execution_date").alias("dt")
+    b = fx.base_candles(spark, sf_dir)
+    r = fx.scenario_ref(fx.ref_candles(spark, sf_dir))
+    b, r = (c.select("*", days).drop("execution_date") for c in (b, r))
+    wrong = F.day("dt").isin(5, 9)
+    first = r.where(F.day("dt") <= 14).withColumns({
+        "close": F.when(wrong, F.col("close") + 1).otherwise(F.col("close")),
+        "volume": F.when(~wrong, F.col("volume"))})
+    publish.publish_layer(b, base)
+    publish.publish_layer(first, ref)
+    jobs.carry_job(spark, ref, state)
+    publish.publish_layer(r, ref)
+    jobs.features_job(spark, base, ref, out, publish.marked_days(spark, base), seed="last_known",
+                      state=state)
+    return files.read_layer(spark, out, day_col="execution_date").drop("processed_at_utc")
+
+
+@register("export_spill", o.with_(*FEATURE_CTES, o.features_sql()) + f"""
+SELECT 'warehouse' AS place, ts_minute_utc, base_close, ref_close, execution_date
+FROM features WHERE execution_date <> DATE '{RUN_DAY}'
+UNION ALL
+SELECT 'spill', ts_minute_utc, base_close, ref_close, execution_date
+FROM features WHERE execution_date < DATE '{RUN_DAY}'""")
+def q_export_spill(spark, sf_dir):
+    """The warehouse export run three times: the first finds no warehouse and
+    spills its days, the second stores them with the days landed since, the
+    third has nothing to do. The run day waits."""
+    usage, ledger, spill, kept, stored = (scratch_path(spark, n) for n in (
+        "ex-usage", "ex-ledger", "ex-spill", "ex-kept", "ex-stored"))
+    f = features(spark, sf_dir).select("ts_minute_utc", "base_close", "ref_close",
+                                       "execution_date")
+    day, run = F.col("execution_date"), F.lit(RUN_DAY).cast("date")
+    sinks.write_layer(f.where(day <= run), usage, "execution_date")
+    jobs.export_job(spark, usage, ledger, spill, RUN_DAY)  # no JDBC driver here
+    spilled = T.StructType([*f.drop("execution_date").schema.fields,
+                            T.StructField("source_file", T.StringType()),
+                            T.StructField("loaded_at_utc", T.TimestampType()),
+                            f.schema["execution_date"]])
+    spark.read.schema(spilled).option("header", True).csv(spill).write.parquet(kept)
+    sinks.write_layer(f.where(day > run), usage, "execution_date")
+    for _ in range(2):
+        jobs.export_job(spark, usage, ledger, spill, RUN_DAY,
+                        sink=lambda rows: rows.write.mode("append").parquet(stored))
+    return (spark.read.parquet(stored).select(F.lit("warehouse").alias("place"), *f.columns)
+            .unionByName(spark.read.parquet(kept).select(F.lit("spill").alias("place"),
+                                                         *f.columns)))
+
+
 @register("required_columns", "SELECT n_nationkey, n_name FROM nation", dates=())
 def q_required_columns(spark, sf_dir):
     """A frame that has the columns a job needs passes as it is."""

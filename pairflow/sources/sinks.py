@@ -117,9 +117,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
 
 
 def with_fallback(df: DataFrame, primary: Callable[[DataFrame], None],
-                  fallback_path: str) -> tuple[str, Exception | None]:
+                  fallback_path: str, partition_col: str | None = None,
+                  ) -> tuple[str, Exception | None]:
     """Run ``primary(df)``; if it fails, write the rows as CSV (with header)
-    to ``fallback_path``. Returns ``("primary", None)`` or ``("fallback", the
+    to ``fallback_path``; with ``partition_col`` into a folder per value,
+    replacing only the folders of the values in ``df``. Returns ``("primary", None)`` or ``("fallback", the
     error)``, and logs the error. A primary that is not atomic may have
     stored some rows before it failed; whoever loads the spill must upsert."""
     try:
@@ -127,7 +129,10 @@ def with_fallback(df: DataFrame, primary: Callable[[DataFrame], None],
         return "primary", None
     except Exception as error:  # noqa: BLE001 - any sink failure triggers the spill
         log.warning("primary sink failed, rows go to %s: %s", fallback_path, error)
-        df.write.mode("overwrite").option("header", True).csv(fallback_path)
+        w = df.write.mode("overwrite").option("header", True)
+        if partition_col:
+            w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
+        w.csv(fallback_path)
         return "fallback", error
 
 
