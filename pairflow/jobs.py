@@ -3,8 +3,8 @@ landed series, build the feature layer, load it into a keyed table, build the
 models, export documents. Each job runs any set of days as one Spark job (the
 reference runs one day per process), and a day without input is an error.
 
-    python -m pairflow.jobs land-klines --payloads P --out R --symbol S
-    python -m pairflow.jobs land-quotes --payloads P --out R --symbol S
+    python -m pairflow.jobs land-klines --payloads P --out R --symbol S [--newest N]
+    python -m pairflow.jobs land-quotes --payloads P --out R --symbol S [--newest N]
     python -m pairflow.jobs format-base --raw R --out O [--execution_date D ...]
                                         [--fmt auto] [--all_pulls]
     python -m pairflow.jobs format-ref  --raw R --out O [--execution_date D ...]
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import logging
 from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -42,7 +43,7 @@ from . import schemas
 from .functions.time import floor_minute
 from .operators.candles import format_base_series, format_ref_series
 from .operators.pairing import lead_lag_features, side_columns
-from .operators.reports import observed
+from .operators.reports import last_n, observed
 from .operators.upsert import merge_append, upsert_table
 from .plans import models
 from .session import scratch_path
@@ -56,6 +57,8 @@ from .sources.publish import day_folder, publish_layer
 from .sources.sinks import (LEDGER_SCHEMA, append_raw, jdbc_options, mark_done,
                             pending_partitions, remove_path, with_fallback, write_jdbc)
 
+log = logging.getLogger(__name__)
+
 FEATURE_KEY = ["ts_minute_utc", "execution_date"]
 EMPTY_REF = T.StructType([T.StructField("dt", T.DateType()),
                           T.StructField("ts_minute_utc", T.TimestampNTZType()),
@@ -63,29 +66,45 @@ EMPTY_REF = T.StructType([T.StructField("dt", T.DateType()),
                             for c in ("open", "high", "low", "close", "volume")]])
 
 
+def _responses(spark: SparkSession, path: str) -> DataFrame:
+    """Text files holding one response each, with the file as ``_pull``."""
+    return (spark.read.option("wholetext", True).text(path)
+            .select("value", F.col("_metadata.file_path").alias("_pull")))
+
+
 def land_klines_job(spark: SparkSession, payload_path: str, out: str, symbol: str,
-                    interval: str = "1m", ingested_at: str | None = None) -> None:
+                    interval: str = "1m", ingested_at: str | None = None,
+                    newest: int | None = None) -> None:
     """Stored kline responses (text files holding one response each) appended
-    to the landing area as records under ``dt=`` of their minute."""
-    text = spark.read.option("wholetext", True).text(payload_path)
+    to the landing area as records under ``dt=`` of their minute; with
+    ``newest`` only that many latest klines of each response."""
+    text = _responses(spark, payload_path)
     now = F.lit(ingested_at) if ingested_at else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    rows = payloads.explode_klines(text.withColumn("at", now), "value", symbol, interval, "at")
+    rows = payloads.explode_klines(text.withColumn("at", now), "value", symbol, interval, "at",
+                                   keep=["_pull"])
+    rows = (last_n(rows, newest, ["_pull"], "open_time") if newest else rows).drop("_pull")
     append_raw(rows.withColumn("dt", F.substring("ts_minute_utc", 1, 10).cast("date")), out)
 
 
 def land_quotes_job(spark: SparkSession, payload_path: str, out: str, symbol: str,
                     source: str = "api", interval: str = "1m",
-                    ingested_at: str | None = None) -> int:
+                    ingested_at: str | None = None, newest: int | None = None) -> dict[str, int]:
     """Stored quote responses merged into the day files of the landing area:
     a minute that is already landed stays as it is, new minutes are added.
-    Returns the number of responses without quotes."""
-    text = spark.read.option("wholetext", True).text(payload_path)
+    With ``newest`` only that many latest quotes of each response land.
+    Returns the number of ``responses`` without quotes and of ``quotes``
+    without a readable time, which have no day to land in."""
+    text = _responses(spark, payload_path)
     at = F.lit(ingested_at).cast("timestamp_ntz") if ingested_at else \
         F.current_timestamp().cast("timestamp_ntz")
-    q = payloads.explode_quotes(text, "value", symbol, source, fetched_at=at)
+    q = payloads.explode_quotes(text, "value", symbol, source, keep=["_pull"], fetched_at=at)
+    unread = q.where("datetime IS NULL").count()
+    q = q.where("datetime IS NOT NULL")
+    if newest:
+        q = last_n(q, newest, ["_pull"], "datetime")
     minute = payloads.iso_minute_text(floor_minute("datetime"))
-    rows = q.where("datetime IS NOT NULL").select(
+    rows = q.select(
         F.col("datetime").cast("string").alias("datetime"),
         *[F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close", "volume")],
         minute.alias("ts_minute_utc"), "symbol", "source",
@@ -101,7 +120,7 @@ def land_quotes_job(spark: SparkSession, payload_path: str, out: str, symbol: st
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("header", True).partitionBy("dt").csv(out))
     remove_path(spark, stage)
-    return payloads.rejected_quotes(text, "value").count()
+    return {"responses": payloads.rejected_quotes(text, "value").count(), "quotes": unread}
 
 
 def _in_days(df: DataFrame, col: str, days: Sequence[str] | None) -> DataFrame:
@@ -283,14 +302,21 @@ def export_job(spark: SparkSession, usage: str, ledger: str, spill: str, as_of:
 
 def documents_job(spark: SparkSession, usage: str, out: str, ledger: str, as_of: str,
                   index: str = "features", consumer: str = "documents",
-                  by: Sequence[str] = (), ids: str = "minute") -> None:
+                  by: Sequence[str] = (), ids: str = "minute",
+                  load: Callable[[str], None] | None = None,
+                  fallback: str | None = None) -> bool:
     """Export pending day partitions as NDJSON documents, one folder per day,
     then record the days except ``as_of``. A rerun replaces the folders of the
     days it exports and no others.
 
     ``ids="minute"`` names a document by its pair and minute; ``"row"`` by the
     day and the row's number in it (``<day>_<n>``), in an index named
-    ``<index>_<day>``."""
+    ``<index>_<day>``.
+
+    ``load`` hands the written folder to a search service. If it fails and a
+    ``fallback`` is named, the rows are written there as JSON objects, one
+    folder per day, and the days stay pending; without a fallback the error is
+    raised. Returns whether the documents went through."""
     pending = _pending(spark, usage, ledger, consumer)
     day = "execution_date"
     batch = spark.read.parquet(usage).join(pending.withColumnRenamed("dt", day), day, "left_semi")
@@ -304,8 +330,18 @@ def documents_job(spark: SparkSession, usage: str, out: str, ledger: str, as_of:
     else:
         raise ValueError("ids must be 'minute' or 'row'")
     docs.write_documents(d, out, index=name, partition_col=day)
+    if load is not None:
+        try:
+            load(out)
+        except Exception as error:  # noqa: BLE001 - any failure of the service
+            if fallback is None:
+                raise
+            log.warning("documents not loaded, rows go to %s: %s", fallback, error)
+            docs.export_json(batch, fallback, partition_col=day)
+            return False
     done = mark_done(spark.createDataFrame([], LEDGER_SCHEMA), pending, consumer, as_of)
     done.write.mode("append").parquet(ledger)
+    return True
 
 
 def models_job(spark: SparkSession, usage: str, out: str, by: Sequence[str] = (),
@@ -355,6 +391,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         s.add_argument("--payloads", required=True)
         s.add_argument("--out", required=True)
         s.add_argument("--symbol", required=True)
+        s.add_argument("--newest", type=int)
     s = sub.add_parser("models")
     s.add_argument("--usage", required=True)
     s.add_argument("--out", required=True)
@@ -391,9 +428,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     elif a.job == "export":
         export_job(spark, a.usage, a.ledger, a.spill, a.as_of)
     elif a.job == "land-klines":
-        land_klines_job(spark, a.payloads, a.out, a.symbol)
+        land_klines_job(spark, a.payloads, a.out, a.symbol, newest=a.newest)
     elif a.job == "land-quotes":
-        land_quotes_job(spark, a.payloads, a.out, a.symbol)
+        land_quotes_job(spark, a.payloads, a.out, a.symbol, newest=a.newest)
     elif a.job == "models":
         models_job(spark, a.usage, a.out, a.by)
     elif a.job == "load":

@@ -72,7 +72,12 @@ def write_documents(docs: DataFrame, path: str, index: str | Column | None = Non
              .partitionBy(partition_col).text(path))
 
 
-def export_json(df: DataFrame, path: str) -> None:
+def export_json(df: DataFrame, path: str, partition_col: str | None = None) -> None:
     """Fallback export when no search endpoint is reachable: the rows as
-    JSON objects (NaN as null, ISO times), one file per task."""
-    nan_to_null(df).write.mode("overwrite").options(**JSON_OPTIONS).json(path)
+    JSON objects (NaN as null, ISO times), one file per task. With
+    ``partition_col`` each value has a folder, and only the folders of the
+    values in ``df`` are replaced."""
+    w = nan_to_null(df).write.mode("overwrite").options(**JSON_OPTIONS)
+    if partition_col:
+        w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
+    w.json(path)

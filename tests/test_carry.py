@@ -151,3 +151,51 @@ def test_export_spills_and_recovers(spark):
     stored = spark.read.parquet(store)
     assert stored.count() == rows.count()
     assert stored.where("source_file IS NULL OR loaded_at_utc IS NULL").count() == 0
+
+
+def test_documents_fall_back_to_json(spark):
+    usage, ledger, out, spill = (scratch_path(spark, n) for n in ("du", "dl", "do", "ds"))
+    rows = candles(spark, 11, DAYS[:3], pairs=("a",)).withColumnRenamed("dt", "execution_date")
+    rows = rows.withColumn("close", F.lit(float("nan")))
+    sinks.write_layer(rows, usage, "execution_date")
+
+    def broken(_):
+        raise OSError("no search service")
+    with pytest.raises(OSError):
+        jobs.documents_job(spark, usage, out, ledger, "2024-02-01", load=broken)
+    for _ in range(2):  # the days stay pending and replace their own folders
+        assert not jobs.documents_job(spark, usage, out, ledger, "2024-02-01", load=broken,
+                                      fallback=spill)
+    back = spark.read.json(spill)
+    assert back.count() == 12 and back.where("close IS NOT NULL").count() == 0
+    loaded = []
+    assert jobs.documents_job(spark, usage, out, ledger, "2024-02-01", load=loaded.append)
+    assert loaded == [out] and spark.read.text(out).count() == 12
+    assert spark.read.parquet(ledger).count() == 3
+
+
+def test_landing_takes_the_newest_of_each_response(spark):
+    import json
+    kl, qu, raw_k, raw_q = (scratch_path(spark, n) for n in ("pk", "pq", "rk", "rq"))
+    t0 = 1_704_067_200_000
+    kline = lambda m: [t0 + 60_000 * m, *["1.0"] * 5, t0 + 60_000 * m + 59_999, "1.0", 1,
+                       "1.0", "1.0", "0"]
+    quote = lambda t: {"datetime": t, **dict.fromkeys(
+        ("open", "high", "low", "close", "volume"), "2.0")}
+    for path in (kl, qu):
+        os.makedirs(path)
+    for n, at in enumerate((0, 10)):
+        with open(f"{kl}/{n}.json", "w") as f:
+            json.dump([kline(at + m) for m in range(6)], f)
+    times = [f"2024-01-01 15:0{m}:00" for m in range(5)]
+    for name, body in (("a", {"values": [quote(t) for t in [*times, "soon", None]]}),
+                       ("b", {"status": "error"})):
+        with open(f"{qu}/{name}.json", "w") as f:
+            json.dump(body, f)
+    jobs.land_klines_job(spark, kl, raw_k, "X", newest=2)
+    got = sorted((r["open_time"] - t0) // 60_000 for r in spark.read.json(raw_k).collect())
+    assert got == [4, 5, 14, 15]
+    assert jobs.land_quotes_job(spark, qu, raw_q, "Y", newest=3) == {"responses": 1, "quotes": 2}
+    landed = spark.read.option("header", True).csv(raw_q)
+    assert sorted(r["ts_minute_utc"] for r in landed.collect()) == [
+        f"2024-01-01T15:0{m}:00Z" for m in (2, 3, 4)]
