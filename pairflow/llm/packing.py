@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import struct
 import unicodedata
 import zlib
 
@@ -30,6 +31,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +43,9 @@ WINDOW = 2048
 UNIT = 64
 DEPTH = 4
 END_ID = 1
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 200_000
+LONGEST_KEPT = 40  # letters; longer runs seldom come again
+SLICE_ROWS = 4_000  # texts encoded together, of 4 million bytes at most
 RANK_ROWS = 20_000  # rows that one task ranks, about
 
 
@@ -62,18 +66,76 @@ def chunks_of(text: str) -> list[str]:
     return text.split()
 
 
+def chunk_lists(texts: list[str]) -> pa.ListArray:
+    """The chunks of each text, empty ones among them."""
+    if any(map(SEPARATORS.search, texts)):
+        return pa.array([chunks_of(t) for t in texts], pa.list_(pa.string()))
+    return pc.utf8_split_whitespace(pa.array(texts, pa.string()))
+
+
 # what the tokenizer cuts a chunk into, apart from its contractions
 PIECE = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
 
+def plain(word: str) -> bool:
+    """Letters that normalising and lower case leave letters, so that no sign
+    behind them joins their marks."""
+    return word.isalpha() and (
+        word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 def pieces_of(chunk: str) -> list[str]:
     """Parts of a chunk that the tokenizer encodes one by one; the chunk itself
-    where a contraction, a special token or composition could join them."""
-    if chunk[-1] in ".," and chunk[:-1].isalpha():
-        return [chunk[:-1], chunk[-1]]
-    if "'" in chunk or "<|" in chunk or not unicodedata.is_normalized("NFC", chunk):
+    where a contraction, a special token, composition or a letter that lower
+    case takes apart could join them, or a character is too new to be sure of."""
+    if chunk.isalpha() or "'" in chunk or "<|" in chunk or not (
+            chunk.isascii() or "\u0130" not in chunk and unicodedata.is_normalized("NFC", chunk)
+            and "Cn" not in map(unicodedata.category, chunk)):
         return [chunk]
-    return PIECE.findall(chunk) or [chunk]
+    return [p.lower() if p.isascii() else p for p in PIECE.findall(chunk)]
+
+
+STOPS = (".", ",")
+
+
+def runs_of(chunks: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """For each chunk its leading run, and the number of the stop behind it
+    from 1 (0: none). A word is a run, in lower case as far as it is ASCII,
+    which the tokenizer does to all letters; any other chunk stays whole."""
+    stop = np.zeros(len(chunks), np.int64)
+    for number, sign in enumerate(STOPS, 1):
+        stop[pc.ends_with(chunks, sign).to_numpy(zero_copy_only=False)] = number
+    before = pc.utf8_slice_codeunits(chunks, 0, -1)
+    stop[~pc.utf8_is_alpha(before).to_numpy(zero_copy_only=False)] = 0
+    ascii_only = pc.string_is_ascii(before).to_numpy(zero_copy_only=False)
+    foreign = np.flatnonzero((stop > 0) & ~ascii_only)
+    sure = map(plain, strings(before.take(pa.array(foreign))))
+    stop[foreign] *= np.fromiter(sure, bool, len(foreign))
+    run = pc.if_else(pa.array(stop > 0), before, chunks)
+    return pc.if_else(pc.utf8_is_alpha(run), pc.ascii_lower(run), run), stop
+
+
+def strings(values: pa.StringArray) -> list[str]:
+    """Strings without blanks; several times faster than one by one."""
+    if not len(values):
+        return []
+    row = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    return pc.binary_join(row, " ")[0].as_py().split(" ")
+
+
+def gathered(values: np.ndarray, sizes: np.ndarray, order: np.ndarray):
+    """`values` holds runs of these sizes: those named by `order` in a row,
+    and the size of each."""
+    taken = sizes[order]
+    first = np.cumsum(sizes) - sizes
+    at = np.repeat(first[order] - (np.cumsum(taken) - taken), taken)
+    at += np.arange(len(at))
+    return values[at], taken
+
+
+# the letter by which the tokenizer's vocabulary writes a byte
+SHOWN = [b for b in range(256) if 33 <= b < 127 or 161 <= b != 173]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*SHOWN}))}
 
 
 def encoder(path: str, cached: int = CACHED_CHUNKS):
@@ -81,59 +143,76 @@ def encoder(path: str, cached: int = CACHED_CHUNKS):
 
     The tokenizer drops white space and never joins across it, so a text's
     ids are those of its chunks one after another, and a chunk's those of its
-    runs of letters, digits and signs. Known pieces come from a bounded memo
-    that the worker keeps between tasks; the unknown ones of a slice are
-    encoded together, words in long lines cut by the tokenizer's own word
-    numbers."""
+    runs of letters, digits and signs. Each distinct run of a call is looked up
+    once, in a bounded memo that the worker keeps between tasks. Unknown words
+    go straight to the tokenizer's model, the way its own normaliser and byte
+    alphabet would hand them over; all else goes through the whole tokenizer."""
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(path)
+    model, normalizer = tokenizer.model, tokenizer.normalizer
     memo = process_memo(path)
 
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ids_of(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    end = np.array([END_ID], "<u4").tobytes()
-
-    def encode_pieces(pieces: set[str]) -> dict[str, bytes]:
-        out, plain = {}, []
-        for c in pieces:
-            if c.isalpha():
-                plain.append(c)
-            else:
-                out[c] = ids_of(c)
-        for a in range(0, len(plain), 400):
-            some = plain[a:a + 400]
-            line = tokenizer.encode(" ".join(some), add_special_tokens=False)
-            number = np.array(line.word_ids)
-            if len(number) and number[-1] == len(some) - 1:
-                parts = np.split(np.array(line.ids, "<u4"), np.flatnonzero(np.diff(number)) + 1)
-                out.update(zip(some, [p.tobytes() for p in parts]))
-            else:  # a letter that lower case takes apart
-                out.update((c, ids_of(c)) for c in some)
+        return packed(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def ids_of_word(word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return packed([t.id for t in model.tokenize(word)])
+
+    def ids_of_words(words: list[str]) -> list[bytes]:
+        out = [ids_of_word(w) if w.isascii() else b"" for w in words]
+        foreign = [i for i, w in enumerate(words) if not w.isascii()]
+        for a in range(0, len(foreign), 400):
+            some = foreign[a:a + 400]
+            line = normalizer.normalize_str(" ".join([words[i] for i in some]))
+            for i, word in zip(some, line.split(" ")):
+                # lower case takes some letters apart
+                out[i] = ids_of_word(word) if word.isalpha() else ids_of(words[i])
+        return out
+
+    def ids_of_runs(runs: list[str]) -> list[bytes]:
+        """Of distinct runs or whole chunks."""
+        out = list(map(memo.get, runs))
+        unknown = [i for i, ids in enumerate(out) if ids is None]
+        cut = {i: pieces_of(runs[i]) for i in unknown if not runs[i].isalpha()}
+        parts = {p for pieces in cut.values() for p in pieces}
+        words = {runs[i] for i in unknown if i not in cut}
+        words.update(p for p in parts if p.isalpha() and p not in memo)
+        fresh = dict(zip(words, ids_of_words(list(words))))
+        fresh.update((p, ids_of(p)) for p in parts if p not in fresh and p not in memo)
+        for i in unknown:
+            if i in cut:
+                fresh[runs[i]] = b"".join([fresh[p] if p in fresh else memo[p] for p in cut[i]])
+            out[i] = fresh[runs[i]]
+        short = (item for item in fresh.items() if len(item[0]) <= LONGEST_KEPT)
+        memo.update(itertools.islice(short, max(0, cached - len(memo))))
         return out
 
+    signs = [b""] + [ids_of(sign) for sign in STOPS] + [packed([END_ID])]
+
     def encode(texts: list[str]) -> list[np.ndarray]:
-        get = memo.get
-        split = [chunks_of(t) for t in texts]
-        found = [list(map(get, words)) for words in split]
-        gaps, unknown = [], set()
-        for words, parts in zip(split, found):
-            if None in parts:
-                for i, ids in enumerate(parts):
-                    if ids is None:
-                        gaps.append((parts, i, words[i]))
-        cut = {w: pieces_of(w) for _, _, w in gaps}
-        for pieces in cut.values():
-            for p in pieces:
-                if p not in memo:
-                    unknown.add(p)
-        fresh = encode_pieces(unknown)
-        whole = {w: b"".join([get(p) or fresh[p] for p in pieces]) for w, pieces in cut.items()}
-        for parts, i, w in gaps:
-            parts[i] = whole[w]
-        for new in (fresh, whole):
-            memo.update(itertools.islice(new.items(), max(0, cached - len(memo))))
-        return [np.frombuffer(b"".join(parts) + end, "<u4") for parts in found]
+        lists = chunk_lists(texts)
+        chunks = lists.values.dictionary_encode()
+        run, stop = runs_of(chunks.dictionary)
+        run = run.dictionary_encode()
+        spelled = ids_of_runs(strings(run.dictionary))
+        # each distinct chunk is a run and a sign or none; the last is the end
+        order = np.append(np.column_stack([run.indices.to_numpy(), stop + len(spelled)]),
+                          [[len(spelled), len(spelled) + len(signs) - 1]], axis=0)
+        spelled += signs
+        sizes = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
+        ids, sizes = gathered(np.frombuffer(b"".join(spelled), "<u4"), sizes, order.ravel())
+        sizes = sizes.reshape(-1, 2).sum(axis=1)
+        # the chunks of all texts in a row, an end behind each text
+        ends = lists.offsets.to_numpy()[1:]
+        order = np.insert(chunks.indices.to_numpy(), ends, len(sizes) - 1)
+        ids, sizes = gathered(ids, sizes, order)
+        cuts = np.cumsum(sizes)[ends + np.arange(len(ends))]
+        return np.split(ids, cuts[:-1])
 
     return encode
 
@@ -155,7 +234,7 @@ def raw_pieces(documents: DataFrame, tokenizer: str, window: int, unit: int,
 
     def run(batches):
         encode = encoder(tokenizer, cached)
-        for part, texts in text_slices(batches, memo=tokenizer):
+        for part, texts in text_slices(batches, rows=SLICE_ROWS, memo=tokenizer):
             rows = []
             for row, ids in enumerate(encode(texts)):
                 n, at = len(ids), 0
@@ -359,7 +438,7 @@ def pack(documents: DataFrame, window: int = WINDOW, unit: int = UNIT, depth: in
     """Pieces of all documents with their place: doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset and, on request, the ids as
     little-endian unsigned 32-bit numbers. A worker keeps the ids of up to
-    `cached` pieces of text, about 250 bytes each."""
+    `cached` pieces of text, about 200 bytes each."""
     if window % unit or (window // unit) & (window // unit - 1):
         raise ValueError("window must be a power of two times unit")
     tokenizer = tokenizer or default_tokenizer()

@@ -83,6 +83,36 @@ def test_encoder_equals_tokenizer():
             text, add_special_tokens=False).ids + [1], text
 
 
+def test_encoder_equals_tokenizer_behind_marks():
+    """Letters that normalising or lower case takes apart, before signs."""
+    tokenizer = Tokenizer.from_file(p.default_tokenizer())
+    texts = ["\u0130. a\u0130, b\u0130!c \u0130x.", "\u0915\u093c. \u0958. \u0958, a\u0958!", "\u0558. B\u088f,",
+             "Word, WORD. word\u1e9e. \u00c9T\u00c9, \u039f\u0394\u039f\u03a3. .,., , .", "a\x1db. c\x1c, D."]
+    rows = p.encoder(p.default_tokenizer())(texts + [""] + texts)
+    assert len(rows) == 2 * len(texts) + 1 and rows[len(texts)].tolist() == [p.END_ID]
+    for text, ids in zip(texts + [""] + texts, rows):
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [1], text
+
+
+def test_memo_holds_a_word_once():
+    """Spellings in capitals and before stops share an entry; long runs, which
+    would make the memo's size depend on the texts, have none."""
+    from pairflow.llm.common import drop_memos, process_memo
+    drop_memos(None)
+    rng = random.Random(5)
+    words = list({"".join(rng.choices("abcdefgh", k=9)) for _ in range(500)})
+    line = " ".join(f"{w} {w.upper()} {w}. {w.title()}, {w}!" for w in words)
+    encode = p.encoder(p.default_tokenizer())
+    first = encode([line, "x" * 5000 + " 7."])
+    memo = process_memo(p.default_tokenizer())
+    assert sum(w in memo for w in words) == len(words)
+    assert len(memo) <= 2 * len(words) + 10  # a word and its spelling before "!"
+    assert max(map(len, memo)) <= p.LONGEST_KEPT
+    drop_memos(None)
+    small = p.encoder(p.default_tokenizer(), cached=3)
+    assert all((a == b).all() for a, b in zip(first, small([line, "x" * 5000 + " 7."])))
+
+
 def test_nnls_equals_brute_force():
     rng = np.random.default_rng(1)
     for _ in range(20):
